@@ -1,0 +1 @@
+"""Intentionally empty: every workload here is a batch over landed extracts."""
