@@ -21,38 +21,47 @@ _DATE_TEXT = (
 
 
 def clean_text(text: Column) -> Column:
-    """Trim spaces; blank becomes NULL."""
+    """Trim spaces; blank becomes NULL. The casts below take text in this form:
+    select the cleaned text first, so that each cast reads it as a column."""
     return F.nullif(F.trim(text), F.lit(""))
 
 
 def lenient_date(text: Column) -> Column:
-    """Year-month-day text to a date, anything else to NULL."""
-    trimmed = clean_text(text)
-    return F.when(
-        trimmed.rlike(_DATE_TEXT), F.translate(trimmed, "/", "-")
-    ).try_cast("date")
+    """Year-month-day text to a date, anything else to NULL.
+
+    Nearly all text is yyyy-mm-dd, which two position tests recognise at a
+    fraction of the cost of the pattern.
+    """
+    plain = (
+        (F.octet_length(text) == 10)
+        & (F.instr(text, "-") == 5)
+        & (F.locate("-", text, 6) == 8)
+    )
+    other = F.when(text.rlike(_DATE_TEXT), F.translate(text, "/", "-"))
+    return F.when(plain, text.try_cast("date")).otherwise(other.try_cast("date"))
 
 
 def lenient_int(text: Column) -> Column:
     """Numeric text to an integer, rounding half up; NULL when it does not fit."""
-    return F.round(clean_text(text).try_cast("decimal(38,18)"), 0).try_cast("int")
+    decimal = text.try_cast("decimal(38,18)")
+    return F.coalesce(text.try_cast("int"), F.round(decimal, 0).try_cast("int"))
 
 
 def lenient_money(text: Column) -> Column:
     """Numeric text to a two-place decimal, NULL when it does not fit."""
-    return clean_text(text).try_cast(MONEY)
+    return text.try_cast(MONEY)
 
 
 def strict_date(text: Column) -> Column:
-    return clean_text(text).cast("date")
+    return text.cast("date")
 
 
 def strict_int(text: Column) -> Column:
-    return F.round(clean_text(text).cast("decimal(38,18)"), 0).cast("int")
+    return F.round(text.cast("decimal(38,18)"), 0).cast("int")
 
 
 def strict_money(text: Column) -> Column:
-    return clean_text(text).cast(MONEY)
+    return text.cast(MONEY)
 
 
 def money(value: Column) -> Column:

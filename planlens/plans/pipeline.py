@@ -11,9 +11,8 @@ from planlens.session import settle
 
 
 class Pipeline:
-    """Layers as DataFrames. Nothing runs until an action, except what is
-    counted up front to choose a join: the duplicate ids (kept in the checkpoint
-    folder) and the two dimensions.
+    """Layers as DataFrames. Nothing runs until an action, except one job that
+    counts the duplicate ids and the two dimensions to choose their joins.
 
     ``settled`` also stores the flagged lines and the monthly rollup, for plans
     that read them from several branches.
@@ -61,7 +60,8 @@ class Pipeline:
 
     @cached_property
     def duplicates(self) -> DataFrame:
-        return settle(quality.duplicate_ids(self.typed))
+        # Read twice, when counted and when joined; only the repeated ids are kept.
+        return quality.duplicate_ids(self.typed).persist()
 
     @cached_property
     def _fits(self) -> list[bool]:
@@ -121,6 +121,11 @@ class Pipeline:
     def mart(self) -> DataFrame:
         return mart.plan_vs_actual(self.monthly, self.fct_forecast)
 
+    def release(self) -> None:
+        """Drop the kept duplicate ids."""
+        if "duplicates" in self.__dict__:
+            self.duplicates.unpersist()
+
     @cached_property
     def reject_summary(self) -> DataFrame:
         return quality.reject_summary(self.flagged)

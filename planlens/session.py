@@ -27,17 +27,23 @@ def build_session(app_name: str = "planlens", **overrides: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str | None:
+    """The checkpoint folder the session names (``spark.checkpoint.dir``).
+
+    A local session without one gets a temporary folder. A cluster without one
+    gets None: a machine-local folder there would not survive the machine.
+    """
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None and context.master.startswith("local"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="planlens-checkpoint-"))
+    return context.getCheckpointDir()
+
+
 def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the checkpoint folder the session names.
+    """Compute ``df`` once into the shared folder, cutting its lineage.
 
     Several consumers then read the stored result instead of recomputing it,
-    and a lost executor costs a re-read. A local session without a folder gets
-    a temporary one; a cluster without one recomputes, because a machine-local
-    folder there would not survive the machine.
+    and a lost executor costs a re-read. Without a shared folder the consumers
+    recompute.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            return df
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="planlens-checkpoint-"))
-    return df.checkpoint()
+    return df.checkpoint() if shared_folder(df.sparkSession) else df
