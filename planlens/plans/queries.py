@@ -4,19 +4,423 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from planlens.sources.testdata import SampleModel
+from planlens.functions import casts, rules
+from planlens.operators import checks, measures, monthly, observe, quality
+from planlens.sources import landing
+from planlens.sources.run_artifacts import parse_run_artifacts
+from planlens.sources.testdata import AS_OF, BATCH_ID, REGIONS, SampleModel
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+FILTER = {
+    "regions": ["ASIA", "EUROPE", rules.UNMAPPED],
+    "families": ["ECONOMY", rules.UNKNOWN],
+    "months": ("1996-01-01", "2000-12-01"),
+}
+DOMAINS = {
+    "regions": REGIONS,
+    "segments": ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"),
+    "lifecycles": checks.DOMAINS["lifecycles"],
+    "plant_countries": REGIONS,
+}
+
 
 def _of(build: Callable[[SampleModel], DataFrame], settled: bool = False) -> Query:
     return lambda spark, sf_dir: build(SampleModel(spark, sf_dir, settled))
 
 
+# -- sources -----------------------------------------------------------------
+
+
+def _raw_tables(m: SampleModel) -> dict[str, DataFrame]:
+    return {
+        "raw_oracle_orders": m.raw_orders,
+        "raw_salesforce_accounts": m.raw_accounts,
+        "raw_adaptive_forecast": m.raw_forecast,
+        "raw_erp_products": m.raw_products,
+    }
+
+
+def _landed(m: SampleModel) -> DataFrame:
+    stamped = landing.stamp_metadata(
+        m.raw_orders,
+        loaded_at=F.lit(AS_OF).cast("timestamp"),
+        source_file=F.lit("oracle_orders.csv"),
+        batch_id=F.lit(BATCH_ID),
+    )
+    return observe.stamp_text(stamped, "_loaded_at")
+
+
+def _layers(m: SampleModel) -> DataFrame:
+    tables = {("raw", name): df for name, df in _raw_tables(m).items()}
+    tables.update({
+        ("staging", "stg_accounts"): m.accounts,
+        ("staging", "stg_products"): m.products,
+        ("staging", "stg_forecast"): m.forecast,
+        ("staging", "stg_orders"): m.orders,
+        ("staging", "stg_rejects"): m.rejects,
+        ("analytics", "dim_customer"): m.dim_customer,
+        ("analytics", "dim_product"): m.dim_product,
+        ("analytics", "fct_forecast"): m.fct_forecast,
+        ("analytics", "mart"): m.mart,
+    })
+    return observe.layer_row_counts(tables)
+
+
+# -- casts and rules ---------------------------------------------------------
+
+
+def _lenient_casts(m: SampleModel) -> DataFrame:
+    """The cast recipes on texts in many shapes, one shape per line number."""
+    shape = F.col("l_linenumber") % 7
+    pieces = F.round("l_quantity").cast("bigint").cast("string")
+    cents = F.col("l_extendedprice").cast(casts.MONEY).cast("string")
+    day = F.col("l_shipdate").cast("date").cast("string")
+
+    def shaped(*options: Column) -> Column:
+        picked = F.when(shape == 0, options[0])
+        for i, option in enumerate(options[1:], start=1):
+            picked = picked.when(shape == i, option)
+        return casts.clean_text(picked)
+
+    texts = m.table("lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber",
+        shaped(
+            pieces, F.concat(pieces, F.lit(".0")), F.concat(pieces, F.lit(".5")),
+            F.concat(pieces, F.lit("e1")), F.concat(F.lit("  "), pieces, F.lit(" ")),
+            F.concat(F.lit("n/a "), pieces), F.concat(pieces, F.lit("0000000000")),
+        ).alias("int_text"),
+        shaped(
+            cents, F.concat(cents, F.lit("5")), F.concat(cents, F.lit("49")),
+            F.concat(F.lit("$"), cents), F.concat(F.lit("-"), cents), F.lit(" "),
+            F.concat(cents, F.lit("e2")),
+        ).alias("money_text"),
+        shaped(
+            day, F.substring(day, 1, 4), F.substring(day, 1, 7), F.translate(day, "-", "/"),
+            F.concat(day, F.lit(" 10:30:00")), F.concat(F.lit(" "), day),
+            F.concat(F.substring(day, 1, 8), F.lit("32")),
+        ).alias("date_text"),
+    )
+    return texts.select(
+        "l_orderkey", "l_partkey", "l_linenumber",
+        casts.lenient_int(F.col("int_text")).alias("int_value"),
+        casts.lenient_money(F.col("money_text")).alias("money_value"),
+        casts.lenient_date(F.col("date_text")).alias("date_value"),
+    )
+
+
+def _plant_split(m: SampleModel) -> DataFrame:
+    return m.typed.groupBy("plant_city", "plant_country").agg(F.count("*").alias("line_count"))
+
+
+def _source_batch_mix(m: SampleModel) -> DataFrame:
+    return m.flagged.groupBy("source_batch").agg(
+        F.count("*").alias("line_count"),
+        F.count("dq_failure_reason").alias("rejected_count"),
+    )
+
+
+# -- measures ----------------------------------------------------------------
+
+
+def _filtered_mart(m: SampleModel) -> DataFrame:
+    filtered = measures.apply_filters(m.mart, m.dim_product, **FILTER)
+    return measures.detail_table(filtered, ["BELOW_PLAN", "AT_OR_ABOVE_PLAN", "NO_FORECAST"])
+
+
+def _filtered_orders(m: SampleModel) -> DataFrame:
+    filtered = measures.apply_filters(m.fct_orders, m.dim_product, **FILTER)
+    return filtered.groupBy("region", "product_family", "order_status").agg(
+        F.count("*").alias("order_count"), F.sum("gross_revenue").alias("gross_revenue")
+    )
+
+
+def _star_rollup(m: SampleModel) -> DataFrame:
+    star = measures.star(m.cells, m.dim_product, m.dim_region, m.dim_date)
+    return measures.measures(star, "product_family", "is_forecastable", "year_number")
+
+
+def _reconciliation(m: SampleModel) -> DataFrame:
+    return measures.reconciliation(
+        measures.reconciliation_amounts(m.typed, m.mart, m.fct_orders, m.rejects)
+    )
+
+
+# -- checks: one row per check, some on deliberately broken input --------------
+
+
+def _check_unique(m: SampleModel) -> DataFrame:
+    twice = m.accounts.unionByName(m.accounts.where(F.col("segment") == "BUILDING"))
+    return checks.together([
+        checks.counted("typed.order_id", checks.not_unique(m.typed, "order_id")),
+        checks.counted("stg_orders.order_id", checks.not_unique(m.orders, "order_id")),
+        checks.counted("stg_accounts.customer_id", checks.not_unique(m.accounts, "customer_id")),
+        checks.counted("accounts_twice.customer_id", checks.not_unique(twice, "customer_id")),
+        checks.counted("stg_products.product_id", checks.not_unique(m.products, "product_id")),
+        checks.counted("stg_forecast.forecast_id", checks.not_unique(m.forecast, "forecast_id")),
+        checks.counted("dim_customer.customer_id", checks.not_unique(m.dim_customer, "customer_id")),
+        checks.counted("dim_product.product_id", checks.not_unique(m.dim_product, "product_id")),
+        checks.counted("dim_date.date_month", checks.not_unique(m.dim_date, "date_month")),
+        checks.counted("dim_region.region_name", checks.not_unique(m.dim_region, "region_name")),
+    ])
+
+
+def _check_not_null(m: SampleModel) -> DataFrame:
+    def missing(table: str, *columns: str) -> dict[str, Column]:
+        return {f"{table}.{c}": checks.is_missing(c) for c in columns}
+
+    return checks.together([
+        checks.row_checks(m.typed, missing(
+            "typed", "order_id", "order_date", "unit_price", "quantity", "actual_delivery_date"
+        )),
+        checks.row_checks(m.enriched, missing(
+            "orders_enriched", "order_id", "region", "delivery_status", "revenue_month",
+            "gross_revenue", "segment", "standard_cost",
+        )),
+        checks.row_checks(m.mart, missing(
+            "mart", "product_id", "region", "revenue_month", "actual_revenue",
+            "revenue_variance", "forecast_revenue",
+        )),
+    ])
+
+
+def _check_accepted_values(m: SampleModel) -> DataFrame:
+    results = checks.together([
+        checks.row_checks(m.flagged, {
+            "order_status": checks.is_unaccepted("order_status", rules.ORDER_STATUSES),
+            "source_batch": checks.is_unaccepted("source_batch", rules.SOURCE_BATCHES),
+            "dq_failure_reason": checks.is_unaccepted("dq_failure_reason", rules.DEFECT_REASONS),
+            "plant_country": checks.is_unaccepted("plant_country", ["ASIA", "EUROPE"]),
+        }),
+        checks.row_checks(m.enriched, {
+            "region": checks.is_unaccepted("region", [*REGIONS, rules.UNMAPPED]),
+            "mapped_region": checks.is_unaccepted("region", REGIONS),
+            "delivery_status": checks.is_unaccepted("delivery_status", rules.DELIVERY_STATUSES),
+        }),
+        checks.row_checks(m.mart, {
+            "variance_flag": checks.is_unaccepted("variance_flag", rules.VARIANCE_FLAGS),
+        }),
+    ])
+    return checks.verdicts(results, warn_only=["plant_country"])
+
+
+def _check_relationships(m: SampleModel) -> DataFrame:
+    def against(name: str, child: DataFrame, column: str, parent: DataFrame, key: str):
+        return checks.counted(name, checks.without_parent(child, column, parent, key), F.col("n"))
+
+    return checks.together([
+        against("orders-accounts", m.orders, "customer_id", m.accounts, "customer_id"),
+        against("orders-products", m.orders, "product_id", m.products, "product_id"),
+        against("orders-dim_customer", m.orders, "customer_id", m.dim_customer, "customer_id"),
+        against("orders-dim_product", m.orders, "product_id", m.dim_product, "product_id"),
+        against("forecast-products", m.forecast, "product_id", m.products, "product_id"),
+        against("dim_customer-dim_region", m.dim_customer, "region", m.dim_region, "region_name"),
+        against("mart-dim_region", m.mart, "region", m.dim_region, "region_name"),
+    ])
+
+
+def _check_unique_grain(m: SampleModel) -> DataFrame:
+    return checks.together([
+        checks.counted("mart", checks.not_unique(m.mart, "product_id", "region", "revenue_month")),
+        checks.counted("fct_forecast", checks.not_unique(
+            m.fct_forecast, "product_id", "region", "forecast_month"
+        )),
+        checks.counted("orders_by_month", checks.not_unique(
+            m.enriched, "product_id", "region", "revenue_month"
+        )),
+    ])
+
+
+def _check_partition_complete(m: SampleModel) -> DataFrame:
+    return checks.together([
+        checks.counted(
+            "complete", checks.partition_complete(m.raw_orders, m.orders, m.rejects)
+        ),
+        checks.counted(
+            "rejects_dropped",
+            checks.partition_complete(m.raw_orders, m.orders, m.rejects.where(F.lit(False))),
+            F.col("missing_rows"),
+        ),
+    ])
+
+
+def _check_reconciles(m: SampleModel) -> DataFrame:
+    def check(name: str, mart: DataFrame) -> DataFrame:
+        amounts = measures.reconciliation_amounts(m.typed, mart, m.fct_orders, m.rejects)
+        return checks.counted(name, checks.unreconciled(measures.reconciliation(amounts)))
+
+    mapped_only = m.mart.where(F.col("region") != rules.UNMAPPED)
+    return check("reconciles", m.mart).unionByName(check("unmapped_dropped", mapped_only))
+
+
+def _check_duplicates(m: SampleModel) -> DataFrame:
+    kept = m.orders.unionByName(m.rejects.select(*m.orders.columns))
+    return checks.together([
+        checks.counted("quarantined", checks.duplicates_not_quarantined(
+            m.typed, m.orders, m.rejects
+        )),
+        checks.counted("kept", checks.duplicates_not_quarantined(m.typed, kept, m.rejects)),
+    ])
+
+
+def _check_margin_null(m: SampleModel) -> DataFrame:
+    made_up = m.enriched.withColumn("gross_margin", F.coalesce("gross_margin", "gross_revenue"))
+    return checks.together([
+        checks.counted("margin_null", checks.margin_without_cost(m.enriched)),
+        checks.counted("margin_made_up", checks.margin_without_cost(made_up)),
+    ])
+
+
+def _check_unmapped(m: SampleModel) -> DataFrame:
+    fewer = m.accounts.where(F.col("segment") != "BUILDING")
+    return checks.together([
+        checks.counted("unmapped", checks.wrongly_unmapped(m.enriched, m.accounts), F.col("n")),
+        checks.counted("accounts_lost", checks.wrongly_unmapped(m.enriched, fewer), F.col("n")),
+    ])
+
+
+def _check_cancelled(m: SampleModel) -> DataFrame:
+    by_date = m.enriched.withColumn("delivery_status", F.when(
+        F.col("actual_delivery_date").isNotNull(), "Late"
+    ).otherwise(F.col("delivery_status")))
+    return checks.together([
+        checks.counted("cancelled", checks.cancelled_but_delivered(m.enriched)),
+        checks.counted("date_wins", checks.cancelled_but_delivered(by_date)),
+    ])
+
+
+def _check_backdated(m: SampleModel) -> DataFrame:
+    ignored = m.enriched.withColumn("delivery_status", F.lit("On Time"))
+    return checks.together([
+        checks.counted("backdated", checks.backdated_misjudged(m.enriched)),
+        checks.counted("rule_ignored", checks.backdated_misjudged(ignored)),
+        checks.counted("backdated_rows", checks.backdated_count(m.enriched), F.col("backdated")),
+    ])
+
+
+def _check_outer_join_survival(m: SampleModel) -> DataFrame:
+    inner = m.mart.where(F.col("forecast_revenue").isNotNull() & (F.col("order_count") > 0))
+    return checks.together([
+        checks.counted("full_outer", checks.lost_by_outer_join(
+            m.fct_forecast, m.monthly, m.mart
+        ), F.col("n")),
+        checks.counted("inner", checks.lost_by_outer_join(
+            m.fct_forecast, m.monthly, inner
+        ), F.col("n")),
+    ])
+
+
 QUERIES: dict[str, Query] = {
-    "plan_vs_actual": _of(lambda m: m.mart),
-    "monthly_revenue": _of(lambda m: m.monthly),
+    # sources
+    "land_raw_orders": _of(_landed),
+    "landed_row_counts": _of(lambda m: landing.landed_row_counts(_raw_tables(m))),
+    "layer_row_counts": _of(_layers, settled=True),
+    "run_results_summary": _of(
+        lambda m: observe.run_summary(parse_run_artifacts(m.run_documents))
+    ),
+    "slowest_models": _of(lambda m: observe.slowest_models(parse_run_artifacts(m.run_documents))),
+    # staging
+    "stg_accounts": _of(lambda m: m.accounts),
+    "stg_products": _of(lambda m: m.products),
+    "stg_forecast": _of(lambda m: m.forecast),
+    "lenient_casts": _of(_lenient_casts),
+    "plant_split": _of(_plant_split),
+    "source_batch_mix": _of(_source_batch_mix),
+    "orders_flagged": _of(lambda m: m.flagged),
+    "stg_orders": _of(lambda m: m.orders),
+    "orders_rejects": _of(lambda m: m.rejects.orderBy("dq_failure_reason", "order_id")),
     "reject_summary": _of(lambda m: m.reject_summary),
+    "reject_value_by_reason": _of(lambda m: quality.reject_value_by_reason(m.reject_summary)),
+    # enrichment, rollup, mart
+    "orders_enriched": _of(lambda m: m.enriched),
+    "delivery_status": _of(
+        lambda m: m.enriched.groupBy("delivery_status", "order_status").agg(
+            F.count("*").alias("order_count")
+        )
+    ),
+    "monthly_revenue": _of(lambda m: m.monthly),
+    "monthly_revenue_sql": _of(lambda m: monthly.monthly_revenue_sql(m.enriched)),
+    "plan_vs_actual": _of(lambda m: m.mart),
+    # dimensions and facts
+    "dim_region": _of(lambda m: m.dim_region),
+    "dim_date": _of(lambda m: m.dim_date),
+    "dim_customer": _of(lambda m: m.dim_customer),
+    "dim_product": _of(lambda m: m.dim_product),
+    "fct_orders": _of(lambda m: m.fct_orders),
+    "fct_forecast": _of(lambda m: m.fct_forecast),
+    # filters and the star
+    "filter_options": _of(lambda m: measures.filter_options(m.mart, m.dim_product)),
+    "filtered_mart": _of(_filtered_mart),
+    "filtered_orders": _of(_filtered_orders),
+    "entitled_mart": _of(
+        lambda m: measures.entitled(m.mart, m.entitlements, "nation_7@example.com")
+    ),
+    "star_rollup": _of(_star_rollup),
+    "orders_by_segment": _of(
+        lambda m: measures.orders_by_customer_attribute(m.fct_orders, m.dim_customer, "segment")
+    ),
+    # revenue against plan
+    "headline_kpis": _of(lambda m: measures.headline_kpis(m.mart)),
+    "monthly_trend": _of(lambda m: measures.monthly_trend(m.mart)),
+    "variance_by_region": _of(lambda m: measures.variance_by_region(m.mart)),
+    "variance_by_flag": _of(lambda m: measures.variance_by_flag(m.mart)),
+    "variance_by_family": _of(
+        lambda m: measures.variance_by_family(measures.with_family(m.mart, m.dim_product))
+    ),
+    "worst_variance": _of(lambda m: measures.worst_variance(m.mart)),
+    "top_bottom_variance": _of(lambda m: measures.top_bottom_variance(m.mart)),
+    "flag_cells": _of(lambda m: measures.flag_cells(m.mart)),
+    "flag_pivot": _of(lambda m: measures.flag_pivot(m.mart, [*REGIONS, rules.UNMAPPED])),
+    "cell_composition": _of(lambda m: measures.cell_composition(m.mart)),
+    "flag_counts_two_grains": _of(lambda m: measures.flag_counts_two_grains(m.mart)),
+    "reconciliation": _of(_reconciliation),
+    # delivery
+    "delivery_distribution": _of(lambda m: measures.delivery_distribution(m.fct_orders)),
+    "on_time_by_region": _of(lambda m: measures.on_time_by_region(m.fct_orders)),
+    "delivery_gap": _of(lambda m: measures.delivery_gap(m.fct_orders)),
+    "late_orders": _of(lambda m: measures.late_orders(m.fct_orders)),
+    "contradiction_counts": _of(lambda m: measures.contradiction_counts(m.fct_orders)),
+    "degraded_orders": _of(lambda m: measures.degraded_orders(m.fct_orders)),
+    # margin and products
+    "margin_coverage": _of(lambda m: measures.margin_coverage(m.fct_orders)),
+    "margin_by_product": _of(
+        lambda m: measures.margin_by_product(m.mart, m.fct_orders, m.dim_product)
+    ),
+    "uncovered_orders": _of(lambda m: measures.uncovered_orders(m.fct_orders)),
+    "uncovered_products": _of(lambda m: measures.uncovered_products(m.fct_orders)),
+    "lifecycle_counts": _of(lambda m: measures.lifecycle_counts(m.dim_product)),
+    "product_list": _of(lambda m: measures.product_list(m.dim_product)),
+    # telemetry
+    "load_freshness": _of(
+        lambda m: observe.stamp_text(observe.load_freshness(m.load_log), "last_loaded_at")
+    ),
+    "freshness_by_source": _of(lambda m: observe.stamp_text(
+        observe.freshness_by_source(m.load_log, AS_OF), "last_loaded_at"
+    )),
+    "freshness_verdict": _of(lambda m: observe.freshness_verdict(m.load_log, AS_OF)),
+    "cost_by_day": _of(lambda m: observe.cost_by_day(m.compute_usage, AS_OF)),
+    "recent_jobs": _of(
+        lambda m: observe.stamp_text(observe.recent_jobs(m.job_history, AS_OF), "start_time")
+    ),
+    "failed_jobs": _of(
+        lambda m: observe.stamp_text(observe.failed_jobs(m.job_history, AS_OF), "start_time")
+    ),
+    "table_sizes": _of(lambda m: observe.table_sizes(m.table_stats)),
+    # checks
+    "check_unique": _of(_check_unique),
+    "check_not_null": _of(_check_not_null),
+    "check_accepted_values": _of(_check_accepted_values),
+    "check_relationships": _of(_check_relationships),
+    "check_unique_grain": _of(_check_unique_grain),
+    "check_partition_complete": _of(_check_partition_complete),
+    "check_reconciles": _of(_check_reconciles, settled=True),
+    "check_duplicates_quarantined": _of(_check_duplicates),
+    "check_margin_null": _of(_check_margin_null),
+    "check_unmapped": _of(_check_unmapped),
+    "check_cancelled": _of(_check_cancelled),
+    "check_backdated": _of(_check_backdated),
+    "check_outer_join_survival": _of(_check_outer_join_survival, settled=True),
 }

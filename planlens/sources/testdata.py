@@ -158,18 +158,18 @@ class SampleModel(Pipeline):
         return self._land("raw_erp_products", self._derive_products)
 
     def _derive_products(self) -> DataFrame:
-        """One product per brand, 'Brand#13' left out of the master."""
+        """One product per brand, described by its first part; 'Brand#13' is left out."""
         lifecycle = F.element_at(
             F.array(F.lit("Active"), F.lit("Discontinued"), F.lit("Pending")),
-            F.min("p_size") % 3 + 1,
+            F.min_by("p_size", "p_partkey") % 3 + 1,
         )
         return (
             self.table("part")
             .where(F.col("p_brand") != "Brand#13")
             .groupBy(F.col("p_brand").alias("product_id"))
             .agg(
-                F.min("p_name").alias("product_name"),
-                F.min("p_type").alias("product_family"),
+                F.min_by("p_name", "p_partkey").alias("product_name"),
+                F.min_by("p_type", "p_partkey").alias("product_family"),
                 lifecycle.alias("lifecycle_status"),
                 F.min("p_retailprice").cast(casts.MONEY).cast("string").alias("standard_cost"),
             )
