@@ -109,24 +109,16 @@ def duplicates_not_quarantined(
 ) -> DataFrame:
     """Ids repeated in the source whose copies are not all rejected as duplicates.
 
-    Counts per id are taken on each side before they meet.
+    One shuffle of (id, where found), combined before it.
     """
-
-    def tally(df: DataFrame, **counts: Column) -> DataFrame:
-        zero = F.lit(0).cast("bigint")
-        return df.groupBy("order_id").agg(
-            *[counts.get(c, zero).alias(c) for c in ("source", "kept", "quarantined")]
-        )
-
-    as_duplicate = F.count_if(F.col("dq_failure_reason") == rules.DEFECT_REASONS[0])
+    quarantined = rejects.where(F.col("dq_failure_reason") == rules.DEFECT_REASONS[0])
+    sides = {"source": typed, "kept": clean, "quarantined": quarantined}
+    found = together([
+        df.select("order_id", F.lit(side).alias("side")) for side, df in sides.items()
+    ])
     return (
-        together([
-            tally(typed, source=F.count("*")),
-            tally(clean, kept=F.count("*")),
-            tally(rejects, quarantined=as_duplicate),
-        ])
-        .groupBy("order_id")
-        .agg(*[F.sum(c).alias(c) for c in ("source", "kept", "quarantined")])
+        found.groupBy("order_id")
+        .agg(*[F.count_if(F.col("side") == side).alias(side) for side in sides])
         .where(
             (F.col("source") > 1) & ((F.col("kept") > 0) | (F.col("quarantined") != F.col("source")))
         )
@@ -144,17 +136,19 @@ def margin_without_cost(enriched: DataFrame) -> DataFrame:
 def wrongly_unmapped(enriched: DataFrame, accounts: DataFrame) -> DataFrame:
     """Customers tagged UNMAPPED though an account gives them a region, or mapped
     though none does; with their order counts."""
-    known = accounts.where(F.col("region").isNotNull()).select("customer_id")
+    known = accounts.where(F.col("region").isNotNull()).select(
+        "customer_id", F.lit(True).alias("known")
+    )
     per_customer = enriched.groupBy("customer_id").agg(
         F.count_if(F.col("region") == rules.UNMAPPED).alias("unmapped"),
         F.count_if(F.col("region") != rules.UNMAPPED).alias("mapped"),
     )
-    has_account = per_customer.join(known, "customer_id", "left_semi")
-    no_account = per_customer.join(known, "customer_id", "left_anti")
-    return together([
-        has_account.select("customer_id", F.col("unmapped").alias("n")),
-        no_account.select("customer_id", F.col("mapped").alias("n")),
-    ]).where(F.col("n") > 0)
+    wrong = F.when(F.col("known"), F.col("unmapped")).otherwise(F.col("mapped"))
+    return (
+        per_customer.join(known, "customer_id", "left")
+        .select("customer_id", wrong.alias("n"))
+        .where(F.col("n") > 0)
+    )
 
 
 def cancelled_but_delivered(enriched: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ def enrich_orders(
     accounts: DataFrame,
     products: DataFrame,
     *,
-    fits: tuple[bool, bool] | None = None,
+    fits: list[bool] | None = None,
     recognised_on: str = "order_date",
     hot_rows: int = joins.HOT_ROWS,
 ) -> DataFrame:
@@ -28,12 +28,11 @@ def enrich_orders(
         "product_id", "product_family", "lifecycle_status", "standard_cost",
         F.lit(True).alias("_product_found"),
     )
-    accounts_fit, products_fit = fits or joins.fits_broadcast(account_columns, product_columns)
-    joined = joins.lookup(
-        joins.lookup(
-            orders, account_columns, "customer_id", fits=accounts_fit, hot_rows=hot_rows
-        ),
-        product_columns, "product_id", fits=products_fit, hot_rows=hot_rows,
+    joined = joins.lookups(
+        orders,
+        {"customer_id": account_columns, "product_id": product_columns},
+        fits=fits,
+        hot_rows=hot_rows,
     )
     unit_margin = F.col("unit_price") - F.col("standard_cost")
     return joined.select(

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from planlens.session import settle
+
 # A side is broadcast only when counted below both bounds.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
@@ -76,3 +78,25 @@ def lookup(
     still = tagged.where(stays).drop("_hot").join(F.broadcast(hot_dim), key, "left")
     moved = tagged.where(~stays).drop("_hot").join(dim, key, "left")
     return still.unionByName(moved)
+
+
+def lookups(
+    facts: DataFrame,
+    dims: dict[str, DataFrame],
+    *,
+    fits: list[bool] | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Several ``lookup``s, {key: dimension}.
+
+    Large dimensions come first: their two halves read the facts twice, and
+    broadcasts on top of them do not. Facts that already went through one are
+    written out before the next, so the reads do not multiply.
+    """
+    fits = fits or fits_broadcast(*dims.values())
+    ordered = sorted(zip(dims, fits), key=lambda pair: pair[1])
+    for i, (key, small) in enumerate(ordered):
+        if i and not small:
+            facts = settle(facts)
+        facts = lookup(facts, dims[key], key, fits=small, hot_rows=hot_rows)
+    return facts

@@ -485,10 +485,7 @@ def star(cells: DataFrame, products: DataFrame, regions: DataFrame, dates: DataF
         F.col("date_month").alias("revenue_month"), "year_number", "quarter_number",
         "year_month_label",
     )
-    fits = joins.fits_broadcast(product, region, date)
-    for dim, key, small in zip((product, region, date), GRAIN, fits):
-        cells = joins.lookup(cells, dim, key, fits=small)
-    return cells
+    return joins.lookups(cells, dict(zip(GRAIN, (product, region, date))))
 
 
 def measures(cells: DataFrame, *dimensions: str) -> DataFrame:

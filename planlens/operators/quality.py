@@ -75,6 +75,12 @@ def rejected_orders(flagged: DataFrame) -> DataFrame:
     return flagged.where(F.col("dq_failure_reason").isNotNull())
 
 
+def rejects_listing(rejects: DataFrame) -> DataFrame:
+    """Rejects by reason and id. The row number only spreads equal keys, so that
+    the copies of one id are sorted by many tasks."""
+    return rejects.orderBy("dq_failure_reason", "order_id", F.monotonically_increasing_id())
+
+
 def reject_summary(flagged: DataFrame) -> DataFrame:
     """Rows, value and share of all source lines per reason.
 

@@ -82,7 +82,7 @@ class Pipeline:
     @cached_property
     def enriched(self) -> DataFrame:
         return enrich.enrich_orders(
-            self.orders, self.accounts, self.products, fits=(self._fits[1], self._fits[2])
+            self.orders, self.accounts, self.products, fits=self._fits[1:]
         )
 
     @cached_property

@@ -331,7 +331,7 @@ QUERIES: dict[str, Query] = {
     "source_batch_mix": _of(_source_batch_mix),
     "orders_flagged": _of(lambda m: m.flagged),
     "stg_orders": _of(lambda m: m.orders),
-    "orders_rejects": _of(lambda m: m.rejects.orderBy("dq_failure_reason", "order_id")),
+    "orders_rejects": _of(lambda m: quality.rejects_listing(m.rejects)),
     "reject_summary": _of(lambda m: m.reject_summary),
     "reject_value_by_reason": _of(lambda m: quality.reject_value_by_reason(m.reject_summary)),
     # enrichment, rollup, mart

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,9 +18,25 @@ SETTINGS = {
 }
 
 
-def build_session(app_name: str = "planlens", **overrides: str) -> SparkSession:
-    """A session with the settings above; ``overrides`` win (dots as ``__``)."""
-    builder = SparkSession.builder.appName(app_name)
+# Shuffle partitions are sized to about this much data each, so that one fits in
+# an executor's memory share; AQE merges the ones that turn out small.
+PARTITION_BYTES = 128 * 1024 * 1024
+MIN_PARTITIONS, MAX_PARTITIONS = 200, 100_000
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """Partitions for shuffles over ``input_bytes`` of order lines."""
+    return max(MIN_PARTITIONS, min(MAX_PARTITIONS, -(-input_bytes // PARTITION_BYTES)))
+
+
+def build_session(
+    app_name: str = "planlens", *, input_bytes: int = 0, **overrides: str
+) -> SparkSession:
+    """A session with the settings above, its shuffles sized for ``input_bytes``;
+    ``overrides`` win (dots as ``__``)."""
+    builder = SparkSession.builder.appName(app_name).config(
+        "spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes))
+    )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     for key, value in overrides.items():
@@ -40,10 +57,15 @@ def shared_folder(spark: SparkSession) -> str | None:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder, cutting its lineage.
+    """Write ``df`` once to the shared folder and read it back.
 
-    Several consumers then read the stored result instead of recomputing it,
-    and a lost executor costs a re-read. Without a shared folder the consumers
-    recompute.
+    Several consumers then scan the columns they need instead of recomputing
+    ``df``, and a lost executor costs a re-read. Without a shared folder the
+    consumers recompute.
     """
-    return df.checkpoint() if shared_folder(df.sparkSession) else df
+    folder = shared_folder(df.sparkSession)
+    if folder is None:
+        return df
+    path = f"{folder}/settled/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from planlens.functions import casts, rules
 from planlens.operators import joins
 from planlens.plans.pipeline import Pipeline
+from planlens.schemas import RAW_SCHEMAS
 from planlens.session import shared_folder
 
 AS_OF = "2024-01-31 00:00:00"
@@ -24,6 +25,24 @@ BATCH_ID = "batch-0001"
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
 
+# The columns used, so that opening a table needs no job to read its footers.
+_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
 # Paths landed by this process. The checkpoint folder is new in every session.
 _LANDED: set[str] = set()
 
@@ -51,7 +70,7 @@ class SampleModel(Pipeline):
         self.settled = settled
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(_SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     def _land(self, name: str, derive: Callable[[], DataFrame]) -> DataFrame:
         """Land a derived extract once per session, as loading would, and read it back."""
@@ -62,7 +81,7 @@ class SampleModel(Pipeline):
         if path not in _LANDED:
             derive().write.mode("overwrite").parquet(path)
             _LANDED.add(path)
-        return self.spark.read.parquet(path)
+        return self.spark.read.schema(RAW_SCHEMAS[name]).parquet(path)
 
     @cached_property
     def places(self) -> DataFrame:
@@ -89,15 +108,14 @@ class SampleModel(Pipeline):
             F.col("s_suppkey").alias("l_suppkey"),
             F.concat("n_name", F.lit(", "), "r_name").alias("plant_location"),
         )
-        fits = joins.fits_broadcast(headers, brands, plants)
         lines = self.table("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_extendedprice", F.col("l_shipdate").cast("date").alias("l_shipdate"),
         )
         lines = _spread(lines, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-        lines = joins.lookup(lines, headers, "l_orderkey", fits=fits[0])
-        lines = joins.lookup(lines, brands, "l_partkey", fits=fits[1])
-        lines = joins.lookup(lines, plants, "l_suppkey", fits=fits[2])
+        lines = joins.lookups(
+            lines, {"l_orderkey": headers, "l_partkey": brands, "l_suppkey": plants}
+        )
 
         short_id = F.concat(
             F.when(_every("l_orderkey", 10, 9), "ORD9-").otherwise("ORD0-"),
