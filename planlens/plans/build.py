@@ -6,13 +6,15 @@ another's shuffle, and a lost executor costs a re-read.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planlens.operators import checks, dims, enrich, mart, measures, monthly, quality
 from planlens.plans.pipeline import Pipeline
 from planlens.sources.landing import land_raw
-from planlens.sources.publish import Warehouse
+from planlens.sources.publish import Warehouse, concurrently
 
 # Published names, (layer, table) by the name used here.
 TABLES = {
@@ -36,6 +38,10 @@ TABLES = {
 }
 
 
+# By month, so that month filters prune and a month can be replaced alone.
+PARTITIONED = {"fct_orders": ("revenue_month",), "mart": ("revenue_month",)}
+
+
 class CheckFailed(RuntimeError):
     """A layer's checks failed; nothing downstream of it was built."""
 
@@ -58,9 +64,13 @@ class Build:
         self.tables: dict[str, DataFrame] = {}
         self.results: list[DataFrame] = []
 
-    def _store(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        self.tables[name] = self.warehouse.write(*TABLES[name], df, partition_by)
-        return self.tables[name]
+    def _store(self, **tables: DataFrame) -> None:
+        """Replace the named tables, which must not depend on each other."""
+        stored = concurrently(*[
+            partial(self.warehouse.write, *TABLES[name], df, PARTITIONED.get(name, ()))
+            for name, df in tables.items()
+        ])
+        self.tables.update(zip(tables, stored))
 
     def _check(self, names: list[str], singular: list[DataFrame] = ()) -> None:
         """Run the checks of a layer; an error stops the build, a warning does not."""
@@ -82,11 +92,11 @@ class Build:
                 ("products", "raw_erp_products"), ("forecast", "raw_adaptive_forecast"),
             )
         }
-        seed = self._store("seed_region", dims.region_seed(self.spark))
+        self._store(seed_region=dims.region_seed(self.spark))
         plan = Pipeline(
             raw_orders=raw["orders"], raw_accounts=raw["accounts"],
             raw_products=raw["products"], raw_forecast=raw["forecast"],
-            regions=seed, calendar=dims.calendar_bounds(self.spark),
+            regions=self.tables["seed_region"], calendar=dims.calendar_bounds(self.spark),
         )
         self._staging(plan)
         self._intermediate()
@@ -95,11 +105,11 @@ class Build:
         return checks.together(self.results)
 
     def _staging(self, plan: Pipeline) -> None:
-        self._store("stg_accounts", plan.accounts)
-        self._store("stg_products", plan.products)
-        self._store("stg_forecast", plan.forecast)
-        # Stored once; clean lines and rejects are views on it.
-        self._store("stg_flagged", plan.flagged)
+        # Flagged lines are stored once; clean lines and rejects are views on them.
+        self._store(
+            stg_flagged=plan.flagged, stg_accounts=plan.accounts, stg_products=plan.products,
+            stg_forecast=plan.forecast,
+        )
         flagged = ".".join(TABLES["stg_flagged"])
         columns = ", ".join(quality.ORDER_COLUMNS)
         self.tables["stg_orders"] = self.warehouse.view(
@@ -128,11 +138,13 @@ class Build:
 
     def _intermediate(self) -> None:
         t = self.tables
-        enriched = self._store(
-            "orders_enriched",
-            enrich.enrich_orders(t["stg_orders"], t["stg_accounts"], t["stg_products"]),
+        self._store(
+            orders_enriched=enrich.enrich_orders(
+                t["stg_orders"], t["stg_accounts"], t["stg_products"]
+            )
         )
-        self._store("monthly_revenue", monthly.monthly_revenue(enriched))
+        enriched = t["orders_enriched"]
+        self._store(monthly_revenue=monthly.monthly_revenue(enriched))
         backdated = [checks.counted("backdated_misjudged", checks.backdated_misjudged(enriched))]
         if self.expected_backdated is not None:
             backdated.append(checks.counted(
@@ -156,22 +168,20 @@ class Build:
     def _marts(self, plan: Pipeline) -> None:
         t = self.tables
         clean = t["stg_orders"]
-        self._store("dim_region", dims.dim_region(t["seed_region"]))
-        self._store("dim_date", plan.dim_date)
-        self._store("dim_customer", dims.dim_customer(t["stg_accounts"], clean))
-        self._store("dim_product", dims.dim_product(t["stg_products"], clean))
-        # Partitioned by month, so that month filters prune.
-        self._store("fct_orders", enrich.fct_orders(t["orders_enriched"]), ("revenue_month",))
-        self._store("fct_forecast", enrich.fct_forecast(t["stg_forecast"]))
-        self._store("reject_summary", quality.reject_summary(t["stg_flagged"]))
+        self._store(
+            fct_orders=enrich.fct_orders(t["orders_enriched"]),
+            dim_customer=dims.dim_customer(t["stg_accounts"], clean),
+            dim_product=dims.dim_product(t["stg_products"], clean),
+            reject_summary=quality.reject_summary(t["stg_flagged"]),
+            fct_forecast=enrich.fct_forecast(t["stg_forecast"]),
+            dim_date=plan.dim_date,
+            dim_region=dims.dim_region(t["seed_region"]),
+        )
         # The plan's grain is checked before the outer join: a repeated plan key
         # would multiply actuals.
         self._check(["dim_region", "dim_date", "dim_customer", "dim_product", "fct_orders",
                      "fct_forecast", "reject_summary"])
-        self._store(
-            "mart", mart.plan_vs_actual(t["monthly_revenue"], t["fct_forecast"]),
-            ("revenue_month",),
-        )
+        self._store(mart=mart.plan_vs_actual(t["monthly_revenue"], t["fct_forecast"]))
         amounts = measures.reconciliation_amounts(
             plan.typed, t["mart"], t["fct_orders"], t["stg_rejects"]
         )

@@ -6,12 +6,13 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planlens.schemas import RAW_SCHEMAS, SOURCE_TABLES
-from planlens.sources.publish import Warehouse
+from planlens.sources.publish import Warehouse, concurrently
 
 
 @dataclass(frozen=True)
@@ -31,15 +32,16 @@ def stamp_metadata(
 
 
 def read_extract(spark: SparkSession, data_dir: str, file_name: str) -> DataFrame:
-    """One extract by header name, all text. A missing file or a header that is
-    not the contract's is an error; a blank cell arrives as NULL."""
-    return (
-        spark.read.schema(RAW_SCHEMAS[SOURCE_TABLES[file_name]])
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "FAILFAST")
-        .csv(f"{data_dir.rstrip('/')}/{file_name}")
-    )
+    """One extract, all text. A missing file or a header that is not the
+    contract's is an error; a blank cell arrives as NULL."""
+    path = f"{data_dir.rstrip('/')}/{file_name}"
+    schema = RAW_SCHEMAS[SOURCE_TABLES[file_name]]
+    reader = spark.read.option("header", True).option("mode", "FAILFAST")
+    header = reader.csv(path).columns
+    if header != schema.names:
+        raise ValueError(f"{file_name}: header {header} is not {schema.names}")
+    # An extract may be a folder of files: every one's header is held to the schema.
+    return reader.schema(schema).option("enforceSchema", False).csv(path)
 
 
 def land_raw(
@@ -47,8 +49,8 @@ def land_raw(
 ) -> dict[str, int]:
     """Replace every raw table from its extract; row counts by table.
 
-    All extracts are opened before any table is written, so a missing one leaves
-    the previous load in place.
+    All extracts are opened before any table is written, so a missing or foreign
+    one leaves the previous load in place.
     """
     batch = batch or Batch()
     extracts = {
@@ -60,9 +62,10 @@ def land_raw(
         ).drop("file_name")
         for file_name, table in SOURCE_TABLES.items()
     }
-    for table, extract in extracts.items():
-        warehouse.write("raw", table, extract)
-    counts = landed_row_counts({t: warehouse.read("raw", t) for t in extracts})
+    stored = concurrently(
+        *[partial(warehouse.write, "raw", table, df) for table, df in extracts.items()]
+    )
+    counts = landed_row_counts(dict(zip(extracts, stored)))
     return {row["table_name"]: row["row_count"] for row in counts.collect()}
 
 

@@ -2,22 +2,44 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+# The catalog schemas.
+LAYERS = ("raw", "staging", "analytics")
+
+# Tables written at a time. Each write is its own Spark job; small tables leave
+# most of the cluster idle when written one by one.
+WRITERS = 4
+
+
+def concurrently(*writes: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Run independent writes side by side; results in the order given."""
+    with ThreadPoolExecutor(WRITERS) as pool:
+        return [done.result() for done in [pool.submit(write) for write in writes]]
+
 
 class Warehouse:
     """Layers are catalog schemas, used by their plain names."""
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
+        for layer in LAYERS:
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer}")
 
     def write(
         self, layer: str, table: str, df: DataFrame, partition_by: Sequence[str] = ()
     ) -> DataFrame:
-        """Replace ``layer.table`` and return it as stored."""
-        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer}")
+        """Replace ``layer.table`` and return it as stored.
+
+        A partitioned table is rebalanced by its partition columns first, or
+        every task would leave a small file in every partition. AQE splits the
+        partitions that come out large, so a hot month is written by many tasks.
+        """
+        if partition_by:
+            df = df.hint("rebalance", *partition_by)
         writer = df.write.mode("overwrite").format("parquet")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -26,7 +48,6 @@ class Warehouse:
 
     def view(self, layer: str, name: str, select: str) -> DataFrame:
         """A stored view over stored tables."""
-        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer}")
         self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{name} AS {select}")
         return self.read(layer, name)
 
