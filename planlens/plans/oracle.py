@@ -280,6 +280,76 @@ _MEMBERS = {
     "delivery": ("On Time", "Late", "Not Delivered", "Cancelled", "Unknown"),
 }
 
+_REGIONS = _MEMBERS["regions"]
+_STATUSES = ("Shipped", "Open", "Cancelled")
+_REASONS = ("AMBIGUOUS_DUPLICATE", "MISSING_ORDER_DATE", "MISSING_UNIT_PRICE", "INVALID_QUANTITY")
+_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+_FLAGS = ("NO_ACTUALS", "BELOW_PLAN", "AT_OR_ABOVE_PLAN", "NO_FORECAST")
+_LIFECYCLES = ("Active", "Discontinued", "Pending")
+_CELL = ("product_id", "region", "revenue_month")
+_PLAN = ("product_id", "region", "forecast_month")
+
+# table: (step, unique, not null, grain)
+_KEYS = {
+    "stg_orders": ("clean", "order_id", "order_id customer_id product_id order_date unit_price "
+                   "gross_revenue", ()),
+    "stg_rejects": ("rejects", "", "dq_failure_reason", ()),
+    "stg_accounts": ("accounts", "customer_id", "customer_id region", ()),
+    "stg_forecast": ("forecast", "forecast_id", "forecast_id forecast_revenue", _PLAN),
+    "stg_products": ("products", "product_id", "product_id standard_cost", ()),
+    "orders_enriched": ("enriched", "order_id", "order_id region delivery_status revenue_month "
+                        "gross_revenue", ()),
+    "monthly_revenue": ("monthly", "", "actual_revenue order_count", _CELL),
+    "dim_date": ("dim_date", "date_month", "date_month", ()),
+    "dim_region": ("dim_region", "region_name", "region_name", ()),
+    "dim_customer": ("dim_customer", "customer_id", "customer_id", ()),
+    "dim_product": ("dim_product", "product_id", "product_id", ()),
+    "fct_orders": ("fct_orders", "order_id", "order_id", ()),
+    "fct_forecast": ("forecast", "forecast_id", "forecast_id forecast_revenue", _PLAN),
+    "mart": ("mart", "", "product_id region revenue_month actual_revenue revenue_variance", _CELL),
+    "reject_summary": ("(select dq_failure_reason, count(*) as rejected_row_count from rejects "
+                       "group by dq_failure_reason)", "dq_failure_reason",
+                       "dq_failure_reason rejected_row_count", ()),
+}
+_ACCEPTED = [
+    ("stg_orders", "order_status", _STATUSES),
+    ("stg_orders", "source_batch", ("BATCH_A", "BATCH_B")),
+    ("stg_orders", "plant_country", _REGIONS),
+    ("stg_rejects", "dq_failure_reason", _REASONS),
+    ("stg_accounts", "region", _REGIONS),
+    ("stg_accounts", "segment", _SEGMENTS),
+    ("stg_forecast", "region", _REGIONS),
+    ("stg_products", "lifecycle_status", _LIFECYCLES),
+    ("orders_enriched", "region", (*_REGIONS, "UNMAPPED")),
+    ("orders_enriched", "delivery_status", _MEMBERS["delivery"]),
+    ("monthly_revenue", "region", (*_REGIONS, "UNMAPPED")),
+    ("fct_orders", "delivery_status", _MEMBERS["delivery"]),
+    ("mart", "variance_flag", _FLAGS),
+]
+_PARENTS = [
+    ("stg_forecast", "product_id", "products", "product_id"),
+    ("dim_customer", "region", "dim_region", "region_name"),
+    ("fct_orders", "customer_id", "dim_customer", "customer_id"),
+    ("fct_orders", "product_id", "dim_product", "product_id"),
+    ("fct_orders", "region", "dim_region", "region_name"),
+    ("mart", "product_id", "dim_product", "product_id"),
+    ("mart", "region", "dim_region", "region_name"),
+]
+
+
+def _suite() -> str:
+    step = {table: keys[0] for table, keys in _KEYS.items()}
+    checks = []
+    for table, (source, unique, not_null, grain) in _KEYS.items():
+        checks += [(f"{table}.{c} unique", _repeated(source, c)) for c in unique.split()]
+        checks += [(f"{table}.{c} not_null", _missing(source, c)) for c in not_null.split()]
+        if grain:
+            checks.append((f"{table} grain", _repeated(source, *grain)))
+    checks += [(f"{t}.{c} accepted", _outside(step[t], c, *values)) for t, c, values in _ACCEPTED]
+    checks += [(f"{t}.{c} parent", _orphaned(step[t], c, p, key)) for t, c, p, key in _PARENTS]
+    return _failing(*checks)
+
+
 _SELECTS = {
     # sources
     "land_raw_orders": """
@@ -640,6 +710,7 @@ _SELECTS = {
         union all select 'ANALYTICS', 'orders', cast(sum(strlen(o_orderpriority)) as bigint),
                0, 0, count(*), date '2024-01-26' from orders""",
     # checks
+    "check_suite": _suite(),
     "check_unique": _failing(
         ("typed.order_id", _repeated("typed", "order_id")),
         ("stg_orders.order_id", _repeated("clean", "order_id")),

@@ -313,6 +313,19 @@ def _check_outer_join_survival(m: SampleModel) -> DataFrame:
     ])
 
 
+def _check_suite(m: SampleModel) -> DataFrame:
+    """Every column check of every layer."""
+    tables = {
+        "stg_orders": m.orders, "stg_rejects": m.rejects, "stg_accounts": m.accounts,
+        "stg_forecast": m.forecast, "stg_products": m.products, "orders_enriched": m.enriched,
+        "monthly_revenue": m.monthly, "dim_date": m.dim_date, "dim_region": m.dim_region,
+        "dim_customer": m.dim_customer, "dim_product": m.dim_product,
+        "fct_orders": m.fct_orders, "fct_forecast": m.fct_forecast, "mart": m.mart,
+        "reject_summary": m.reject_summary,
+    }
+    return checks.run_suite(tables, checks.model_expectations(DOMAINS))
+
+
 QUERIES: dict[str, Query] = {
     # sources
     "land_raw_orders": _of(_landed),
@@ -410,6 +423,7 @@ QUERIES: dict[str, Query] = {
     ),
     "table_sizes": _of(lambda m: observe.table_sizes(m.table_stats)),
     # checks
+    "check_suite": _of(_check_suite, settled=True),
     "check_unique": _of(_check_unique),
     "check_not_null": _of(_check_not_null),
     "check_accepted_values": _of(_check_accepted_values),

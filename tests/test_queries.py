@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 
 from compare import difference, oracle_connection
+from planlens.operators import joins, quality
 from planlens.plans.oracle import ORACLE_SQL
 from planlens.plans.queries import QUERIES
 
@@ -21,3 +22,15 @@ def connection():
 @pytest.mark.parametrize("key", QUERIES)
 def test_query_matches_sql(spark, connection, key):
     assert difference(QUERIES[key](spark, SF_DIR), connection, ORACLE_SQL[key]) is None
+
+
+@pytest.mark.parametrize(
+    "key", ["orders_flagged", "plan_vs_actual", "filtered_orders", "star_rollup"]
+)
+def test_query_matches_sql_when_nothing_fits_a_broadcast(spark, connection, key, monkeypatch):
+    """The other way of every lookup, with a low bound on hot keys."""
+    monkeypatch.setattr(joins, "fits_broadcast", lambda *sides, **bounds: [False] * len(sides))
+    monkeypatch.setitem(joins.lookup.__kwdefaults__, "hot_rows", 20)
+    monkeypatch.setitem(quality.flag_orders.__kwdefaults__, "hot_rows", 2)
+    monkeypatch.setitem(joins.lookups.__kwdefaults__, "hot_rows", 20)
+    assert difference(QUERIES[key](spark, SF_DIR), connection, ORACLE_SQL[key]) is None
