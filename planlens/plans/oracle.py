@@ -1,8 +1,8 @@
 """Reference answers as single SQL statements over the test tables.
 
-Written independently of the DataFrame code: plain joins, a window count for
-duplicates, scalar subqueries for totals. One list of named steps feeds every
-statement.
+Written independently of the DataFrame code: typed values come straight from the
+tables, and the plan join is a union folded by cell. One list of named steps
+feeds every statement.
 """
 
 from __future__ import annotations
@@ -51,130 +51,141 @@ _STEPS = {
                                     else 'Pending' end as lifecycle_status,
                cast(cast(min(p_retailprice) as decimal(18,2)) as varchar) as standard_cost
         from part where p_brand <> 'Brand#13' group by p_brand""",
+    # Typed straight from the tables, without the detour through text.
     "typed": """
-        select trim(order_id) as order_id, trim(customer_id) as customer_id,
-               trim(product_id) as product_id,
-               try_cast(nullif(trim(order_date), '') as date) as order_date,
-               try_cast(nullif(trim(promised_delivery_date), '') as date) as promised_delivery_date,
-               try_cast(nullif(trim(actual_delivery_date), '') as date) as actual_delivery_date,
-               try_cast(nullif(trim(quantity), '') as integer) as quantity,
-               try_cast(nullif(trim(unit_price), '') as decimal(18,2)) as unit_price,
-               trim(split_part(plant_location, ',', 1)) as plant_city,
-               trim(split_part(plant_location, ',', 2)) as plant_country,
-               trim(order_status) as order_status
-        from raw_orders""",
+        select if(l_orderkey % 10 = 9, 'ORD9-', 'ORD0-')
+                 || array_to_string(
+                      if(l_orderkey % 50 = 0, [l_orderkey, l_linenumber],
+                         [l_orderkey, l_linenumber, l_partkey, l_suppkey]), '-') as order_id,
+               'CUST' || o_custkey as customer_id, p_brand as product_id,
+               if(l_orderkey % 211 <> 0, cast(o_orderdate as date), null) as order_date,
+               cast(o_orderdate as date) + 730 as promised_delivery_date,
+               if(o_orderstatus <> 'O' or l_linenumber % 2 <> 0, cast(l_shipdate as date), null)
+                 as actual_delivery_date,
+               cast(if(l_orderkey % 227 = 0, -1, if(l_orderkey % 229 = 0, 0, 1)) * l_quantity
+                    as integer) as quantity,
+               if(l_orderkey % 223 <> 0, cast(l_extendedprice as decimal(18,2)), null)
+                 as unit_price,
+               n_name as plant_city, r_name as plant_country,
+               map(['F', 'O', 'P'], ['Shipped', 'Open', 'Cancelled'])[o_orderstatus]
+                 as order_status
+        from lineitem
+        left join orders on o_orderkey = l_orderkey
+        left join part on p_partkey = l_partkey
+        left join supplier on s_suppkey = l_suppkey
+        left join places on n_nationkey = s_nationkey""",
+    "repeated": """
+        select order_id, true as is_repeated from typed group by order_id having count(*) > 1""",
     "flagged": """
-        select order_id, customer_id, product_id, order_date, promised_delivery_date,
-               actual_delivery_date, quantity, unit_price,
-               cast(quantity * unit_price as decimal(18,2)) as gross_revenue,
-               plant_city, plant_country, order_status,
-               if(starts_with(order_id, 'ORD9'), 'BATCH_B', 'BATCH_A') as source_batch,
-               case when count(*) over (partition by order_id) > 1 then 'AMBIGUOUS_DUPLICATE'
-                    when order_date is null then 'MISSING_ORDER_DATE'
-                    when unit_price is null then 'MISSING_UNIT_PRICE'
-                    when quantity is null or quantity <= 0 then 'INVALID_QUANTITY'
-               end as dq_failure_reason
-        from typed""",
+        select typed.*, cast(quantity * unit_price as decimal(18,2)) as gross_revenue,
+               if(order_id[1:4] = 'ORD9', 'BATCH_B', 'BATCH_A') as source_batch,
+               if(is_repeated, 'AMBIGUOUS_DUPLICATE',
+                 if(order_date is null, 'MISSING_ORDER_DATE',
+                   if(unit_price is null, 'MISSING_UNIT_PRICE',
+                     if(quantity > 0, null, 'INVALID_QUANTITY')))) as dq_failure_reason
+        from typed left join repeated using (order_id)""",
     "clean": """
         select * exclude (dq_failure_reason) from flagged where dq_failure_reason is null""",
     "rejects": """
         select * from flagged where dq_failure_reason is not null""",
     "accounts": """
-        select customer_id, account_id, account_name, region, account_owner, segment,
-               upper(trim(active_flag)) = 'TRUE' as is_active
-        from raw_accounts""",
+        select * exclude (active_flag), active_flag = 'TRUE' as is_active from raw_accounts""",
     "products": """
-        select product_id, product_name, product_family, lifecycle_status,
-               cast(standard_cost as decimal(18,2)) as standard_cost,
+        select * replace (cast(standard_cost as decimal(18,2)) as standard_cost),
                lifecycle_status = 'Active' as is_active_product
         from raw_products""",
-    "enriched": """
-        select clean.*, coalesce(accounts.region, 'UNMAPPED') as region, segment, account_name,
-               is_active as is_active_account, product_family, lifecycle_status, standard_cost,
-               products.product_id is not null as has_standard_cost,
-               cast((unit_price - standard_cost) * quantity as decimal(18,2)) as gross_margin,
-               case when order_status = 'Cancelled' then 'Cancelled'
-                    when actual_delivery_date is null then 'Not Delivered'
-                    when actual_delivery_date < order_date then 'Unknown'
-                    when actual_delivery_date <= promised_delivery_date then 'On Time'
-                    else 'Late' end as delivery_status,
-               cast(date_trunc('month', order_date) as date) as revenue_month,
+    "judged": """
+        select clean.*,
+               if(order_status = 'Cancelled', 'Cancelled',
+                 if(actual_delivery_date is null, 'Not Delivered',
+                   if(actual_delivery_date < order_date, 'Unknown',
+                     if(actual_delivery_date <= promised_delivery_date, 'On Time', 'Late'))))
+                 as delivery_status,
+               make_date(year(order_date), month(order_date), 1) as revenue_month,
                order_status = 'Shipped' as is_recognised_revenue
-        from clean
-        left join accounts using (customer_id)
-        left join products on products.product_id = clean.product_id""",
+        from clean""",
+    "enriched": """
+        select judged.*, ifnull(a.region, 'UNMAPPED') as region, a.segment, a.account_name,
+               a.is_active as is_active_account, p.product_family, p.lifecycle_status,
+               p.standard_cost, p.product_id is not null as has_standard_cost,
+               cast(gross_revenue - p.standard_cost * quantity as decimal(18,2)) as gross_margin
+        from judged
+        left join accounts a on a.customer_id = judged.customer_id
+        left join products p on p.product_id = judged.product_id""",
     "monthly": """
         select product_id, region, revenue_month,
-               cast(sum(if(is_recognised_revenue, gross_revenue, 0)) as decimal(18,2))
-                 as actual_revenue,
-               cast(sum(if(is_recognised_revenue, quantity, 0)) as bigint) as actual_quantity,
-               cast(sum(if(is_recognised_revenue, coalesce(gross_margin, 0), 0)) as decimal(18,2))
-                 as actual_margin,
+               cast(ifnull(sum(gross_revenue) filter (is_recognised_revenue), 0)
+                    as decimal(18,2)) as actual_revenue,
+               cast(ifnull(sum(quantity) filter (is_recognised_revenue), 0) as bigint)
+                 as actual_quantity,
+               cast(ifnull(sum(gross_margin) filter (is_recognised_revenue), 0)
+                    as decimal(18,2)) as actual_margin,
                count(*) as order_count,
-               cast(sum(if(delivery_status = 'On Time', 1, 0)) as bigint) as on_time_count,
-               cast(sum(if(delivery_status = 'Late', 1, 0)) as bigint) as late_count,
-               cast(sum(if(order_status = 'Cancelled', 1, 0)) as bigint) as cancelled_count,
-               cast(sum(if(has_standard_cost, 1, 0)) as bigint) as orders_with_known_cost
+               count(*) filter (delivery_status = 'On Time') as on_time_count,
+               count(*) filter (delivery_status = 'Late') as late_count,
+               count(*) filter (order_status = 'Cancelled') as cancelled_count,
+               count(*) filter (has_standard_cost) as orders_with_known_cost
         from enriched group by all""",
     "forecast": """
-        select product_id || '-' || region || '-'
-                 || cast(cast(revenue_month + interval 12 month as date) as varchar) as forecast_id,
-               product_id, region,
-               cast(revenue_month + interval 12 month as date) as forecast_month,
-               cast(actual_revenue * 1.05 as decimal(18,2)) as forecast_revenue,
-               cast(round(actual_quantity * cast(1.05 as decimal(3,2)), 0) as integer)
-                 as forecast_quantity
-        from monthly where region <> 'UNMAPPED' and orders_with_known_cost > 0""",
+        select concat_ws('-', product_id, region, forecast_month) as forecast_id, *
+        from (select product_id, region,
+                     cast(revenue_month + interval 12 month as date) as forecast_month,
+                     cast(actual_revenue * 1.05 as decimal(18,2)) as forecast_revenue,
+                     cast(round(actual_quantity * cast(1.05 as decimal(3,2)), 0) as integer)
+                       as forecast_quantity
+              from monthly where region <> 'UNMAPPED' and orders_with_known_cost > 0)""",
+    # The outer join as a union of both sides, folded by cell.
     "cells": """
-        select coalesce(a.product_id, f.product_id) as product_id,
-               coalesce(a.region, f.region) as region,
-               coalesce(a.revenue_month, f.forecast_month) as revenue_month,
-               coalesce(actual_revenue, 0) as actual_revenue,
-               coalesce(actual_quantity, 0) as actual_quantity,
-               coalesce(actual_margin, 0) as actual_margin,
-               forecast_revenue, forecast_quantity,
-               coalesce(order_count, 0) as order_count,
-               coalesce(on_time_count, 0) as on_time_count,
-               coalesce(late_count, 0) as late_count,
-               coalesce(cancelled_count, 0) as cancelled_count,
-               coalesce(orders_with_known_cost, 0) as orders_with_known_cost
-        from monthly a full outer join forecast f
-          on a.product_id = f.product_id and a.region = f.region
-         and a.revenue_month = f.forecast_month""",
+        select product_id, region, revenue_month,
+               cast(sum(actual_revenue) as decimal(18,2)) as actual_revenue,
+               cast(sum(actual_quantity) as bigint) as actual_quantity,
+               cast(sum(actual_margin) as decimal(18,2)) as actual_margin,
+               max(forecast_revenue) as forecast_revenue,
+               max(forecast_quantity) as forecast_quantity,
+               cast(sum(order_count) as bigint) as order_count,
+               cast(sum(on_time_count) as bigint) as on_time_count,
+               cast(sum(late_count) as bigint) as late_count,
+               cast(sum(cancelled_count) as bigint) as cancelled_count,
+               cast(sum(orders_with_known_cost) as bigint) as orders_with_known_cost
+        from (select *, cast(null as decimal(18,2)) as forecast_revenue,
+                     cast(null as integer) as forecast_quantity
+              from monthly
+              union all by name
+              select product_id, region, forecast_month as revenue_month, forecast_revenue,
+                     forecast_quantity, 0 as actual_revenue, 0 as actual_quantity,
+                     0 as actual_margin, 0 as order_count, 0 as on_time_count, 0 as late_count,
+                     0 as cancelled_count, 0 as orders_with_known_cost
+              from forecast)
+        group by product_id, region, revenue_month""",
     "mart": """
-        select product_id, region, revenue_month, actual_revenue, actual_quantity,
-               forecast_revenue, forecast_quantity,
-               cast(actual_revenue - coalesce(forecast_revenue, 0) as decimal(18,2))
+        select * exclude (orders_with_known_cost),
+               cast(actual_revenue - ifnull(forecast_revenue, 0) as decimal(18,2))
                  as revenue_variance,
-               cast((actual_revenue - coalesce(forecast_revenue, 0)) / nullif(forecast_revenue, 0)
+               cast((actual_revenue - forecast_revenue) / nullif(forecast_revenue, 0)
                     as decimal(18,4)) as revenue_variance_pct,
-               actual_margin,
                cast(orders_with_known_cost * 1.0 / nullif(order_count, 0) as decimal(18,4))
                  as margin_coverage_pct,
-               order_count, on_time_count, late_count, cancelled_count,
                cast(on_time_count * 1.0 / nullif(on_time_count + late_count, 0) as decimal(18,4))
                  as on_time_delivery_rate,
-               case when forecast_revenue is null then 'NO_FORECAST'
-                    when order_count = 0 then 'NO_ACTUALS'
-                    when actual_revenue >= forecast_revenue then 'AT_OR_ABOVE_PLAN'
-                    else 'BELOW_PLAN' end as variance_flag
+               if(forecast_revenue is null, 'NO_FORECAST',
+                 if(order_count = 0, 'NO_ACTUALS',
+                   if(actual_revenue < forecast_revenue, 'BELOW_PLAN', 'AT_OR_ABOVE_PLAN')))
+                 as variance_flag
         from cells""",
     "dim_customer": """
-        select customer_id, account_id, account_name, region, segment, account_owner, is_active,
-               false as is_synthetic
-        from accounts
-        union all
-        select customer_id, null, 'Unknown Customer (' || customer_id || ')', 'UNMAPPED',
-               'Unknown', null, false, true
-        from (select distinct customer_id from enriched where region = 'UNMAPPED')""",
+        select *, false as is_synthetic from accounts
+        union all by name
+        select distinct customer_id, 'Unknown Customer (' || customer_id || ')' as account_name,
+               'UNMAPPED' as region, 'Unknown' as segment, false as is_active,
+               true as is_synthetic
+        from clean anti join accounts using (customer_id)""",
     "dim_product": """
-        select product_id, product_name, product_family, lifecycle_status, standard_cost,
-               is_active_product, false as is_synthetic
-        from products
-        union all
-        select product_id, 'Unknown Product (' || product_id || ')', 'Unknown', 'Unknown',
-               cast(null as decimal(18,2)), false, true
-        from (select distinct product_id from enriched where not has_standard_cost)""",
+        select *, false as is_synthetic from products
+        union all by name
+        select distinct product_id, 'Unknown Product (' || product_id || ')' as product_name,
+               'Unknown' as product_family, 'Unknown' as lifecycle_status,
+               false as is_active_product, true as is_synthetic
+        from clean anti join products using (product_id)""",
     "dim_region": """
         select r_name as region_name, true as is_forecastable from region
         union all select 'UNMAPPED', false""",
@@ -220,19 +231,14 @@ _STEPS = {
                  - to_minutes(cast(60 * (least + k % spread) + k % 60 as bigint)) as loaded_at
         from load_log""",
     "sums": """
-        select
-          (select coalesce(sum(try_cast(nullif(trim(quantity), '') as decimal(18,2))
-                               * try_cast(nullif(trim(unit_price), '') as decimal(18,2))), 0)
-           from raw_orders) as source,
-          (select coalesce(sum(actual_revenue), 0) from mart) as recognised,
-          (select coalesce(sum(gross_revenue), 0) from enriched
-           where not is_recognised_revenue and order_status = 'Open') as open_amount,
-          (select coalesce(sum(gross_revenue), 0) from enriched
-           where not is_recognised_revenue and order_status = 'Cancelled') as cancelled,
-          (select coalesce(sum(gross_revenue), 0) from enriched
-           where not is_recognised_revenue and order_status not in ('Open', 'Cancelled')) as other,
-          (select coalesce(sum(gross_revenue), 0) from rejects
-           where quantity is not null and unit_price is not null) as rejected""",
+        select (select sum(quantity * unit_price) from typed) as source,
+               (select sum(actual_revenue) from mart) as recognised,
+               ifnull(sum(gross_revenue) filter (order_status = 'Open'), 0) as open_amount,
+               ifnull(sum(gross_revenue) filter (order_status = 'Cancelled'), 0) as cancelled,
+               ifnull(sum(gross_revenue) filter (
+                 order_status not in ('Open', 'Cancelled', 'Shipped')), 0) as other,
+               (select ifnull(sum(gross_revenue), 0) from rejects) as rejected
+        from enriched""",
 }
 
 
