@@ -52,16 +52,22 @@ def lenient_money(text: Column) -> Column:
     return text.try_cast(MONEY)
 
 
+def _or_fail(value: Column, text: Column, kind: str) -> Column:
+    """``value``, failing the job where there is text it could not be read from."""
+    failure = F.raise_error(F.concat(F.lit(f"not {kind}: "), text))
+    return F.coalesce(value, F.when(text.isNotNull(), failure))
+
+
 def strict_date(text: Column) -> Column:
-    return text.cast("date")
+    return _or_fail(lenient_date(text), text, "a date")
 
 
 def strict_int(text: Column) -> Column:
-    return F.round(text.cast("decimal(38,18)"), 0).cast("int")
+    return _or_fail(lenient_int(text), text, "an integer")
 
 
 def strict_money(text: Column) -> Column:
-    return text.cast(MONEY)
+    return _or_fail(lenient_money(text), text, "an amount")
 
 
 def money(value: Column) -> Column:

@@ -424,10 +424,10 @@ QUERIES: dict[str, Query] = {
     "table_sizes": _of(lambda m: observe.table_sizes(m.table_stats)),
     # checks
     "check_suite": _of(_check_suite, settled=True),
-    "check_unique": _of(_check_unique),
+    "check_unique": _of(_check_unique, settled=True),
     "check_not_null": _of(_check_not_null),
     "check_accepted_values": _of(_check_accepted_values),
-    "check_relationships": _of(_check_relationships),
+    "check_relationships": _of(_check_relationships, settled=True),
     "check_unique_grain": _of(_check_unique_grain),
     "check_partition_complete": _of(_check_partition_complete),
     "check_reconciles": _of(_check_reconciles, settled=True),

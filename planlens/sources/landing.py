@@ -36,7 +36,8 @@ def read_extract(spark: SparkSession, data_dir: str, file_name: str) -> DataFram
     contract's is an error; a blank cell arrives as NULL."""
     path = f"{data_dir.rstrip('/')}/{file_name}"
     schema = RAW_SCHEMAS[SOURCE_TABLES[file_name]]
-    reader = spark.read.option("header", True).option("mode", "FAILFAST")
+    # A quote inside a quoted cell is doubled; a backslash is just text.
+    reader = spark.read.options(header=True, mode="FAILFAST", escape='"')
     header = reader.csv(path).columns
     if header != schema.names:
         raise ValueError(f"{file_name}: header {header} is not {schema.names}")

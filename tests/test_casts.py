@@ -49,10 +49,19 @@ def test_lenient_money(spark):
     assert cast_all(spark, casts.lenient_money, list(expected)) == list(expected.values())
 
 
-@pytest.mark.parametrize("cast", [casts.strict_date, casts.strict_int, casts.strict_money])
-def test_strict_casts_fail_the_job(spark, cast):
+@pytest.mark.parametrize("cast,text", [
+    (casts.strict_date, "oops"), (casts.strict_date, "2025"), (casts.strict_date, "2025-02-30"),
+    (casts.strict_int, "oops"), (casts.strict_int, "2147483648"), (casts.strict_money, "$5"),
+])
+def test_strict_casts_fail_the_job(spark, cast, text):
     with pytest.raises(PySparkException):
-        cast_all(spark, cast, ["oops"])
+        cast_all(spark, cast, [text])
+
+
+def test_strict_casts_read_good_text(spark):
+    assert cast_all(spark, casts.strict_date, ["2025-04-01", None]) == [date(2025, 4, 1), None]
+    assert cast_all(spark, casts.strict_int, ["31.7", ""]) == [32, None]
+    assert cast_all(spark, casts.strict_money, ["1.005", None]) == [Decimal("1.01"), None]
 
 
 def test_ratio_is_null_on_an_empty_base_and_rounds_half_up(spark):

@@ -51,6 +51,14 @@ def test_duplicates_blanks_and_quoted_commas_survive_landing(spark, landed):
     assert orders.where("order_id = 'A1'").first().plant_location == "Oslo, Norway"
 
 
+def test_quotes_and_backslashes_inside_cells(spark, landed, tmp_path):
+    name = 'Pump "B", 5\\" wide'
+    folder = fixtures.write_extracts(tmp_path, products=[("P1", name, "Tools", "Active", "2.00")])
+    land_raw(spark, folder, Warehouse(spark))
+    assert spark.table("raw.raw_erp_products").first().product_name == name
+    land_raw(spark, landed[1], Warehouse(spark))
+
+
 def test_landing_replaces(spark, landed, tmp_path):
     folder = fixtures.write_extracts(tmp_path, orders=fixtures.ORDERS[:2])
     counts = land_raw(spark, folder, Warehouse(spark), Batch(batch_id="second"))
