@@ -25,11 +25,8 @@ def fits_broadcast(
     """Count rows and text bytes of each side, all in one job."""
 
     def sized(index: int, side: DataFrame) -> DataFrame:
-        width = reduce(
-            lambda a, b: a + b,
-            [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + F.lit(8)
-             for c in side.columns],
-        )
+        texts = ", ".join(f"cast(`{c}` as string)" for c in side.columns)
+        width = F.expr(f"octet_length(concat_ws('', {texts})) + {8 * len(side.columns)}")
         return side.select(width.cast("long").alias("w")).agg(
             F.lit(index).alias("side"),
             F.count("*").alias("n"),
