@@ -63,7 +63,9 @@ def lookup(
 
     if key_counts is None:
         key_counts = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    hot = (
+    # Stored, since three branches read it: facts are counted once, and all
+    # branches agree on the list whatever is retried.
+    hot = settle(
         key_counts.where(F.col("n") >= hot_rows)
         .orderBy(F.desc("n"), F.asc(key))
         .limit(hot_keys)
