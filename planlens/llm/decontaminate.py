@@ -211,8 +211,7 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in merged]
 
 
-@F.udf("array<struct<first: int, past: int>>")
-def _merged(groups):
+def _merge_groups(groups):
     return merge_spans([(s["first"], s["past"]) for g in groups for s in g])
 
 
@@ -235,6 +234,7 @@ def find_spans(
     if len(passes) == 1:
         return passes[0]
     # Equal rows give equal spans, so a row's spans from all passes meet under its own value.
+    merged = F.udf(_merge_groups, "array<struct<first: int, past: int>>")
     every = reduce(DataFrame.unionByName, passes)
     shards_n = len(passes)
     return (
@@ -246,7 +246,7 @@ def find_spans(
             (F.count("*") / shards_n).cast("int").alias("copies"),
         )
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-        .select("doc_id", "text", "n_words", _merged("groups").alias("spans"), "items")
+        .select("doc_id", "text", "n_words", merged("groups").alias("spans"), "items")
     )
 
 
