@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from planlens.llm import curriculum, decontaminate
+from planlens.llm import curriculum, decontaminate, shingle_join
 from planlens.llm.oracle import ORACLE_SQL
 
 __all__ = ["QUERIES", "ORACLE_SQL"]
@@ -36,7 +36,12 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.link_counts(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontaminate": op6_decontaminate,
     "op8_mix": op8_mix,
+    "op9_shingle_join": op9_shingle_join,
 }

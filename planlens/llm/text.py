@@ -123,10 +123,10 @@ def shingle_sets(
         if hi - lo >= width:
             sets.append(np.unique(runs[lo:hi - width + 1]))
         elif hi > lo:
-            short = np.uint64(hi - lo)
+            short = np.array([hi - lo], np.uint64)
             for w in words[lo:hi]:
-                short = np.multiply(short, np.uint64(0xD6E8FEB86659FD93), dtype=np.uint64) + w
-            sets.append(mix(np.array([short], np.uint64)))
+                short = short * np.uint64(0xD6E8FEB86659FD93) + w
+            sets.append(mix(short))
         else:
             sets.append(np.zeros(0, np.uint64))
     return sets
