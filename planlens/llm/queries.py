@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from planlens.llm import curriculum, decontaminate, shingle_join
+from planlens.llm import curriculum, decontaminate, langid, quality_rank, shingle_join
 from planlens.llm.oracle import ORACLE_SQL
+from planlens.llm.sampling import fold
 
 __all__ = ["QUERIES", "ORACLE_SQL"]
 
@@ -17,6 +18,34 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    labelled = documents.where(fold(F.col("doc_id"), 4) != 2)
+    net = langid.learn(documents, labelled.select("doc_id", F.col("lang").alias("label")))
+    return langid.identify(documents, net).select(
+        "doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score"
+    )
+
+
+def training_labels(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    """(doc_id, label) of the rows that may be learnt from."""
+    labels = _table(spark, sf_dir, "labels").select("doc_id", F.col(label).alias("label"))
+    return labels.where(fold(F.col("doc_id"), 5) != 0)
+
+
+def _decided(scored: DataFrame, threshold: float) -> DataFrame:
+    return scored.select(
+        "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+def op4_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    ranking = quality_rank.learn(documents, training_labels(spark, sf_dir, "quality"))
+    return _decided(quality_rank.score(documents, ranking), 0.3)
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     benchmark = _table(spark, sf_dir, "benchmark")
@@ -41,6 +70,8 @@ def op9_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_langid": op3_langid,
+    "op4_quality_rank": op4_quality_rank,
     "op6_decontaminate": op6_decontaminate,
     "op8_mix": op8_mix,
     "op9_shingle_join": op9_shingle_join,
