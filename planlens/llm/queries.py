@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from planlens.llm import curriculum, decontaminate, langid, quality_rank, shingle_join
+from planlens.llm import curriculum, decontaminate, langid, quality_rank, shingle_join, toxicity
 from planlens.llm.oracle import ORACLE_SQL
 from planlens.llm.sampling import fold
 
@@ -33,10 +33,10 @@ def training_labels(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
     return labels.where(fold(F.col("doc_id"), 5) != 0)
 
 
-def _decided(scored: DataFrame, threshold: float) -> DataFrame:
+def _decided(scored: DataFrame, threshold: float, *more: Column) -> DataFrame:
     return scored.select(
         "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
-        (F.col("score") >= threshold).cast("int").alias("predicted"),
+        (F.col("score") >= threshold).cast("int").alias("predicted"), *more,
     )
 
 
@@ -52,6 +52,16 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.find_spans(documents, benchmark))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    near = toxicity.learn(documents, training_labels(spark, sf_dir, "toxic"))
+    scored = toxicity.score(documents, spark.sparkContext.broadcast(near))
+    nearest = F.try_element_at("evidence", F.lit(1))
+    return _decided(
+        scored, 0.5, nearest["doc_id"].alias("nearest_id"), nearest["cosine"].alias("nearest_cosine")
+    )
+
+
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = _table(spark, sf_dir, "documents").select(
         "doc_id", "source", curriculum.word_count(F.col("text")).alias("size")
@@ -73,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_langid": op3_langid,
     "op4_quality_rank": op4_quality_rank,
     "op6_decontaminate": op6_decontaminate,
+    "op7_toxicity": op7_toxicity,
     "op8_mix": op8_mix,
     "op9_shingle_join": op9_shingle_join,
 }
