@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from planlens.llm import curriculum, decontaminate, langid, quality_rank, shingle_join, toxicity
+from planlens.llm import (
+    curriculum, decontaminate, langid, order_minhash, quality_rank, shingle_join, toxicity,
+)
 from planlens.llm.oracle import ORACLE_SQL
 from planlens.llm.sampling import fold
 
@@ -18,6 +20,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.compare_with_edit(_table(spark, sf_dir, "documents"))
+
+
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     labelled = documents.where(fold(F.col("doc_id"), 4) != 2)
@@ -80,6 +86,7 @@ def op9_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_order_minhash": op2_order_minhash,
     "op3_langid": op3_langid,
     "op4_quality_rank": op4_quality_rank,
     "op6_decontaminate": op6_decontaminate,
