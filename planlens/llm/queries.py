@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planlens.llm import (
-    curriculum, decontaminate, langid, order_minhash, quality_rank, shingle_join, toxicity,
+    block_labeller, curriculum, decontaminate, langid, order_minhash, quality_rank, shingle_join, toxicity,
 )
 from planlens.llm.oracle import ORACLE_SQL
 from planlens.llm.sampling import fold
@@ -85,6 +85,11 @@ def op9_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.link_counts(_table(spark, sf_dir, "documents"))
 
 
+def op10_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return block_labeller.extract(pages, block_labeller.learn(pages))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_order_minhash": op2_order_minhash,
     "op3_langid": op3_langid,
@@ -93,4 +98,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_toxicity": op7_toxicity,
     "op8_mix": op8_mix,
     "op9_shingle_join": op9_shingle_join,
+    "op10_block_labeller": op10_block_labeller,
 }
