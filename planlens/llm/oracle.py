@@ -89,7 +89,45 @@ select doc_id, size, cast(source_size as bigint) as source_size, target,
 from due
 """
 
+WARC = """
+with records as (
+    select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes,
+           sha1(coalesce(html, '')) as payload_digest
+    from pages
+), latest as (
+    select *, max(page_id) over (partition by payload_digest) as last_id from records
+)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 1000 and page_id is distinct from last_id
+            then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 1000 and page_id is distinct from last_id
+            then last_id end as refers_to
+from latest
+"""
+
+TOKENS = r"""
+with texts as (
+    select source, lang, text, regexp_replace(text, '^[^\n]*\n', '') as untitled from documents
+), counted as (
+    select source, lang,
+           coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as loaded,
+           coalesce(len(regexp_extract_all(untitled, '[^\x20\x09-\x0D]+')), 0) as revised,
+           coalesce(len(regexp_extract_all(
+               untitled, '[\p{L}\p{N}]+|[^\p{L}\p{N}\x20\x09-\x0D]')), 0) as moved
+    from texts
+), kept as (
+    select source, lang,
+           case when lang is distinct from 'en' then 'pieces-1' else 'words-1' end as tokenizer,
+           case when lang is distinct from 'en' then moved else revised end as tokens
+    from counted where loaded >= 20
+)
+select source, lang, tokenizer, count(*) as documents, cast(sum(tokens) as bigint) as tokens
+from kept group by source, lang, tokenizer
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_warc": WARC,
+    "op5_token_rollup": TOKENS,
     "op6_decontaminate": DECONTAMINATE,
     "op8_mix": MIX,
 }

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planlens.llm import (
-    block_labeller, curriculum, decontaminate, langid, order_minhash, quality_rank, shingle_join, toxicity,
+    block_labeller, curriculum, decontaminate, langid, order_minhash, quality_rank, shingle_join,
+    token_rollup, toxicity, warc,
 )
 from planlens.llm.oracle import ORACLE_SQL
 from planlens.llm.sampling import fold
+from planlens.session import settle, shared_folder
 
 __all__ = ["QUERIES", "ORACLE_SQL"]
 
@@ -20,6 +23,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+ARCHIVE_DATE = "2024-01-01T00:00:00Z"
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    archives = warc.write(pages, warc.new_folder(spark), date=ARCHIVE_DATE)
+    kind = pages.schema["page_id"].dataType
+    return warc.read(archives, payloads=False).select(
+        F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest",
+        "record_type", F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
 def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.compare_with_edit(_table(spark, sf_dir, "documents"))
 
@@ -52,6 +68,40 @@ def op4_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decided(quality_rank.score(documents, ranking), 0.3)
 
 
+def op5_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents are loaded under ``words-1``; those of less than 20 words are deleted;
+    of those of several lines the first is cut off; those not in English move on to
+    ``pieces-1``. Two of the batches are sent twice."""
+    untitled = F.regexp_replace("text", r"^[^\n]*\n", "")
+    counted = settle(_table(spark, sf_dir, "documents").select(
+        "source", "lang", F.contains("text", F.lit("\n")).alias("titled"),
+        token_rollup.pattern_count(F.col("text"), "words-1").alias("loaded"),
+        token_rollup.pattern_count(untitled, "words-1").alias("revised"),
+        token_rollup.pattern_count(untitled, "pieces-1").alias("moved"),
+    ))
+    kept = counted.where("loaded >= 20")
+    under = lambda rows, version, tokens: rows.select(
+        "source", "lang", F.lit(version).alias("tokenizer"), F.col(tokens).alias("tokens")
+    )
+    load = token_rollup.inserts(under(counted, "words-1", "loaded"))
+    short = token_rollup.deletes(under(counted.where("loaded < 20"), "words-1", "loaded"))
+    titles = token_rollup.revisions(kept.where("titled").select(
+        "source", "lang", F.lit("words-1").alias("tokenizer"),
+        F.col("loaded").alias("old_tokens"), F.col("revised").alias("tokens"),
+    ))
+    foreign = kept.where("lang is distinct from 'en'")
+    upgrade = token_rollup.deletes(under(foreign, "words-1", "revised")).union(
+        token_rollup.inserts(under(foreign, "pieces-1", "moved"))
+    )
+    rollup = token_rollup.Rollup(spark, f"{shared_folder(spark)}/rollup/{uuid.uuid4().hex}")
+    for batch, changes in [
+        ("load", load), ("short", short), ("load", load), ("titles", titles), ("upgrade", upgrade),
+        ("titles", titles),
+    ]:
+        rollup.apply(batch, changes)
+    return rollup.totals()
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     benchmark = _table(spark, sf_dir, "benchmark")
@@ -91,9 +141,11 @@ def op10_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_order_minhash": op2_order_minhash,
     "op3_langid": op3_langid,
     "op4_quality_rank": op4_quality_rank,
+    "op5_token_rollup": op5_token_rollup,
     "op6_decontaminate": op6_decontaminate,
     "op7_toxicity": op7_toxicity,
     "op8_mix": op8_mix,
