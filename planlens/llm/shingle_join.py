@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from planlens.llm import bloom
 from planlens.llm import text as words
 from planlens.llm.components import components
 from planlens.session import settle
@@ -270,15 +271,21 @@ def similar(
     wordless = F.forall("labels", lambda x: x == 0)
     reps = classes.where(~wordless)
 
-    # What shares no prefix at the shortest length is in no bucket of any round.
-    widest = _keyed(reps, target)
-    crowded = widest.join(
-        widest.groupBy("tree", "prefix").agg(F.count("*").alias("n")).where("n > 1"),
-        ["tree", "prefix"], "left_semi",
-    ).select("key").distinct()
-    least = reps.join(crowded, "key").select("key", F.col("doc_id").alias("_least"), "copies", "labels")
+    # What shares no prefix at the shortest length is in no bucket of any round. Eight-byte
+    # hashes stand for keys and buckets here; where two are equal by chance, one text more
+    # is a candidate.
+    widest = _keyed(reps, target).select(
+        F.xxhash64("key").alias("r"), F.xxhash64("tree", "prefix").alias("bucket")
+    )
+    full = widest.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    crowded = widest.join(full, "bucket", "left_semi").select("r").distinct()
+    least = settle(
+        reps.join(crowded, F.xxhash64("key") == F.col("r"), "left_semi")
+        .select("key", F.col("doc_id").alias("_least"), "copies", "labels")
+    )
+    near = bloom.marked(texts, F.col("key"), least.select("key"), "_near").where("_near")
     candidates = settle(
-        texts.join(least, "key").where(F.col("doc_id").eqNullSafe(F.col("_least")))
+        near.join(least, "key").where(F.col("doc_id").eqNullSafe(F.col("_least")))
         .select("key", "copies", "labels", "text").dropDuplicates(["key"])
     )
 
@@ -337,11 +344,17 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     """One document of each connected group: the one of the least doc_id. All columns of
     ``docs`` come back; of wholly repeated rows one stays."""
     _, summary = similar(docs, **options)
-    kept = _with_groups(summary).where(F.col("key") == F.col("kept_key")).select(
-        F.col("key").alias("_key"), F.col("doc_id").alias("_kept_id")
-    )
-    keyed = docs.withColumn("_key", F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    return (
-        keyed.join(kept, "_key").where(F.col("doc_id").eqNullSafe(F.col("_kept_id")))
-        .dropDuplicates(["_key"]).select(*docs.columns)
+    grouped = settle(_with_groups(summary).select(
+        "key", F.col("doc_id").alias("_kept_id"), (F.col("key") == F.col("kept_key")).alias("_kept"),
+        ((F.col("copies") > 1) | (F.col("links") > 0)).alias("_shared"),
+    ))
+    key = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    shared = grouped.where("_shared").select("key")
+    split = bloom.marked(docs.withColumn("_key", key), F.col("_key"), shared, "_maybe")
+    # What has neither copies nor links stays where it is; the rest meets its group.
+    kept = grouped.where("_kept").select(F.col("key").alias("_key"), "_kept_id")
+    chosen = (
+        split.where("_maybe").join(kept, "_key")
+        .where(F.col("doc_id").eqNullSafe(F.col("_kept_id"))).dropDuplicates(["_key"])
     )
+    return split.where(~F.col("_maybe")).select(*docs.columns).union(chosen.select(*docs.columns))
