@@ -140,8 +140,9 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def next_ids(docs: DataFrame) -> DataFrame:
-    """(_id, next): every id and the one that follows it in ascending order, nulls first; the
-    first follows the last. Ids are text here; a null id is a NUL.
+    """(_prev, _next, need): every id and the one that follows it in ascending order, nulls first; the
+    first follows the last; and a quarter of the length of the id's longest text. Ids are text here; a
+    null id is a NUL.
 
     Each range of ids is ordered by its own task; only the first id of each is compared
     with the others'.
@@ -159,7 +160,7 @@ def next_ids(docs: DataFrame) -> DataFrame:
     inside = Window.partitionBy("_part").orderBy(F.col("doc_id").asc_nulls_first())
     return rows.withColumn("_lead", F.lead("_id").over(inside)).join(
         follows, F.col("_part") == F.col("_at")
-    ).select("_id", "need", F.coalesce("_lead", "_next_first").alias("next"))
+    ).select(F.col("_id").alias("_prev"), "need", F.coalesce("_lead", "_next_first").alias("_next"))
 
 
 def _id(doc_id: Column) -> Column:
@@ -171,22 +172,24 @@ def compare_with_edit(docs: DataFrame) -> DataFrame:
 
     The edited text has its last quarter replaced by the first as many characters of the
     next document. Null texts read as empty. Of several rows with the id that comes next, the
-    one of the least text is the next document; a single id is its own next. Repeated rows give
-    repeated results.
+    next document is the one whose beginning sorts first; a single id is its own next.
+    Repeated rows give repeated results.
     """
     kind = docs.schema["doc_id"].dataType
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = texts.select(_id(F.col("doc_id")).alias("_id"), "text", tokens(F.col("text")).alias("tokens"))
-    least = F.row_number().over(Window.partitionBy("_id").orderBy("text"))
-    heads = rows.withColumn("_nth", least).where("_nth = 1").drop("_nth").withColumnRenamed("_id", "next")
-    following = heads.join(next_ids(texts), "next").select(
-        "_id", F.expr("left(text, need)").alias("_head"), F.col("tokens").alias("_next_tokens")
+    # Both joins below deal the same rows out by id, so Spark moves the texts once.
+    heads = rows.join(next_ids(texts), F.col("_id") == F.col("_next")).select(
+        "_prev", F.struct(F.expr("left(text, need)").alias("head"), "tokens").alias("first")
+    )
+    following = heads.groupBy("_prev").agg(F.min("first").alias("first")).select(
+        "_prev", F.col("first.head").alias("_head"), F.col("first.tokens").alias("_next_tokens")
     )
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.expr("left(text, length(text) - cast(floor(length(text) / 4) as int))"),
                       F.left("_head", quarter))
-    both = rows.join(following, "_id").select(
+    both = rows.join(following, F.col("_id") == F.col("_prev")).select(
         F.nullif(F.col("_id"), F.lit("\x00")).cast(kind).alias("doc_id"), n.cast("long").alias("n_chars"),
         "tokens", "_next_tokens", edited.alias("_edited"),
     )
