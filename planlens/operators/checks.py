@@ -135,7 +135,7 @@ def margin_without_cost(enriched: DataFrame) -> DataFrame:
 
 def wrongly_unmapped(enriched: DataFrame, accounts: DataFrame) -> DataFrame:
     """Customers tagged UNMAPPED though an account gives them a region, or mapped
-    though none does; with their order counts."""
+    though none does; with their order counts. What enrichment dropped is ``dropped``'s."""
     known = accounts.where(F.col("region").isNotNull()).select(
         "customer_id", F.lit(True).alias("known")
     )
@@ -151,6 +151,13 @@ def wrongly_unmapped(enriched: DataFrame, accounts: DataFrame) -> DataFrame:
     )
 
 
+def dropped(orders: DataFrame, enriched: DataFrame) -> DataFrame:
+    """How many clean orders enrichment lost or multiplied, if any."""
+    count = F.count("*").cast("bigint")
+    both = together([orders.agg(count.alias("n")), enriched.agg((-count).alias("n"))])
+    return both.agg(F.abs(F.sum("n")).alias("n")).where(F.col("n") != 0)
+
+
 def cancelled_but_delivered(enriched: DataFrame) -> DataFrame:
     return enriched.where(
         (F.col("order_status") == "Cancelled") & (F.col("delivery_status") != "Cancelled")
@@ -174,7 +181,8 @@ def backdated_count(enriched: DataFrame, expected: int | None = None) -> DataFra
 
 
 def lost_by_outer_join(forecast: DataFrame, monthly: DataFrame, mart: DataFrame) -> DataFrame:
-    """Plan rows, or unmapped cells, that went in and did not come out."""
+    """Plan rows, or unmapped cells, that went in and did not come out, or came out
+    multiplied (a negative ``n``)."""
     unmapped = F.count_if(F.col("region") == rules.UNMAPPED)
     zero = F.lit(0).cast("bigint")
     sides = [
@@ -190,7 +198,7 @@ def lost_by_outer_join(forecast: DataFrame, monthly: DataFrame, mart: DataFrame)
             F.struct(F.lit("plan rows").alias("lost"), F.col("plan").alias("n")),
             F.struct(F.lit("unmapped cells").alias("lost"), F.col("unmapped").alias("n")),
         ))
-    ).where(F.col("n") > 0)
+    ).where(F.col("n") != 0)
 
 
 # -- the model's suite -------------------------------------------------------
@@ -234,7 +242,8 @@ WARN_ONLY = ("stg_orders.plant_country accepted",)
 
 
 def model_expectations(domains: dict[str, Sequence[str]] = DOMAINS) -> dict[str, Expectations]:
-    """The column checks of every layer, for the given vocabulary."""
+    """The column checks of every layer, for the given vocabulary. Tables,
+    columns and which check each has."""
     regions = tuple(domains["regions"])
     all_regions = (*regions, rules.UNMAPPED)
     plan_grain = ("product_id", "region", "forecast_month")

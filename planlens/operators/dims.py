@@ -19,8 +19,10 @@ REGION_SEED = [
 ]
 
 
-def region_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(REGION_SEED, REGION_SEED_SCHEMA)
+def region_seed(
+    spark: SparkSession, regions: list[tuple[str, str]] = REGION_SEED
+) -> DataFrame:
+    return spark.createDataFrame(regions, REGION_SEED_SCHEMA)
 
 
 def dim_region(seed: DataFrame) -> DataFrame:

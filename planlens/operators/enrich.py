@@ -15,9 +15,7 @@ def enrich_orders(
     accounts: DataFrame,
     products: DataFrame,
     *,
-    fits: list[bool] | None = None,
     recognised_on: str = "order_date",
-    hot_rows: int = joins.HOT_ROWS,
 ) -> DataFrame:
     """Both lookups are LEFT: a miss costs one attribute, never the revenue."""
     account_columns = accounts.select(
@@ -31,8 +29,6 @@ def enrich_orders(
     joined = joins.lookups(
         orders,
         {"customer_id": account_columns, "product_id": product_columns},
-        fits=fits,
-        hot_rows=hot_rows,
     )
     unit_margin = F.col("unit_price") - F.col("standard_cost")
     return joined.select(

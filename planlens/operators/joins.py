@@ -1,101 +1,23 @@
-"""Lookups from a large fact side that hold up on hot keys and large dimensions."""
+"""Lookups from a large fact side."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from planlens.session import settle
-
-# A side is broadcast only when counted below both bounds.
-BROADCAST_ROWS = 1_000_000
-BROADCAST_BYTES = 128 * 1024 * 1024
-
-# A key with this many fact rows is too much for one shuffle task. The list of
-# such keys is itself bounded, longest first; keys past it take the shuffle.
-HOT_ROWS = 1_000_000
-HOT_KEYS = 10_000
-
-
-def fits_broadcast(
-    *sides: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES
-) -> list[bool]:
-    """Count rows and text bytes of each side, all in one job."""
 
-    def sized(index: int, side: DataFrame) -> DataFrame:
-        texts = ", ".join(f"cast(`{c}` as string)" for c in side.columns)
-        width = F.expr(f"octet_length(concat_ws('', {texts})) + {8 * len(side.columns)}")
-        return side.select(width.cast("long").alias("w")).agg(
-            F.lit(index).alias("side"),
-            F.count("*").alias("n"),
-            F.coalesce(F.sum("w"), F.lit(0)).alias("bytes"),
-        )
 
-    parts = [sized(i, side) for i, side in enumerate(sides)]
-    measured = {r.side: r for r in reduce(DataFrame.unionByName, parts).collect()}
-    return [measured[i].n <= rows and measured[i].bytes <= size for i in range(len(sides))]
-
-
-def lookup(
-    facts: DataFrame,
-    dim: DataFrame,
-    key: str,
-    *,
-    fits: bool | None = None,
-    key_counts: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
-    hot_keys: int = HOT_KEYS,
-) -> DataFrame:
+def lookup(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """``facts LEFT JOIN dim ON key``; ``dim`` must be unique on ``key``.
 
-    A dimension counted small enough is broadcast and the facts never move.
-    Otherwise facts of hot (or missing) keys stay where they are and meet a
-    broadcast of just those dimension rows, at most ``hot_keys`` of them, and
-    the rest shuffle. Both halves together are every fact row exactly once.
-
-    ``fits`` skips the count when the caller has already made it; ``key_counts``
-    (key, n) does the same for the rows per key.
+    The facts are read once. Spark broadcasts a dimension that it measures below
+    ``spark.sql.autoBroadcastJoinThreshold``, when planning or, from the size of its
+    shuffle, while running. Beyond that both sides shuffle, and AQE splits the partitions of
+    hot or missing keys over several tasks.
     """
-    if fits if fits is not None else fits_broadcast(dim)[0]:
-        return facts.join(F.broadcast(dim), key, "left")
+    return facts.join(dim, key, "left")
 
-    if key_counts is None:
-        key_counts = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    # Stored, since three branches read it: facts are counted once, and all
-    # branches agree on the list whatever is retried.
-    hot = settle(
-        key_counts.where(F.col("n") >= hot_rows)
-        .orderBy(F.desc("n"), F.asc(key))
-        .limit(hot_keys)
-        .select(key, F.lit(True).alias("_hot"))
-    )
-    hot_dim = dim.join(F.broadcast(hot.drop("_hot")), key, "left_semi")
-    tagged = facts.join(F.broadcast(hot), key, "left")
-    stays = F.col("_hot").isNotNull() | F.col(key).isNull()
-    still = tagged.where(stays).drop("_hot").join(F.broadcast(hot_dim), key, "left")
-    moved = tagged.where(~stays).drop("_hot").join(dim, key, "left")
-    return still.unionByName(moved)
 
-
-def lookups(
-    facts: DataFrame,
-    dims: dict[str, DataFrame],
-    *,
-    fits: list[bool] | None = None,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Several ``lookup``s, {key: dimension}.
-
-    Large dimensions come first: their two halves read the facts twice, and
-    broadcasts on top of them do not. Facts that already went through one are
-    written out before the next, so the reads do not multiply.
-    """
-    fits = fits or fits_broadcast(*dims.values())
-    ordered = sorted(zip(dims, fits), key=lambda pair: pair[1])
-    for i, (key, small) in enumerate(ordered):
-        if i and not small:
-            facts = settle(facts)
-        facts = lookup(facts, dims[key], key, fits=small, hot_rows=hot_rows)
+def lookups(facts: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Several ``lookup``s, {key: dimension}."""
+    for key, dim in dims.items():
+        facts = lookup(facts, dim, key)
     return facts

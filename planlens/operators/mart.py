@@ -54,7 +54,6 @@ def plan_vs_actual(monthly: DataFrame, forecast: DataFrame) -> DataFrame:
         "on_time_count",
         "late_count",
         "cancelled_count",
-        # Punctuality among orders that arrived, not fulfilment overall.
         casts.ratio(F.col("on_time_count"), arrived).alias("on_time_delivery_rate"),
         rules.variance_flag(
             plan=F.col("forecast_revenue"),

@@ -45,12 +45,7 @@ def apply_filters(
     so they reach the scan; chosen families restrict the dimension first and
     semi-join the fact.
     """
-    if regions:
-        facts = facts.where(F.col("region").isin(list(regions)))
-    if months:
-        facts = facts.where(
-            F.col("revenue_month").between(*[F.lit(m).cast("date") for m in months])
-        )
+    facts = restrict(facts, regions=regions, months=months)
     if not families:
         return with_family(facts, products)
     chosen = products.where(F.col("product_family").isin(list(families)))
@@ -74,11 +69,24 @@ def filter_options(mart: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def entitled(mart: DataFrame, mapping: DataFrame, user: str) -> DataFrame:
-    """Only the regions mapped to ``user``. Few regions hold all rows, so the
-    mapping must not pull a region's rows into one task."""
+    """Only the regions mapped to ``user``: of the mart, or of what it is made from."""
     allowed = mapping.where(F.col("user") == user).select("region").distinct()
-    marked = joins.lookup(mart, allowed.withColumn("_allowed", F.lit(True)), "region")
-    return marked.where("_allowed").select(*mart.columns)
+    return mart.join(allowed, "region", "left_semi").select(*mart.columns)
+
+
+def restrict(
+    facts: DataFrame,
+    *,
+    regions: Sequence[str] = (),
+    months: tuple[str, str] | None = None,
+    month: str = "revenue_month",
+) -> DataFrame:
+    """Rows of the regions and of the month range, both ends included; empty means all."""
+    if regions:
+        facts = facts.where(F.col("region").isin(list(regions)))
+    if months:
+        facts = facts.where(F.col(month).between(*[F.lit(m).cast("date") for m in months]))
+    return facts
 
 
 def detail_table(mart: DataFrame, flags: Sequence[str] = ()) -> DataFrame:
@@ -195,13 +203,28 @@ def flag_cells(mart: DataFrame) -> DataFrame:
 
 
 def flag_pivot(mart: DataFrame, regions: Sequence[str]) -> DataFrame:
-    """Products down, regions across; listing the regions saves a pass to find them."""
-    return (
-        mart.groupBy("product_id")
-        .pivot("region", sorted(regions))
-        .agg(_notable_flag())
-        .orderBy("product_id")
+    """Products down, regions across; listing the regions saves a pass to find them.
+
+    A region that is not listed fails the query: its cells would be missing from the result.
+    """
+    return _across(mart, regions, _notable_flag()).orderBy("product_id")
+
+
+def _across(mart: DataFrame, regions: Sequence[str], value: Column) -> DataFrame:
+    region = F.coalesce("region", F.lit("NULL"))
+    known = F.when(F.col("region").isin(list(regions)), F.col("region")).otherwise(
+        F.raise_error(F.concat(F.lit("region is not listed: "), region))
     )
+    listed = mart.withColumn("region", known)
+    return listed.groupBy("product_id").pivot("region", sorted(regions)).agg(value)
+
+
+def composition_pivot(mart: DataFrame, regions: Sequence[str]) -> DataFrame:
+    """Each cell's months as in ``cell_composition``, products down and regions across; a
+    cell without months is the empty text."""
+    wide = _across(mart, regions, _composition())
+    cells = [F.coalesce(F.col(f"`{r}`"), F.lit("")).alias(r) for r in sorted(regions)]
+    return wide.select("product_id", *cells).orderBy("product_id")
 
 
 def cell_composition(mart: DataFrame) -> DataFrame:
@@ -210,6 +233,12 @@ def cell_composition(mart: DataFrame) -> DataFrame:
     The list holds one short entry per calendar month, because the mart has one
     row per cell and month.
     """
+    return mart.groupBy("product_id", "region").agg(
+        _composition().alias("composition"), F.count("*").alias("months")
+    )
+
+
+def _composition() -> Column:
     months = F.array_sort(F.collect_list(F.struct("revenue_month", "variance_flag")))
     text = F.transform(
         months,
@@ -217,9 +246,7 @@ def cell_composition(mart: DataFrame) -> DataFrame:
             F.date_format(m["revenue_month"], "MMM yyyy"), F.lit(": "), m["variance_flag"]
         ),
     )
-    return mart.groupBy("product_id", "region").agg(
-        F.array_join(text, "; ").alias("composition"), F.count("*").alias("months")
-    )
+    return F.array_join(text, "; ")
 
 
 def flag_counts_two_grains(mart: DataFrame) -> DataFrame:
@@ -425,14 +452,27 @@ def product_list(products: DataFrame) -> DataFrame:
 BUCKETS = ("recognised", "open", "cancelled", "other", "rejected")
 
 
+def source_lines(raw_orders: DataFrame) -> DataFrame:
+    """The revenue of every landed line, straight from its text.
+
+    The price has the currency's two places, as published. The quantity is the number its
+    text says, with its fraction and whatever its size: what the integer cast rounds or
+    loses is revenue of the source.
+    """
+    texts = raw_orders.select(
+        F.trim("unit_price").alias("price"), F.trim("quantity").alias("quantity")
+    )
+    quantity = F.col("quantity").try_cast("decimal(20,4)")
+    return texts.select((casts.lenient_money(F.col("price")) * quantity).alias("gross_revenue"))
+
+
 def reconciliation_amounts(
-    typed: DataFrame, mart: DataFrame, orders: DataFrame, rejects: DataFrame
+    source: DataFrame, mart: DataFrame, orders: DataFrame, rejects: DataFrame
 ) -> DataFrame:
     """(bucket, amount) for the source and for every place its revenue can land.
 
-    The source side is every line whose revenue can be computed, before any
-    rule ran; the recognised side is read from the mart, so revenue lost or
-    multiplied on the way there shows up as a difference.
+    The source side is ``source_lines``; the recognised side is read from the mart, so
+    revenue lost or multiplied on the way there shows up as a difference.
     """
     status = rules.first_match(
         (F.col("order_status") == "Open", "open"),
@@ -440,13 +480,13 @@ def reconciliation_amounts(
         otherwise="other",
     )
     parts = [
-        (typed, F.lit("source"), "gross_revenue"),
+        (source, F.lit("source"), "gross_revenue"),
         (mart, F.lit("recognised"), "actual_revenue"),
         (orders.where(~F.col("is_recognised_revenue")), status, "gross_revenue"),
         (rejects, F.lit("rejected"), "gross_revenue"),
     ]
     tagged = [
-        df.select(bucket.alias("bucket"), F.col(amount).cast(casts.MONEY).alias("amount"))
+        df.select(bucket.alias("bucket"), F.col(amount).cast("decimal(28,2)").alias("amount"))
         for df, bucket, amount in parts
     ]
     union = tagged[0]

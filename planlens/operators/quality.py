@@ -37,27 +37,13 @@ def duplicate_ids(orders: DataFrame) -> DataFrame:
     )
 
 
-def flag_orders(
-    orders: DataFrame,
-    duplicates: DataFrame,
-    *,
-    fits: bool | None = None,
-    hot_rows: int = joins.HOT_ROWS,
-) -> DataFrame:
+def flag_orders(orders: DataFrame, duplicates: DataFrame) -> DataFrame:
     """Attach ``dq_failure_reason`` (NULL = clean) to every line.
 
-    The same verdict as counting lines over a window per id. The wide lines are
-    not shuffled while the duplicate list is small enough to broadcast, and a
-    hot id never gathers its lines in one task.
+    The same verdict as counting lines over a window per id, but a hot id does not
+    gather its lines in one task.
     """
-    matched = joins.lookup(
-        orders.withColumn("_id_key", _id_key()),
-        duplicates,
-        "_id_key",
-        fits=fits,
-        key_counts=duplicates,
-        hot_rows=hot_rows,
-    )
+    matched = joins.lookup(orders.withColumn("_id_key", _id_key()), duplicates, "_id_key")
     reason = rules.defect_reason(
         is_duplicate=F.col("n").isNotNull(),
         order_date=F.col("order_date"),

@@ -38,7 +38,7 @@ TABLES = {
 }
 
 
-# By month, so that month filters prune and a month can be replaced alone.
+# By month, so that month filters prune.
 PARTITIONED = {"fct_orders": ("revenue_month",), "mart": ("revenue_month",)}
 
 
@@ -56,11 +56,17 @@ class Build:
         *,
         domains: dict | None = None,
         expected_backdated: int | None = None,
+        regions: list[tuple[str, str]] | None = None,
+        calendar: tuple[str, str] | None = None,
     ) -> None:
+        """``regions``: (name, "true" where a plan can match it); ``calendar``: the first day
+        and the one after the last. Both default to the fixed values of ``dims``."""
         self.spark = spark
         self.warehouse = warehouse
         self.expectations = checks.model_expectations(domains or checks.DOMAINS)
         self.expected_backdated = expected_backdated
+        self.regions = regions or dims.REGION_SEED
+        self.calendar = calendar or (dims.SPINE_START, dims.SPINE_END)
         self.tables: dict[str, DataFrame] = {}
         self.results: list[DataFrame] = []
 
@@ -92,16 +98,15 @@ class Build:
                 ("products", "raw_erp_products"), ("forecast", "raw_adaptive_forecast"),
             )
         }
-        self._store(seed_region=dims.region_seed(self.spark))
+        self._store(seed_region=dims.region_seed(self.spark, self.regions))
         plan = Pipeline(
             raw_orders=raw["orders"], raw_accounts=raw["accounts"],
             raw_products=raw["products"], raw_forecast=raw["forecast"],
-            regions=self.tables["seed_region"], calendar=dims.calendar_bounds(self.spark),
+            regions=self.tables["seed_region"], calendar=dims.calendar_bounds(self.spark, *self.calendar),
         )
         self._staging(plan)
         self._intermediate()
         self._marts(plan)
-        plan.release()
         return checks.together(self.results)
 
     def _staging(self, plan: Pipeline) -> None:
@@ -158,6 +163,9 @@ class Build:
                     "wrongly_unmapped",
                     checks.wrongly_unmapped(enriched, t["stg_accounts"]), F.col("n"),
                 ),
+                checks.counted(
+                    "rows_dropped", checks.dropped(t["stg_orders"], enriched), F.col("n")
+                ),
                 checks.counted(
                     "cancelled_but_delivered", checks.cancelled_but_delivered(enriched)
                 ),
@@ -183,7 +191,7 @@ class Build:
                      "fct_forecast", "reject_summary"])
         self._store(mart=mart.plan_vs_actual(t["monthly_revenue"], t["fct_forecast"]))
         amounts = measures.reconciliation_amounts(
-            plan.typed, t["mart"], t["fct_orders"], t["stg_rejects"]
+            measures.source_lines(plan.raw_orders), t["mart"], t["fct_orders"], t["stg_rejects"]
         )
         self._check(
             ["mart"],
@@ -191,6 +199,12 @@ class Build:
                 checks.counted(
                     "reconciles", checks.unreconciled(measures.reconciliation(amounts))
                 ),
+                checks.counted(
+                    "mart.revenue_month parent",
+                    checks.without_parent(
+                        t["mart"], "revenue_month", t["dim_date"], "date_month"
+                    ), F.col("n"),
+                ),
                 checks.counted(
                     "outer_join_survival",
                     checks.lost_by_outer_join(t["fct_forecast"], t["monthly_revenue"], t["mart"]),

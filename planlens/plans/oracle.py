@@ -295,27 +295,61 @@ _LIFECYCLES = ("Active", "Discontinued", "Pending")
 _CELL = ("product_id", "region", "revenue_month")
 _PLAN = ("product_id", "region", "forecast_month")
 
-# table: (step, unique, not null, grain)
+# The checked columns, by table: (step, unique, not null, grain).
 _KEYS = {
-    "stg_orders": ("clean", "order_id", "order_id customer_id product_id order_date unit_price "
-                   "gross_revenue", ()),
-    "stg_rejects": ("rejects", "", "dq_failure_reason", ()),
-    "stg_accounts": ("accounts", "customer_id", "customer_id region", ()),
-    "stg_forecast": ("forecast", "forecast_id", "forecast_id forecast_revenue", _PLAN),
-    "stg_products": ("products", "product_id", "product_id standard_cost", ()),
-    "orders_enriched": ("enriched", "order_id", "order_id region delivery_status revenue_month "
-                        "gross_revenue", ()),
-    "monthly_revenue": ("monthly", "", "actual_revenue order_count", _CELL),
-    "dim_date": ("dim_date", "date_month", "date_month", ()),
-    "dim_region": ("dim_region", "region_name", "region_name", ()),
-    "dim_customer": ("dim_customer", "customer_id", "customer_id", ()),
-    "dim_product": ("dim_product", "product_id", "product_id", ()),
-    "fct_orders": ("fct_orders", "order_id", "order_id", ()),
-    "fct_forecast": ("forecast", "forecast_id", "forecast_id forecast_revenue", _PLAN),
-    "mart": ("mart", "", "product_id region revenue_month actual_revenue revenue_variance", _CELL),
-    "reject_summary": ("(select dq_failure_reason, count(*) as rejected_row_count from rejects "
-                       "group by dq_failure_reason)", "dq_failure_reason",
-                       "dq_failure_reason rejected_row_count", ()),
+    "stg_orders": (
+        "clean", ("order_id",), (
+            "order_id", "customer_id", "product_id", "order_date", "unit_price",
+            "gross_revenue",
+        ), (),
+    ),
+    "stg_rejects": (
+        "rejects", (), ("dq_failure_reason",), (),
+    ),
+    "stg_accounts": (
+        "accounts", ("customer_id",), ("customer_id", "region"), (),
+    ),
+    "stg_forecast": (
+        "forecast", ("forecast_id",), ("forecast_id", "forecast_revenue"), _PLAN,
+    ),
+    "stg_products": (
+        "products", ("product_id",), ("product_id", "standard_cost"), (),
+    ),
+    "orders_enriched": (
+        "enriched", ("order_id",), (
+            "order_id", "region", "delivery_status", "revenue_month", "gross_revenue",
+        ), (),
+    ),
+    "monthly_revenue": (
+        "monthly", (), ("actual_revenue", "order_count"), _CELL,
+    ),
+    "dim_date": (
+        "dim_date", ("date_month",), ("date_month",), (),
+    ),
+    "dim_region": (
+        "dim_region", ("region_name",), ("region_name",), (),
+    ),
+    "dim_customer": (
+        "dim_customer", ("customer_id",), ("customer_id",), (),
+    ),
+    "dim_product": (
+        "dim_product", ("product_id",), ("product_id",), (),
+    ),
+    "fct_orders": (
+        "fct_orders", ("order_id",), ("order_id",), (),
+    ),
+    "fct_forecast": (
+        "forecast", ("forecast_id",), ("forecast_id", "forecast_revenue"), _PLAN,
+    ),
+    "mart": (
+        "mart", (), (
+            "product_id", "region", "revenue_month", "actual_revenue", "revenue_variance",
+        ), _CELL,
+    ),
+    "reject_summary": (
+        "(select dq_failure_reason, count(*) as rejected_row_count from rejects "
+        "group by dq_failure_reason)", ("dq_failure_reason",), ("dq_failure_reason", "rejected_row_count"), (),
+    ),
 }
 _ACCEPTED = [
     ("stg_orders", "order_status", _STATUSES),
@@ -347,8 +381,8 @@ def _suite() -> str:
     step = {table: keys[0] for table, keys in _KEYS.items()}
     checks = []
     for table, (source, unique, not_null, grain) in _KEYS.items():
-        checks += [(f"{table}.{c} unique", _repeated(source, c)) for c in unique.split()]
-        checks += [(f"{table}.{c} not_null", _missing(source, c)) for c in not_null.split()]
+        checks += [(f"{table}.{c} unique", _repeated(source, c)) for c in unique]
+        checks += [(f"{table}.{c} not_null", _missing(source, c)) for c in not_null]
         if grain:
             checks.append((f"{table} grain", _repeated(source, *grain)))
     checks += [(f"{t}.{c} accepted", _outside(step[t], c, *values)) for t, c, values in _ACCEPTED]
@@ -380,6 +414,15 @@ _SELECTS = {
         union all select 'staging', 'stg_forecast', count(*) from forecast
         union all select 'staging', 'stg_orders', count(*) from clean
         union all select 'staging', 'stg_rejects', count(*) from rejects
+        union all select 'staging', 'stg_orders_flagged', count(*) from raw_orders
+        union all select 'staging', 'int_orders_enriched', count(*) from enriched
+        union all select 'staging', 'int_order_revenue_monthly', count(*) from monthly
+        union all select 'staging', 'seed_region', count(*) from dim_region
+        union all select 'analytics', 'dim_region', count(*) from dim_region
+        union all select 'analytics', 'dim_date', count(*) from dim_date
+        union all select 'analytics', 'fct_orders', count(*) from fct_orders
+        union all select 'analytics', 'dq_reject_summary',
+                         count(distinct dq_failure_reason) from rejects
         union all select 'analytics', 'dim_customer', count(*) from dim_customer
         union all select 'analytics', 'dim_product', count(*) from dim_product
         union all select 'analytics', 'fct_forecast', count(*) from forecast
@@ -567,6 +610,20 @@ _SELECTS = {
                           order by revenue_month) as composition,
                count(*) as months
         from mart group by product_id, region""",
+    "composition_pivot": """
+        select product_id,
+               coalesce(max(composition) filter (where region = 'AFRICA'), '') as "AFRICA",
+               coalesce(max(composition) filter (where region = 'AMERICA'), '') as "AMERICA",
+               coalesce(max(composition) filter (where region = 'ASIA'), '') as "ASIA",
+               coalesce(max(composition) filter (where region = 'EUROPE'), '') as "EUROPE",
+               coalesce(max(composition) filter (where region = 'MIDDLE EAST'), '')
+                 as "MIDDLE EAST",
+               coalesce(max(composition) filter (where region = 'UNMAPPED'), '') as "UNMAPPED"
+        from (select product_id, region,
+                     string_agg(strftime(revenue_month, '%b %Y') || ': ' || variance_flag, '; '
+                                order by revenue_month) as composition
+              from mart group by product_id, region)
+        group by product_id""",
     "flag_counts_two_grains": """
         select 'month' as grain, variance_flag, count(*) as flag_count
         from mart group by variance_flag
@@ -794,6 +851,7 @@ _SELECTS = {
             select count(*) from sums
             where abs(source - open_amount - cancelled - other - rejected - (
               select sum(actual_revenue) from mart where region <> 'UNMAPPED')) > 0.01"""),
+        ("quantity_lost", "select count(*) from sums where cancelled <> 0"),
     ),
     "check_duplicates_quarantined": _failing(
         ("quarantined", """
@@ -823,6 +881,11 @@ _SELECTS = {
             where (region = 'UNMAPPED') = exists (
               select 1 from accounts a where a.customer_id = e.customer_id
                 and a.segment <> 'BUILDING')"""),
+        ("rows_kept", "select 0"),
+        ("rows_dropped", """
+            select count(*) from clean c
+            where not exists (
+              select 1 from accounts a where a.customer_id = c.customer_id)"""),
     ),
     "check_cancelled": _failing(
         ("cancelled", """

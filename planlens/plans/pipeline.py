@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from planlens.operators import conform, dims, enrich, joins, mart, monthly, quality
+from planlens.operators import conform, dims, enrich, mart, monthly, quality
 from planlens.session import settle
 
 
 class Pipeline:
-    """Layers as DataFrames. Nothing runs until an action, except one job that
-    counts the duplicate ids and the two dimensions to choose their joins.
+    """Layers as DataFrames. Nothing runs until an action.
 
-    ``settled`` also stores the flagged lines and the monthly rollup, for plans
-    that read them from several branches.
+    ``settled`` stores the flagged and the enriched lines and the monthly rollup when they
+    are first asked for, for plans that read them from several branches.
     """
 
     settled = False
@@ -60,16 +60,11 @@ class Pipeline:
 
     @cached_property
     def duplicates(self) -> DataFrame:
-        # Read twice, when counted and when joined; only the repeated ids are kept.
-        return quality.duplicate_ids(self.typed).persist()
-
-    @cached_property
-    def _fits(self) -> list[bool]:
-        return joins.fits_broadcast(self.duplicates, self.accounts, self.products)
+        return quality.duplicate_ids(self.typed)
 
     @cached_property
     def flagged(self) -> DataFrame:
-        return self._kept(quality.flag_orders(self.typed, self.duplicates, fits=self._fits[0]))
+        return self._kept(quality.flag_orders(self.typed, self.duplicates))
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -81,9 +76,7 @@ class Pipeline:
 
     @cached_property
     def enriched(self) -> DataFrame:
-        return enrich.enrich_orders(
-            self.orders, self.accounts, self.products, fits=self._fits[1:]
-        )
+        return self._kept(enrich.enrich_orders(self.orders, self.accounts, self.products))
 
     @cached_property
     def monthly(self) -> DataFrame:
@@ -121,10 +114,15 @@ class Pipeline:
     def mart(self) -> DataFrame:
         return mart.plan_vs_actual(self.monthly, self.fct_forecast)
 
-    def release(self) -> None:
-        """Drop the kept duplicate ids."""
-        if "duplicates" in self.__dict__:
-            self.duplicates.unpersist()
+    def mart_of(self, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+        """The mart of what ``keep(rows, month column)`` leaves of actuals and plan.
+
+        The outer join merges its keys, so a filter on them above it would reach neither
+        side; before it, it reaches both scans.
+        """
+        return mart.plan_vs_actual(
+            keep(self.monthly, "revenue_month"), keep(self.fct_forecast, "forecast_month")
+        )
 
     @cached_property
     def reject_summary(self) -> DataFrame:

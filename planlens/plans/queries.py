@@ -62,10 +62,18 @@ def _layers(m: SampleModel) -> DataFrame:
         ("staging", "stg_forecast"): m.forecast,
         ("staging", "stg_orders"): m.orders,
         ("staging", "stg_rejects"): m.rejects,
+        ("staging", "stg_orders_flagged"): m.flagged,
+        ("staging", "int_orders_enriched"): m.enriched,
+        ("staging", "int_order_revenue_monthly"): m.monthly,
+        ("staging", "seed_region"): m.regions,
         ("analytics", "dim_customer"): m.dim_customer,
         ("analytics", "dim_product"): m.dim_product,
+        ("analytics", "dim_region"): m.dim_region,
+        ("analytics", "dim_date"): m.dim_date,
+        ("analytics", "fct_orders"): m.fct_orders,
         ("analytics", "fct_forecast"): m.fct_forecast,
         ("analytics", "mart"): m.mart,
+        ("analytics", "dq_reject_summary"): m.reject_summary,
     })
     return observe.layer_row_counts(tables)
 
@@ -127,7 +135,9 @@ def _source_batch_mix(m: SampleModel) -> DataFrame:
 
 
 def _filtered_mart(m: SampleModel) -> DataFrame:
-    filtered = measures.apply_filters(m.mart, m.dim_product, **FILTER)
+    chosen = {k: FILTER[k] for k in ("regions", "months")}
+    mart = m.mart_of(lambda rows, month: measures.restrict(rows, month=month, **chosen))
+    filtered = measures.apply_filters(mart, m.dim_product, families=FILTER["families"])
     return measures.detail_table(filtered, ["BELOW_PLAN", "AT_OR_ABOVE_PLAN", "NO_FORECAST"])
 
 
@@ -145,7 +155,9 @@ def _star_rollup(m: SampleModel) -> DataFrame:
 
 def _reconciliation(m: SampleModel) -> DataFrame:
     return measures.reconciliation(
-        measures.reconciliation_amounts(m.typed, m.mart, m.fct_orders, m.rejects)
+        measures.reconciliation_amounts(
+            measures.source_lines(m.raw_orders), m.mart, m.fct_orders, m.rejects
+        )
     )
 
 
@@ -248,12 +260,22 @@ def _check_partition_complete(m: SampleModel) -> DataFrame:
 
 
 def _check_reconciles(m: SampleModel) -> DataFrame:
-    def check(name: str, mart: DataFrame) -> DataFrame:
-        amounts = measures.reconciliation_amounts(m.typed, mart, m.fct_orders, m.rejects)
+    def check(name: str, raw: DataFrame, mart: DataFrame) -> DataFrame:
+        amounts = measures.reconciliation_amounts(
+            measures.source_lines(raw), mart, m.fct_orders, m.rejects
+        )
         return checks.counted(name, checks.unreconciled(measures.reconciliation(amounts)))
 
     mapped_only = m.mart.where(F.col("region") != rules.UNMAPPED)
-    return check("reconciles", m.mart).unionByName(check("unmapped_dropped", mapped_only))
+    # Quantities that an integer can't hold are lost by the cast, not by the source.
+    huge = m.raw_orders.withColumn("quantity", F.when(
+        F.col("order_status") == "Cancelled", F.concat("quantity", F.lit("0000000000"))
+    ).otherwise(F.col("quantity")))
+    return checks.together([
+        check("reconciles", m.raw_orders, m.mart),
+        check("unmapped_dropped", m.raw_orders, mapped_only),
+        check("quantity_lost", huge, m.mart),
+    ])
 
 
 def _check_duplicates(m: SampleModel) -> DataFrame:
@@ -279,6 +301,10 @@ def _check_unmapped(m: SampleModel) -> DataFrame:
     return checks.together([
         checks.counted("unmapped", checks.wrongly_unmapped(m.enriched, m.accounts), F.col("n")),
         checks.counted("accounts_lost", checks.wrongly_unmapped(m.enriched, fewer), F.col("n")),
+        checks.counted("rows_kept", checks.dropped(m.orders, m.enriched), F.col("n")),
+        checks.counted("rows_dropped", checks.dropped(
+            m.orders, m.enriched.where(F.col("region") != rules.UNMAPPED)
+        ), F.col("n")),
     ])
 
 
@@ -369,7 +395,9 @@ QUERIES: dict[str, Query] = {
     "filtered_mart": _of(_filtered_mart),
     "filtered_orders": _of(_filtered_orders),
     "entitled_mart": _of(
-        lambda m: measures.entitled(m.mart, m.entitlements, "nation_7@example.com")
+        lambda m: m.mart_of(
+            lambda rows, _: measures.entitled(rows, m.entitlements, "nation_7@example.com")
+        )
     ),
     "star_rollup": _of(_star_rollup),
     "orders_by_segment": _of(
@@ -388,8 +416,11 @@ QUERIES: dict[str, Query] = {
     "flag_cells": _of(lambda m: measures.flag_cells(m.mart)),
     "flag_pivot": _of(lambda m: measures.flag_pivot(m.mart, [*REGIONS, rules.UNMAPPED])),
     "cell_composition": _of(lambda m: measures.cell_composition(m.mart)),
+    "composition_pivot": _of(
+        lambda m: measures.composition_pivot(m.mart, [*REGIONS, rules.UNMAPPED])
+    ),
     "flag_counts_two_grains": _of(lambda m: measures.flag_counts_two_grains(m.mart)),
-    "reconciliation": _of(_reconciliation),
+    "reconciliation": _of(_reconciliation, settled=True),
     # delivery
     "delivery_distribution": _of(lambda m: measures.delivery_distribution(m.fct_orders)),
     "on_time_by_region": _of(lambda m: measures.on_time_by_region(m.fct_orders)),
@@ -400,7 +431,7 @@ QUERIES: dict[str, Query] = {
     # margin and products
     "margin_coverage": _of(lambda m: measures.margin_coverage(m.fct_orders)),
     "margin_by_product": _of(
-        lambda m: measures.margin_by_product(m.mart, m.fct_orders, m.dim_product)
+        lambda m: measures.margin_by_product(m.mart, m.fct_orders, m.dim_product), settled=True
     ),
     "uncovered_orders": _of(lambda m: measures.uncovered_orders(m.fct_orders)),
     "uncovered_products": _of(lambda m: measures.uncovered_products(m.fct_orders)),
@@ -425,16 +456,16 @@ QUERIES: dict[str, Query] = {
     # checks
     "check_suite": _of(_check_suite, settled=True),
     "check_unique": _of(_check_unique, settled=True),
-    "check_not_null": _of(_check_not_null),
-    "check_accepted_values": _of(_check_accepted_values),
+    "check_not_null": _of(_check_not_null, settled=True),
+    "check_accepted_values": _of(_check_accepted_values, settled=True),
     "check_relationships": _of(_check_relationships, settled=True),
     "check_unique_grain": _of(_check_unique_grain),
     "check_partition_complete": _of(_check_partition_complete),
     "check_reconciles": _of(_check_reconciles, settled=True),
     "check_duplicates_quarantined": _of(_check_duplicates),
-    "check_margin_null": _of(_check_margin_null),
-    "check_unmapped": _of(_check_unmapped),
-    "check_cancelled": _of(_check_cancelled),
-    "check_backdated": _of(_check_backdated),
+    "check_margin_null": _of(_check_margin_null, settled=True),
+    "check_unmapped": _of(_check_unmapped, settled=True),
+    "check_cancelled": _of(_check_cancelled, settled=True),
+    "check_backdated": _of(_check_backdated, settled=True),
     "check_outer_join_survival": _of(_check_outer_join_survival, settled=True),
 }

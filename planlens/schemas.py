@@ -35,6 +35,7 @@ RAW_SCHEMAS = {
     ),
 }
 
+# The metadata of a landed row, and the grain of the mart.
 METADATA_COLUMNS = ("_loaded_at", "_source_file", "_batch_id")
 
 GRAIN = ["product_id", "region", "revenue_month"]

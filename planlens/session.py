@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,12 +22,19 @@ SETTINGS = {
 # Shuffle partitions are sized to about this much data each, so that one fits in
 # an executor's memory share; AQE merges the ones that turn out small.
 PARTITION_BYTES = 128 * 1024 * 1024
-MIN_PARTITIONS, MAX_PARTITIONS = 200, 100_000
+MIN_PARTITIONS = 200
 
 
 def shuffle_partitions(input_bytes: int) -> int:
     """Partitions for shuffles over ``input_bytes`` of order lines."""
-    return max(MIN_PARTITIONS, min(MAX_PARTITIONS, -(-input_bytes // PARTITION_BYTES)))
+    return max(MIN_PARTITIONS, -(-input_bytes // PARTITION_BYTES))
+
+
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes of all files under ``folder``, as its file system counts them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(path).getLength()
 
 
 def build_session(
@@ -44,28 +52,39 @@ def build_session(
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession) -> str | None:
+def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder the session names (``spark.checkpoint.dir``).
 
-    A local session without one gets a temporary folder. A cluster without one
-    gets None: a machine-local folder there would not survive the machine.
+    Only a local session may leave it unset, and gets a temporary folder that goes with the
+    session. On a cluster a folder of one machine would not outlive that machine.
     """
     context = spark.sparkContext
-    if context.getCheckpointDir() is None and context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="planlens-checkpoint-"))
+    if context.getCheckpointDir() is None:
+        if not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder that the driver and all executors share"
+            )
+        folder = tempfile.mkdtemp(prefix="planlens-checkpoint-")
+        delete_on_exit(spark, folder)
+        context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Let the driver's JVM delete ``path`` when it ends, also after a failure."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Several consumers then scan the columns they need instead of recomputing
-    ``df``, and a lost executor costs a re-read. Without a shared folder the
-    consumers recompute.
+    ``df``, and a lost executor costs a re-read. The copy lives as long as the session's
+    JVM, since results read it when they are used.
     """
-    folder = shared_folder(df.sparkSession)
-    if folder is None:
-        return df
-    path = f"{folder}/settled/{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/settled/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    delete_on_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -46,6 +47,27 @@ class Warehouse:
         writer.saveAsTable(f"{layer}.{table}")
         return self.read(layer, table)
 
+    def replace_all(self, layer: str, tables: dict[str, DataFrame]) -> list[DataFrame]:
+        """Replace several tables together, or none.
+
+        Each is written under a name of its own first; if any write fails, all of those go.
+        Only then do they take the tables' names. The switch is one rename per table: a
+        crash between two of them leaves the new tables under their first names.
+        """
+        drafts = {table: f"{table}__next" for table in tables}
+        try:
+            concurrently(*[
+                partial(self.write, layer, drafts[table], df) for table, df in tables.items()
+            ])
+        except Exception:
+            for draft in drafts.values():
+                self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{draft}")
+            raise
+        for table, draft in drafts.items():
+            self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")
+            self.spark.sql(f"ALTER TABLE {layer}.{draft} RENAME TO {layer}.{table}")
+        return [self.read(layer, table) for table in tables]
+
     def view(self, layer: str, name: str, select: str) -> DataFrame:
         """A stored view over stored tables."""
         self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{name} AS {select}")

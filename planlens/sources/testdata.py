@@ -18,7 +18,7 @@ from planlens.functions import casts, rules
 from planlens.operators import joins
 from planlens.plans.pipeline import Pipeline
 from planlens.schemas import RAW_SCHEMAS
-from planlens.session import shared_folder
+from planlens.session import delete_on_exit, shared_folder
 
 AS_OF = "2024-01-31 00:00:00"
 BATCH_ID = "batch-0001"
@@ -47,16 +47,6 @@ _SCHEMAS = {
 _LANDED: set[str] = set()
 
 
-def _spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use every core on an input of fewer files than cores, which may not split.
-
-    Larger inputs are left alone: their splits already outnumber the cores. The
-    key columns together identify a row, so no single hot value gathers rows.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
-
-
 def _every(column: str, modulus: int, remainder: int = 0) -> Column:
     return F.col(column) % modulus == remainder
 
@@ -74,12 +64,10 @@ class SampleModel(Pipeline):
 
     def _land(self, name: str, derive: Callable[[], DataFrame]) -> DataFrame:
         """Land a derived extract once per session, as loading would, and read it back."""
-        folder = shared_folder(self.spark)
-        if folder is None:
-            return derive()
-        path = f"{folder}/landed/{zlib.crc32(self.sf_dir.encode())}/{name}"
+        path = f"{shared_folder(self.spark)}/landed/{zlib.crc32(self.sf_dir.encode())}/{name}"
         if path not in _LANDED:
             derive().write.mode("overwrite").parquet(path)
+            delete_on_exit(self.spark, path)
             _LANDED.add(path)
         return self.spark.read.schema(RAW_SCHEMAS[name]).parquet(path)
 
@@ -112,9 +100,9 @@ class SampleModel(Pipeline):
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_extendedprice", F.col("l_shipdate").cast("date").alias("l_shipdate"),
         )
-        lines = _spread(lines, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+        # Headers grow with the lines, so this join is a shuffle at every size.
         lines = joins.lookups(
-            lines, {"l_orderkey": headers, "l_partkey": brands, "l_suppkey": plants}
+            lines, {"l_orderkey": headers.hint("merge"), "l_partkey": brands, "l_suppkey": plants}
         )
 
         short_id = F.concat(

@@ -76,7 +76,8 @@ def test_dirty_extracts_partition_and_reconcile(spark, seed):
         (q * price for q, price in ((number(r[6]), number(r[7])) for r in rows)
          if q is not None and price is not None), D(0),
     )
-    amounts = measures.reconciliation_amounts(p.typed, p.mart, p.fct_orders, p.rejects)
+    amounts = measures.reconciliation_amounts(
+        measures.source_lines(p.raw_orders), p.mart, p.fct_orders, p.rejects
+    )
     row = measures.reconciliation(amounts).first()
     assert row.source == source and row.unexplained == 0
-    p.release()

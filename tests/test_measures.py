@@ -3,6 +3,7 @@
 from datetime import date
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from planlens.operators import measures
@@ -87,7 +88,12 @@ def test_one_good_month_outranks_the_rest(sample):
     assert cells[("P1", "EMEA")] == "AT_OR_ABOVE_PLAN"
     assert cells[("P1", "LATAM")] == "NO_ACTUALS"
     assert cells[("P1", "UNMAPPED")] == "NO_FORECAST"
-    pivot = by(measures.flag_pivot(sample.mart, ["EMEA", "LATAM", "UNMAPPED"]), "product_id")
+    regions = ["APAC", "EMEA", "LATAM", "UNMAPPED"]
+    pivot = by(measures.flag_pivot(sample.mart, regions), "product_id")
+    with pytest.raises(Exception, match="region is not listed: APAC"):
+        measures.flag_pivot(sample.mart, regions[1:]).collect()
+    wide = by(measures.composition_pivot(sample.mart, regions), "product_id")
+    assert wide["P1"].LATAM == "Jan 2025: NO_ACTUALS" and wide["P9"].LATAM == ""
     assert pivot["P1"].LATAM == "NO_ACTUALS" and pivot["P9"].LATAM is None
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from fixtures import ORDERS, REASONS
 from planlens.functions import rules
-from planlens.operators import checks, enrich, mart, measures, monthly, quality
+from planlens.operators import checks, mart, measures, monthly, quality
+from planlens.plans.pipeline import Pipeline
 
 
 def by(df, key):
@@ -77,15 +78,6 @@ def test_a_failed_lookup_costs_one_attribute(sample):
     assert rows["A5"].gross_margin == D("-10.00")
 
 
-def test_large_dimensions_enrich_alike(spark, sample):
-    expected = sorted(map(repr, sample.enriched.collect()))
-    for fits in ([False, True], [True, False], [False, False]):
-        other = enrich.enrich_orders(
-            sample.orders, sample.accounts, sample.products, fits=fits, hot_rows=3
-        )
-        assert sorted(map(repr, other.collect())) == expected
-
-
 def test_monthly_rollup_and_its_sql_twin(sample):
     rolled, twin = sample.monthly, monthly.monthly_revenue_sql(sample.enriched)
     assert rolled.schema.simpleString() == twin.schema.simpleString()
@@ -140,8 +132,9 @@ def test_dimensions(sample):
 
 
 def test_reconciliation(sample):
+    source = measures.source_lines(sample.raw_orders)
     amounts = measures.reconciliation_amounts(
-        sample.typed, sample.mart, sample.fct_orders, sample.rejects
+        source, sample.mart, sample.fct_orders, sample.rejects
     )
     row = measures.reconciliation(amounts).first()
     assert row.unexplained == 0 and row.source == row.accounted
@@ -151,6 +144,30 @@ def test_reconciliation(sample):
     )
 
 
+def test_what_a_cast_rounds_or_loses_does_not_reconcile(spark, sample):
+    for quantity, lost in (("3000000000", D("15000000000.00")), ("31.7", D("-1.50")), ("31.0", D("0"))):
+        raw = sample.raw_orders.withColumn("quantity", F.when(
+            F.col("order_id") == "A1", quantity).otherwise(F.col("quantity")))
+        broken = Pipeline(
+            raw_orders=raw, raw_accounts=sample.raw_accounts, raw_products=sample.raw_products,
+            raw_forecast=sample.raw_forecast, regions=sample.regions, calendar=sample.calendar,
+        )
+        row = measures.reconciliation(measures.reconciliation_amounts(
+            measures.source_lines(raw), broken.mart, broken.fct_orders, broken.rejects
+        )).first()
+        assert row.unexplained == lost
+
+
+def test_rows_lost_by_enrichment_are_counted(sample):
+    assert checks.dropped(sample.orders, sample.enriched).count() == 0
+    mapped = sample.enriched.where("region <> 'UNMAPPED'")
+    twice = sample.enriched.unionByName(sample.enriched)
+    assert checks.dropped(sample.orders, mapped).first().n == 2
+    assert checks.dropped(sample.orders, twice).first().n == sample.orders.count()
+    fanned = sample.mart.unionByName(sample.mart)
+    assert checks.lost_by_outer_join(sample.fct_forecast, sample.monthly, fanned).count() == 2
+
+
 def test_repeated_plan_key_is_caught_before_and_after_the_join(sample):
     twice = sample.forecast.unionByName(
         sample.forecast.where("forecast_id = 'F-1'").withColumn("forecast_id", F.lit("F-1b"))
@@ -159,7 +176,7 @@ def test_repeated_plan_key_is_caught_before_and_after_the_join(sample):
     assert checks.not_unique(twice, *grain).count() == 1
     fanned = mart.plan_vs_actual(sample.monthly, twice)
     amounts = measures.reconciliation_amounts(
-        sample.typed, fanned, sample.fct_orders, sample.rejects
+        measures.source_lines(sample.raw_orders), fanned, sample.fct_orders, sample.rejects
     )
     assert checks.unreconciled(measures.reconciliation(amounts)).count() == 1
 
