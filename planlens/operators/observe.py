@@ -90,11 +90,15 @@ def layer_row_counts(layers: dict[tuple[str, str], DataFrame]) -> DataFrame:
     return union.orderBy("layer", "table_name")
 
 
-def _since(log: DataFrame, as_of: str, days: int) -> Column:
-    """``start_time`` within ``days`` of ``as_of``. The bound takes the column's
-    own type, so that the comparison reaches the scan."""
-    bound = F.lit(as_of).cast(log.schema["start_time"].dataType)
-    return F.col("start_time") >= bound - F.make_dt_interval(F.lit(days))
+def _within(log: DataFrame, as_of: str, days: int) -> Column:
+    """``start_time`` in the ``days`` up to ``as_of``, both ends included. The bounds
+    take the column's own type, so that the comparison reaches the scan."""
+    end = F.lit(as_of).cast(log.schema["start_time"].dataType)
+    return F.col("start_time").between(end - F.make_dt_interval(F.lit(days)), end)
+
+
+def _of_database(log: DataFrame, database: str | None) -> DataFrame:
+    return log if database is None else log.where(F.col("database_name") == database)
 
 
 def cost_by_day(
@@ -105,18 +109,21 @@ def cost_by_day(
         usage = usage.where(F.col("warehouse_name").isin(list(warehouses)))
     credits = ("credits_used", "credits_used_compute", "credits_used_cloud_services")
     return (
-        usage.where(_since(usage, as_of, days))
+        usage.where(_within(usage, as_of, days))
         .groupBy("warehouse_name", F.to_date("start_time").alias("usage_day"))
         .agg(*[F.sum(c).alias(c) for c in credits])
         .orderBy(F.desc("usage_day"), "warehouse_name")
     )
 
 
-def recent_jobs(history: DataFrame, as_of: str, *, days: int = 7, limit: int = 200) -> DataFrame:
-    """The newest jobs of the window, elapsed time in seconds."""
+def recent_jobs(
+    history: DataFrame, as_of: str, *, days: int = 7, limit: int = 200, database: str | None = None
+) -> DataFrame:
+    """The newest jobs of the window, elapsed time in seconds; of one database if named."""
     seconds = (F.col("total_elapsed_time").cast("decimal(18,0)") / 1000).cast("decimal(18,3)")
     return (
-        history.where(_since(history, as_of, days))
+        _of_database(history, database)
+        .where(_within(history, as_of, days))
         .orderBy(F.desc("start_time"), F.desc("query_id"))
         .limit(limit)
         .select(
@@ -127,16 +134,22 @@ def recent_jobs(history: DataFrame, as_of: str, *, days: int = 7, limit: int = 2
     )
 
 
-def failed_jobs(history: DataFrame, as_of: str, *, days: int = 7) -> DataFrame:
+def failed_jobs(
+    history: DataFrame, as_of: str, *, days: int = 7, database: str | None = None
+) -> DataFrame:
     return (
-        history.where((F.col("execution_status") == "FAIL") & _since(history, as_of, days))
+        _of_database(history, database)
+        .where((F.col("execution_status") == "FAIL") & _within(history, as_of, days))
         .select("query_id", "query_type", "error_code", "error_message", "start_time")
         .orderBy(F.desc("start_time"), F.desc("query_id"))
     )
 
 
-def table_stats(tables: dict[tuple[str, str], DataFrame]) -> DataFrame:
-    """Row count and text bytes of each table, shaped for ``table_sizes``."""
+def table_stats(
+    tables: dict[tuple[str, str], DataFrame], *, catalog: str = "", altered: Column | None = None
+) -> DataFrame:
+    """Row count and text bytes of whole rows of each table, shaped for ``table_sizes``."""
+    altered = F.current_date() if altered is None else altered
     parts = []
     for (schema, name), df in tables.items():
         width = sum(
@@ -145,13 +158,14 @@ def table_stats(tables: dict[tuple[str, str], DataFrame]) -> DataFrame:
             F.lit(0),
         ).cast("bigint")
         parts.append(df.select(width.alias("w")).agg(
+            F.lit(catalog).alias("table_catalog"),
             F.lit(schema).alias("table_schema"),
             F.lit(name).alias("table_name"),
             F.coalesce(F.sum("w"), F.lit(0)).alias("active_bytes"),
             F.lit(0).cast("bigint").alias("time_travel_bytes"),
             F.lit(0).cast("bigint").alias("failsafe_bytes"),
             F.count("*").alias("row_count"),
-            F.current_date().alias("last_altered"),
+            altered.alias("last_altered"),
             F.lit(None).cast("date").alias("deleted"),
         ))
     union = parts[0]
@@ -160,8 +174,10 @@ def table_stats(tables: dict[tuple[str, str], DataFrame]) -> DataFrame:
     return union
 
 
-def table_sizes(stats: DataFrame) -> DataFrame:
-    """Storage of live tables."""
+def table_sizes(stats: DataFrame, *, catalog: str | None = None) -> DataFrame:
+    """Storage of live tables; of one catalog if named."""
+    if catalog is not None:
+        stats = stats.where(F.col("table_catalog") == catalog)
     return (
         stats.where(F.col("deleted").isNull())
         .select(

@@ -398,6 +398,22 @@ _SELECTS = {
         from (select order_id, customer_id, product_id, order_date, promised_delivery_date,
                      actual_delivery_date, quantity, unit_price, plant_location, order_status
               from raw_orders)""",
+    "land_csv_orders": """
+        select nullif(order_id, '') as order_id, nullif(customer_id, '') as customer_id,
+               nullif(product_id, '') as product_id, nullif(order_date, '') as order_date,
+               nullif(promised_delivery_date, '') as promised_delivery_date,
+               nullif(actual_delivery_date, '') as actual_delivery_date,
+               nullif(quantity, '') as quantity, nullif(unit_price, '') as unit_price,
+               nullif(plant_location, '') as plant_location,
+               nullif(order_status, '') as order_status,
+               '2024-01-31 00:00:00' as _loaded_at, 'oracle_orders.csv' as _source_file,
+               'batch-0001' as _batch_id
+        from raw_orders""",
+    "landed_csv_counts": """
+        select 'raw_oracle_orders' as table_name, count(*) as row_count from raw_orders
+        union all select 'raw_salesforce_accounts', count(*) from raw_accounts
+        union all select 'raw_adaptive_forecast', count(*) from forecast
+        union all select 'raw_erp_products', count(*) from raw_products""",
     "landed_row_counts": """
         select 'raw_oracle_orders' as table_name, count(*) as row_count from raw_orders
         union all select 'raw_salesforce_accounts', count(*) from raw_accounts
@@ -740,7 +756,21 @@ _SELECTS = {
                     as decimal(28,4)) as credits_used_compute,
                cast(sum(if(event_type = 'error', cast(value as decimal(18,4)), 0))
                     as decimal(28,4)) as credits_used_cloud_services
-        from events where ts >= timestamp '2024-01-31 00:00:00' - interval 30 day
+        from events
+        where ts between timestamp '2024-01-20 00:00:00' - interval 14 day
+                     and timestamp '2024-01-20 00:00:00'
+        group by all""",
+    "cost_of_warehouses": """
+        select 'WH_' || (user_id % 10) as warehouse_name, cast(ts as date) as usage_day,
+               cast(sum(cast(value as decimal(18,4))) as decimal(28,4)) as credits_used,
+               cast(sum(if(event_type = 'error', 0, cast(value as decimal(18,4))))
+                    as decimal(28,4)) as credits_used_compute,
+               cast(sum(if(event_type = 'error', cast(value as decimal(18,4)), 0))
+                    as decimal(28,4)) as credits_used_cloud_services
+        from events
+        where ts between timestamp '2024-01-20 00:00:00' - interval 14 day
+                     and timestamp '2024-01-20 00:00:00'
+          and user_id % 10 in (1, 4, 7)
         group by all""",
     "recent_jobs": """
         select event_id as query_id, event_type as query_type, 'user_' || user_id as user_name,
@@ -751,27 +781,66 @@ _SELECTS = {
                strftime(ts, '%Y-%m-%d %H:%M:%S') as start_time,
                cast(cast(cast(value as decimal(18,2)) * 100 as bigint) / 1000.0 as decimal(18,3))
                  as elapsed_seconds
-        from events where ts >= timestamp '2024-01-31 00:00:00' - interval 7 day
+        from events
+        where ts between timestamp '2024-01-20 00:00:00' - interval 7 day
+                     and timestamp '2024-01-20 00:00:00'
+          and user_id % 3 <> 0
         order by ts desc, event_id desc limit 200""",
     "failed_jobs": """
         select event_id as query_id, event_type as query_type, user_id as error_code,
                props as error_message, strftime(ts, '%Y-%m-%d %H:%M:%S') as start_time
         from events
-        where event_type = 'error' and ts >= timestamp '2024-01-31 00:00:00' - interval 7 day""",
+        where ts between timestamp '2024-01-20 00:00:00' - interval 7 day
+                     and timestamp '2024-01-20 00:00:00'
+          and event_type = 'error' and user_id % 3 <> 0""",
     "table_sizes": """
-        select 'RAW' as table_schema, 'customer' as table_name,
-               cast(sum(strlen(c_name)) as bigint) as active_bytes,
+        select 'RAW' as table_schema, 'raw_oracle_orders' as table_name,
+               cast(sum(coalesce(strlen(cast(order_id as varchar)), 0)
+                 + coalesce(strlen(cast(customer_id as varchar)), 0)
+                 + coalesce(strlen(cast(product_id as varchar)), 0)
+                 + coalesce(strlen(cast(order_date as varchar)), 0)
+                 + coalesce(strlen(cast(promised_delivery_date as varchar)), 0)
+                 + coalesce(strlen(cast(actual_delivery_date as varchar)), 0)
+                 + coalesce(strlen(cast(quantity as varchar)), 0)
+                 + coalesce(strlen(cast(unit_price as varchar)), 0)
+                 + coalesce(strlen(cast(plant_location as varchar)), 0)
+                 + coalesce(strlen(cast(order_status as varchar)), 0)) as bigint) as active_bytes,
+               cast(0 as bigint) as time_travel_bytes, cast(0 as bigint) as failsafe_bytes,
+               count(*) as row_count, date '2024-01-31' as last_altered
+        from raw_orders
+        union all
+        select 'RAW' as table_schema, 'raw_salesforce_accounts' as table_name,
+               cast(sum(coalesce(strlen(cast(account_id as varchar)), 0)
+                 + coalesce(strlen(cast(customer_id as varchar)), 0)
+                 + coalesce(strlen(cast(account_name as varchar)), 0)
+                 + coalesce(strlen(cast(region as varchar)), 0)
+                 + coalesce(strlen(cast(account_owner as varchar)), 0)
+                 + coalesce(strlen(cast(segment as varchar)), 0)
+                 + coalesce(strlen(cast(active_flag as varchar)), 0)) as bigint) as active_bytes,
                cast(0 as bigint) as time_travel_bytes, cast(0 as bigint) as failsafe_bytes,
-               count(*) as row_count, date '2024-01-30' as last_altered
-        from customer
-        union all select 'RAW', 'part', cast(sum(strlen(p_name)) as bigint), 0, 0, count(*),
-               date '2024-01-29' from part
-        union all select 'RAW', 'supplier', cast(sum(strlen(s_name)) as bigint), 0, 0, count(*),
-               date '2024-01-29' from supplier
-        union all select 'STAGING', 'events', cast(sum(strlen(props)) as bigint), 0, 0, count(*),
-               date '2024-01-28' from events
-        union all select 'ANALYTICS', 'orders', cast(sum(strlen(o_orderpriority)) as bigint),
-               0, 0, count(*), date '2024-01-26' from orders""",
+               count(*) as row_count, date '2024-01-31' as last_altered
+        from raw_accounts
+        union all
+        select 'RAW' as table_schema, 'raw_adaptive_forecast' as table_name,
+               cast(sum(coalesce(strlen(cast(forecast_id as varchar)), 0)
+                 + coalesce(strlen(cast(product_id as varchar)), 0)
+                 + coalesce(strlen(cast(region as varchar)), 0)
+                 + coalesce(strlen(cast(forecast_month as varchar)), 0)
+                 + coalesce(strlen(cast(forecast_revenue as varchar)), 0)
+                 + coalesce(strlen(cast(forecast_quantity as varchar)), 0)) as bigint) as active_bytes,
+               cast(0 as bigint) as time_travel_bytes, cast(0 as bigint) as failsafe_bytes,
+               count(*) as row_count, date '2024-01-31' as last_altered
+        from forecast
+        union all
+        select 'RAW' as table_schema, 'raw_erp_products' as table_name,
+               cast(sum(coalesce(strlen(cast(product_id as varchar)), 0)
+                 + coalesce(strlen(cast(product_name as varchar)), 0)
+                 + coalesce(strlen(cast(product_family as varchar)), 0)
+                 + coalesce(strlen(cast(lifecycle_status as varchar)), 0)
+                 + coalesce(strlen(cast(standard_cost as varchar)), 0)) as bigint) as active_bytes,
+               cast(0 as bigint) as time_travel_bytes, cast(0 as bigint) as failsafe_bytes,
+               count(*) as row_count, date '2024-01-31' as last_altered
+        from raw_products""",
     # checks
     "check_suite": _suite(),
     "check_unique": _failing(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from planlens.functions import casts, rules
 from planlens.operators import checks, measures, monthly, observe, quality
+from planlens.schemas import SOURCE_TABLES
 from planlens.sources import landing
 from planlens.sources.run_artifacts import parse_run_artifacts
 from planlens.sources.testdata import AS_OF, BATCH_ID, REGIONS, SampleModel
@@ -20,6 +21,9 @@ FILTER = {
     "families": ["ECONOMY", rules.UNKNOWN],
     "months": ("1996-01-01", "2000-12-01"),
 }
+# Within the events, so that the windows leave rows out at both ends.
+JOBS_AS_OF = "2024-01-20 00:00:00"
+
 DOMAINS = {
     "regions": REGIONS,
     "segments": ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"),
@@ -35,15 +39,6 @@ def _of(build: Callable[[SampleModel], DataFrame], settled: bool = False) -> Que
 # -- sources -----------------------------------------------------------------
 
 
-def _raw_tables(m: SampleModel) -> dict[str, DataFrame]:
-    return {
-        "raw_oracle_orders": m.raw_orders,
-        "raw_salesforce_accounts": m.raw_accounts,
-        "raw_adaptive_forecast": m.raw_forecast,
-        "raw_erp_products": m.raw_products,
-    }
-
-
 def _landed(m: SampleModel) -> DataFrame:
     stamped = landing.stamp_metadata(
         m.raw_orders,
@@ -54,8 +49,12 @@ def _landed(m: SampleModel) -> DataFrame:
     return observe.stamp_text(stamped, "_loaded_at")
 
 
+def _landed_csv(m: SampleModel) -> DataFrame:
+    return observe.stamp_text(m.landed_extract("oracle_orders.csv"), "_loaded_at")
+
+
 def _layers(m: SampleModel) -> DataFrame:
-    tables = {("raw", name): df for name, df in _raw_tables(m).items()}
+    tables = {("raw", name): df for name, df in m.raw_tables.items()}
     tables.update({
         ("staging", "stg_accounts"): m.accounts,
         ("staging", "stg_products"): m.products,
@@ -355,7 +354,11 @@ def _check_suite(m: SampleModel) -> DataFrame:
 QUERIES: dict[str, Query] = {
     # sources
     "land_raw_orders": _of(_landed),
-    "landed_row_counts": _of(lambda m: landing.landed_row_counts(_raw_tables(m))),
+    "land_csv_orders": _of(_landed_csv),
+    "landed_csv_counts": _of(lambda m: landing.landed_row_counts(
+        {table: m.landed_extract(name) for name, table in SOURCE_TABLES.items()}
+    )),
+    "landed_row_counts": _of(lambda m: landing.landed_row_counts(m.raw_tables)),
     "layer_row_counts": _of(_layers, settled=True),
     "run_results_summary": _of(
         lambda m: observe.run_summary(parse_run_artifacts(m.run_documents))
@@ -445,14 +448,17 @@ QUERIES: dict[str, Query] = {
         observe.freshness_by_source(m.load_log, AS_OF), "last_loaded_at"
     )),
     "freshness_verdict": _of(lambda m: observe.freshness_verdict(m.load_log, AS_OF)),
-    "cost_by_day": _of(lambda m: observe.cost_by_day(m.compute_usage, AS_OF)),
-    "recent_jobs": _of(
-        lambda m: observe.stamp_text(observe.recent_jobs(m.job_history, AS_OF), "start_time")
-    ),
-    "failed_jobs": _of(
-        lambda m: observe.stamp_text(observe.failed_jobs(m.job_history, AS_OF), "start_time")
-    ),
-    "table_sizes": _of(lambda m: observe.table_sizes(m.table_stats)),
+    "cost_by_day": _of(lambda m: observe.cost_by_day(m.compute_usage, JOBS_AS_OF, days=14)),
+    "cost_of_warehouses": _of(lambda m: observe.cost_by_day(
+        m.compute_usage, JOBS_AS_OF, days=14, warehouses=["WH_1", "WH_4", "WH_7"]
+    )),
+    "recent_jobs": _of(lambda m: observe.stamp_text(
+        observe.recent_jobs(m.job_history, JOBS_AS_OF, database="SHOP"), "start_time"
+    )),
+    "failed_jobs": _of(lambda m: observe.stamp_text(
+        observe.failed_jobs(m.job_history, JOBS_AS_OF, database="SHOP"), "start_time"
+    )),
+    "table_sizes": _of(lambda m: observe.table_sizes(m.table_stats, catalog="SHOP")),
     # checks
     "check_suite": _of(_check_suite, settled=True),
     "check_unique": _of(_check_unique, settled=True),

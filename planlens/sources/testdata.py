@@ -15,10 +15,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planlens.functions import casts, rules
-from planlens.operators import joins
+from planlens.operators import joins, observe
 from planlens.plans.pipeline import Pipeline
-from planlens.schemas import RAW_SCHEMAS
+from planlens.schemas import RAW_SCHEMAS, SOURCE_TABLES
 from planlens.session import delete_on_exit, shared_folder
+from planlens.sources.landing import read_extract, stamp_metadata
 
 AS_OF = "2024-01-31 00:00:00"
 BATCH_ID = "batch-0001"
@@ -222,22 +223,21 @@ class SampleModel(Pipeline):
     def load_log(self) -> DataFrame:
         """Load metadata of the four landed tables, aged by row key."""
 
-        def stamped(source: str, landed: str, key: str, least: int, spread: int) -> DataFrame:
+        def stamped(source: str, key: str, least: int, spread: int) -> DataFrame:
             age = F.make_dt_interval(
                 F.lit(0), F.lit(least) + F.col(key) % spread, F.col(key) % 60
             )
             return self.table(source).select(
-                F.lit(landed).alias("table_name"),
                 (F.lit(AS_OF).cast("timestamp") - age).alias("_loaded_at"),
                 F.concat(F.lit("load-"), (F.col(key) % spread).cast("string")).alias("_batch_id"),
             )
 
-        return (
-            stamped("lineitem", "raw_oracle_orders", "l_orderkey", 10, 90)
-            .unionByName(stamped("customer", "raw_salesforce_accounts", "c_custkey", 35, 40))
-            .unionByName(stamped("orders", "raw_adaptive_forecast", "o_orderkey", 47, 5))
-            .unionByName(stamped("part", "raw_erp_products", "p_partkey", 60, 7))
-        )
+        return observe.load_log({
+            "raw_oracle_orders": stamped("lineitem", "l_orderkey", 10, 90),
+            "raw_salesforce_accounts": stamped("customer", "c_custkey", 35, 40),
+            "raw_adaptive_forecast": stamped("orders", "o_orderkey", 47, 5),
+            "raw_erp_products": stamped("part", "p_partkey", 60, 7),
+        })
 
     @cached_property
     def job_history(self) -> DataFrame:
@@ -247,6 +247,7 @@ class SampleModel(Pipeline):
             F.col("event_type").alias("query_type"),
             F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("user_name"),
             F.lit("TRANSFORMER").alias("role_name"),
+            F.when(_every("user_id", 3), "OTHER").otherwise("SHOP").alias("database_name"),
             F.concat(F.lit("WH_"), (F.col("user_id") % 10).cast("string")).alias("warehouse_name"),
             F.when(failed, "FAIL").otherwise("SUCCESS").alias("execution_status"),
             F.when(failed, F.col("user_id")).alias("error_code"),
@@ -295,29 +296,49 @@ class SampleModel(Pipeline):
 
     @cached_property
     def table_stats(self) -> DataFrame:
-        """Row and text-byte counts of the given tables; 'labels' counts as dropped."""
-
-        def stats(schema: str, name: str, text: str, altered: str, deleted: bool) -> DataFrame:
-            size = F.coalesce(F.sum(F.octet_length(F.col(text).cast("string"))), F.lit(0))
-            return self.table(name).agg(
-                F.lit(schema).alias("table_schema"),
-                F.lit(name).alias("table_name"),
-                size.alias("active_bytes"),
-                F.lit(0).cast("bigint").alias("time_travel_bytes"),
-                F.lit(0).cast("bigint").alias("failsafe_bytes"),
-                F.count("*").alias("row_count"),
-                F.lit(altered).cast("date").alias("last_altered"),
-                F.lit(AS_OF if deleted else None).cast("date").alias("deleted"),
-            )
-
-        return (
-            stats("RAW", "customer", "c_name", "2024-01-30", False)
-            .unionByName(stats("RAW", "part", "p_name", "2024-01-29", False))
-            .unionByName(stats("RAW", "supplier", "s_name", "2024-01-29", False))
-            .unionByName(stats("STAGING", "events", "props", "2024-01-28", False))
-            .unionByName(stats("STAGING", "labels", "doc_id", "2024-01-27", True))
-            .unionByName(stats("ANALYTICS", "orders", "o_orderpriority", "2024-01-26", False))
+        """The landed tables, whole rows; one more that was dropped and one of another
+        catalog."""
+        altered = F.lit(AS_OF).cast("date")
+        raw = {("RAW", name): df for name, df in self.raw_tables.items()}
+        listed = observe.table_stats(raw, catalog="SHOP", altered=altered)
+        dropped = observe.table_stats(
+            {("RAW", "old_accounts"): self.raw_accounts}, catalog="SHOP", altered=altered
+        ).withColumn("deleted", altered)
+        foreign = observe.table_stats(
+            {("RAW", "accounts"): self.raw_accounts}, catalog="OTHER", altered=altered
         )
+        return listed.unionByName(dropped).unionByName(foreign)
+
+    @property
+    def raw_tables(self) -> dict[str, DataFrame]:
+        return {
+            "raw_oracle_orders": self.raw_orders,
+            "raw_salesforce_accounts": self.raw_accounts,
+            "raw_adaptive_forecast": self.raw_forecast,
+            "raw_erp_products": self.raw_products,
+        }
+
+    @cached_property
+    def extract_folder(self) -> str:
+        """The four extracts as CSV, a folder of files each, as a source would send them."""
+        folder = f"{shared_folder(self.spark)}/extracts/{zlib.crc32(self.sf_dir.encode())}"
+        if folder not in _LANDED:
+            for file_name, table in SOURCE_TABLES.items():
+                rows = self.raw_tables[table]
+                rows.write.mode("overwrite").csv(f"{folder}/{file_name}", header=True, escape='"')
+            delete_on_exit(self.spark, folder)
+            _LANDED.add(folder)
+        return folder
+
+    def landed_extract(self, file_name: str) -> DataFrame:
+        """An extract read and stamped as a load does; the source file is the folder's name."""
+        rows = read_extract(self.spark, self.extract_folder, file_name)
+        source = F.element_at(F.split("_metadata.file_path", "/"), -2)
+        return stamp_metadata(
+            rows.select("*", source.alias("_source")),
+            loaded_at=F.lit(AS_OF).cast("timestamp"), source_file=F.col("_source"),
+            batch_id=F.lit(BATCH_ID),
+        ).drop("_source")
 
     @cached_property
     def entitlements(self) -> DataFrame:

@@ -59,6 +59,11 @@ def test_jobs(spark):
     assert [r.query_id for r in recent] == [2, 1, 4]
     assert recent[1].elapsed_seconds == D("1.500")
     assert [r.query_id for r in observe.recent_jobs(jobs(spark), NOW, limit=1).collect()] == [2]
+    earlier = observe.recent_jobs(jobs(spark), "2025-06-10 00:59:59").collect()
+    assert [r.query_id for r in earlier] == [4, 3]
+    owned = jobs(spark).selectExpr("*", "if(query_id = 2, 'a', 'b') as database_name")
+    assert [r.query_id for r in observe.recent_jobs(owned, NOW, database="b").collect()] == [1, 4]
+    assert observe.failed_jobs(owned, NOW, database="b").count() == 0
     assert [r.query_id for r in observe.failed_jobs(jobs(spark), NOW).collect()] == [2]
 
 
@@ -72,7 +77,7 @@ def test_cost_by_day(spark):
     ).selectExpr(
         "*", "credits_used as credits_used_compute", "credits_used as credits_used_cloud_services"
     )
-    got = observe.cost_by_day(df, NOW).collect()
+    got = observe.cost_by_day(df, "2025-06-10 23:59:59").collect()
     assert [(r.warehouse_name, r.credits_used) for r in got] == [("a", D("3.5")), ("b", D("4.0"))]
     only = observe.cost_by_day(df, NOW, warehouses=["b"]).collect()
     assert [r.warehouse_name for r in only] == ["b"]
@@ -85,6 +90,9 @@ def test_table_sizes_skip_dropped_tables(spark, sample):
     assert all(r.active_bytes > 0 for r in rows)
     dropped = stats.selectExpr("* except (deleted)", "current_date() as deleted")
     assert observe.table_sizes(dropped).count() == 0
+    here = observe.table_stats({("RAW", "b"): sample.accounts}, catalog="HERE")
+    assert observe.table_sizes(here, catalog="HERE").count() == 1
+    assert observe.table_sizes(here, catalog="THERE").count() == 0
 
 
 def test_layer_counts(sample):
