@@ -14,7 +14,7 @@ from planlens.llm import (
 )
 from planlens.llm.oracle import ORACLE_SQL
 from planlens.llm.sampling import fold
-from planlens.session import settle, shared_folder
+from planlens.session import delete_on_exit, settle, shared_folder
 
 __all__ = ["QUERIES", "ORACLE_SQL"]
 
@@ -28,7 +28,9 @@ ARCHIVE_DATE = "2024-01-01T00:00:00Z"
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
-    archives = warc.write(pages, warc.new_folder(spark), date=ARCHIVE_DATE)
+    folder = warc.new_folder(spark)
+    delete_on_exit(spark, folder)
+    archives = warc.write(pages, folder, date=ARCHIVE_DATE)
     kind = pages.schema["page_id"].dataType
     return warc.read(archives, payloads=False).select(
         F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest",
@@ -93,7 +95,9 @@ def op5_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     upgrade = token_rollup.deletes(under(foreign, "words-1", "revised")).union(
         token_rollup.inserts(under(foreign, "pieces-1", "moved"))
     )
-    rollup = token_rollup.Rollup(spark, f"{shared_folder(spark)}/rollup/{uuid.uuid4().hex}")
+    folder = f"{shared_folder(spark)}/rollup/{uuid.uuid4().hex}"
+    delete_on_exit(spark, folder)
+    rollup = token_rollup.Rollup(spark, folder)
     for batch, changes in [
         ("load", load), ("short", short), ("load", load), ("titles", titles), ("upgrade", upgrade),
         ("titles", titles),

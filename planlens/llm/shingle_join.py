@@ -350,11 +350,12 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     ))
     key = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
     shared = grouped.where("_shared").select("key")
-    split = bloom.marked(docs.withColumn("_key", key), F.col("_key"), shared, "_maybe")
+    rows = docs.select(F.struct("*").alias("row"), key.alias("_key"))
+    split = bloom.marked(rows, F.col("_key"), shared, "_maybe")
     # What has neither copies nor links stays where it is; the rest meets its group.
     kept = grouped.where("_kept").select(F.col("key").alias("_key"), "_kept_id")
     chosen = (
         split.where("_maybe").join(kept, "_key")
-        .where(F.col("doc_id").eqNullSafe(F.col("_kept_id"))).dropDuplicates(["_key"])
+        .where(F.col("row.doc_id").eqNullSafe(F.col("_kept_id"))).dropDuplicates(["_key"])
     )
-    return split.where(~F.col("_maybe")).select(*docs.columns).union(chosen.select(*docs.columns))
+    return split.where(~F.col("_maybe")).select("row.*").union(chosen.select("row.*"))

@@ -83,11 +83,12 @@ def test_stripes_agree_with_whole_buckets(spark, rows, monkeypatch):
 
 def test_one_of_each_group_stays_with_its_columns(spark, rows):
     docs = spark.createDataFrame(
-        [(i, t, n, "x") for n, (i, t) in enumerate(rows)],
-        "doc_id long, text string, key long, root string",
+        [(i, t, n, "x", n) for n, (i, t) in enumerate(rows)],
+        "doc_id long, text string, key long, root string, _key long",
     )
     kept = sj.keep_one(docs)
     assert kept.columns == docs.columns
+    assert all(r.key == r._key for r in kept.collect())
     groups = {v[0] for v in brute_force(rows).values() if v[0] is not None}
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(groups)
 
