@@ -1,7 +1,7 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-The vocabulary is the words that tell toxic from other labelled texts apart; document
-frequencies are counted over all documents. The labelled examples are held in a block-max
+The vocabulary is the words whose texts are labelled toxic above all: candidates come from the
+examples, and are counted in all labelled texts. Document frequencies are of all documents. The labelled examples are held in a block-max
 inverted index: postings by word and block of examples, with the largest weight of each word in
 each block. A query visits blocks by their upper bound and stops at the first that can't
 reach its nearest neighbours so far, so the neighbours are exact. Neighbours vote by
@@ -20,11 +20,14 @@ from pyspark.sql import functions as F
 
 from planlens.llm import text as words
 from planlens.llm.sampling import ids_per_label
+from planlens.session import settle
 
 PER_LABEL = 2000  # labelled examples in the index, of each label
-TERMS = 512  # words in the vocabulary at most, of either direction
-LEAST_ODDS = 1.0  # of the logarithm of a word's odds ratio
-LEAST_SIGNAL = 4.0  # of that ratio by its standard error
+LEAST_TEXTS = 3  # toxic examples that have a word, for it to be a candidate
+CANDIDATES = 4096  # words of the examples that are counted in all labelled texts
+TERMS = 512  # words in the vocabulary at most
+LEAST_SHARE = 0.6  # of toxic texts among the labelled texts with a word, at the least
+SURE = 2.33  # standard errors by which the share must reach it: 99 of 100
 NEIGHBOURS = 25
 BLOCK = 64  # examples
 SOFTNESS = 0.05  # added to a distance before it is inverted
@@ -177,18 +180,19 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _frequencies(vocabulary: Vocabulary):
-    """How many texts have each term; the last count is of all texts."""
+def _occurring(vocabulary: Vocabulary):
+    """(doc_id, terms) of the texts that have some term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = len(vocabulary.hashes)
-        counts = np.zeros(m + 1, np.int64)
         for batch in batches:
             for part in words.pieces(batch, "text", 1 << 20):
-                _, term, _ = vocabulary.occurrences(*words.buffers(part.column("text")))
-                counts[:m] += np.bincount(term, minlength=m)[:m]
-                counts[m] += part.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(m + 1)), pa.array(counts)], ["term", "n"])
+                owner, term, _ = vocabulary.occurrences(*words.buffers(part.column("text")))
+                rows, starts = np.unique(owner, return_index=True)
+                bounds = pa.array(np.append(starts, len(term)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").take(pa.array(rows)), pa.ListArray.from_arrays(bounds, pa.array(term))],
+                    ["doc_id", "terms"],
+                )
 
     return run
 
@@ -207,22 +211,56 @@ def _vectors(vocabulary: Vocabulary):
     return run
 
 
-def _telling_words(sample: DataFrame) -> list[int]:
-    """The hashes of the words by which the labels of the sample differ most."""
+def _candidates(sample: DataFrame) -> np.ndarray:
+    """The hashes of words that are more frequent in toxic texts of the sample, those with
+    the largest likelihood ratio first."""
     totals = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     toxic, other = totals.get(1, 0), sum(n for k, n in totals.items() if k != 1)
     if not toxic or not other:
-        return []
+        return np.zeros(0, np.uint64)
     per_text = sample.mapInArrow(_terms, "label int, terms array<long>")
     has = per_text.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
-        F.count_if(F.col("label") == 1).alias("a"), F.count_if(F.col("label") != 1).alias("c")
+        F.count_if(F.col("label") == 1).cast("double").alias("a"),
+        F.count_if(F.col("label") != 1).cast("double").alias("c"),
+    )
+    a, c = F.col("a"), F.col("c")
+    either = (a + c) / (toxic + other)
+    part = lambda seen, expected: F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+    ratio = (
+        part(a, either * toxic) + part(toxic - a, (1 - either) * toxic)
+        + part(c, either * other) + part(other - c, (1 - either) * other)
+    )
+    more = has.where((a >= LEAST_TEXTS) & (a / toxic > c / other))
+    rows = more.orderBy(ratio.desc(), "term").limit(CANDIDATES).select("term").collect()
+    return np.array([r.term for r in rows], np.int64).view(np.uint64)
+
+
+def _telling(vocabulary: Vocabulary, texts: DataFrame, labelled: DataFrame) -> Vocabulary:
+    """The words of ``vocabulary`` that occur in toxic texts above all, by the counts in all
+    labelled texts, with document frequencies of all ``texts``."""
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    hits = settle(texts.mapInArrow(_occurring(vocabulary), f"doc_id {kind}, terms array<long>"))
+    each = hits.select("doc_id", F.explode("terms").alias("term"))
+    found = each.groupBy("term").agg(F.count("*").alias("n")).collect()  # at most CANDIDATES rows
+    frequency = {r.term: r.n for r in found}
+    label = labelled.where("label is not null and doc_id is not null").groupBy("doc_id").agg(
+        F.min("label").alias("label")
     )
-    a, c = F.col("a") + 0.5, F.col("c") + 0.5
-    b, d = F.lit(toxic) - F.col("a") + 0.5, F.lit(other) - F.col("c") + 0.5
-    odds = F.log(a / b) - F.log(c / d)
-    signal = F.abs(odds) / F.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
-    telling = has.where((F.abs(odds) >= LEAST_ODDS) & (signal >= LEAST_SIGNAL))
-    return [r.term for r in telling.orderBy(signal.desc(), "term").limit(TERMS).select("term").collect()]
+    split = each.join(label, "doc_id").groupBy("term").agg(
+        F.count_if(F.col("label") == 1).alias("a"), F.count_if(F.col("label") != 1).alias("c")
+    ).collect()
+    # Wilson's lower bound of a word's share of toxic texts.
+    bound = {}
+    for r in split:
+        n, share = r.a + r.c, r.a / (r.a + r.c)
+        spread = SURE * np.sqrt(share * (1 - share) / n + SURE**2 / (4 * n**2))
+        bound[r.term] = (share + SURE**2 / (2 * n) - spread) / (1 + SURE**2 / n)
+    kept = sorted(
+        (t for t, low in bound.items() if low >= LEAST_SHARE), key=lambda t: (-bound[t], t)
+    )[:TERMS]
+    everything = texts.count()
+    idf = np.array([np.log((1 + everything) / (1 + frequency[t])) + 1 for t in kept])
+    return Vocabulary(vocabulary.hashes[np.array(kept, np.int64)], idf)
 
 
 def learn(docs: DataFrame, labelled: DataFrame, *, per_label: int = PER_LABEL) -> Neighbourhood:
@@ -236,13 +274,8 @@ def learn(docs: DataFrame, labelled: DataFrame, *, per_label: int = PER_LABEL) -
     chosen = ids_per_label(labelled.select("doc_id", F.col("label").cast("int").alias("label")), per_label)
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     sample = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
-    hashes = np.array(_telling_words(sample.select("label", "text")), np.int64).view(np.uint64)
-    plain = Vocabulary(hashes, np.ones(len(hashes)))
-    counted = texts.select("text").mapInArrow(_frequencies(plain), "term long, n long")
-    counts = {r.term: r.n for r in counted.groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    everything = counts.get(len(hashes), 0)
-    idf = np.array([np.log((1 + everything) / (1 + counts.get(i, 0))) + 1 for i in range(len(hashes))])
-    vocabulary = Vocabulary(plain.hashes, idf)
+    hashes = _candidates(sample.select("label", "text"))
+    vocabulary = _telling(Vocabulary(hashes, np.ones(len(hashes))), texts, labelled)
     kind = sample.schema["doc_id"].dataType.simpleString()
     rows = sample.mapInArrow(
         _vectors(vocabulary), f"doc_id {kind}, label int, terms array<long>, weights array<double>"

@@ -51,8 +51,8 @@ def test_planted_words_are_caught(spark):
     sf_dir = "/root/testdata/sf0.01"
     rows = op7_toxicity(spark, sf_dir).join(
         spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang"), "doc_id"
-    ).join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id").where("held_out and lang = 'en'").collect()
-    toxic = [r.predicted for r in rows if r.toxic]
+    ).join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id").where("held_out").collect()
+    toxic = [r.predicted for r in rows if r.toxic and r.lang == "en"]
     other = [r.predicted for r in rows if not r.toxic]
     assert toxic and np.mean(toxic) >= 0.9 and np.mean(other) <= 0.02
 
