@@ -21,7 +21,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the network knows, with a score of 0.5 or more."""
+    """Documents in a language that the network knows, with a score of 0.35 or more."""
     labelled = docs.where(fold(F.col("doc_id"), 4) != 2)
     net = langid.learn(docs, labelled.select("doc_id", F.col("lang").alias("label")))
     return langid.keep_known(docs, net)
