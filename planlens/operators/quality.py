@@ -71,11 +71,12 @@ def reject_summary(flagged: DataFrame) -> DataFrame:
     """Rows, value and share of all source lines per reason.
 
     One pass: the aggregate yields a row per reason and one for clean lines, at
-    most five, and the share is taken over those.
+    most five, and the share is taken over those. A reason's total is wider than the
+    published amounts, as it may be of any number of lines.
     """
     per_reason = flagged.groupBy("dq_failure_reason").agg(
         F.count("*").alias("rejected_row_count"),
-        casts.money(F.sum("gross_revenue")).alias("rejected_revenue"),
+        F.sum("gross_revenue").cast("decimal(28,2)").alias("rejected_revenue"),
     )
     source_rows = F.sum("rejected_row_count").over(Window.partitionBy())
     return per_reason.select(

@@ -489,12 +489,12 @@ _SELECTS = {
     "orders_rejects": "select * from rejects",
     "reject_summary": """
         select dq_failure_reason, count(*) as rejected_row_count,
-               cast(sum(gross_revenue) as decimal(18,2)) as rejected_revenue,
+               cast(sum(gross_revenue) as decimal(28,2)) as rejected_revenue,
                cast(count(*) * 1.0 / (select count(*) from raw_orders) as decimal(18,4))
                  as pct_of_source_rows
         from rejects group by dq_failure_reason""",
     "reject_value_by_reason": """
-        select dq_failure_reason, cast(sum(gross_revenue) as decimal(18,2)) as rejected_revenue
+        select dq_failure_reason, cast(sum(gross_revenue) as decimal(28,2)) as rejected_revenue
         from rejects group by dq_failure_reason having sum(gross_revenue) is not null""",
     # enrichment, rollup, mart
     "orders_enriched": "select * from enriched",
