@@ -32,7 +32,7 @@ WIDTH = 5  # words of a shingle
 THRESHOLD = (4, 5)  # similarity as a fraction, so that it is compared without rounding
 TREES = 16
 LEVELS = 8
-FIRST_DEPTH = 5
+FIRST_DEPTH = 4  # longer prefixes nearly always miss some links, and then cost a round
 TARGET_RECALL = 0.9999
 STRIPE = 256  # texts of a bucket compared with each other in one piece
 BINS = 20

@@ -74,6 +74,12 @@ def test_every_link_is_found(spark, rows):
     assert got == wanted
 
 
+def test_longer_first_prefixes_end_alike(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    short = sorted(map(str, sj.link_counts(docs).collect()))
+    assert sorted(map(str, sj.link_counts(docs, first_depth=8).collect())) == short
+
+
 def test_stripes_agree_with_whole_buckets(spark, rows, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     whole = sorted(map(str, sj.link_counts(docs).collect()))
