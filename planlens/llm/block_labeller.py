@@ -418,13 +418,14 @@ def layouts(
 def learn(pages: DataFrame, *, sample: int = SAMPLE_PAGES, epochs: int = EPOCHS) -> Labeller:
     """A labeller from at most ``sample`` pages of up to ``SAMPLE_CHARS`` characters whose
     mark-up names an article, the same on every run, and random layouts of their texts.
+    Repeated rows count once.
     Without such a page it learns from built-in phrases alone."""
-    chosen = (
-        pages.select("page_id", F.col("html").cast("string").alias("html"))
-        .where((F.length("html") <= SAMPLE_CHARS) & F.col("html").rlike("(?i)<(article|main)[ >]"))
-        .orderBy(F.xxhash64("page_id"), "page_id", "html").limit(sample)
-    )
-    found = [blocks(r.html) for r in chosen.collect()]
+    usable = pages.select(F.col("html").cast("string").alias("html"), F.xxhash64("html", "page_id").alias("key"))
+    usable = usable.where((F.length("html") <= SAMPLE_CHARS) & F.col("html").rlike("(?i)<(article|main)[ >]"))
+    # Keys first, so that no task sends pages that others outrank.
+    keys = usable.select("key").distinct().orderBy("key").limit(sample)
+    chosen = usable.join(F.broadcast(keys), "key").groupBy("key").agg(F.min("html").alias("html"))
+    found = [blocks(r.html) for r in chosen.orderBy("key").collect()]
     labelled = [(p, l) for p in found for l in [marked_labels(p)] if l]
     real, labels = [p for p, _ in labelled], [l for _, l in labelled]
     drawn, marks = layouts(real, labels)
