@@ -196,16 +196,15 @@ def _compare_buckets(depth: int, done_depth: int):
         ])
         held: list[dict] = []
         bucket, out = None, []
-        for batch in batches:
-            for row in batch.to_pylist():
-                here = (row["tree"], row["prefix"], row["low"], row["high"])
-                if here != bucket:
-                    out += emit(held)
-                    held, bucket = [], here
-                    if len(out) >= 4096:
-                        yield pa.RecordBatch.from_pylist(out, schema)
-                        out = []
-                held.append(row)
+        for row in (r for b in batches for part in words.pieces(b, "text") for r in part.to_pylist()):
+            here = (row["tree"], row["prefix"], row["low"], row["high"])
+            if here != bucket:
+                out += emit(held)
+                held, bucket = [], here
+                if len(out) >= 4096:
+                    yield pa.RecordBatch.from_pylist(out, schema)
+                    out = []
+            held.append(row)
         out += emit(held)
         yield pa.RecordBatch.from_pylist(out, schema)
 

@@ -38,7 +38,7 @@ def buffers(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def pieces(batch: pa.RecordBatch, column: str, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, column: str, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` with about ``size`` bytes of text each, whole rows only."""
     if not batch.num_rows:
         return
