@@ -24,6 +24,7 @@ from planlens.session import settle
 
 PER_LABEL = 2000  # labelled examples in the index, of each label
 LEAST_TEXTS = 3  # toxic examples that have a word, for it to be a candidate
+LEAST_RATIO = 6.63  # its likelihood ratio statistic: 99 of 100
 CANDIDATES = 4096  # words of the examples that are counted in all labelled texts
 TERMS = 512  # words in the vocabulary at most
 LEAST_SHARE = 0.6  # of toxic texts among the labelled texts with a word, at the least
@@ -230,7 +231,7 @@ def _candidates(sample: DataFrame) -> np.ndarray:
         part(a, either * toxic) + part(toxic - a, (1 - either) * toxic)
         + part(c, either * other) + part(other - c, (1 - either) * other)
     )
-    more = has.where((a >= LEAST_TEXTS) & (a / toxic > c / other))
+    more = has.where((a >= LEAST_TEXTS) & (a / toxic > c / other) & (2 * ratio >= LEAST_RATIO))
     rows = more.orderBy(ratio.desc(), "term").limit(CANDIDATES).select("term").collect()
     return np.array([r.term for r in rows], np.int64).view(np.uint64)
 
@@ -246,7 +247,8 @@ def _telling(vocabulary: Vocabulary, texts: DataFrame, labelled: DataFrame) -> V
     label = labelled.where("label is not null and doc_id is not null").groupBy("doc_id").agg(
         F.min("label").alias("label")
     )
-    split = each.join(label, "doc_id").groupBy("term").agg(
+    labels = hits.join(label, "doc_id").select("label", F.explode("terms").alias("term"))
+    split = labels.groupBy("term").agg(
         F.count_if(F.col("label") == 1).alias("a"), F.count_if(F.col("label") != 1).alias("c")
     ).collect()
     # Wilson's lower bound of a word's share of toxic texts.
