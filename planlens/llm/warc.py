@@ -167,7 +167,7 @@ def records(stream, keep_payload: bool = True) -> Iterator[dict]:
             if not raw:
                 return
         inflate, taken = zlib.decompressobj(31), _Record(keep_payload)
-        begun = raw[:1]
+        begun = True  # the piece at hand starts with this member
         try:
             while True:
                 pending = raw
@@ -180,7 +180,7 @@ def records(stream, keep_payload: bool = True) -> Iterator[dict]:
                 if inflate.eof:
                     raw = inflate.unused_data
                     break
-                raw = stream.read(PIECE)
+                raw, begun = stream.read(PIECE), False
                 if not raw:
                     raise ValueError("archive ends within a record")
             row = taken.row()
@@ -189,7 +189,7 @@ def records(stream, keep_payload: bool = True) -> Iterator[dict]:
             if inflate.eof:
                 raw = inflate.unused_data
             else:  # look for the next member behind this one's first byte
-                raw = _next_member(raw[1:] if raw[:1] == begun else raw, stream)
+                raw = _next_member(raw[1:] if begun else raw, stream)
         yield row
 
 

@@ -52,6 +52,16 @@ def test_damage_costs_one_record():
     assert list(warc.records(io.BytesIO(b""))) == []
 
 
+def test_damage_up_to_the_edge_of_a_piece(monkeypatch):
+    """The next member starts just where a piece of the file does."""
+    parts = [member(i, bytes(np.random.default_rng(i).bytes(900))) for i in range(3)]
+    broken = bytearray(parts[0])
+    broken[-8] ^= 0xFF  # its checksum
+    monkeypatch.setattr(warc, "PIECE", len(parts[0]))
+    rows = list(warc.records(io.BytesIO(bytes(broken) + parts[1] + parts[2])))
+    assert [r.get("page_id") for r in rows] == [None, "1", "2"] and rows[0]["error"]
+
+
 def test_digests_and_lengths_are_verified():
     good = gzip.decompress(member(1, b"payload " * 20))
     for old, new in ((b"payload payload", b"payload PAYLOAD"), (b"Content-Length: 2", b"Content-Length: 1")):
