@@ -1,11 +1,12 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
 The vocabulary is the words whose texts are labelled toxic above all: candidates come from the
-examples, and are counted in all labelled texts. Document frequencies are of all documents. The labelled examples are held in a block-max
-inverted index: postings by word and block of examples, with the largest weight of each word in
-each block. A query visits blocks by their upper bound and stops at the first that can't
-reach its nearest neighbours so far, so the neighbours are exact. Neighbours vote by
-closeness, and a logistic fit of the examples' own left-out votes calibrates the score.
+examples, and are counted in all labelled texts. Document frequencies are of all documents.
+The labelled examples are held in a block-max inverted index: postings by word and block of
+examples, with the largest weight of each word in each block. A query visits blocks by their
+upper bound and stops at the first that can't reach its nearest neighbours so far, so the
+neighbours are exact. They vote by closeness, and a logistic fit of the examples' own
+left-out votes calibrates the score.
 """
 
 from __future__ import annotations
