@@ -436,6 +436,7 @@ def extract(pages: DataFrame, net: Labeller) -> DataFrame:
     """(page_id, url, text, n_chars): the main text of every page, its blocks joined by an
     empty line; the empty text if there is none. Null and empty pages have none; repeated rows
     give equal rows; there is no limit on a page's length."""
+    words.small_batches(pages)
     rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "html")
 

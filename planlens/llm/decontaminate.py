@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from planlens.llm.text import WORD
+from planlens.llm.text import WORD, small_batches
 
 WINDOW = 10
 SHARD_WORDS = 200_000  # item words per automaton; more items take more passes
@@ -224,6 +224,7 @@ def find_spans(
     items; repeated rows each get their own row; an empty benchmark finds nothing. One
     pass reads each document once per shard of items, and the passes' spans are merged.
     """
+    small_batches(docs)
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     passes = []
@@ -293,6 +294,7 @@ def clean(
     Returns the columns of ``docs``. Texts without an occurrence, null and empty ones
     included, come back unchanged; every repeated row is handled alike.
     """
+    small_batches(docs)
     position = docs.columns.index("text")
 
     def run(held):

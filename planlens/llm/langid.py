@@ -135,6 +135,7 @@ def learn(docs: DataFrame, labelled: DataFrame, *, per_label: int = PER_LABEL) -
     At most ``per_label`` texts of each language are used, and of each at most
     ``WINDOWS_PER_TEXT`` windows from places all over it. None without any labelled text.
     """
+    words.small_batches(docs)
     chosen = ids_per_label(labelled, per_label)  # a bounded number of rows
     last = F.greatest(F.length("text") - WINDOW, F.lit(0))
     place = lambda k: F.pmod(F.xxhash64("doc_id", F.lit(k)), last + 1).cast("int") + 1
@@ -201,6 +202,7 @@ def has_letter(text) -> F.Column:
 def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     """(doc_id, lang_pred, score). Null texts and texts without a letter are ``und`` with a
     score of 0, as is everything when nothing was learnt."""
+    words.small_batches(docs)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("letters", has_letter(F.col("text")))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -211,6 +213,7 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
 
 def keep_known(docs: DataFrame, net: Network | None) -> DataFrame:
     """The rows of ``docs``, all columns, whose language is known with ``LEAST_SCORE``."""
+    words.small_batches(docs)
     rows = docs.select("*", has_letter(F.col("text").cast("string")))
     return rows.mapInArrow(
         _labeller(net, docs.columns.index("text"), len(docs.columns), True), docs.schema

@@ -155,6 +155,7 @@ def learn(docs: DataFrame, labelled: DataFrame, *, per_label: int = PER_LABEL) -
     At most ``per_label`` rows of each label are used, the same on every run. Null labels,
     labels without a text and texts without a label are ignored.
     """
+    words.small_batches(docs)
     shares = labelled.agg(F.avg(F.col("label").cast("double")).alias("good")).first()
     chosen = ids_per_label(labelled, per_label)  # a bounded number of rows
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -184,6 +185,7 @@ def _scorer(ranking: Ranking, position: int, decide: bool):
 
 def score(docs: DataFrame, ranking: Ranking) -> DataFrame:
     """(doc_id, score). Null texts read as empty and get the empty text's score."""
+    words.small_batches(docs)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     scored = rows.mapInArrow(_scorer(ranking, 1, False), f"doc_id {kind}, text string, score double")
@@ -192,4 +194,5 @@ def score(docs: DataFrame, ranking: Ranking) -> DataFrame:
 
 def keep_good(docs: DataFrame, ranking: Ranking) -> DataFrame:
     """The rows of ``docs``, all columns, whose score reaches the quantile threshold."""
+    words.small_batches(docs)
     return docs.mapInArrow(_scorer(ranking, docs.columns.index("text"), True), docs.schema)

@@ -256,6 +256,7 @@ def similar(
     each other if equal. Shorter texts than a shingle are one shingle. Repeated rows are
     copies. Null ids are no least id unless there is no other. Empty tables give empty results.
     """
+    words.small_batches(docs)
     target = floor_depth(target_recall)
     body = F.coalesce(F.col("text").cast("string"), F.lit(""))
     texts = docs.select("doc_id", body.alias("text")).withColumn("key", F.md5("text"))

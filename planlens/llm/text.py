@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -20,7 +21,8 @@ _LOWER[65:91] += 32
 _IS_WORD = np.zeros(256, dtype=bool)
 _IS_WORD[48:58] = _IS_WORD[97:123] = _IS_WORD[128:] = True
 
-_PIECE = 1 << 20  # bytes hashed at a time
+BATCH_ROWS = 256
+_PIECE = 1 << 18  # bytes hashed at a time
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -38,6 +40,14 @@ def buffers(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def small_batches(df: DataFrame) -> None:
+    """Bounds the Arrow batches of the session to ``BATCH_ROWS`` texts: a batch is held by the
+    JVM and by the Python worker at once."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(df.sparkSession.conf.get(setting)) != BATCH_ROWS:
+        df.sparkSession.conf.set(setting, str(BATCH_ROWS))
+
+
 def pieces(batch: pa.RecordBatch, column: str, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` with about ``size`` bytes of text each, whole rows only."""
     if not batch.num_rows:

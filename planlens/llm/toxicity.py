@@ -273,6 +273,7 @@ def learn(docs: DataFrame, labelled: DataFrame, *, per_label: int = PER_LABEL) -
     frequencies are of all ``docs``. Null labels, and labels without a text, are ignored.
     Without labels every score is one half.
     """
+    words.small_batches(docs)
     share = labelled.agg(F.avg(F.col("label").cast("double")).alias("toxic")).first().toxic
     chosen = ids_per_label(labelled.select("doc_id", F.col("label").cast("int").alias("label")), per_label)
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -298,6 +299,7 @@ def score(docs: DataFrame, held) -> DataFrame:
     ``held`` is a broadcast ``Neighbourhood``. Null, empty and wordless texts, and texts
     without a telling word, have no evidence and the share of such examples as their score.
     """
+    words.small_batches(docs)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
