@@ -15,6 +15,7 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from planlens.llm.text import WORD, small_batches
 
@@ -292,32 +293,50 @@ def clean(
     and a document whose spans cover more than ``max_coverage`` of its words is dropped.
 
     Returns the columns of ``docs``. Texts without an occurrence, null and empty ones
-    included, come back unchanged; every repeated row is handled alike.
+    included, come back unchanged; every repeated row is handled alike. Every pass looks at
+    the whole text; the last one merges the spans of all, decides and cuts, so the result
+    doesn't depend on ``shard_words``.
     """
     small_batches(docs)
     position = docs.columns.index("text")
+    spare = "spans"
+    while spare in {c.lower() for c in docs.columns}:
+        spare = f"_{spare}"
+    kind = pa.list_(pa.list_(pa.int32()))
 
-    def run(held):
+    def run(held, first: bool, last: bool):
         def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             automaton = held.value
             for batch in batches:
-                keep, texts = [], []
-                for text in batch.column(position):
+                columns = list(batch.columns)
+                before = [()] * batch.num_rows if first else columns.pop().to_pylist()
+                keep, texts, found = [], [], []
+                for text, earlier in zip(batch.column(position), before):
                     text = text.as_py()
                     tokens = words(text)
                     spans, _ = automaton.match(tokens)
-                    spans = [s for s in spans if s[1] - s[0] > max_span]
+                    spans = [*map(tuple, earlier), *spans]
+                    if not last:
+                        found.append(spans)
+                        continue
+                    spans = [s for s in merge_spans(spans) if s[1] - s[0] > max_span]
                     covered = sum(b - a for a, b in spans)
                     keep.append(covered <= max_coverage * len(tokens))
                     texts.append(cut(text, spans))
-                columns = list(batch.columns)
+                if not last:
+                    names = [*batch.schema.names[:len(columns)], spare]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(found, kind)], names)
+                    continue
                 columns[position] = pa.array(texts, batch.schema.field(position).type)
-                whole = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+                whole = pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:len(columns)])
                 yield whole.filter(pa.array(keep, pa.bool_()))
 
         return over
 
-    for group in shards(benchmark, shard_words):
-        held = docs.sparkSession.sparkContext.broadcast(Automaton(group, window))
-        docs = docs.mapInArrow(run(held), docs.schema)
+    spark, schema = docs.sparkSession, docs.schema
+    helds = [spark.sparkContext.broadcast(Automaton(g, window)) for g in shards(benchmark, shard_words)]
+    carried = StructType([*schema.fields, StructField(spare, ArrayType(ArrayType(IntegerType())))])
+    for n, held in enumerate(helds, 1):
+        last = n == len(helds)
+        docs = docs.mapInArrow(run(held, n == 1, last), schema if last else carried)
     return docs

@@ -55,6 +55,25 @@ def test_cleaning_leaves_no_window_and_no_clean_text_changed(spark, case):
     assert {r.doc_id for r in dc.clean(frame, bench).collect()} == {i for i, _ in docs} - dropped
 
 
+@pytest.mark.parametrize("max_coverage", [0.5, 1.0])
+def test_cleaning_does_not_depend_on_the_shards(spark, case, max_coverage):
+    docs, items = case
+    parts = [" ".join(f"{c}{i}" for i in range(12)) for c in "ab"]
+    items = [*items, (20, parts[0]), (21, parts[1])]
+    half = f"{parts[0]} {' '.join(f'x{i}' for i in range(16))} {parts[1]}"  # 30 % and 30 % of 40 words
+    overlap = [" ".join(f"o{i}" for i in range(a, a + 12)) for a in (0, 6)]
+    items += [(22, overlap[0]), (23, overlap[1])]
+    rows = [*docs, (40, half), (41, "y " * 40 + " ".join(f"o{i}" for i in range(18)))]
+    frame = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, spans int")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    one, many = (
+        sorted(map(tuple, dc.clean(frame, bench, max_coverage=max_coverage, shard_words=n).collect()), key=str)
+        for n in (10**6, 20)
+    )
+    assert many == one
+    assert (40 in {r[0] for r in many}) == (max_coverage == 1.0)
+
+
 def test_cut_keeps_the_rest():
     text = "Keep this. One two, three! And that."
     assert dc.cut(text, [(2, 5)]) == "Keep this. ! And that."
