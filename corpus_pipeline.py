@@ -15,7 +15,7 @@ from planlens.session import settle
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose rank reaches the quantile of scores that splits the labelled rows."""
+    """Documents whose rank reaches the quantile of all their scores at the share of bad labels."""
     ranking = quality_rank.learn(docs, training_labels(spark, sf_dir, "quality"))
     return quality_rank.keep_good(docs, ranking)
 

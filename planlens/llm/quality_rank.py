@@ -4,13 +4,13 @@ Each document has a score that is linear in features of its characters, words an
 Of a pair of a good and a bad document the good one wins with the logistic chance of
 the difference of their scores; weights are learnt from preference pairs by that loss.
 A second logistic fit, with the shares of all labelled rows, makes a score a probability. The
-threshold is the quantile of scores at the share of bad rows.
+threshold is the quantile of all documents' scores at the share of bad rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -19,11 +19,14 @@ from pyspark.sql import functions as F
 
 from planlens.llm import text as words
 from planlens.llm.sampling import ids_per_label
+from planlens.session import settle
 
 PER_LABEL = 3000  # labelled rows used for fitting, of each label
 PAIRS = 30_000  # preference pairs drawn from them
 STEPS = 400
 PENALTY = 1e-3
+DIGITS = 12  # of a score; a text's batch may change those beyond
+CELLS = 4096  # of scores counted at a time
 
 # Classes of bytes: white space, digits, letters, each ASCII sign by itself, bytes above 0x7F.
 _CLASS = np.zeros(256, np.int64)
@@ -73,14 +76,15 @@ class Ranking:
     weights: np.ndarray
     slope: float
     offset: float
-    threshold: float
+    threshold: float  # for the sample; keep_good() takes that of all its documents
+    bad_share: float = 0.0  # of all labelled rows
 
     def strength(self, x: np.ndarray) -> np.ndarray:
         return np.clip((x - self.mean) / self.scale, -8, 8) @ self.weights
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """The chance of a good label, 0 to 1, rising with the ranking's strength."""
-        return _sigmoid(self.slope * self.strength(x) + self.offset)
+        return np.round(_sigmoid(self.slope * self.strength(x) + self.offset), DIGITS)
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -138,7 +142,9 @@ def fit(x: np.ndarray, good: np.ndarray, good_share: float, pairs: int = PAIRS)
     place = np.cumsum(share[order]) / share.sum()
     at = min(int(np.searchsorted(place, 1 - good_share + 1e-9, "right")), len(p) - 1)
     threshold = (p[order[at]] + p[order[max(at - 1, 0)]]) / 2
-    return Ranking(mean, scale, weights, max(float(slope), 1e-3), float(offset), float(threshold))
+    return Ranking(
+        mean, scale, weights, max(float(slope), 1e-3), float(offset), float(threshold), 1 - float(good_share)
+    )
 
 
 def _text_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +198,40 @@ def score(docs: DataFrame, ranking: Ranking) -> DataFrame:
     return scored.select("doc_id", "score")
 
 
+def quantile(scores: DataFrame, share: float) -> float:
+    """The middle between the scores before and after the lowest ``share`` of all rows'.
+
+    Exact: scores (0 to 1) are counted by cell, and those of the cell that holds the place by
+    finer cells, until a cell is one score. The driver sees ``CELLS`` counts at a time.
+    """
+
+    def at(rank: int) -> float:
+        low, width = 0.0, 1.0
+        while True:
+            here = scores.where((F.col("score") >= low) & (F.col("score") <= low + width))
+            cell = F.least(F.floor((F.col("score") - low) / (width / CELLS)), F.lit(CELLS - 1))
+            counted = here.groupBy(cell.alias("cell")).agg(
+                F.count("*").alias("n"), F.min("score").alias("low"), F.max("score").alias("high")
+            ).orderBy("cell").collect()
+            below = scores.where(F.col("score") < low).count() if low > 0 else 0
+            for r in counted:
+                below += r.n
+                if below > rank:
+                    break
+            if r.low == r.high:
+                return r.low
+            low, width = r.low, r.high - r.low
+
+    n = scores.count()
+    rejected = min(int(np.floor(share * n + 1e-9)), n - 1)
+    if rejected <= 0:
+        return 0.0
+    return (at(rejected - 1) + at(rejected)) / 2
+
+
 def keep_good(docs: DataFrame, ranking: Ranking) -> DataFrame:
-    """The rows of ``docs``, all columns, whose score reaches the quantile threshold."""
+    """The rows of ``docs``, all columns, whose score reaches the quantile of the scores of
+    all ``docs`` at the share of bad labels."""
+    ranking = replace(ranking, threshold=quantile(settle(score(docs, ranking).select("score")), ranking.bad_share))
     words.small_batches(docs)
     return docs.mapInArrow(_scorer(ranking, docs.columns.index("text"), True), docs.schema)

@@ -38,6 +38,29 @@ def test_nothing_to_prefer_scores_the_share():
     assert empty.score(of("a")) == pytest.approx(0.5)
 
 
+def test_quantile_is_that_of_all_rows(spark):
+    rng = np.random.default_rng(3)
+    scores = np.concatenate([rng.random(300) * 1e-9, rng.random(500), np.full(200, 0.25)])
+    frame = spark.createDataFrame([(float(s),) for s in scores], "score double")
+    ranked = np.sort(scores)
+    for rejected in (1, 299, 300, 450, 999):
+        assert qr.quantile(frame, rejected / 1000) == (ranked[rejected - 1] + ranked[rejected]) / 2
+    assert qr.quantile(frame, 0.0) == 0.0 and qr.quantile(frame.limit(0), 0.5) == 0.0
+
+
+def test_the_share_rejected_is_that_of_bad_labels(spark):
+    """Also where the labelled texts aren't distributed as the documents are."""
+    rng = np.random.default_rng(6)
+    text = lambda bad: " ".join("##" if rng.random() < bad else "word" for _ in range(40))
+    rows = [(i, text(0.05 + 0.9 * rng.random() ** 2)) for i in range(400)]
+    labelled = [(i, int(i % 4 != 0)) for i in range(400, 600)]
+    rows += [(i, text(0.0 if label else 1.0)) for i, label in labelled]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ranking = qr.learn(docs, spark.createDataFrame(labelled, "doc_id long, label int"))
+    other = docs.where("doc_id < 400")
+    assert qr.keep_good(other, ranking).count() == pytest.approx(300, abs=8)
+
+
 def test_held_out_accuracy(spark):
     sf_dir = "/root/testdata/sf0.01"
     rows = op4_quality_rank(spark, sf_dir).join(
