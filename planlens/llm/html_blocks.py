@@ -11,15 +11,26 @@ INLINE = frozenset(
     "a abbr b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr br".split()
 )
+# Formulas are read within their line.
+MATH = frozenset(
+    "math maction merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms "
+    "mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
+)
+INLINE |= MATH
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 # What holds no text for readers.
-UNREAD = ("script", "style", "noscript", "template", "svg", "math", "iframe", "object")
+UNREAD = ("script", "style", "noscript", "template", "iframe")
+# The same up to their end tag; without one before the next of their kind, the tag alone.
+_DRAWN = "svg|object|annotation-xml|annotation"
+_ATTRS = r"""(?:"[^"]*"|'[^']*'|[^'">])*"""
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     rf"|<(?P<raw>{'|'.join(UNREAD)})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<drawn>{_DRAWN})(?=[\s/>]){_ATTRS}(?<!/)>(?:(?!<(?P=drawn)[\s/>]).)*?</(?P=drawn)\s*>"
+    rf"|</?(?:{_DRAWN})(?=[\s/>]){_ATTRS}>"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
     r"|<[/a-zA-Z][^<>]*\Z"  # a tag that the end of the page cuts off
@@ -107,7 +118,7 @@ def blocks(page: str | None) -> list[Block]:
                         del stack[at:]
                     break
             continue
-        if tag in VOID:
+        if tag in VOID or tag in MATH and m["attrs"].endswith("/"):
             continue
         if tag in _CLOSES_PARAGRAPH:
             for at in range(len(stack) - 1, -1, -1):

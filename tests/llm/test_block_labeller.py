@@ -22,6 +22,18 @@ def test_blocks_of_odd_markup():
     assert len(blocks("<p>" * 3000 + "deep")) == 1
 
 
+def test_drawings_and_formulas_drop_no_text():
+    assert texts('<p>one</p><svg class="i"/><p>two</p>') == ["one", "two"]
+    assert texts("<p>one <svg width=1 /> on</p><svg><path d=''/></svg><p>two</p>") == ["one on", "two"]
+    assert texts("<p>one</p><svg><g><p>two</p><svg><title>t</title></svg><p>three</p>") == ["one", "two", "three"]
+    assert texts("<p>one</p><object data=x><p>two</p>") == ["one", "two"]
+    assert texts("<p>a<object data=x>no plug-in</object>b<p>two") == ["ab", "two"]
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mspace/><mn>2</mn></math> holds</p><math/><p>two") == [
+        "so x=2 holds", "two"]
+    (block,) = blocks("<math/><p>two")
+    assert block.path == ("p",)
+
+
 def test_gradients_are_those_of_the_loss():
     pages = [blocks("<nav>a b</nav><p>text, more.</p><p>x</p>"), blocks("<p>one</p>")]
     target = np.array([0, 1, 0, 1], np.float32)
