@@ -3,10 +3,9 @@
 A tree of the forest labels every text with ``LEVELS`` one-byte MinHash values; sorted
 by label, texts with a common prefix stand together. The join starts at long prefixes and
 shortens them. Texts with a common prefix in some tree are compared exactly, on their whole
-sets of shingles. From the similarities of the links found, and the chance of a pair of that
-similarity to share a prefix, it estimates how many links longer prefixes have missed, and
-stops when the share found reaches the target recall. At the shortest prefix even pairs just
-at the threshold are found with that probability.
+sets of shingles. The join stops when the least similar links found are of a similarity whose
+pairs share a prefix with the target recall as their chance. At the shortest prefix even pairs
+just at the threshold do.
 
 Equal texts are compared once, as a class of copies. A bucket whose texts are just those of
 an earlier bucket is left out, and a pair counts in the first bucket that holds it, so
@@ -32,7 +31,7 @@ WIDTH = 5  # words of a shingle
 THRESHOLD = (4, 5)  # similarity as a fraction, so that it is compared without rounding
 TREES = 16
 LEVELS = 8
-FIRST_DEPTH = 4  # longer prefixes nearly always miss some links, and then cost a round
+FIRST_DEPTH = 4  # finds all but links of less than 0.85; longer ones nearly always cost another round
 TARGET_RECALL = 0.9999
 STRIPE = 256  # texts of a bucket compared with each other in one piece
 BINS = 20
@@ -234,12 +233,9 @@ def _round(candidates: DataFrame, live: DataFrame, depth: int, done_depth: int)
 
 
 def _recall(bins: np.ndarray, depth: int) -> float:
-    """Links found, of those that the found ones let expect."""
-    found = bins.sum()
-    if not found:
-        return 0.0
-    middle = (np.arange(BINS) + 0.5) / BINS
-    return float(found / (bins / found_chance(middle, depth)).sum())
+    """The chance of the least similar of the links found, at the lower edge of their bin."""
+    some = np.flatnonzero(bins)
+    return float(found_chance(some[0] / BINS, depth)) if len(some) else 0.0
 
 
 def similar(

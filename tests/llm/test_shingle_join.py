@@ -123,6 +123,16 @@ def test_words_and_shingles_match_the_pattern():
         assert len(found) == len(shingles(text))
 
 
+def test_recall_is_that_of_the_least_similar_links():
+    depth, target = sj.floor_depth(sj.TARGET_RECALL), sj.TARGET_RECALL
+    bins = np.zeros(sj.BINS)
+    assert sj.FIRST_DEPTH > depth and sj._recall(bins, sj.FIRST_DEPTH) < target
+    bins[-1] = 10**6
+    assert sj._recall(bins, sj.FIRST_DEPTH) >= target
+    bins[int(0.8 * sj.BINS)] = 1
+    assert sj._recall(bins, sj.FIRST_DEPTH) < target <= sj._recall(bins, depth)
+
+
 def test_shortest_prefix_finds_pairs_at_the_threshold():
     for target in (0.95, 0.99, 0.9999):
         depth = sj.floor_depth(target)
