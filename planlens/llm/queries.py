@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planlens.llm import (
-    block_labeller, curriculum, decontaminate, langid, order_minhash, quality_rank, shingle_join,
-    token_rollup, toxicity, warc,
+    block_labeller, curriculum, decontaminate, langid, order_minhash, periodic_runs, quality_rank,
+    shingle_join, token_rollup, toxicity, warc,
 )
 from planlens.llm.oracle import ORACLE_SQL
 from planlens.llm.sampling import fold
@@ -144,6 +144,42 @@ def op10_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_labeller.extract(pages, block_labeller.learn(pages))
 
 
+def with_planted_runs(documents: DataFrame) -> DataFrame:
+    """(doc_id, text): with h the CRC-32 of the id and g = h // 10, where h is a multiple of 10
+    the words from number a = g % n repeat with period p = 1 + (n - a) // (3 + g % 8)."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    g = F.floor(F.col("_h") / 10)
+    a, n = F.col("_a"), F.col("_n")
+    period = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    unit = F.slice("_words", a + 1, F.col("_p"))
+    copies = F.ceil((n - a) / F.col("_p")).cast("int")
+    repeated = F.slice(F.flatten(F.array_repeat(unit, copies)), F.lit(1), n - a)
+    planted = F.array_join(F.concat(F.slice("_words", F.lit(1), a), repeated), " ")
+    return (
+        documents.select("doc_id", "text", h.alias("_h"))
+        .withColumn("_words", F.when(F.col("_h") % 10 == 0, words))
+        .withColumn("_n", F.size("_words"))
+        .withColumn("_a", F.when(n > 0, (g % n).cast("int")))
+        .withColumn("_p", period)
+        .select("doc_id", F.when(n > 0, planted).otherwise(F.col("text")).alias("text"))
+    )
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(with_planted_runs(_table(spark, sf_dir, "documents")))
+    best = periodic_runs.strongest(F.col("runs"))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", "n_words", F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"), F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(F.expr("(1000 * best.length) div best.period")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_order_minhash": op2_order_minhash,
@@ -155,4 +191,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix": op8_mix,
     "op9_shingle_join": op9_shingle_join,
     "op10_block_labeller": op10_block_labeller,
+    "op11_periodic_runs": op11_periodic_runs,
 }
