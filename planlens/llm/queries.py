@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planlens.llm import (
-    block_labeller, curriculum, decontaminate, langid, order_minhash, periodic_runs, quality_rank,
+    block_labeller, curriculum, decontaminate, langid, order_minhash, periodic_runs, pii, quality_rank,
     shingle_join, token_rollup, toxicity, warc,
 )
 from planlens.llm.oracle import ORACLE_SQL
@@ -180,6 +180,18 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts are those of the plain spans; ``n_added`` counts the disguised ones."""
+    found = pii.find_identifiers(_table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("plain", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.listed(F.col("plain")), 256).alias("base_sha256"),
+        pii.listed(F.concat("plain", "added")).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_order_minhash": op2_order_minhash,
@@ -192,4 +204,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_shingle_join": op9_shingle_join,
     "op10_block_labeller": op10_block_labeller,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_pii": op13_pii,
 }
