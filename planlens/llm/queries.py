@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from planlens.llm import (
     block_labeller, curriculum, decontaminate, langid, order_minhash, periodic_runs, pii, quality_rank,
-    shingle_join, token_rollup, toxicity, warc,
+    shingle_join, token_alignment, token_rollup, toxicity, warc,
 )
 from planlens.llm.oracle import ORACLE_SQL
 from planlens.llm.sampling import fold
@@ -180,6 +180,18 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TOKENIZERS = "/opt/tokenizers"  # public vocabulary files, read by the driver
+
+
+def op12_token_alignment(
+    spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS
+) -> DataFrame:
+    return token_alignment.align(
+        _table(spark, sf_dir, "documents"),
+        f"{tokenizers}/byte_bpe_50k.json", f"{tokenizers}/piece_bpe_32k.model",
+    )
+
+
 def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts are those of the plain spans; ``n_added`` counts the disguised ones."""
     found = pii.find_identifiers(_table(spark, sf_dir, "documents"))
@@ -204,5 +216,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_shingle_join": op9_shingle_join,
     "op10_block_labeller": op10_block_labeller,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_token_alignment": op12_token_alignment,
     "op13_pii": op13_pii,
 }
