@@ -67,6 +67,98 @@ def row_checks(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
     return df.agg(F.array(*counts).alias("checks")).select(F.inline("checks"))
 
 
+# -- many checks, one read of each table ----------------------------------------
+
+
+@dataclass(frozen=True)
+class Rows:
+    """Rows that meet a condition fail."""
+
+    name: str
+    table: str
+    condition: Column
+
+
+@dataclass(frozen=True)
+class Unique:
+    """Values on more than one row fail; a row missing any of the columns is not compared."""
+
+    name: str
+    table: str
+    columns: tuple[str, ...]
+
+
+@dataclass(frozen=True)
+class Orphans:
+    """Rows whose value no row of the parent has fail; rows without a value pass."""
+
+    name: str
+    table: str
+    column: str
+    parent: str
+    parent_column: str
+
+
+Check = Rows | Unique | Orphans
+
+
+def in_one_pass(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """(check_name, failing_rows) of all ``checks``, with one read of each table and one shuffle.
+
+    A row becomes one short record per key that is checked, and one per condition that it
+    fails; as a parent, one per key that it offers. Records are counted per check and key
+    before the shuffle, so a hot key, or a condition that every row fails, is a record per
+    task. Keys of different tables meet there, so no table is joined or broadcast.
+    """
+    if not checks:
+        raise ValueError("no checks")
+    wide = max([1, *[len(c.columns) for c in checks if isinstance(c, Unique)]])
+    records: dict[str, list[Column]] = {}
+
+    def record(number: int, table: str, keys: Sequence[str], where: Column, parent: bool = False) -> None:
+        padded = [F.col(k).cast("string") for k in keys] + [F.lit(None).cast("string")] * (wide - len(keys))
+        fields = [F.lit(number).alias("check"), F.lit(parent).alias("parent")]
+        fields += [k.alias(f"key{n}") for n, k in enumerate(padded)]
+        records.setdefault(table, []).append(F.when(where, F.struct(*fields)))
+
+    def present(*columns: str) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+
+    for number, check in enumerate(checks):
+        if isinstance(check, Rows):
+            record(number, check.table, (), check.condition)
+        elif isinstance(check, Unique):
+            record(number, check.table, check.columns, present(*check.columns))
+        else:
+            record(number, check.table, (check.column,), present(check.column))
+            record(number, check.parent, (check.parent_column,), present(check.parent_column), True)
+
+    read = [
+        tables[table].select(F.inline(F.array_compact(F.array(*of_table))))
+        for table, of_table in records.items()
+    ]
+    keys = [f"key{n}" for n in range(wide)]
+    counted_keys = together(read).groupBy("check", *keys).agg(
+        F.count_if(~F.col("parent")).alias("n"), F.bool_or("parent").alias("known")
+    )
+    kind = F.element_at(
+        F.array(*[F.lit(type(c).__name__) for c in checks]), F.col("check") + 1
+    )
+    failing = (
+        F.when(kind == Unique.__name__, (F.col("n") > 1).cast("bigint"))
+        .when((kind == Orphans.__name__) & F.col("known"), F.lit(0).cast("bigint"))
+        .otherwise(F.col("n"))
+    )
+    found = counted_keys.groupBy("check").agg(F.sum(failing).alias("failing_rows"))
+    spark = read[0].sparkSession
+    names = spark.range(len(checks)).select(F.col("id").cast("int").alias("check"))
+    name = F.element_at(F.array(*[F.lit(c.name) for c in checks]), F.col("check") + 1)
+    return names.join(found, "check", "left").select(
+        name.alias("check_name"),
+        F.coalesce("failing_rows", F.lit(0).cast("bigint")).alias("failing_rows"),
+    )
+
+
 def together(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
@@ -214,19 +306,14 @@ class Expectations:
     parents: dict[str, tuple[str, str]] = field(default_factory=dict)
     grain: Sequence[str] = ()
 
-    def results(self, table: str, df: DataFrame, tables: dict[str, DataFrame]) -> list[DataFrame]:
-        per_row = {
-            **{f"{table}.{c} not_null": is_missing(c) for c in self.not_null},
-            **{f"{table}.{c} accepted": is_unaccepted(c, v) for c, v in self.accepted.items()},
-        }
-        parts = [row_checks(df, per_row)] if per_row else []
-        parts += [counted(f"{table}.{c} unique", not_unique(df, c)) for c in self.unique]
-        if self.grain:
-            parts.append(counted(f"{table} grain", not_unique(df, *self.grain)))
-        for column, (parent, parent_column) in self.parents.items():
-            orphans = without_parent(df, column, tables[parent], parent_column)
-            parts.append(counted(f"{table}.{column} parent", orphans, F.col("n")))
-        return parts
+    def checks(self, table: str) -> list[Check]:
+        return [
+            *[Rows(f"{table}.{c} not_null", table, is_missing(c)) for c in self.not_null],
+            *[Rows(f"{table}.{c} accepted", table, is_unaccepted(c, v)) for c, v in self.accepted.items()],
+            *[Unique(f"{table}.{c} unique", table, (c,)) for c in self.unique],
+            *([Unique(f"{table} grain", table, tuple(self.grain))] if self.grain else []),
+            *[Orphans(f"{table}.{c} parent", table, c, *parent) for c, parent in self.parents.items()],
+        ]
 
 
 # The accepted vocabulary of the published model.
@@ -327,13 +414,17 @@ def model_expectations(domains: dict[str, Sequence[str]] = DOMAINS) -> dict[str,
     }
 
 
+def suite_checks(
+    expectations: dict[str, Expectations], only: Sequence[str] | None = None
+) -> list[Check]:
+    """The column checks of the named tables, in their order."""
+    return [c for table in only or expectations for c in expectations[table].checks(table)]
+
+
 def run_suite(
     tables: dict[str, DataFrame],
     expectations: dict[str, Expectations],
     only: Sequence[str] | None = None,
 ) -> DataFrame:
     """(check_name, failing_rows) for every column check of the named tables."""
-    parts: list[DataFrame] = []
-    for table in only or expectations:
-        parts += expectations[table].results(table, tables[table], tables)
-    return together(parts)
+    return in_one_pass(tables, suite_checks(expectations, only))

@@ -165,83 +165,87 @@ def _reconciliation(m: SampleModel) -> DataFrame:
 
 def _check_unique(m: SampleModel) -> DataFrame:
     twice = m.accounts.unionByName(m.accounts.where(F.col("segment") == "BUILDING"))
-    return checks.together([
-        checks.counted("typed.order_id", checks.not_unique(m.typed, "order_id")),
-        checks.counted("stg_orders.order_id", checks.not_unique(m.orders, "order_id")),
-        checks.counted("stg_accounts.customer_id", checks.not_unique(m.accounts, "customer_id")),
-        checks.counted("accounts_twice.customer_id", checks.not_unique(twice, "customer_id")),
-        checks.counted("stg_products.product_id", checks.not_unique(m.products, "product_id")),
-        checks.counted("stg_forecast.forecast_id", checks.not_unique(m.forecast, "forecast_id")),
-        checks.counted("dim_customer.customer_id", checks.not_unique(m.dim_customer, "customer_id")),
-        checks.counted("dim_product.product_id", checks.not_unique(m.dim_product, "product_id")),
-        checks.counted("dim_date.date_month", checks.not_unique(m.dim_date, "date_month")),
-        checks.counted("dim_region.region_name", checks.not_unique(m.dim_region, "region_name")),
-    ])
+    tables = {
+        "typed": m.typed, "stg_orders": m.orders, "stg_accounts": m.accounts,
+        "accounts_twice": twice, "stg_products": m.products, "stg_forecast": m.forecast,
+        "dim_customer": m.dim_customer, "dim_product": m.dim_product, "dim_date": m.dim_date,
+        "dim_region": m.dim_region,
+    }
+    keys = {
+        "typed": "order_id", "stg_orders": "order_id", "stg_accounts": "customer_id",
+        "accounts_twice": "customer_id", "stg_products": "product_id",
+        "stg_forecast": "forecast_id", "dim_customer": "customer_id",
+        "dim_product": "product_id", "dim_date": "date_month", "dim_region": "region_name",
+    }
+    return checks.in_one_pass(
+        tables, [checks.Unique(f"{table}.{key}", table, (key,)) for table, key in keys.items()]
+    )
 
 
 def _check_not_null(m: SampleModel) -> DataFrame:
-    def missing(table: str, *columns: str) -> dict[str, Column]:
-        return {f"{table}.{c}": checks.is_missing(c) for c in columns}
-
-    return checks.together([
-        checks.row_checks(m.typed, missing(
-            "typed", "order_id", "order_date", "unit_price", "quantity", "actual_delivery_date"
-        )),
-        checks.row_checks(m.enriched, missing(
-            "orders_enriched", "order_id", "region", "delivery_status", "revenue_month",
-            "gross_revenue", "segment", "standard_cost",
-        )),
-        checks.row_checks(m.mart, missing(
-            "mart", "product_id", "region", "revenue_month", "actual_revenue",
-            "revenue_variance", "forecast_revenue",
-        )),
+    columns = {
+        "typed": ("order_id", "order_date", "unit_price", "quantity", "actual_delivery_date"),
+        "orders_enriched": (
+            "order_id", "region", "delivery_status", "revenue_month", "gross_revenue", "segment",
+            "standard_cost",
+        ),
+        "mart": (
+            "product_id", "region", "revenue_month", "actual_revenue", "revenue_variance",
+            "forecast_revenue",
+        ),
+    }
+    return checks.in_one_pass({"typed": m.typed, "orders_enriched": m.enriched, "mart": m.mart}, [
+        checks.Rows(f"{table}.{c}", table, checks.is_missing(c))
+        for table, names in columns.items() for c in names
     ])
 
 
 def _check_accepted_values(m: SampleModel) -> DataFrame:
-    results = checks.together([
-        checks.row_checks(m.flagged, {
-            "order_status": checks.is_unaccepted("order_status", rules.ORDER_STATUSES),
-            "source_batch": checks.is_unaccepted("source_batch", rules.SOURCE_BATCHES),
-            "dq_failure_reason": checks.is_unaccepted("dq_failure_reason", rules.DEFECT_REASONS),
-            "plant_country": checks.is_unaccepted("plant_country", ["ASIA", "EUROPE"]),
-        }),
-        checks.row_checks(m.enriched, {
-            "region": checks.is_unaccepted("region", [*REGIONS, rules.UNMAPPED]),
-            "mapped_region": checks.is_unaccepted("region", REGIONS),
-            "delivery_status": checks.is_unaccepted("delivery_status", rules.DELIVERY_STATUSES),
-        }),
-        checks.row_checks(m.mart, {
-            "variance_flag": checks.is_unaccepted("variance_flag", rules.VARIANCE_FLAGS),
-        }),
+    accepted = [
+        ("order_status", "flagged", "order_status", rules.ORDER_STATUSES),
+        ("source_batch", "flagged", "source_batch", rules.SOURCE_BATCHES),
+        ("dq_failure_reason", "flagged", "dq_failure_reason", rules.DEFECT_REASONS),
+        ("plant_country", "flagged", "plant_country", ["ASIA", "EUROPE"]),
+        ("region", "enriched", "region", [*REGIONS, rules.UNMAPPED]),
+        ("mapped_region", "enriched", "region", REGIONS),
+        ("delivery_status", "enriched", "delivery_status", rules.DELIVERY_STATUSES),
+        ("variance_flag", "mart", "variance_flag", rules.VARIANCE_FLAGS),
+    ]
+    results = checks.in_one_pass({"flagged": m.flagged, "enriched": m.enriched, "mart": m.mart}, [
+        checks.Rows(name, table, checks.is_unaccepted(column, values))
+        for name, table, column, values in accepted
     ])
     return checks.verdicts(results, warn_only=["plant_country"])
 
 
 def _check_relationships(m: SampleModel) -> DataFrame:
-    def against(name: str, child: DataFrame, column: str, parent: DataFrame, key: str):
-        return checks.counted(name, checks.without_parent(child, column, parent, key), F.col("n"))
-
-    return checks.together([
-        against("orders-accounts", m.orders, "customer_id", m.accounts, "customer_id"),
-        against("orders-products", m.orders, "product_id", m.products, "product_id"),
-        against("orders-dim_customer", m.orders, "customer_id", m.dim_customer, "customer_id"),
-        against("orders-dim_product", m.orders, "product_id", m.dim_product, "product_id"),
-        against("forecast-products", m.forecast, "product_id", m.products, "product_id"),
-        against("dim_customer-dim_region", m.dim_customer, "region", m.dim_region, "region_name"),
-        against("mart-dim_region", m.mart, "region", m.dim_region, "region_name"),
+    tables = {
+        "orders": m.orders, "accounts": m.accounts, "products": m.products,
+        "forecast": m.forecast, "dim_customer": m.dim_customer, "dim_product": m.dim_product,
+        "dim_region": m.dim_region, "mart": m.mart,
+    }
+    parents = [
+        ("orders", "customer_id", "accounts", "customer_id"),
+        ("orders", "product_id", "products", "product_id"),
+        ("orders", "customer_id", "dim_customer", "customer_id"),
+        ("orders", "product_id", "dim_product", "product_id"),
+        ("forecast", "product_id", "products", "product_id"),
+        ("dim_customer", "region", "dim_region", "region_name"),
+        ("mart", "region", "dim_region", "region_name"),
+    ]
+    return checks.in_one_pass(tables, [
+        checks.Orphans(f"{child}-{parent}", child, column, parent, key)
+        for child, column, parent, key in parents
     ])
 
 
 def _check_unique_grain(m: SampleModel) -> DataFrame:
-    return checks.together([
-        checks.counted("mart", checks.not_unique(m.mart, "product_id", "region", "revenue_month")),
-        checks.counted("fct_forecast", checks.not_unique(
-            m.fct_forecast, "product_id", "region", "forecast_month"
-        )),
-        checks.counted("orders_by_month", checks.not_unique(
-            m.enriched, "product_id", "region", "revenue_month"
-        )),
+    cell = ("product_id", "region", "revenue_month")
+    plan = ("product_id", "region", "forecast_month")
+    tables = {"mart": m.mart, "fct_forecast": m.fct_forecast, "orders_by_month": m.enriched}
+    return checks.in_one_pass(tables, [
+        checks.Unique("mart", "mart", cell), checks.Unique("fct_forecast", "fct_forecast", plan),
+        checks.Unique("orders_by_month", "orders_by_month", cell),
     ])
 
 
