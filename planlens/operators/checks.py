@@ -189,11 +189,16 @@ def partition_complete(raw: DataFrame, clean: DataFrame, rejects: DataFrame) ->
     return together(tagged).agg(F.sum("n").alias("missing_rows")).where(F.col("missing_rows") != 0)
 
 
+def is_unreconciled(tolerance: str = "0.01") -> Column:
+    """More than a cent is unexplained."""
+    return F.abs("unexplained") > F.lit(tolerance).cast("decimal(28,2)")
+
+
 def unreconciled(reconciliation: DataFrame, tolerance: str = "0.01") -> DataFrame:
     """The reconciliation row, when more than a cent is unexplained."""
-    return reconciliation.where(
-        F.abs("unexplained") > F.lit(tolerance).cast("decimal(28,2)")
-    ).select("source", "accounted", "unexplained")
+    return reconciliation.where(is_unreconciled(tolerance)).select(
+        "source", "accounted", "unexplained"
+    )
 
 
 def duplicates_not_quarantined(

@@ -47,8 +47,11 @@ def plant_part(location: Column, position: int) -> Column:
     return F.trim(F.split_part(location, F.lit(","), F.lit(position)))
 
 
-def type_orders(raw: DataFrame) -> DataFrame:
-    """Order lines with types attached; text that does not parse becomes NULL."""
+def type_orders(raw: DataFrame, **carried: Column) -> DataFrame:
+    """Order lines with types attached; text that does not parse becomes NULL.
+
+    ``carried`` are further columns, computed from the cleaned texts.
+    """
     return (
         _cleaned(raw)
         .select(
@@ -61,6 +64,7 @@ def type_orders(raw: DataFrame) -> DataFrame:
             plant_part(F.col("plant_location"), 2).alias("plant_country"),
             "order_status",
             rules.source_batch(order_id=F.col("order_id")).alias("source_batch"),
+            *[column.alias(name) for name, column in carried.items()],
         )
         .withColumn("gross_revenue", casts.money(F.col("quantity") * F.col("unit_price")))
     )

@@ -19,7 +19,7 @@ def plan_cells(monthly: DataFrame, forecast: DataFrame) -> DataFrame:
 
     Both sides hold one row per cell (``forecast`` has to be unique on its keys,
     or actuals would fan out). A cell without orders has actuals of zero; a cell
-    without a plan has a plan of NULL.
+    without a plan has a plan of NULL. Further columns of ``monthly`` come along.
     """
     plan = forecast.select(
         "product_id", "region", F.col("forecast_month").alias("revenue_month"),
@@ -31,11 +31,13 @@ def plan_cells(monthly: DataFrame, forecast: DataFrame) -> DataFrame:
         "forecast_revenue",
         "forecast_quantity",
         *[F.coalesce(c, zero[c]).alias(c) for c in _ACTUALS],
+        *[c for c in monthly.columns if c not in {*GRAIN, *_ACTUALS}],
     )
 
 
 def plan_vs_actual(monthly: DataFrame, forecast: DataFrame) -> DataFrame:
-    """The published mart: every cell with its variance, coverage and flag."""
+    """The published mart: every cell with its variance, coverage and flag, and further columns
+    of ``monthly``, if it has any."""
     variance = F.col("actual_revenue") - F.coalesce("forecast_revenue", F.lit(0))
     arrived = F.col("on_time_count") + F.col("late_count")
     return plan_cells(monthly, forecast).select(
@@ -60,4 +62,5 @@ def plan_vs_actual(monthly: DataFrame, forecast: DataFrame) -> DataFrame:
             actual=F.col("actual_revenue"),
             order_count=F.col("order_count"),
         ).alias("variance_flag"),
+        *[c for c in monthly.columns if c not in {*GRAIN, *_ACTUALS}],
     )

@@ -452,18 +452,69 @@ def product_list(products: DataFrame) -> DataFrame:
 BUCKETS = ("recognised", "open", "cancelled", "other", "rejected")
 
 
-def source_lines(raw_orders: DataFrame) -> DataFrame:
-    """The revenue of every landed line, straight from its text.
+def source_revenue(price: Column, quantity: Column) -> Column:
+    """A landed line's revenue, straight from its texts.
 
     The price has the currency's two places, as published. The quantity is the number its
     text says, with its fraction and whatever its size: what the integer cast rounds or
     loses is revenue of the source.
     """
-    texts = raw_orders.select(
-        F.trim("unit_price").alias("price"), F.trim("quantity").alias("quantity")
+    return casts.lenient_money(price) * quantity.try_cast("decimal(20,4)")
+
+
+def source_lines(raw_orders: DataFrame) -> DataFrame:
+    """The revenue of every landed line, straight from its text."""
+    revenue = source_revenue(F.trim("unit_price"), F.trim("quantity"))
+    return raw_orders.select(revenue.alias("gross_revenue"))
+
+
+def _unrecognised_bucket() -> Column:
+    return rules.first_match(
+        (F.col("order_status") == "Open", "open"),
+        (F.col("order_status") == "Cancelled", "cancelled"),
+        otherwise="other",
     )
-    quantity = F.col("quantity").try_cast("decimal(20,4)")
-    return texts.select((casts.lenient_money(F.col("price")) * quantity).alias("gross_revenue"))
+
+
+def unrecognised_sums() -> dict[str, Column]:
+    """Aggregates over enriched orders: revenue per bucket that no cell recognises."""
+    waiting = F.when(~F.col("is_recognised_revenue"), _unrecognised_bucket())
+    return {
+        f"{bucket}_revenue": F.sum(F.when(waiting == bucket, F.col("gross_revenue")))
+        for bucket in BUCKETS[1:4]
+    }
+
+
+def reconciliation_totals(
+    lines: DataFrame,
+    cells: DataFrame,
+    *,
+    sources: Sequence[str] = ("source",),
+    recognised: dict[str, Column] | None = None,
+) -> DataFrame:
+    """One row: the source, and every place its revenue can land, from two passes.
+
+    ``lines`` are flagged lines that carry their source revenue (``sources``, more than one
+    to compare several readings of the text); ``cells`` is the mart with the
+    ``unrecognised_sums`` of its cells. Both are only summed, so whatever computes the lines
+    is read once, and what gets lost or multiplied on the way to the mart still shows.
+    ``recognised`` names sums of the mart's revenue under a condition.
+    """
+    recognised = recognised or {"recognised": F.lit(True)}
+    amount = lambda c: F.sum(c).cast("decimal(28,2)")
+    rejected = F.when(F.col("dq_failure_reason").isNotNull(), F.col("gross_revenue"))
+    parts = [
+        lines.agg(*[amount(c).alias(c) for c in sources], amount(rejected).alias("rejected")),
+        cells.agg(
+            *[amount(F.when(kept, F.col("actual_revenue"))).alias(n) for n, kept in recognised.items()],
+            *[amount(f"{b}_revenue").alias(b) for b in BUCKETS[1:4]],
+        ),
+    ]
+    both = parts[0].unionByName(parts[1], allowMissingColumns=True)
+    zero = F.lit(0).cast("decimal(28,2)")
+    return both.agg(*[
+        F.coalesce(F.sum(c), zero).cast("decimal(28,2)").alias(c) for c in both.columns
+    ])
 
 
 def reconciliation_amounts(
@@ -474,15 +525,10 @@ def reconciliation_amounts(
     The source side is ``source_lines``; the recognised side is read from the mart, so
     revenue lost or multiplied on the way there shows up as a difference.
     """
-    status = rules.first_match(
-        (F.col("order_status") == "Open", "open"),
-        (F.col("order_status") == "Cancelled", "cancelled"),
-        otherwise="other",
-    )
     parts = [
         (source, F.lit("source"), "gross_revenue"),
         (mart, F.lit("recognised"), "actual_revenue"),
-        (orders.where(~F.col("is_recognised_revenue")), status, "gross_revenue"),
+        (orders.where(~F.col("is_recognised_revenue")), _unrecognised_bucket(), "gross_revenue"),
         (rejects, F.lit("rejected"), "gross_revenue"),
     ]
     tagged = [
@@ -503,7 +549,12 @@ def reconciliation(amounts: DataFrame) -> DataFrame:
         matched = F.when(F.col("bucket") == bucket, F.col("amount"))
         return F.coalesce(F.sum(matched), zero).cast("decimal(28,2)").alias(bucket)
 
-    totals = amounts.agg(total("source"), *[total(b) for b in BUCKETS])
+    return explained(amounts.agg(total("source"), *[total(b) for b in BUCKETS]))
+
+
+def explained(totals: DataFrame) -> DataFrame:
+    """Totals by bucket in a row, with each one's share of the source, and what is
+    unexplained; further columns come along."""
     accounted = sum((F.col(b) for b in BUCKETS[1:]), F.col(BUCKETS[0])).cast("decimal(28,2)")
     return totals.select(
         "source",
@@ -511,6 +562,7 @@ def reconciliation(amounts: DataFrame) -> DataFrame:
         accounted.alias("accounted"),
         (F.col("source") - accounted).cast("decimal(28,2)").alias("unexplained"),
         *[casts.ratio(F.col(b), F.col("source")).alias(f"{b}_share") for b in BUCKETS],
+        *[c for c in totals.columns if c not in ("source", *BUCKETS)],
     )
 
 

@@ -17,11 +17,11 @@ def _sum_where(condition: Column, value: Column) -> Column:
     return F.coalesce(F.sum(F.when(condition, value)), F.lit(0))
 
 
-def monthly_revenue(enriched: DataFrame) -> DataFrame:
+def monthly_revenue(enriched: DataFrame, **also: Column) -> DataFrame:
     """Only shipped orders count as revenue; every order is counted.
 
     Unknown margins add nothing, and ``orders_with_known_cost`` tells how much
-    of the total rests on a known cost.
+    of the total rests on a known cost. ``also`` are further aggregates of a cell.
     """
     recognised = F.col("is_recognised_revenue")
     return enriched.groupBy(*GRAIN).agg(
@@ -33,6 +33,7 @@ def monthly_revenue(enriched: DataFrame) -> DataFrame:
         F.count_if(F.col("delivery_status") == "Late").alias("late_count"),
         F.count_if(F.col("order_status") == "Cancelled").alias("cancelled_count"),
         F.count_if("has_standard_cost").alias("orders_with_known_cost"),
+        *[total.alias(name) for name, total in also.items()],
     )
 
 

@@ -41,8 +41,9 @@ def flag_orders(orders: DataFrame, duplicates: DataFrame) -> DataFrame:
     """Attach ``dq_failure_reason`` (NULL = clean) to every line.
 
     The same verdict as counting lines over a window per id, but a hot id does not
-    gather its lines in one task.
+    gather its lines in one task. Columns that ``orders`` carries besides its own stay.
     """
+    carried = [c for c in orders.columns if c not in ORDER_COLUMNS]
     matched = joins.lookup(orders.withColumn("_id_key", _id_key()), duplicates, "_id_key")
     reason = rules.defect_reason(
         is_duplicate=F.col("n").isNotNull(),
@@ -50,7 +51,7 @@ def flag_orders(orders: DataFrame, duplicates: DataFrame) -> DataFrame:
         unit_price=F.col("unit_price"),
         quantity=F.col("quantity"),
     )
-    return matched.select(*ORDER_COLUMNS, reason.alias("dq_failure_reason"))
+    return matched.select(*ORDER_COLUMNS, *carried, reason.alias("dq_failure_reason"))
 
 
 def clean_orders(flagged: DataFrame) -> DataFrame:

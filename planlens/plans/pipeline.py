@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from planlens.operators import conform, dims, enrich, mart, monthly, quality
+from planlens.operators import conform, dims, enrich, mart, measures, monthly, quality
 from planlens.session import settle
 
 
@@ -124,6 +125,30 @@ class Pipeline:
             keep(self.monthly, "revenue_month"), keep(self.fct_forecast, "forecast_month")
         )
 
+    def reconciliation_totals(
+        self, recognised: dict[str, Column] | None = None, **readings: Column
+    ) -> DataFrame:
+        """Source, buckets and mart in one row. The raw text is read once for its lines (and
+        its ids for the repeated ones); the flagged lines are stored, the only copy, and read
+        by the two passes that are summed.
+
+        ``readings`` are other quantity texts, each with a source total of its own.
+        """
+        sources = {
+            name: measures.source_revenue(F.col("unit_price"), quantity)
+            for name, quantity in {"source": F.col("quantity"), **readings}.items()
+        }
+        typed = conform.type_orders(self.raw_orders, **sources)
+        lines = settle(quality.flag_orders(typed, self.duplicates))
+        enriched = enrich.enrich_orders(
+            quality.clean_orders(lines), self.accounts, self.products
+        )
+        cells = monthly.monthly_revenue(enriched, **measures.unrecognised_sums())
+        return measures.reconciliation_totals(
+            lines, mart.plan_vs_actual(cells, self.fct_forecast),
+            sources=[*sources], recognised=recognised,
+        )
+
     @cached_property
     def reject_summary(self) -> DataFrame:
         return quality.reject_summary(self.flagged)

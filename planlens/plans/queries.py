@@ -153,11 +153,7 @@ def _star_rollup(m: SampleModel) -> DataFrame:
 
 
 def _reconciliation(m: SampleModel) -> DataFrame:
-    return measures.reconciliation(
-        measures.reconciliation_amounts(
-            measures.source_lines(m.raw_orders), m.mart, m.fct_orders, m.rejects
-        )
-    )
+    return measures.explained(m.reconciliation_totals())
 
 
 # -- checks: one row per check, some on deliberately broken input --------------
@@ -263,22 +259,28 @@ def _check_partition_complete(m: SampleModel) -> DataFrame:
 
 
 def _check_reconciles(m: SampleModel) -> DataFrame:
-    def check(name: str, raw: DataFrame, mart: DataFrame) -> DataFrame:
-        amounts = measures.reconciliation_amounts(
-            measures.source_lines(raw), mart, m.fct_orders, m.rejects
-        )
-        return checks.counted(name, checks.unreconciled(measures.reconciliation(amounts)))
-
-    mapped_only = m.mart.where(F.col("region") != rules.UNMAPPED)
     # Quantities that an integer can't hold are lost by the cast, not by the source.
-    huge = m.raw_orders.withColumn("quantity", F.when(
+    huge = F.when(
         F.col("order_status") == "Cancelled", F.concat("quantity", F.lit("0000000000"))
-    ).otherwise(F.col("quantity")))
-    return checks.together([
-        check("reconciles", m.raw_orders, m.mart),
-        check("unmapped_dropped", m.raw_orders, mapped_only),
-        check("quantity_lost", huge, m.mart),
-    ])
+    ).otherwise(F.col("quantity"))
+    totals = m.reconciliation_totals(
+        recognised={"recognised": F.lit(True), "mapped": F.col("region") != rules.UNMAPPED},
+        huge=huge,
+    )
+    cases = {
+        "reconciles": ("source", "recognised"), "unmapped_dropped": ("source", "mapped"),
+        "quantity_lost": ("huge", "recognised"),
+    }
+    each = totals.select(F.inline(F.array(*[
+        F.struct(
+            F.lit(name).alias("check_name"), F.col(source).alias("source"),
+            F.col(recognised).alias("recognised"), "open", "cancelled", "other", "rejected",
+        )
+        for name, (source, recognised) in cases.items()
+    ])))
+    return measures.explained(each).select(
+        "check_name", checks.is_unreconciled().cast("bigint").alias("failing_rows")
+    )
 
 
 def _check_duplicates(m: SampleModel) -> DataFrame:
@@ -427,7 +429,7 @@ QUERIES: dict[str, Query] = {
         lambda m: measures.composition_pivot(m.mart, [*REGIONS, rules.UNMAPPED])
     ),
     "flag_counts_two_grains": _of(lambda m: measures.flag_counts_two_grains(m.mart)),
-    "reconciliation": _of(_reconciliation, settled=True),
+    "reconciliation": _of(_reconciliation),
     # delivery
     "delivery_distribution": _of(lambda m: measures.delivery_distribution(m.fct_orders)),
     "on_time_by_region": _of(lambda m: measures.on_time_by_region(m.fct_orders)),
@@ -471,7 +473,7 @@ QUERIES: dict[str, Query] = {
     "check_relationships": _of(_check_relationships, settled=True),
     "check_unique_grain": _of(_check_unique_grain),
     "check_partition_complete": _of(_check_partition_complete),
-    "check_reconciles": _of(_check_reconciles, settled=True),
+    "check_reconciles": _of(_check_reconciles),
     "check_duplicates_quarantined": _of(_check_duplicates),
     "check_margin_null": _of(_check_margin_null, settled=True),
     "check_unmapped": _of(_check_unmapped, settled=True),
