@@ -29,6 +29,7 @@ from planlens.llm.text import buffers, pieces, small_batches
 from planlens.session import settle
 
 PIECE_BYTES = 1 << 20
+_ENCODED_BYTES = 1 << 16  # of texts at once: what a tokenizer returns is many times its text
 
 # -- tokenizers --------------------------------------------------------------------
 
@@ -45,6 +46,9 @@ class ByteLevel:
     """A byte-level tokenizer of the ``tokenizers`` library, over a space and the text."""
 
     def __init__(self, model: bytes) -> None:
+        import os
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_str(model.decode())
@@ -92,9 +96,16 @@ class Reader:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text's begin and end."""
-        ids = self.tokenizer.encode(texts)
-        bounds = np.concatenate([[0], np.cumsum([len(i) for i in ids], dtype=np.int64)])
-        return np.concatenate([np.array(i, np.int64) for i in ids] or [np.zeros(0, np.int64)]), bounds
+        parts, sizes, group, held = [np.zeros(0, np.int32)], [0], [], 0
+        for n, text in enumerate(texts, 1):
+            group.append(text)
+            held += len(text)
+            if held >= _ENCODED_BYTES or n == len(texts):
+                for ids in self.tokenizer.encode(group):
+                    parts.append(np.array(ids, np.int32))
+                    sizes.append(len(ids))
+                group, held = [], 0
+        return np.concatenate(parts), np.cumsum(sizes)
 
     def joined(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of the tokens, joined."""
