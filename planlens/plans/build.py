@@ -1,7 +1,8 @@
 """Land, build and check the whole model as catalog tables.
 
-Each layer is written once and read back by the next, so no step recomputes
-another's shuffle, and a lost executor costs a re-read.
+Each layer is written once, as drafts, checked, and only then takes the place of what was
+there: a layer that fails its checks leaves the published one as it is. The next layer reads
+it back, so no step recomputes another's shuffle, and a lost executor costs a re-read.
 """
 
 from __future__ import annotations
@@ -70,14 +71,22 @@ class Build:
         self.tables: dict[str, DataFrame] = {}
         self.results: list[DataFrame] = []
 
-    def _store(self, **tables: DataFrame) -> None:
-        """Replace the named tables, which must not depend on each other."""
+    def _draft(self, **tables: DataFrame) -> None:
+        """Store the named tables, which must not depend on each other, as drafts."""
         stored = concurrently(*[
-            partial(self.warehouse.write, *TABLES[name], df, PARTITIONED.get(name, ()))
+            partial(self.warehouse.draft, *TABLES[name], df, PARTITIONED.get(name, ()))
             for name, df in tables.items()
         ])
         self.tables.update(zip(tables, stored))
 
+    def _promote(self, *names: str) -> None:
+        """Let the drafts, once checked, replace their tables."""
+        stored = concurrently(*[
+            partial(self.warehouse.promote, *TABLES[name], PARTITIONED.get(name, ()))
+            for name in names
+        ])
+        self.tables.update(zip(names, stored))
+
     def _check(self, names: list[str], singular: list[DataFrame] = ()) -> None:
         """Run the checks of a layer; an error stops the build, a warning does not."""
         parts = [checks.run_suite(self.tables, self.expectations, names), *singular]
@@ -98,7 +107,8 @@ class Build:
                 ("products", "raw_erp_products"), ("forecast", "raw_adaptive_forecast"),
             )
         }
-        self._store(seed_region=dims.region_seed(self.spark, self.regions))
+        self._draft(seed_region=dims.region_seed(self.spark, self.regions))
+        self._promote("seed_region")
         plan = Pipeline(
             raw_orders=raw["orders"], raw_accounts=raw["accounts"],
             raw_products=raw["products"], raw_forecast=raw["forecast"],
@@ -111,21 +121,12 @@ class Build:
 
     def _staging(self, plan: Pipeline) -> None:
         # Flagged lines are stored once; clean lines and rejects are views on them.
-        self._store(
+        self._draft(
             stg_flagged=plan.flagged, stg_accounts=plan.accounts, stg_products=plan.products,
             stg_forecast=plan.forecast,
         )
-        flagged = ".".join(TABLES["stg_flagged"])
-        columns = ", ".join(quality.ORDER_COLUMNS)
-        self.tables["stg_orders"] = self.warehouse.view(
-            *TABLES["stg_orders"],
-            f"SELECT {columns} FROM {flagged} WHERE dq_failure_reason IS NULL",
-        )
-        self.tables["stg_rejects"] = self.warehouse.view(
-            *TABLES["stg_rejects"],
-            f"SELECT {columns}, dq_failure_reason FROM {flagged} "
-            "WHERE dq_failure_reason IS NOT NULL",
-        )
+        self.tables["stg_orders"] = quality.clean_orders(self.tables["stg_flagged"])
+        self.tables["stg_rejects"] = quality.rejected_orders(self.tables["stg_flagged"])
         clean, rejects = self.tables["stg_orders"], self.tables["stg_rejects"]
         self._check(
             ["stg_orders", "stg_rejects", "stg_accounts", "stg_forecast", "stg_products"],
@@ -140,16 +141,28 @@ class Build:
                 ),
             ],
         )
+        self._promote("stg_flagged", "stg_accounts", "stg_products", "stg_forecast")
+        flagged = ".".join(TABLES["stg_flagged"])
+        columns = ", ".join(quality.ORDER_COLUMNS)
+        self.tables["stg_orders"] = self.warehouse.view(
+            *TABLES["stg_orders"],
+            f"SELECT {columns} FROM {flagged} WHERE dq_failure_reason IS NULL",
+        )
+        self.tables["stg_rejects"] = self.warehouse.view(
+            *TABLES["stg_rejects"],
+            f"SELECT {columns}, dq_failure_reason FROM {flagged} "
+            "WHERE dq_failure_reason IS NOT NULL",
+        )
 
     def _intermediate(self) -> None:
         t = self.tables
-        self._store(
+        self._draft(
             orders_enriched=enrich.enrich_orders(
                 t["stg_orders"], t["stg_accounts"], t["stg_products"]
             )
         )
         enriched = t["orders_enriched"]
-        self._store(monthly_revenue=monthly.monthly_revenue(enriched))
+        self._draft(monthly_revenue=monthly.monthly_revenue(enriched))
         backdated = [checks.counted("backdated_misjudged", checks.backdated_misjudged(enriched))]
         if self.expected_backdated is not None:
             backdated.append(checks.counted(
@@ -172,11 +185,12 @@ class Build:
                 *backdated,
             ],
         )
+        self._promote("orders_enriched", "monthly_revenue")
 
     def _marts(self, plan: Pipeline) -> None:
         t = self.tables
         clean = t["stg_orders"]
-        self._store(
+        self._draft(
             fct_orders=enrich.fct_orders(t["orders_enriched"]),
             dim_customer=dims.dim_customer(t["stg_accounts"], clean),
             dim_product=dims.dim_product(t["stg_products"], clean),
@@ -189,7 +203,9 @@ class Build:
         # would multiply actuals.
         self._check(["dim_region", "dim_date", "dim_customer", "dim_product", "fct_orders",
                      "fct_forecast", "reject_summary"])
-        self._store(mart=mart.plan_vs_actual(t["monthly_revenue"], t["fct_forecast"]))
+        self._promote("dim_region", "dim_date", "dim_customer", "dim_product", "fct_orders",
+                      "fct_forecast", "reject_summary")
+        self._draft(mart=mart.plan_vs_actual(t["monthly_revenue"], t["fct_forecast"]))
         amounts = measures.reconciliation_amounts(
             measures.source_lines(plan.raw_orders), t["mart"], t["fct_orders"], t["stg_rejects"]
         )
@@ -212,6 +228,7 @@ class Build:
                 ),
             ],
         )
+        self._promote("mart")
 
 
 def build(spark: SparkSession, data_dir: str, **options) -> DataFrame:

@@ -1,0 +1,210 @@
+"""Loads that switch all tables at once, and checked drafts that replace partitions."""
+
+import os
+from pathlib import Path
+
+import pytest
+
+import fixtures
+from planlens.operators import checks
+from planlens.plans.build import TABLES, Build, CheckFailed
+from planlens.sources.landing import Batch, land_raw
+from planlens.sources.publish import Warehouse
+
+DOMAINS = {**checks.DOMAINS, "plant_countries": ("Norway", "Sweden")}
+
+
+def layer(spark, name):
+    """A schema of its own per test."""
+    spark.sql(f"DROP SCHEMA IF EXISTS {name} CASCADE")
+    spark.sql(f"CREATE SCHEMA {name}")
+    return Warehouse(spark)
+
+
+def frames(spark, stamp, tables=("a", "b", "c")):
+    return {t: spark.createDataFrame([(t, stamp), (t, stamp)], "t string, stamp int") for t in tables}
+
+
+def seen(spark, name, tables=("a", "b", "c")):
+    """The stamps that plain SQL sees in each table."""
+    return [
+        sorted({r.stamp for r in spark.sql(f"select stamp from {name}.{t}").collect()}) for t in tables
+    ]
+
+
+def test_tables_are_replaced_together(spark):
+    warehouse = layer(spark, "together")
+    for stamp in (1, 2, 3):
+        stored = warehouse.replace_all("together", frames(spark, stamp))
+        assert [df.columns for df in stored] == [["t", "stamp"]] * 3
+        assert seen(spark, "together") == [[stamp]] * 3
+        assert spark.table("together.a").count() == 2
+    # The last two batches are there, the first is not.
+    assert spark.table("together.a__batches").select("_batch").distinct().count() == 2
+    assert [r.number for r in spark.table("together.load_commits").orderBy("number").collect()] == [1, 2, 3]
+
+
+class Killed(BaseException):
+    """Not an error that anything may handle."""
+
+
+STEPS = ["_prepare", "_append_batch", "_commit", "_refresh", "_forget_before"]
+
+
+@pytest.mark.parametrize("after", [False, True])
+@pytest.mark.parametrize("step", STEPS)
+def test_a_load_that_dies_at_any_step_leaves_one_whole_batch(spark, monkeypatch, step, after):
+    name = f"killed_{STEPS.index(step)}_{int(after)}"
+    warehouse = layer(spark, name)
+    warehouse.replace_all(name, frames(spark, 1))
+    whole, calls = getattr(Warehouse, step), []
+
+    def dying(self, *args):
+        calls.append(step)
+        if len(calls) == (2 if step in STEPS[:2] else 1):  # between two tables, where there are some
+            if after:
+                whole(self, *args)
+            raise Killed
+        return whole(self, *args)
+
+    monkeypatch.setattr(Warehouse, step, dying)
+    with pytest.raises(Killed):
+        warehouse.replace_all(name, frames(spark, 2))
+    monkeypatch.undo()
+    for t in ("load_commits", "a__batches", "b__batches", "c__batches"):
+        spark.catalog.refreshTable(f"{name}.{t}")  # as another session reads them
+    committed = STEPS.index(step) > 2 or (step == "_commit" and after)
+    assert seen(spark, name) == [[2 if committed else 1]] * 3
+    # The next load works, and sweeps up what the dead one left.
+    warehouse.replace_all(name, frames(spark, 3))
+    assert seen(spark, name) == [[3]] * 3
+    assert spark.table(f"{name}.a__batches").select("_batch").distinct().count() == 2
+
+
+def test_a_first_load_that_dies_leaves_no_rows(spark, monkeypatch):
+    warehouse = layer(spark, "first_dies")
+
+    def dying(*_):
+        raise Killed
+
+    monkeypatch.setattr(Warehouse, "_commit", dying)
+    with pytest.raises(Killed):
+        warehouse.replace_all("first_dies", frames(spark, 1))
+    monkeypatch.undo()
+    assert seen(spark, "first_dies") == [[]] * 3
+
+
+def test_of_two_loads_at_once_one_fails(spark, monkeypatch):
+    warehouse = layer(spark, "racing")
+    warehouse.replace_all("racing", frames(spark, 1))
+    whole = Warehouse._commit
+
+    def slow(self, *args):
+        monkeypatch.undo()
+        Warehouse(spark).replace_all("racing", frames(spark, 2))
+        whole(self, *args)
+
+    monkeypatch.setattr(Warehouse, "_commit", slow)
+    with pytest.raises(RuntimeError, match="another load"):
+        warehouse.replace_all("racing", frames(spark, 3))
+    assert seen(spark, "racing") == [[2]] * 3
+
+
+def test_only_the_committed_batch_is_read(spark):
+    warehouse = layer(spark, "pruned")
+    for stamp in (1, 2):
+        warehouse.replace_all("pruned", frames(spark, stamp))
+    df = spark.table("pruned.a")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_batch" in plan and "Subquery" in plan
+
+
+def files(spark, table):
+    root = Path(spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")) / table
+    return {str(f.relative_to(root)): os.stat(f).st_mtime_ns for f in root.rglob("*.parquet")}
+
+
+def months(spark, **rows):
+    return spark.createDataFrame(
+        [(k, v, m) for m, pairs in rows.items() for k, v in pairs.items()], "k string, v int, month string"
+    )
+
+
+def test_a_draft_replaces_only_partitions_that_changed(spark):
+    warehouse = layer(spark, "parts")
+    base = {"jan": {"x": 1, "y": 2}, "feb": {"x": 3}, "mar": {"z": 4}, "apr": {"q": 5}}
+    warehouse.draft("parts", "t", months(spark, **base), ["month"])
+    warehouse.promote("parts", "t", ["month"])
+    before = files(spark, "parts.db/t")
+
+    warehouse.draft("parts", "t", months(spark, **{**base, "feb": {"x": 30}}), ["month"])
+    assert spark.table("parts.t").where("month = 'feb'").first().v == 3  # not before it is promoted
+    warehouse.promote("parts", "t", ["month"])
+    after = files(spark, "parts.db/t")
+    assert {f for f in before if before[f] != after.get(f)} == {f for f in before if f.startswith("month=feb/")}
+    assert sorted(map(tuple, spark.table("parts.t").collect())) == [
+        ("q", 5, "apr"), ("x", 1, "jan"), ("x", 30, "feb"), ("y", 2, "jan"), ("z", 4, "mar"),
+    ]
+    assert not spark.catalog.tableExists("parts.t__draft")
+
+    less = {m: base[m] for m in ("jan", "mar", "apr")}
+    warehouse.draft("parts", "t", months(spark, **less, may={"n": 9}), ["month"])
+    warehouse.promote("parts", "t", ["month"])
+    assert {r.month for r in spark.table("parts.t").collect()} == {"jan", "mar", "apr", "may"}
+    assert {f: t for f, t in files(spark, "parts.db/t").items() if "may" not in f} == {
+        f: t for f, t in before.items() if "feb" not in f
+    }
+
+
+def test_swapped_rows_between_equal_counts_are_a_change(spark):
+    warehouse = layer(spark, "swapped")
+    base = {"a": {"x": 1, "y": 2}, "b": {"x": 1}, "c": {"x": 1}, "d": {"x": 1}}
+    warehouse.draft("swapped", "t", months(spark, **base), ["month"])
+    warehouse.promote("swapped", "t", ["month"])
+    warehouse.draft("swapped", "t", months(spark, **{**base, "a": {"x": 2, "y": 1}}), ["month"])
+    warehouse.promote("swapped", "t", ["month"])
+    assert {(r.k, r.v) for r in spark.table("swapped.t").where("month = 'a'").collect()} == {("x", 2), ("y", 1)}
+
+
+def test_new_columns_or_a_new_table_replace_the_whole(spark):
+    warehouse = layer(spark, "wider")
+    warehouse.draft("wider", "t", months(spark, a={"x": 1}), ["month"])
+    warehouse.promote("wider", "t", ["month"])
+    warehouse.draft("wider", "t", months(spark, a={"x": 1}).selectExpr("k", "v", "v as w", "month"), ["month"])
+    assert warehouse.promote("wider", "t", ["month"]).columns == ["k", "v", "w", "month"]
+
+
+GOOD = {
+    "orders": [r for r in fixtures.ORDERS if r[9] != "Returned"],
+    "accounts": [r for r in fixtures.ACCOUNTS if r[3]], "products": [r for r in fixtures.PRODUCTS if r[4]],
+    "forecast": list(fixtures.FORECAST),
+}
+
+
+def test_a_build_rewrites_one_month_and_a_failed_one_nothing(spark, tmp_path):
+    def built(name, **changed):
+        (tmp_path / name).mkdir()
+        land_raw(spark, fixtures.write_extracts(tmp_path / name, **{**GOOD, **changed}), Warehouse(spark), Batch(batch_id=name))
+        return Build(spark, Warehouse(spark), domains=DOMAINS, calendar=("2025-01-01", "2027-01-01")).run()
+
+    months_ahead = [
+        (f"G-{m}", "P1", "EMEA", f"2026-{m:02}-01", "10.00", "1") for m in range(1, 13)
+    ]
+    plan = [*GOOD["forecast"], *months_ahead]
+    built("one", forecast=plan)
+    table = f"{TABLES['mart'][0]}.db/{TABLES['mart'][1]}"
+    before = files(spark, table)
+    more = [(*r[:4], "99.00", r[5]) if r[0] == "G-7" else r for r in plan]
+    built("two", forecast=more)
+    after = files(spark, table)
+    touched = {f.split("/")[0] for f in {*before, *after} if before.get(f) != after.get(f)}
+    assert touched == {"revenue_month=2026-07-01"}
+
+    flagged = ".".join(TABLES["stg_flagged"])
+    staged = sorted(map(repr, spark.table(flagged).collect()))
+    with pytest.raises(CheckFailed, match="stg_forecast grain"):
+        built("three", orders=GOOD["orders"][:1], forecast=[*plan, ("G-99", *plan[-1][1:])])
+    # The layer whose check failed keeps its tables, not only those after it.
+    assert sorted(map(repr, spark.table(flagged).collect())) == staged
+    assert files(spark, table) == after
