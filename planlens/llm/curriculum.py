@@ -82,8 +82,9 @@ def source_targets(
 
 
 def time_due(demand: Column, target: Column, slope: Column) -> Column:
-    """The time at which a source's cumulative demand reaches ``demand`` words."""
-    y = demand / target
+    """The time at which a source's cumulative demand reaches ``demand`` words; null for a
+    source without words, which has no target."""
+    y = F.try_divide(demand, target)
     rest = 1 - slope
     return 2 * y / (rest + F.sqrt(rest * rest + 4 * slope * y))
 
@@ -96,8 +97,9 @@ def place_documents(docs: DataFrame, **schedule) -> DataFrame:
     document of a source is cut at the word where its target ends, so a source's words are
     its target without the fraction.
 
-    Null sources form one source, the last. Sizes of 0 are taken 0 times. Repeated rows are
-    documents of their own. An empty table gives an empty table.
+    Null sources form one source, the last. Sizes of 0 are taken 0 times, and so is a source
+    of only such documents. Repeated rows are documents of their own. An empty table gives an
+    empty table.
     """
     docs = settle(docs)  # the bounds of the ranges take a pass of their own
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
@@ -141,7 +143,8 @@ def mix(docs: DataFrame, **schedule) -> DataFrame:
         "doc_id", "source", word_count(F.col("text")).alias("size"), identity.alias("_row")
     )
     keyed = docs.select(
-        F.struct(*[c for c in docs.columns if c not in added]).alias("row"), identity.alias("_row")
+        F.struct(*[c for c in docs.columns if c.lower() not in added]).alias("row"),
+        identity.alias("_row"),
     )
     plans = place_documents(small, **schedule).groupBy("_row").agg(
         F.collect_list("copies").alias("_plans")

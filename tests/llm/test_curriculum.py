@@ -84,3 +84,23 @@ def test_stream_is_sorted_and_keeps_columns(spark, docs):
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "doc_id long, text string, source string")
     assert cu.mix(frame).collect() == []
+
+
+@pytest.mark.parametrize("rows", [
+    [(1, None, "none"), (2, "", "none"), (3, "a b c d", "some"), (4, "e f", None)],
+    [(1, None, "none"), (2, "", "none"), (3, " ", None)],
+    [(1, "w " * 400_000, "long"), (2, None, "none"), (3, "w", "long")],
+])
+def test_sources_without_words(spark, rows):
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sized = frame.select("doc_id", "source", cu.word_count(F.col("text")).alias("size"))
+    placed = {r.doc_id: r for r in cu.place_documents(sized).collect()}
+    assert sorted(placed) == [r[0] for r in rows]
+    for i, text, _ in rows:
+        size = len((text or "").split())
+        assert placed[i].size == size and placed[i].taken <= 2 * size
+        assert all(c.position is not None for c in placed[i].copies)
+    mixed = cu.mix(frame.withColumn("MIX_WORDS", F.lit(1)))
+    assert "MIX_WORDS" not in mixed.columns
+    taken = [(r.doc_id, r.mix_words) for r in mixed.collect()]
+    assert sum(n for _, n in taken) == sum(r.taken for r in placed.values())
