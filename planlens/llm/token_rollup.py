@@ -171,7 +171,10 @@ class Rollup:
 
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer, documents, tokens), keys with nothing left out."""
-        base, commits = self._state()
+        return self._sum(*self._state())
+
+    def _sum(self, base: dict | None, commits: dict[str, dict]) -> DataFrame:
+        """The totals of one state of the folder."""
         covered = set(base["batches"]) if base else set()
         parts = [base["data"]] if base else []
         parts += [c["data"] for name, c in sorted(commits.items()) if name not in covered]
@@ -183,9 +186,13 @@ class Rollup:
 
     def compact(self) -> None:
         """Stores the present totals as one sum. Commit files stay, so that a batch sent again
-        is still known; only the sums they name are read no more."""
-        _, commits = self._state()
+        is still known; only the sums they name are read no more.
+
+        Summed is the state that the sum names: a batch committed meanwhile stays beside it. Of
+        two compactions at once the one that is published last is left without effect.
+        """
+        base, commits = self._state()
         data = f"base-{uuid.uuid4().hex}"
-        self.totals().write.parquet(f"{self.folder}/data/{data}")
+        self._sum(base, commits).write.parquet(f"{self.folder}/data/{data}")
         number = f"{len(self._read('bases')):08d}"
         self._publish("bases", number, {"data": data, "batches": sorted(commits)})

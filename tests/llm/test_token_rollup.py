@@ -70,3 +70,20 @@ def test_byte_pair_counts(spark, tables):
     encoding = tr._encoding(file, public.PATTERN)
     assert [r.n for r in rows] == [len(encoding.encode_ordinary(r.text)) for r in rows]
     assert spark.createDataFrame([(None,)], "text string").select(count("text").alias("n")).first().n == 0
+
+
+def test_a_batch_committed_during_a_compaction_counts_once(spark, rollup, monkeypatch):
+    rows = lambda n: tr.inserts(spark.createDataFrame([("a", "en", "v1", n)], COLUMNS))
+    rollup.apply("1", rows(5))
+    whole = rollup._sum
+
+    def late(base, commits):
+        monkeypatch.undo()
+        rollup.apply("2", rows(10))
+        return whole(base, commits)
+
+    monkeypatch.setattr(rollup, "_sum", late)
+    rollup.compact()
+    assert state(rollup) == {("a", "en", "v1"): (2, 15)}
+    rollup.compact()
+    assert state(rollup) == {("a", "en", "v1"): (2, 15)} and not rollup.apply("2", rows(10))
