@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from planlens.llm import text as words
 from planlens.llm.sampling import ids_per_label
@@ -301,12 +302,13 @@ def score(docs: DataFrame, held) -> DataFrame:
     """
     words.small_batches(docs)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    id_type = rows.schema["doc_id"].dataType
+    kind, arrow_id = id_type.simpleString(), to_arrow_type(id_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         near = held.value
         evidence_type = pa.list_(pa.struct([
-            ("doc_id", pa.int64()), ("toxic", pa.bool_()), ("cosine", pa.float64())
+            ("doc_id", arrow_id), ("toxic", pa.bool_()), ("cosine", pa.float64())
         ]))
         for batch in batches:
             for part in words.pieces(batch, "text", 1 << 20):
@@ -325,5 +327,5 @@ def score(docs: DataFrame, held) -> DataFrame:
 
     return rows.mapInArrow(
         run, f"doc_id {kind}, score double,"
-        "evidence array<struct<doc_id: bigint, toxic: boolean, cosine: double>>"
+        f"evidence array<struct<doc_id: {kind}, toxic: boolean, cosine: double>>"
     )

@@ -1,5 +1,6 @@
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from planlens.llm import text as words
 from planlens.llm import toxicity as tox
@@ -72,3 +73,13 @@ def test_edge_rows_and_nothing_to_learn(spark, tables):
         assert tox.score(odd.limit(0), spark.sparkContext.broadcast(near)).collect() == []
     near = tox.learn(documents.limit(0), labels)
     assert tox.score(odd, spark.sparkContext.broadcast(near)).count() == 5
+
+
+def test_ids_of_any_type(spark, tables):
+    documents = tables("documents").withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").select(
+        F.concat(F.lit("d"), "doc_id").alias("doc_id"), F.col("toxic").alias("label")
+    )
+    scored = tox.score(documents, spark.sparkContext.broadcast(tox.learn(documents, labels)))
+    assert scored.count() == documents.count()
+    assert scored.schema["evidence"].dataType.elementType["doc_id"].dataType.simpleString() == "string"
