@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from planlens.functions import casts, rules
@@ -181,11 +181,22 @@ def worst_variance(mart: DataFrame, limit: int = 20) -> DataFrame:
 
 
 def top_bottom_variance(mart: DataFrame, limit: int = 5) -> DataFrame:
-    columns = [*GRAIN, "revenue_variance"]
-    above = mart.select(*columns).orderBy(F.desc("revenue_variance"), *GRAIN).limit(limit)
-    below = mart.select(*columns).orderBy(F.asc("revenue_variance"), *GRAIN).limit(limit)
-    return above.withColumn("side", F.lit("above")).unionByName(
-        below.withColumn("side", F.lit("below"))
+    """The cells furthest above and furthest below plan, from one pass over the mart.
+
+    Every cell stands once on each side, by its distance; a task passes on no more than
+    ``limit`` cells a side.
+    """
+    side = lambda name, sign: F.struct(
+        F.lit(name).alias("side"), (F.col("revenue_variance") * sign).alias("_distance")
+    )
+    both = mart.select(
+        *GRAIN, "revenue_variance", F.inline(F.array(side("above", -1), side("below", 1)))
+    )
+    nearest = Window.partitionBy("side").orderBy("_distance", *GRAIN)
+    return (
+        both.withColumn("_place", F.row_number().over(nearest))
+        .where(F.col("_place") <= limit)
+        .select(*GRAIN, "revenue_variance", "side")
     )
 
 
@@ -250,16 +261,27 @@ def _composition() -> Column:
 
 
 def flag_counts_two_grains(mart: DataFrame) -> DataFrame:
-    """Flags counted per product-region-month and per product-region cell."""
-    by_month = mart.groupBy("variance_flag").count().withColumn("grain", F.lit("month"))
-    by_cell = (
-        flag_cells(mart)
-        .groupBy(F.col("cell_flag").alias("variance_flag"))
-        .count()
-        .withColumn("grain", F.lit("cell"))
-    )
-    return by_month.unionByName(by_cell).select(
-        "grain", "variance_flag", F.col("count").alias("flag_count")
+    """Flags counted per product-region-month and per product-region cell.
+
+    The mart is read once: it is grouped by flag and, in the same aggregate, by cell, and
+    the cells are then counted by the flag that is theirs.
+    """
+    month_flag = mart.withColumn("_flag", F.col("variance_flag"))
+    sets = month_flag.groupingSets(
+        [["_flag"], ["product_id", "region"]], "_flag", "product_id", "region"
+    ).agg(
+        F.grouping("_flag").alias("_is_cell"), F.count("*").alias("_months"),
+        _notable_flag().alias("_cell_flag"),
+    )
+    of_cell = F.col("_is_cell") == 1
+    return (
+        sets.select(
+            F.when(of_cell, "cell").otherwise("month").alias("grain"),
+            F.when(of_cell, F.col("_cell_flag")).otherwise(F.col("_flag")).alias("variance_flag"),
+            F.when(of_cell, 1).otherwise(F.col("_months")).alias("_n"),
+        )
+        .groupBy("grain", "variance_flag")
+        .agg(F.sum("_n").alias("flag_count"))
     )
 
 

@@ -366,9 +366,7 @@ QUERIES: dict[str, Query] = {
     )),
     "landed_row_counts": _of(lambda m: landing.landed_row_counts(m.raw_tables)),
     "layer_row_counts": _of(_layers, settled=True),
-    "run_results_summary": _of(
-        lambda m: observe.run_summary(parse_run_artifacts(m.run_documents))
-    ),
+    "run_results_summary": _of(lambda m: observe.run_summary(m.run_artifacts)),
     "slowest_models": _of(lambda m: observe.slowest_models(parse_run_artifacts(m.run_documents))),
     # staging
     "stg_accounts": _of(lambda m: m.accounts),

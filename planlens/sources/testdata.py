@@ -20,6 +20,7 @@ from planlens.plans.pipeline import Pipeline
 from planlens.schemas import RAW_SCHEMAS, SOURCE_TABLES
 from planlens.session import delete_on_exit, shared_folder
 from planlens.sources.landing import read_extract, stamp_metadata
+from planlens.sources.run_artifacts import read_run_artifacts
 
 AS_OF = "2024-01-31 00:00:00"
 BATCH_ID = "batch-0001"
@@ -294,6 +295,22 @@ class SampleModel(Pipeline):
             )).alias("document")
         )
 
+    @cached_property
+    def run_artifacts(self) -> DataFrame:
+        """The artifacts read from files, as a run leaves them: a folder per kind of event, an
+        artifact per line, and one line that is none."""
+        folder = f"{shared_folder(self.spark)}/artifacts/{zlib.crc32(self.sf_dir.encode())}"
+        if folder not in _LANDED:
+            broken = self.spark.range(1).select(F.lit('{"metadata": ').alias("document"))
+            kind = F.get_json_object("document", "$.results[1].unique_id")
+            lines = self.run_documents.unionByName(broken).select(
+                "document", F.coalesce(F.substring_index(kind, "_", -1), F.lit("none")).alias("kind")
+            )
+            lines.hint("rebalance", "kind").write.mode("overwrite").partitionBy("kind").text(folder)
+            delete_on_exit(self.spark, folder)
+            _LANDED.add(folder)
+        return read_run_artifacts(self.spark, folder, multi_line=False)
+
     @cached_property
     def table_stats(self) -> DataFrame:
         """The landed tables, whole rows; one more that was dropped and one of another

@@ -2,8 +2,10 @@ import json
 from datetime import datetime
 from decimal import Decimal as D
 
+import pytest
+
 from planlens.operators import observe
-from planlens.sources.run_artifacts import read_run_artifacts
+from planlens.sources.run_artifacts import corrupt_run_artifacts, read_run_artifacts
 
 NOW = "2025-06-10 12:00:00"
 
@@ -124,3 +126,16 @@ def test_run_artifacts(spark, tmp_path):
     assert row.elapsed_time == 12.5
     slowest = observe.slowest_models(artifacts).collect()
     assert [r.model for r in slowest] == ["m6", "m5", "m4", "m3", "m2"]
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_what_is_no_artifact_is_told_apart(spark, tmp_path, multi_line):
+    good = {"metadata": {"generated_at": "2025-06-10T01:00:00Z"}, "elapsed_time": 1.5, "results": []}
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "one.json").write_text(json.dumps(good))
+    (tmp_path / "a" / "two.json").write_text('{"metadata": ')
+    folder = str(tmp_path / "a")
+    rows = read_run_artifacts(spark, folder, multi_line=multi_line).collect()
+    assert [(r.elapsed_time, r.results) for r in rows] == [(1.5, [])]
+    broken = corrupt_run_artifacts(spark, folder, multi_line=multi_line).collect()
+    assert [(r.file.rpartition("/")[2], r.text.strip()) for r in broken] == [("two.json", '{"metadata":')]
