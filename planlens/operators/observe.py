@@ -36,12 +36,18 @@ def load_freshness(log: DataFrame) -> DataFrame:
     )
 
 
+def _rows(log: DataFrame) -> Column:
+    """A log has an entry per landed row, or one per load with its ``row_count``."""
+    return F.sum("row_count") if "row_count" in log.columns else F.count("*")
+
+
 def _instant(as_of: str) -> Column:
     return F.lit(as_of).cast("timestamp")
 
 
 def freshness_by_source(log: DataFrame, as_of: str) -> DataFrame:
-    """Per table: last load, hour boundaries crossed since, batches and rows."""
+    """Per table: last load, hour boundaries crossed since, batches and rows. The log is that of
+    the landed rows (``load_log``) or the warehouse's own of its loads."""
     last = F.max("_loaded_at")
     return (
         log.groupBy("table_name")
@@ -51,7 +57,7 @@ def freshness_by_source(log: DataFrame, as_of: str) -> DataFrame:
                 "HOUR", F.date_trunc("hour", last), F.date_trunc("hour", _instant(as_of))
             ).alias("hours_since_load"),
             F.count_distinct("_batch_id").alias("batches_seen"),
-            F.count("*").alias("row_count"),
+            _rows(log).alias("row_count"),
         )
         .orderBy("table_name")
     )

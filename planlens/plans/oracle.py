@@ -419,6 +419,15 @@ _SELECTS = {
         union all select 'raw_salesforce_accounts', count(*) from raw_accounts
         union all select 'raw_adaptive_forecast', count(*) from forecast
         union all select 'raw_erp_products', count(*) from raw_products""",
+    "freshness_of_loads": """
+        select table_name, '2024-01-29 21:40:00' as last_loaded_at, 27 as hours_since_load,
+               2 as batches_seen, (2 * n)::bigint as row_count
+        from (
+            select 'raw_oracle_orders' as table_name, count(*) as n from raw_orders
+            union all select 'raw_salesforce_accounts', count(*) from raw_accounts
+            union all select 'raw_adaptive_forecast', count(*) from forecast
+            union all select 'raw_erp_products', count(*) from raw_products
+        )""",
     "layer_row_counts": """
         select 'raw' as layer, 'raw_oracle_orders' as table_name, count(*) as row_count
         from raw_orders

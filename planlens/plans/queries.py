@@ -451,6 +451,9 @@ QUERIES: dict[str, Query] = {
     "freshness_by_source": _of(lambda m: observe.stamp_text(
         observe.freshness_by_source(m.load_log, AS_OF), "last_loaded_at"
     )),
+    "freshness_of_loads": _of(lambda m: observe.stamp_text(
+        observe.freshness_by_source(m.commit_log, AS_OF), "last_loaded_at"
+    )),
     "freshness_verdict": _of(lambda m: observe.freshness_verdict(m.load_log, AS_OF)),
     "cost_by_day": _of(lambda m: observe.cost_by_day(m.compute_usage, JOBS_AS_OF, days=14)),
     "cost_of_warehouses": _of(lambda m: observe.cost_by_day(

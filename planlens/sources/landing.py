@@ -60,6 +60,7 @@ def land_raw(
     batch: Batch | None = None,
     *,
     multi_line: Sequence[str] = (),
+    layer: str = "raw",
 ) -> dict[str, int]:
     """Replace every raw table from its extract; row counts by table.
 
@@ -79,7 +80,9 @@ def land_raw(
         ).drop("file_name")
         for file_name, table in SOURCE_TABLES.items()
     }
-    stored = warehouse.replace_all("raw", extracts)
+    stored = warehouse.replace_all(
+        layer, extracts, batch_id=batch.batch_id, loaded_at=batch.loaded_at
+    )
     counts = landed_row_counts(dict(zip(extracts, stored)))
     return {row["table_name"]: row["row_count"] for row in counts.collect()}
 

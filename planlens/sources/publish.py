@@ -7,7 +7,8 @@ import json
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import partial
+from datetime import datetime, timezone
+from functools import partial, reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,10 +31,13 @@ def concurrently(*writes: Callable[[], DataFrame]) -> list[DataFrame]:
 class Warehouse:
     """Layers are catalog schemas, used by their plain names."""
 
-    def __init__(self, spark: SparkSession) -> None:
+    def __init__(self, spark: SparkSession, layers: dict[str, str | None] | None = None) -> None:
+        """``layers``: the schemas to create, each with its folder or None; ``LAYERS`` in the
+        catalog's own folder by default."""
         self.spark = spark
-        for layer in LAYERS:
-            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer}")
+        for layer, folder in (layers or dict.fromkeys(LAYERS)).items():
+            place = f" LOCATION '{folder}'" if folder else ""
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer}{place}")
 
     def write(
         self, layer: str, table: str, df: DataFrame, partition_by: Sequence[str] = ()
@@ -54,7 +58,14 @@ class Warehouse:
 
     # -- several tables at once ------------------------------------------------
 
-    def replace_all(self, layer: str, tables: dict[str, DataFrame]) -> list[DataFrame]:
+    def replace_all(
+        self,
+        layer: str,
+        tables: dict[str, DataFrame],
+        *,
+        batch_id: str | None = None,
+        loaded_at: datetime | None = None,
+    ) -> list[DataFrame]:
         """Replace several tables together, or none, for every reader at the same moment.
 
         A load is a *batch*: a partition of each table's ``__batches`` table, which no reader
@@ -67,6 +78,9 @@ class Warehouse:
         The batch before the new one is kept for the queries that still read it; older ones, and
         those of loads that died, are dropped. Raises ``RuntimeError`` if another load
         committed meanwhile.
+
+        ``batch_id`` and ``loaded_at`` are noted in the commit with each table's rows, for
+        ``load_log``.
         """
         number = self._last_commit(layer) + 1
         batch = f"{number:08d}-{uuid.uuid4().hex}"
@@ -75,7 +89,11 @@ class Warehouse:
         concurrently(*[
             partial(self._append_batch, layer, table, df, batch) for table, df in tables.items()
         ])
-        self._commit(layer, number, batch)
+        self._commit(layer, number, batch, {
+            "batch_id": batch_id or batch,
+            "loaded_at": (loaded_at or datetime.now(timezone.utc)).isoformat(),
+            "rows": self._rows(layer, tables, batch),
+        })
         self._refresh(layer, tables)
         self._forget_before(layer, tables, number - 1, batch)
         return [self.read(layer, table) for table in tables]
@@ -87,8 +105,8 @@ class Warehouse:
         files = self._path(folder).getFileSystem(self._conf)
         files.mkdirs(self._path(folder))
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {layer}.load_commits (number BIGINT, batch STRING) "
-            f"USING json LOCATION '{folder}'"
+            f"CREATE TABLE IF NOT EXISTS {layer}.load_commits (number BIGINT, batch STRING, "
+            f"batch_id STRING, loaded_at STRING, rows MAP<STRING, BIGINT>) USING json LOCATION '{folder}'"
         )
         return folder
 
@@ -127,11 +145,30 @@ class Warehouse:
         stamped.write.mode("append").insertInto(f"{layer}.{table}__batches")
         return stamped
 
-    def _commit(self, layer: str, number: int, batch: str) -> None:
+    def _rows(self, layer: str, tables: Iterable[str], batch: str) -> dict[str, int]:
+        """Rows per table of a batch, from the footers of its files."""
+        each = [
+            self.spark.table(f"{layer}.{table}__batches").where(F.col("_batch") == batch)
+            .agg(F.count("*").alias("n")).select(F.lit(table).alias("table_name"), "n")
+            for table in tables
+        ]
+        return {r.table_name: r.n for r in reduce(DataFrame.unionByName, each).collect()}
+
+    def load_log(self, layer: str) -> DataFrame:
+        """(table_name, _loaded_at, _batch_id, row_count) of every load and table, from the
+        commits: no landed row is read, however many there are."""
+        self._commits(layer)
+        return self.spark.table(f"{layer}.load_commits").select(
+            F.explode("rows").alias("table_name", "row_count"),
+            F.col("loaded_at").cast("timestamp").alias("_loaded_at"),
+            F.col("batch_id").alias("_batch_id"),
+        ).select("table_name", "_loaded_at", "_batch_id", "row_count")
+
+    def _commit(self, layer: str, number: int, batch: str, note: dict) -> None:
         folder = self._commits(layer)
         draft = self._path(f"{folder}/_{batch}")
         out = draft.getFileSystem(self._conf).create(draft, False)
-        out.write(json.dumps({"number": number, "batch": batch}).encode())
+        out.write(json.dumps({"number": number, "batch": batch, **note}).encode())
         out.close()
         jvm = self.spark._jvm.org.apache.hadoop.fs
         none = self.spark.sparkContext._gateway.new_array(jvm.Options.Rename, 0)

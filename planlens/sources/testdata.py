@@ -8,6 +8,7 @@ would, and grows with the tables.
 from __future__ import annotations
 
 import zlib
+from datetime import datetime
 from collections.abc import Callable
 from functools import cached_property
 
@@ -19,11 +20,13 @@ from planlens.operators import joins, observe
 from planlens.plans.pipeline import Pipeline
 from planlens.schemas import RAW_SCHEMAS, SOURCE_TABLES
 from planlens.session import delete_on_exit, shared_folder
-from planlens.sources.landing import read_extract, stamp_metadata
+from planlens.sources.landing import Batch, land_raw, read_extract, stamp_metadata
+from planlens.sources.publish import Warehouse
 from planlens.sources.run_artifacts import read_run_artifacts
 
 AS_OF = "2024-01-31 00:00:00"
 BATCH_ID = "batch-0001"
+COMMITTED_LOADS = {"batch-0001": "2024-01-28T22:10:00+00:00", "batch-0002": "2024-01-29T21:40:00+00:00"}
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
 
@@ -357,6 +360,20 @@ class SampleModel(Pipeline):
             batch_id=F.lit(BATCH_ID),
         ).drop("_source")
 
+    @cached_property
+    def commit_log(self) -> DataFrame:
+        """The warehouse's log after the extracts were landed twice, into a layer of their own."""
+        number = zlib.crc32(self.sf_dir.encode())
+        layer, folder = f"landed_{number}", f"{shared_folder(self.spark)}/landed/{number}"
+        warehouse = Warehouse(self.spark, {layer: folder})
+        if folder not in _LANDED:
+            delete_on_exit(self.spark, folder)
+            for batch, loaded_at in COMMITTED_LOADS.items():
+                landing = Batch(batch_id=batch, loaded_at=datetime.fromisoformat(loaded_at))
+                land_raw(self.spark, self.extract_folder, warehouse, landing, layer=layer)
+            _LANDED.add(folder)
+        return warehouse.load_log(layer)
+
     @cached_property
     def entitlements(self) -> DataFrame:
         """User-to-region mapping: one manager per nation."""

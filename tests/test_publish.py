@@ -1,12 +1,13 @@
 """Loads that switch all tables at once, and checked drafts that replace partitions."""
 
 import os
+from datetime import datetime, timezone
 from pathlib import Path
 
 import pytest
 
 import fixtures
-from planlens.operators import checks
+from planlens.operators import checks, observe
 from planlens.plans.build import TABLES, Build, CheckFailed
 from planlens.sources.landing import Batch, land_raw
 from planlens.sources.publish import Warehouse
@@ -94,6 +95,21 @@ def test_a_first_load_that_dies_leaves_no_rows(spark, monkeypatch):
     assert seen(spark, "first_dies") == [[]] * 3
 
 
+def test_the_log_of_loads_reads_no_landed_row(spark, tmp_path):
+    warehouse = Warehouse(spark, {"logged": f"file://{tmp_path}/logged"})
+    for k, hour in ((1, 3), (2, 5)):
+        batch = Batch(batch_id=f"b{k}", loaded_at=datetime(2025, 6, 9, hour, 30, tzinfo=timezone.utc))
+        land_raw(spark, fixtures.write_extracts(tmp_path), warehouse, batch, layer="logged")
+    log = warehouse.load_log("logged")
+    assert log.count() == 8
+    by_table = {r.table_name: r for r in observe.freshness_by_source(log, "2025-06-09 12:00:00").collect()}
+    orders = by_table["raw_oracle_orders"]
+    assert (orders.hours_since_load, orders.batches_seen, orders.row_count) == (7, 2, 2 * len(fixtures.ORDERS))
+    scanned = [f for f in log.inputFiles() if "load_commits" not in f]
+    assert not scanned
+    assert observe.load_freshness(log).first().latest_batch_id == "b2"
+
+
 def test_of_two_loads_at_once_one_fails(spark, monkeypatch):
     warehouse = layer(spark, "racing")
     warehouse.replace_all("racing", frames(spark, 1))
