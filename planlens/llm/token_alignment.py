@@ -8,27 +8,30 @@ lanes. The ranks found on the way tell, for every token of the shorter list, whi
 the longer one it overlaps: the links.
 
 How many documents hold a pair of ids linked is counted over the whole corpus. Documents
-are tokenized once, in pieces of about a megabyte, and stored as token ids. Each piece's
-distinct pairs are counted and summed over all pieces; the sums are joined back to the pairs
-of the pieces, and each piece meets its own pairs again. So what is shuffled is token ids and
-a row per piece and pair, not a row per link; no table is broadcast.
+are tokenized and aligned once, in pieces of about half a megabyte. A piece is stored as one
+row: its distinct pairs, and for each document which of them it holds how often, packed. The
+pairs of all pieces are summed, the sums are joined back to the pairs of the pieces, and each
+piece meets its own pairs again. So what is shuffled is the packed pieces and a row per piece
+and pair, not a row per token or link; no table is broadcast.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from planlens.llm.text import buffers, pieces, small_batches
+from planlens.llm.text import pieces, small_batches
 from planlens.session import settle
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 _ENCODED_BYTES = 1 << 16  # of texts at once: what a tokenizer returns is many times its text
 
 # -- tokenizers --------------------------------------------------------------------
@@ -227,20 +230,6 @@ def _digests(a_ids, b_ids, alignment: Alignment, a_bounds, b_bounds, texts: int)
     ]
 
 
-def _flat(values: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    """The values of a list column, and where each row's begin and end."""
-    offsets = np.asarray(values.offsets).astype(np.int64)
-    return np.asarray(values.flatten()).astype(np.int64), offsets - offsets[0]
-
-
-def _lists(flat: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))
-
-
-def _aligned(a: Reader, b: Reader, a_ids, a_bounds, b_ids, b_bounds) -> Alignment:
-    return Alignment(np.cumsum(a.lengths[a_ids]), a_bounds, np.cumsum(b.lengths[b_ids]), b_bounds)
-
-
 Make = Callable[[], tuple[Reader, Reader]]
 _readers: dict[str, Reader] = {}
 
@@ -256,105 +245,92 @@ def _reader(kind: type, held) -> Reader:
 # -- DataFrames --------------------------------------------------------------------
 
 
-def _tokenize(make: Make):
-    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        a, b = make()
-        task, nth = TaskContext.get().partitionId(), 0
-        held, size = [], 0
-
-        def out():
-            nonlocal nth, held, size
-            part = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held, size = [], 0
-            data, offsets = buffers(part.column("text"))
-            texts = [t or "" for t in part.column("text").to_pylist()]
-            wanted = [k for k, t in enumerate(texts) if t]
-            distinct = {t: n for n, t in enumerate(dict.fromkeys(texts[k] for k in wanted))}
-            source = list(distinct)
-            sides = []
-            ok = np.ones(len(source), bool)
-            for side in (a, b):
-                ids, bounds = side.encode(source)
-                joined, ends = side.joined(ids), np.concatenate([[0], np.cumsum(side.lengths[ids])])[bounds]
-                for n, text in enumerate(source):
-                    ok[n] &= joined[ends[n]:ends[n + 1]].tobytes() == b" " + text.encode()
-                sides.append((ids, bounds))
-            row = [distinct[t] if t and ok[distinct[t]] else -1 for t in texts]
-            columns = []
-            for ids, bounds in sides:
-                found = [ids[bounds[r]:bounds[r + 1]] if r >= 0 else ids[:0] for r in row]
-                columns.append(_lists(
-                    np.concatenate(found), np.concatenate([[0], np.cumsum([len(f) for f in found])])
-                ))
-            number = pa.array(np.full(len(texts), (task << 33) + nth), pa.int64())
-            nth += 1
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), number, *columns], ["doc_id", "piece", "a_ids", "b_ids"]
-            )
+def _encode(part: pa.RecordBatch, a: Reader, b: Reader):
+    """Ids and bounds of both sides for the texts of a batch; equal texts are encoded once. A
+    text that is null, empty, or not given back by both tokenizers has no tokens."""
+    texts = [t or "" for t in part.column("text").to_pylist()]
+    distinct = {t: n for n, t in enumerate(dict.fromkeys(t for t in texts if t))}
+    source = list(distinct)
+    ok = np.ones(len(source), bool)
+    sides = []
+    for side in (a, b):
+        ids, bounds = side.encode(source)
+        joined = side.joined(ids)
+        ends = np.concatenate([[0], np.cumsum(side.lengths[ids])])[bounds]
+        for n, text in enumerate(source):
+            ok[n] &= joined[ends[n]:ends[n + 1]].tobytes() == b" " + text.encode()
+        sides.append((ids, bounds))
+    row = [distinct[t] if t and ok[distinct[t]] else -1 for t in texts]
+    for ids, bounds in sides:
+        found = [ids[bounds[r]:bounds[r + 1]] if r >= 0 else ids[:0] for r in row]
+        yield np.concatenate(found).astype(np.int64), np.cumsum([0, *map(len, found)])
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with about ``PIECE_BYTES`` of text each time, or one longer text."""
+    held, size = [], 0
+    for batch in batches:
+        for part in pieces(batch, "text", PIECE_BYTES):
+            held.append(part)
+            size += part.column("text").nbytes
+            if size >= PIECE_BYTES:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
-        for batch in batches:
-            for part in pieces(batch, "text", PIECE_BYTES):
-                held.append(part)
-                size += part.column("text").nbytes
-                if size >= PIECE_BYTES:
-                    yield from out()
-        if held:
-            yield from out()
 
-    return over
+_COUNTS = ("n_a", "n_b", "n_groups", "n_links")
+RESULT = (
+    "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint,"
+    " groups_sha256 string"
+)
 
 
-def tokenize(docs: DataFrame, make: Make) -> DataFrame:
-    """(doc_id, piece, a_ids, b_ids) of each row of ``docs``, stored. A text that is null, empty,
-    or not given back by both tokenizers has no tokens."""
-    small_batches(docs)
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return settle(rows.mapInArrow(
-        _tokenize(make), f"doc_id {kind}, piece bigint, a_ids array<int>, b_ids array<int>"
-    ))
+def _pack(values: np.ndarray) -> bytes:
+    return zlib.compress(values.astype("<u4").tobytes(), 1)
 
 
-def _whole_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows of each piece, whichever batches they came in: a task reads a piece in one go
-    unless its file was split, and then both halves stand for themselves."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        number = np.asarray(batch.column("piece"))
-        cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(number)]
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            part = batch.slice(lo, hi - lo)
-            if hi > lo:
-                if held and held[-1].column("piece")[0] != part.column("piece")[0]:
-                    yield pa.Table.from_batches(held)
-                    held = []
-                held.append(part)
-    if held:
-        yield pa.Table.from_batches(held)
+def _unpack(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed), "<u4").astype(np.int64)
 
 
-def _pairs(make: Make):
-    """(piece, pair, documents) of the pairs in each piece."""
+def _align_pieces(make: Make, id_type: pa.DataType):
+    """A row per piece: per document its id, counts and digest; the distinct pairs, sorted, and
+    how many of the piece's documents hold each; packed, per document how many distinct pairs
+    it has, and of each its place among the pairs and how often it is linked."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         a, b = make()
-        for table in _whole_pieces(batches):
-            one = table.combine_chunks().to_batches()[0]
-            a_ids, a_bounds = _flat(one.column("a_ids"))
-            b_ids, b_bounds = _flat(one.column("b_ids"))
-            found = _aligned(a, b, a_ids, a_bounds, b_ids, b_bounds)
-            pair = (a_ids[found.a] << 32) | b_ids[found.b]
-            order = np.lexsort((found.text, pair))
-            pair, text = pair[order], found.text[order]
-            once = np.ones(len(pair), bool)
-            once[1:] = (pair[1:] != pair[:-1]) | (text[1:] != text[:-1])
-            pair, count = np.unique(pair[once], return_counts=True)
-            piece = np.full(len(pair), one.column("piece")[0].as_py())
+        task = TaskContext.get().partitionId()
+        for nth, part in enumerate(_pieces(batches)):
+            n = part.num_rows
+            (a_ids, a_bounds), (b_ids, b_bounds) = _encode(part, a, b)
+            found = Alignment(
+                np.cumsum(a.lengths[a_ids]), a_bounds, np.cumsum(b.lengths[b_ids]), b_bounds
+            )
+            links = np.bincount(found.text, minlength=n)
+            counts = (np.diff(a_bounds), np.diff(b_bounds), found.n_groups, links)
+            digests = _digests(a_ids, b_ids, found, a_bounds, b_bounds, n)
+            pairs, which = np.unique((a_ids[found.a] << 32) | b_ids[found.b], return_inverse=True)
+            held, times = np.unique(found.text * max(len(pairs), 1) + which, return_counts=True)
+            text, which = np.divmod(held, max(len(pairs), 1))
+            documents = np.bincount(which, minlength=len(pairs))
+            # One list per column, one row.
+            row = lambda values, kind: pa.array([values], pa.list_(kind))
+            ids = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), part.column("doc_id").cast(id_type))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(piece), pa.array(pair), pa.array(count.astype(np.int64))],
-                ["piece", "pair", "documents"],
+                [
+                    pa.array([(task << 33) + nth], pa.int64()), ids,
+                    *[row(c.astype(np.int64), pa.int64()) for c in counts],
+                    row(digests, pa.string()), row(pairs.astype(np.int64), pa.int64()),
+                    row(documents.astype(np.int64), pa.int64()),
+                    pa.array([_pack(np.bincount(text, minlength=n))], pa.binary()),
+                    pa.array([_pack(which)], pa.binary()), pa.array([_pack(times)], pa.binary()),
+                ],
+                ["piece", "doc_id", *_COUNTS, "groups_sha256", "pair", "documents", "distinct", "which", "times"],
             )
 
     return over
@@ -369,41 +345,22 @@ def pair_counts(piece_pairs: DataFrame) -> DataFrame:
     return counts.select("pair", "count", (F.col("count") == highest).alias("best"))
 
 
-RESULT = (
-    "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint,"
-    " groups_sha256 string"
-)
-
+def _report(key, piece: pa.Table, known: pa.Table) -> pa.Table:
+    """The documents of a piece, with the sums of the counts of their links."""
+    order = np.argsort(np.asarray(known.column("pair")))
+    counts, best = (np.asarray(known.column(c)).astype(np.int64)[order] for c in ("count", "best"))
+    lists = {c: piece.column(c).combine_chunks().flatten() for c in ("doc_id", *_COUNTS, "groups_sha256")}
+    distinct, which, times = (_unpack(piece.column(c)[0].as_py()) for c in ("distinct", "which", "times"))
+    edges = np.cumsum([0, *distinct])
 
-def _report(make: Make):
-    def of(key, tokens: pa.Table, known: pa.Table) -> pa.Table:
-        a, b = make()
-        out = []
-        order = np.argsort(np.asarray(known.column("pair")))
-        pairs, counts, best = (np.asarray(known.column(c))[order] for c in ("pair", "count", "best"))
-        for one in tokens.combine_chunks().to_batches():
-            n = one.num_rows
-            a_ids, a_bounds = _flat(one.column("a_ids"))
-            b_ids, b_bounds = _flat(one.column("b_ids"))
-            found = _aligned(a, b, a_ids, a_bounds, b_ids, b_bounds)
-            at = np.searchsorted(pairs, (a_ids[found.a] << 32) | b_ids[found.b])
-            edges = np.searchsorted(found.text, np.arange(n + 1))
-
-            def per_text(values):
-                return np.diff(np.concatenate([[0], np.cumsum(values, dtype=np.int64)])[edges])
-
-            numbers = [
-                np.diff(a_bounds), np.diff(b_bounds), found.n_groups, np.diff(edges),
-                per_text(best[at]), per_text(counts[at]),
-            ]
-            digests = _digests(a_ids, b_ids, found, a_bounds, b_bounds, n)
-            out.append(pa.RecordBatch.from_arrays(
-                [one.column("doc_id"), *[pa.array(x.astype(np.int64)) for x in numbers], pa.array(digests, pa.string())],
-                ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
-            ))
-        return pa.Table.from_batches(out)
+    def summed(values: np.ndarray) -> pa.Array:
+        totals = np.concatenate([[0], np.cumsum(values[which] * times)])[edges]
+        return pa.array(np.diff(totals), pa.int64())
 
-    return of
+    columns = [lists["doc_id"], *[lists[c] for c in _COUNTS], summed(best), summed(counts), lists["groups_sha256"]]
+    return pa.Table.from_arrays(
+        columns, names=["doc_id", *_COUNTS, "n_best", "count_sum", "groups_sha256"]
+    )
 
 
 def readers(spark, byte_level: str, piece_model: str) -> Make:
@@ -416,6 +373,12 @@ def readers(spark, byte_level: str, piece_model: str) -> Make:
     return lambda: (_reader(ByteLevel, helds[0]), _reader(Pieces, helds[1]))
 
 
+def _texts(docs: DataFrame) -> tuple[DataFrame, str]:
+    small_batches(docs)
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return rows, rows.schema["doc_id"].dataType.simpleString()
+
+
 def align(docs: DataFrame, byte_level: str, piece_model: str) -> DataFrame:
     """How the tokens of two vocabularies align in each row of ``docs`` (doc_id, text).
 
@@ -428,31 +391,45 @@ def align(docs: DataFrame, byte_level: str, piece_model: str) -> DataFrame:
     further columns are left out, whatever their names. A long text is a piece of its own.
     """
     make = readers(docs.sparkSession, byte_level, piece_model)
-    tokens = tokenize(docs, make)
-    kind = tokens.schema["doc_id"].dataType.simpleString()
-    pairs = settle(tokens.mapInArrow(_pairs(make), "piece bigint, pair bigint, documents bigint"))
-    # A piece that was read in two halves has a pair twice, with the same count.
-    known = pairs.select("piece", "pair").join(pair_counts(pairs), "pair")
-    return tokens.groupBy("piece").cogroup(known.groupBy("piece")).applyInArrow(
-        _report(make), f"doc_id {kind}, {RESULT}"
+    rows, kind = _texts(docs)
+    counts = ", ".join(f"{c} array<bigint>" for c in _COUNTS)
+    stored = settle(rows.mapInArrow(
+        _align_pieces(make, to_arrow_type(rows.schema["doc_id"].dataType)),
+        f"piece bigint, doc_id array<{kind}>, {counts}, groups_sha256 array<string>,"
+        " pair array<bigint>, documents array<bigint>, distinct binary, which binary, times binary",
+    ))
+    pairs = stored.select("piece", F.inline(F.arrays_zip("pair", "documents")))
+    known = pairs.select(F.col("piece").alias("of_piece"), "pair").join(pair_counts(pairs), "pair")
+    packed = stored.drop("pair", "documents")
+    return packed.groupBy("piece").cogroup(known.groupBy("of_piece")).applyInArrow(
+        _report, f"doc_id {kind}, {RESULT}"
     )
 
 
-def links(tokens: DataFrame, make: Make) -> DataFrame:
-    """(doc_id, a, b) for each row of ``tokenize``: token numbers of each link, from 0, as two
-    arrays of the same length, by a, then b."""
-    kind = tokens.schema["doc_id"].dataType.simpleString()
+def links(docs: DataFrame, make: Make) -> DataFrame:
+    """(doc_id, a_ids, b_ids, a, b) of each row of ``docs``: the ids of both tokenizers, and of
+    each link the token numbers, from 0, in two arrays of the same length, by a, then b."""
+    rows, kind = _texts(docs)
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = make()
-        for one in batches:
-            a_ids, a_bounds = _flat(one.column("a_ids"))
-            b_ids, b_bounds = _flat(one.column("b_ids"))
-            found = _aligned(a, b, a_ids, a_bounds, b_ids, b_bounds)
-            edges = np.searchsorted(found.text, np.arange(one.num_rows + 1))
-            yield pa.RecordBatch.from_arrays([
-                one.column("doc_id"), _lists(found.a - a_bounds[found.text], edges),
-                _lists(found.b - b_bounds[found.text], edges),
-            ], ["doc_id", "a", "b"])
-
-    return tokens.mapInArrow(over, f"doc_id {kind}, a array<int>, b array<int>")
+        for part in _pieces(batches):
+            (a_ids, a_bounds), (b_ids, b_bounds) = _encode(part, a, b)
+            found = Alignment(
+                np.cumsum(a.lengths[a_ids]), a_bounds, np.cumsum(b.lengths[b_ids]), b_bounds
+            )
+            edges = np.searchsorted(found.text, np.arange(part.num_rows + 1))
+            columns = [
+                (a_ids, a_bounds), (b_ids, b_bounds),
+                (found.a - a_bounds[found.text], edges), (found.b - b_bounds[found.text], edges),
+            ]
+            lists = [
+                pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))
+                for flat, bounds in columns
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), *lists], ["doc_id", "a_ids", "b_ids", "a", "b"]
+            )
+
+    arrays = ", ".join(f"{c} array<int>" for c in ("a_ids", "b_ids", "a", "b"))
+    return rows.mapInArrow(over, f"doc_id {kind}, {arrays}")
