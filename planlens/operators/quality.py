@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from planlens.functions import casts, rules
-from planlens.operators import joins
+from planlens.operators import joins, keyfilter
 
 ORDER_COLUMNS = [
     "order_id", "customer_id", "product_id", "order_date", "promised_delivery_date",
@@ -18,6 +18,8 @@ ORDER_COLUMNS = [
 # space, so it can stand for "no id" as a join key.
 _NO_ID = " "
 
+_ROW_BYTES = 64  # of a repeated id and its count, in a table of a join
+
 
 def _id_key():
     return F.coalesce(F.col("order_id"), F.lit(_NO_ID)).alias("_id_key")
@@ -37,14 +39,38 @@ def duplicate_ids(orders: DataFrame) -> DataFrame:
     )
 
 
-def flag_orders(orders: DataFrame, duplicates: DataFrame) -> DataFrame:
+def filter_bits(duplicates: DataFrame) -> int | None:
+    """The size of the filter for stored ``duplicates``; None if they may be broadcast, as the
+    session measures it."""
+    spark = duplicates.sparkSession
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").lower().removesuffix("b")
+    count = duplicates.count()  # from the footers of its files
+    most = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit) if limit != "-1" else -1
+    return None if count * _ROW_BYTES <= most else keyfilter.bits_for(count)
+
+
+def flag_orders(
+    orders: DataFrame, duplicates: DataFrame, *, filter_bits: int | None = None
+) -> DataFrame:
     """Attach ``dq_failure_reason`` (NULL = clean) to every line.
 
     The same verdict as counting lines over a window per id, but a hot id does not
     gather its lines in one task. Columns that ``orders`` carries besides its own stay.
+
+    With ``filter_bits`` a Bloom filter of the repeated ids splits the lines first: those
+    that it clears are named where they lie, and only the rest is joined, for lists of ids
+    too long to broadcast. That takes two reads of the lines instead of a shuffle of all.
     """
     carried = [c for c in orders.columns if c not in ORDER_COLUMNS]
-    matched = joins.lookup(orders.withColumn("_id_key", _id_key()), duplicates, "_id_key")
+    keyed = orders.withColumn("_id_key", _id_key())
+    if filter_bits is None:
+        matched = joins.lookup(keyed, duplicates, "_id_key")
+    else:
+        listed = keyfilter.key_filter(duplicates, "_id_key", filter_bits)
+        split = keyfilter.maybe_listed(keyed, F.col("_id_key"), listed, filter_bits, "_maybe")
+        apart = split.where(~F.col("_maybe")).drop("_maybe").withColumn("n", F.lit(None).cast("bigint"))
+        suspects = split.where("_maybe").drop("_maybe")
+        matched = apart.unionByName(joins.lookup(suspects, duplicates, "_id_key"))
     reason = rules.defect_reason(
         is_duplicate=F.col("n").isNotNull(),
         order_date=F.col("order_date"),

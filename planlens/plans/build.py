@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from planlens.operators import checks, dims, enrich, mart, measures, monthly, quality
 from planlens.plans.pipeline import Pipeline
+from planlens.session import settle
 from planlens.sources.landing import land_raw
 from planlens.sources.publish import Warehouse, concurrently
 
@@ -120,9 +121,14 @@ class Build:
         return checks.together(self.results)
 
     def _staging(self, plan: Pipeline) -> None:
+        # The list of repeated ids decides how the lines meet it: it is stored to be measured.
+        duplicates = settle(plan.duplicates)
+        flagged = quality.flag_orders(
+            plan.typed, duplicates, filter_bits=quality.filter_bits(duplicates)
+        )
         # Flagged lines are stored once; clean lines and rejects are views on them.
         self._draft(
-            stg_flagged=plan.flagged, stg_accounts=plan.accounts, stg_products=plan.products,
+            stg_flagged=flagged, stg_accounts=plan.accounts, stg_products=plan.products,
             stg_forecast=plan.forecast,
         )
         self.tables["stg_orders"] = quality.clean_orders(self.tables["stg_flagged"])
