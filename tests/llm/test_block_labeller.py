@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 
@@ -119,3 +121,27 @@ def test_edge_rows(spark, net):
     assert rows[2].n_chars in (0, 999_999)
     assert bl.extract(odd.limit(0), net).collect() == []
     assert bl.extract(odd, bl.learn(odd.limit(0), epochs=1)).count() == 5
+
+
+@pytest.mark.parametrize("page, expected", [
+    ("<p>a<!-- x --!>b", ["ab"]),
+    ("<p>a<!-->b", ["ab"]),
+    ("<p>a<script>x</script data>b", ["ab"]),
+    ("<p data-x=it's>one</p><p>it's two</p>", ["one", "it's two"]),
+    ("<p title='a>b'>c", ["c"]),
+    ('<p title="a>b>c</p><p>d</p>', ["b>c", "d"]),
+    ("x < y", ["x < y"]),
+    ("<p>one<p", ["one"]),
+])
+def test_tags_as_browsers_read_them(page, expected):
+    assert [b.text for b in blocks(page)] == expected
+
+
+@pytest.mark.parametrize("unit", [
+    "<svg ", "<a ", "<svg>", "<object><svg>", "<!-- ", "<!", "<script ", "</", '<a b="', "<a b='x\">", "< ",
+    "<a =", '<b c="> ', "<a\t\t\t", "<a b = ", "<p x='",
+])
+def test_parsing_takes_linear_time(unit):
+    start = time.process_time()
+    blocks(unit * (500_000 // len(unit)))
+    assert time.process_time() - start < 5
