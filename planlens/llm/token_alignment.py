@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -45,8 +46,21 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+# How byte-level vocabularies of this kind cut a text before they merge bytes.
+_CUT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Letters, digits, punctuation and white space on whose classes every Unicode table agrees.
+_COMMON = re.compile("[\t\n\r\x20-\x7e\u00a1-\u00ac\u00ae-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]*")
+_LONG_RUN = re.compile(r"\S{400}|\s{400}")
+
+
 class ByteLevel:
-    """A byte-level tokenizer of the ``tokenizers`` library, over a space and the text."""
+    """A byte-level tokenizer of the ``tokenizers`` library, over a space and the text.
+
+    Its vocabulary numbers entries in the order of its merges, so that another library,
+    ``tiktoken``, does the same merges five times as fast. It is used where the two can't
+    differ: for a model of this kind (checked when it is read), and texts of common
+    characters without very long words.
+    """
 
     def __init__(self, model: bytes) -> None:
         import os
@@ -63,8 +77,41 @@ class ByteLevel:
         for entry, number in vocabulary.items():
             plain = entry in added
             self.entries[number] = entry.encode() if plain else bytes(alphabet[c] for c in entry)
+        self._merger = self._same_merges(json.loads(model), added)
+
+    def _same_merges(self, model: dict, added: set[str]):
+        """A ``tiktoken`` encoding with the same merges, or None if the model isn't of the kind."""
+        import tiktoken
+
+        cut = model.get("pre_tokenizer") or {}
+        kind = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+        merges = model["model"].get("merges", [])
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+        vocabulary = model["model"]["vocab"]
+        ordered = all(vocabulary.get(a + b) == 256 + k for k, (a, b) in enumerate(pairs))
+        if not kind or not ordered or model.get("normalizer") or model["model"].get("ignore_merges"):
+            return None
+        ranks = {
+            self.entries[n]: n for entry, n in vocabulary.items() if entry not in added and n < 256 + len(pairs)
+        }
+        return tiktoken.Encoding("own", pat_str=_CUT, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[list[int]]:
+        if self._merger is None:
+            return self._plainly(texts)
+        out, others = [], []
+        for n, text in enumerate(texts):
+            if _COMMON.fullmatch(text) and not _LONG_RUN.search(text):
+                out.append(self._merger.encode_ordinary(f" {text}"))
+            else:
+                out.append([])
+                others.append(n)
+        if others:
+            for n, ids in zip(others, self._plainly([texts[n] for n in others])):
+                out[n] = ids
+        return out
+
+    def _plainly(self, texts: list[str]) -> list[list[int]]:
         batch = self._tokenizer.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)
         return [e.ids for e in batch]
 

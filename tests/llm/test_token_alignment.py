@@ -146,3 +146,24 @@ def test_entries_give_the_text_back(spark, text):
         with open(path, "rb") as file:
             tokenizer = kind(file.read())
         assert b"".join(tokenizer.entries[i] for i in tokenizer.encode([text])[0]) == f" {text}".encode()
+
+
+@pytest.fixture(scope="module")
+def byte_level():
+    with open(FILES[0], "rb") as file:
+        return ta.ByteLevel(file.read())
+
+
+def test_both_libraries_merge_alike(byte_level, tables):
+    assert byte_level._merger is not None
+    texts = [r.text for r in tables("documents").collect()] + [t or "" for t in TEXTS]
+    assert byte_level.encode(texts) == byte_level._plainly(texts)
+    every = "".join(map(chr, [9, 10, 13, *range(32, 127), *range(0xA1, 0x250), *range(0x2010, 0x205F), *range(0x20A0, 0x20C0)]))
+    singles = [c for c in every] + [f"a{c}b {c}{c}1 {c}" for c in every]
+    assert byte_level.encode(singles) == byte_level._plainly(singles)
+
+
+@settings(max_examples=300, deadline=None)
+@given(text=st.text(st.sampled_from("abz's t're1 9.,!\n\t\r\u00e9\u00df\u00b2\u00aa\u00d7\u2019\u2014\u20ac\u00a0\U0001f600<|>"), max_size=60))
+def test_both_libraries_cut_alike(byte_level, text):
+    assert byte_level.encode([text]) == byte_level._plainly([text])
