@@ -1,7 +1,7 @@
 """Jaccard self-join of texts on word shingles, with a MinHash LSH forest.
 
-A tree of the forest labels every text with ``LEVELS`` one-byte MinHash values; sorted
-by label, texts with a common prefix stand together. The join starts at long prefixes and
+A tree of the forest labels every text with a MinHash value of ``LEVEL_BITS`` bits per level;
+sorted by label, texts with a common prefix stand together. The join starts at long prefixes and
 shortens them. Texts with a common prefix in some tree are compared exactly, on their whole
 sets of shingles. The join stops when the least similar links found are of a similarity whose
 pairs share a prefix with the target recall as their chance. At the shortest prefix even pairs
@@ -30,7 +30,9 @@ from planlens.session import settle
 WIDTH = 5  # words of a shingle
 THRESHOLD = (4, 5)  # similarity as a fraction, so that it is compared without rounding
 TREES = 16
-LEVELS = 8
+# The shortest prefix in use, of three levels, has 44 bits: few of a billion texts share one by chance.
+LEVEL_BITS = (16, 16, 12, 4, 4, 4, 4, 4)
+LEVELS = len(LEVEL_BITS)
 FIRST_DEPTH = 4  # finds all but links of less than 0.85; longer ones nearly always cost another round
 TARGET_RECALL = 0.9999
 STRIPE = 256  # texts of a bucket compared with each other in one piece
@@ -41,8 +43,13 @@ _SEEDS = np.random.default_rng(20_240_917).integers(
 ) * np.uint64(2) + np.uint64(1)
 
 
+def _rest(depth: int) -> int:
+    """The bits of a label behind its first ``depth`` levels."""
+    return sum(LEVEL_BITS[depth:])
+
+
 def labels(sets: list[np.ndarray]) -> np.ndarray:
-    """One 64-bit label per text and tree: ``LEVELS`` bytes, first level first."""
+    """One 64-bit label per text and tree, first level first."""
     sizes = np.array([len(s) for s in sets])
     out = np.zeros((len(sets), TREES), np.uint64)
     some = np.flatnonzero(sizes)
@@ -54,14 +61,16 @@ def labels(sets: list[np.ndarray]) -> np.ndarray:
         starts = np.concatenate([[0], np.cumsum(sizes[rows])[:-1]])
         for k, (seed, odd) in enumerate(_SEEDS):
             least = np.minimum.reduceat((flat ^ seed) * odd, starts)
-            byte = words.mix(least) >> np.uint64(56)
-            out[rows, k // LEVELS] |= byte << np.uint64(8 * (LEVELS - 1 - k % LEVELS))
+            tree, level = divmod(k, LEVELS)
+            value = words.mix(least) >> np.uint64(64 - LEVEL_BITS[level])
+            out[rows, tree] |= value << np.uint64(_rest(level + 1))
         at = past
     return out
 
 
 def found_chance(similarity: np.ndarray | float, depth: int) -> np.ndarray | float:
-    """The chance of a pair of that similarity to share a prefix of ``depth`` in some tree."""
+    """The least chance of a pair of that similarity to share a prefix of ``depth`` in some tree;
+    narrow levels are also shared by accident."""
     return 1 - (1 - similarity**depth) ** TREES
 
 
@@ -87,7 +96,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefix(label, depth: int):
-    return F.shiftrightunsigned(label, 8 * (LEVELS - depth))
+    return F.shiftrightunsigned(label, _rest(depth))
 
 
 def _keyed(reps: DataFrame, depth: int) -> DataFrame:
@@ -121,11 +130,11 @@ def compare(
     fresh = np.triu(np.ones((n, n), bool), 1)
     if stripes is not None:
         fresh &= stripes[:, None] != stripes[None, :]
-    cut = marks >> np.uint64(8 * (LEVELS - depth))
+    cut = marks >> np.uint64(_rest(depth))
     for t in range(tree):
         fresh &= cut[:, None, t] != cut[None, :, t]
     if done_depth:
-        cut = marks >> np.uint64(8 * (LEVELS - done_depth))
+        cut = marks >> np.uint64(_rest(done_depth))
         for t in range(TREES):
             fresh &= cut[:, None, t] != cut[None, :, t]
     root, bins = np.arange(n), np.zeros(BINS, np.int64)
