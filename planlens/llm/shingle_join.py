@@ -9,13 +9,16 @@ just at the threshold do.
 
 Equal texts are compared once, as a class of copies. A bucket whose texts are just those of
 an earlier bucket is left out, and a pair counts in the first bucket that holds it, so
-links are counted without listing pairs. A large bucket is cut into stripes, whose pairs are
-compared by different tasks.
+links are counted without listing pairs. A large bucket is cut into stripes, which are stored once
+and compared with each other by different tasks.
 """
 
 from __future__ import annotations
 
+import io
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +28,8 @@ from pyspark.sql import functions as F
 from planlens.llm import bloom
 from planlens.llm import text as words
 from planlens.llm.components import components
-from planlens.session import settle
+from planlens.llm.shared_files import fetch, store
+from planlens.session import delete_on_exit, settle, shared_folder
 
 WIDTH = 5  # words of a shingle
 THRESHOLD = (4, 5)  # similarity as a fraction, so that it is compared without rounding
@@ -116,129 +120,234 @@ def _buckets(keyed: DataFrame) -> DataFrame:
     return full.groupBy("n", "x", "y").agg(first).select("n", "x", "y", "first.*")
 
 
-def compare(
-    sets: list[np.ndarray], copies: np.ndarray, marks: np.ndarray, tree: int, depth: int,
-    done_depth: int, stripes: np.ndarray | None = None,
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Links of each text within a bucket, its component there, and a similarity histogram.
+def overlaps(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> np.ndarray:
+    """The size of the intersection of every set on the left with every one on the right
+    (None: with each other; the diagonal is then without meaning)."""
+    sides = [left] if right is None else [left, right]
+    flat = [np.concatenate(sets) for sets in sides]
+    values, column = np.unique(np.concatenate(flat), return_inverse=True)
+    columns = np.split(column, [len(flat[0])])[:len(sides)]
+    seen = [np.bincount(c, minlength=len(values)) for c in columns]
+    useful = seen[0] > 1 if right is None else (seen[0] > 0) & (seen[1] > 0)
+    place = np.cumsum(useful) - 1
+    entries = []
+    for sets, c in zip(sides, columns):
+        owner = np.repeat(np.arange(len(sets)), [len(one) for one in sets])
+        kept = useful[c]
+        owner, at = owner[kept], place[c[kept]]
+        order = np.argsort(at, kind="stable")
+        entries.append((len(sets), owner[order], at[order]))
+    common = np.zeros((len(left), len(sides[-1])), np.float32)
+    step = 8192
+    for lo in range(0, int(useful.sum()), step):
+        dense = []
+        for n, owner, at in entries:
+            a, b = np.searchsorted(at, [lo, lo + step])
+            held = np.zeros((n, step), np.float32)
+            held[owner[a:b], at[a:b] - lo] = 1
+            dense.append(held)
+        common += dense[0] @ dense[-1].T
+    return common.astype(np.int64)
+
+
+@dataclass
+class Stripe:
+    """Texts of a bucket, sorted by key, with what comparing them takes."""
+
+    keys: np.ndarray
+    copies: np.ndarray
+    marks: np.ndarray  # a row of labels per text
+    sets: list[np.ndarray]
+    root: np.ndarray  # place of the least text of each one's component in the stripe
+
+    def pack(self) -> bytes:
+        """Near copies share most shingles, so that steps within a list of them are small."""
+        values, at = np.unique(np.concatenate(self.sets), return_inverse=True)
+        out = io.BytesIO()
+        np.savez_compressed(
+            out, keys=self.keys, copies=self.copies, marks=self.marks, root=self.root, values=values,
+            sizes=np.array([len(one) for one in self.sets]), steps=np.diff(at.astype(np.int32), prepend=0),
+        )
+        return out.getvalue()
+
+    @classmethod
+    def unpack(cls, data: bytes) -> Stripe:
+        with np.load(io.BytesIO(data)) as held:
+            flat = held["values"][np.cumsum(held["steps"])]
+            sets = np.split(flat, np.cumsum(held["sizes"])[:-1])
+            return cls(held["keys"], held["copies"], held["marks"], sets, held["root"])
+
+
+def linked(
+    left: Stripe, right: Stripe | None, tree: int, depth: int, done_depth: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Which texts of two stripes of a bucket (None: of one) are linked, and a histogram of
+    their similarities.
 
     A pair counts here unless a bucket before this one holds it: one of an earlier tree, or
-    one of ``done_depth`` (0: none), the length of prefixes already compared. With
-    ``stripes`` only pairs across two stripes are compared.
+    one of ``done_depth`` (0: none), the length of prefixes already compared.
     """
-    n = len(sets)
-    fresh = np.triu(np.ones((n, n), bool), 1)
-    if stripes is not None:
-        fresh &= stripes[:, None] != stripes[None, :]
-    cut = marks >> np.uint64(_rest(depth))
-    for t in range(tree):
-        fresh &= cut[:, None, t] != cut[None, :, t]
-    if done_depth:
-        cut = marks >> np.uint64(_rest(done_depth))
-        for t in range(TREES):
-            fresh &= cut[:, None, t] != cut[None, :, t]
-    root, bins = np.arange(n), np.zeros(BINS, np.int64)
+    other = left if right is None else right
+    fresh = np.ones((len(left.keys), len(other.keys)), bool)
+    if right is None:
+        fresh = np.triu(fresh, 1)
+    for trees, length in ((tree, depth), (TREES if done_depth else 0, done_depth)):
+        a, b = left.marks >> np.uint64(_rest(length)), other.marks >> np.uint64(_rest(length))
+        for t in range(trees):
+            fresh &= a[:, None, t] != b[None, :, t]
     if not fresh.any():
-        return np.zeros(n, np.int64), root, bins
-    sizes = np.array([len(s) for s in sets], np.int64)
-    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(n), sizes)
-    shared = count[column] > 1  # a shingle of one text is in no intersection
-    renumbered = np.cumsum(count > 1) - 1
-    owner, column = owner[shared], renumbered[column[shared]]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    common = np.zeros((n, n), np.float32)
-    step = 8192
-    for lo in range(0, int((count > 1).sum()), step):
-        a, b = np.searchsorted(column, [lo, lo + step])
-        held = np.zeros((n, step), np.float32)
-        held[owner[a:b], column[a:b] - lo] = 1
-        common += held @ held.T
-    common = common.astype(np.int64)
-    union = sizes[:, None] + sizes[None, :] - common
-    linked = fresh & (union > 0) & (THRESHOLD[1] * common >= THRESHOLD[0] * union)
-    similarity = common[linked] / union[linked]
-    place = np.minimum((similarity * BINS).astype(np.int64), BINS - 1)
-    bins = np.bincount(place, minlength=BINS)
-    both = linked | linked.T
+        return fresh, np.zeros(BINS, np.int64)
+    common = overlaps(left.sets, None if right is None else right.sets)
+    sizes = [np.array([len(one) for one in side.sets], np.int64) for side in (left, other)]
+    union = sizes[0][:, None] + sizes[1][None, :] - common
+    found = fresh & (union > 0) & (THRESHOLD[1] * common >= THRESHOLD[0] * union)
+    place = np.minimum((common[found] / union[found] * BINS).astype(np.int64), BINS - 1)
+    return found, np.bincount(place, minlength=BINS)
+
+
+def _least_roots(both: np.ndarray) -> np.ndarray:
+    """The least text of each one's component, by symmetric links."""
+    n = len(both)
+    root = np.arange(n)
     while True:  # everyone takes the least root among its links
         low = np.minimum(root, np.where(both, root[None, :], n).min(1))
         low = low[low]
         if (low == root).all():
-            break
+            return root
         root = low
-    return both @ copies, root, bins
 
 
 _FOUND = "key string, links long, root string, bins array<long>"
+_FOUND_ARROW = pa.schema([
+    ("key", pa.string()), ("links", pa.int64()), ("root", pa.string()), ("bins", pa.list_(pa.int64())),
+])
 
 
-def _compare_buckets(depth: int, done_depth: int):
-    """Compares each run of rows of one bucket and pair of stripes."""
+def _rows(found: list[tuple[str, int, str]], bins: np.ndarray) -> list[dict]:
+    return [
+        {"key": key, "links": links, "root": root, "bins": None if k else bins.tolist()}
+        for k, (key, links, root) in enumerate(found)
+    ]
+
+
+def _stripe_name(row: dict, stripe: int) -> str:
+    return f"{row['tree']}-{row['prefix'] & (2**64 - 1):016x}-{stripe}"
+
+
+def _compare_stripes(depth: int, done_depth: int, folder: str):
+    """Compares the texts of each run of rows of one bucket and stripe. Stripes of a bucket
+    that has several are stored in ``folder`` for the comparison across stripes."""
 
     def emit(rows: list[dict]) -> list[dict]:
         rows = sorted({r["key"]: r for r in rows}.values(), key=lambda r: r["key"])
-        if len(rows) < 2:
+        if not rows or len(rows) == rows[0]["n"] == 1:
             return []
         texts = pa.array([r["text"] for r in rows], pa.large_string())
-        across = rows[0]["low"] != rows[0]["high"]
-        links, root, bins = compare(
-            words.shingle_sets(*words.buffers(texts), WIDTH),
+        one = Stripe(
+            np.array([r["key"] for r in rows], "S32"),
             np.array([r["copies"] for r in rows], np.int64),
             np.array([r["labels"] for r in rows], np.int64).view(np.uint64),
-            rows[0]["tree"], depth, done_depth,
-            np.array([r["stripe"] for r in rows]) if across else None,
+            words.shingle_sets(*words.buffers(texts), WIDTH), np.arange(len(rows)),
+        )
+        pairs, bins = linked(one, None, rows[0]["tree"], depth, done_depth)
+        both = pairs | pairs.T
+        one.root = _least_roots(both)
+        if rows[0]["stripes"] > 1:
+            store(folder, _stripe_name(rows[0], rows[0]["stripe"]), one.pack())
+        links = both @ one.copies
+        return _rows(
+            [(rows[i]["key"], int(links[i]), rows[one.root[i]]["key"]) for i in np.flatnonzero(links)], bins
         )
-        some = np.flatnonzero(links)
-        return [
-            {"key": rows[i]["key"], "links": int(links[i]), "root": rows[root[i]]["key"],
-             "bins": None if k else bins.tolist()}
-            for k, i in enumerate(some)
-        ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([
-            ("key", pa.string()), ("links", pa.int64()), ("root", pa.string()),
-            ("bins", pa.list_(pa.int64())),
-        ])
         held: list[dict] = []
         bucket, out = None, []
         for row in (r for b in batches for part in words.pieces(b, "text") for r in part.to_pylist()):
-            here = (row["tree"], row["prefix"], row["low"], row["high"])
+            here = (row["tree"], row["prefix"], row["stripe"])
             if here != bucket:
                 out += emit(held)
                 held, bucket = [], here
                 if len(out) >= 4096:
-                    yield pa.RecordBatch.from_pylist(out, schema)
+                    yield pa.RecordBatch.from_pylist(out, _FOUND_ARROW)
                     out = []
             held.append(row)
         out += emit(held)
-        yield pa.RecordBatch.from_pylist(out, schema)
+        yield pa.RecordBatch.from_pylist(out, _FOUND_ARROW)
+
+    return run
+
+
+def _across_stripes(depth: int, done_depth: int, folder: str):
+    """Compares a stripe (a row) with all others of its bucket, one at a time."""
+
+    def compared(row: dict) -> list[dict]:
+        load = lambda k: fetch(folder, _stripe_name(row, k))
+        own = load(row["stripe"])
+        if own is None:  # no text fell into this stripe
+            return []
+        own = Stripe.unpack(own)
+        links, bins = np.zeros(len(own.keys), np.int64), np.zeros(BINS, np.int64)
+        edges: set[tuple[str, str]] = set()
+        met = len(own.keys)
+        for k in range(row["stripes"]):
+            data = load(k) if k != row["stripe"] else None
+            if data is None:
+                continue
+            other = Stripe.unpack(data)
+            met += len(other.keys)
+            pairs, seen = linked(own, other, row["tree"], depth, done_depth)
+            links += pairs @ other.copies
+            if k > row["stripe"]:  # the other stripe counts its own links
+                bins += seen
+                a, b = np.nonzero(pairs)
+                joined = np.unique(np.stack([own.root[a], other.root[b]], 1), axis=0)
+                edges |= {(own.keys[x].decode(), other.keys[y].decode()) for x, y in joined}
+        if met != row["n"]:
+            raise RuntimeError(f"{met} of the {row['n']} texts of a bucket are stored")
+        names = [key.decode() for key in own.keys]
+        return _rows(
+            [(names[i], int(links[i]), names[own.root[i]]) for i in np.flatnonzero(links)]
+            + [(x, 0, y) for x, y in sorted(edges)], bins,
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield pa.RecordBatch.from_pylist(compared(row), _FOUND_ARROW)
 
     return run
 
 
 def _round(candidates: DataFrame, live: DataFrame, depth: int, done_depth: int) -> DataFrame:
-    """Compares the texts of the ``live`` buckets at this depth."""
+    """Compares the texts of the ``live`` buckets at this depth.
+
+    A bucket is dealt to stripes of about ``STRIPE`` texts. Each text is moved once per bucket; a
+    task compares the texts of a stripe and, if there are more stripes, stores it in a file.
+    Then a row per stripe goes through the files of its bucket, so that rows and disk grow with
+    the bucket, and only the comparing with its square.
+    """
+    spark = candidates.sparkSession
+    folder = f"{shared_folder(spark)}/stripes/{uuid.uuid4().hex}"
+    delete_on_exit(spark, folder)
     members = _keyed(candidates, depth).join(live.select("tree", "prefix", "n"), ["tree", "prefix"])
     held = members.groupBy("key").agg(F.collect_list(F.struct("tree", "prefix", "n")).alias("held"))
     count = F.ceil(F.col("n") / STRIPE).cast("int")
-    stripe = F.pmod(F.xxhash64("key", "prefix"), count).cast("int")
-    rows = (
-        candidates.join(held, "key")
-        .select("key", "copies", "labels", "text", F.inline("held"))
-        .withColumn("stripe", stripe)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
-        .select(
-            "tree", "prefix", F.least("stripe", "other").alias("low"),
-            F.greatest("stripe", "other").alias("high"), "stripe", "key", "copies", "labels", "text",
-        )
+    rows = candidates.join(held, "key").select(
+        "key", "copies", "labels", "text", F.inline("held")
+    ).select(
+        "tree", "prefix", F.pmod(F.xxhash64("key", "prefix"), count).cast("int").alias("stripe"),
+        "n", count.alias("stripes"), "key", "copies", "labels", "text",
     )
-    place = ["tree", "prefix", "low", "high"]
-    return rows.repartition(*place).sortWithinPartitions(*place).mapInArrow(
-        _compare_buckets(depth, done_depth), _FOUND
+    place = ["tree", "prefix", "stripe"]
+    within = settle(rows.repartition(*place).sortWithinPartitions(*place).mapInArrow(
+        _compare_stripes(depth, done_depth, folder), _FOUND
+    ))
+    stripes = live.where(F.col("n") > STRIPE).select(
+        "tree", "prefix", "n", count.alias("stripes"),
+        F.explode(F.sequence(F.lit(0), count - 1)).alias("stripe"),
     )
+    across = stripes.repartition(*place).mapInArrow(_across_stripes(depth, done_depth, folder), _FOUND)
+    return within.union(settle(across))
 
 
 def _recall(bins: np.ndarray, depth: int) -> float:
@@ -303,7 +412,7 @@ def similar(
         if done is not None:
             live = live.join(done, ["n", "x", "y"], "left_anti")
         live = settle(live)
-        found.append(settle(_round(candidates, live, depth, done_depth)))
+        found.append(_round(candidates, live, depth, done_depth))
         counts = found[-1].where("bins is not null").select(F.posexplode("bins").alias("bin", "n"))
         for row in counts.groupBy("bin").agg(F.sum("n").alias("n")).collect():  # BINS rows
             bins[row.bin] += row.n

@@ -8,6 +8,7 @@ import pytest
 from planlens.llm import shingle_join as sj
 from planlens.llm import text as words
 from planlens.llm.decontaminate import words as word_list
+from planlens.llm.shared_files import fetch, store
 
 
 def shingles(text):
@@ -87,6 +88,47 @@ def test_stripes_agree_with_whole_buckets(spark, rows, monkeypatch):
     assert sorted(map(str, sj.link_counts(docs).collect())) == whole
 
 
+def test_links_within_a_group_of_3000_near_copies(spark):
+    """Against counts of common shingles by hand; the group takes several stripes a tree."""
+    rng = np.random.default_rng(8)
+    base = " ".join(f"w{rng.integers(3000)}" for _ in range(80))
+    rows = [(i, edited(base, int(rng.integers(0, 3)), rng)) for i in range(3000)]
+    sets = [shingles(t) for _, t in rows]
+    numbers = {s: k for k, s in enumerate(sorted(set().union(*sets)))}
+    held = np.zeros((3000, len(numbers)), np.float32)
+    for i, one in enumerate(sets):
+        held[i, [numbers[s] for s in one]] = 1
+    common, sizes = held @ held.T, held.sum(1)
+    near = 5 * common >= 4 * (sizes[:, None] + sizes[None, :] - common)
+    links, group = near.sum(1) - 1, np.arange(3000)
+    while (low := np.where(near, group, 3000).min(1)).tolist() != group.tolist():
+        group = low
+    got = sj.link_counts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    counted = np.array([r.n_links for r in sorted(got)])
+    assert links.max() > sj.STRIPE
+    assert [r.class_id for r in sorted(got)] == group.tolist()
+    # A pair is missed once in 10,000 times at most.
+    assert (counted <= links).all() and counted.sum() >= (1 - 1e-4) * links.sum()
+
+
+def test_stored_stripes_come_back(tmp_path):
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 500, k).astype(np.uint64)) for k in (0, 1, 90, 300)]
+    one = sj.Stripe(
+        np.array(["a" * 32, "b", "c", "d"], "S32"), np.arange(4), sj.labels(sets), sets, np.array([0, 0, 2, 2])
+    )
+    store(str(tmp_path), "x", one.pack())
+    back = sj.Stripe.unpack(fetch(str(tmp_path), "x"))
+    assert fetch(str(tmp_path), "y") is None
+    for a, b in zip([one.keys, one.copies, one.marks, one.root, *one.sets],
+                    [back.keys, back.copies, back.marks, back.root, *back.sets], strict=True):
+        assert a.dtype == b.dtype and (a == b).all()
+    plain = [[len(np.intersect1d(a, b)) for b in sets] for a in sets[:3]]
+    assert (sj.overlaps(sets[:3], sets) == plain).all()
+    off = ~np.eye(4, dtype=bool)
+    assert (sj.overlaps(sets)[off] == sj.overlaps(sets, sets)[off]).all()
+
+
 def test_one_of_each_group_stays_with_its_columns(spark, rows):
     docs = spark.createDataFrame(
         [(i, t, n, "x", n) for n, (i, t) in enumerate(rows)],
