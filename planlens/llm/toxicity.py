@@ -1,10 +1,11 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-The vocabulary is the words whose texts are labelled toxic above all: candidates come from the
-examples, and are counted in all labelled texts. Document frequencies are of all documents.
+Every word of an example is a term. Its weight is that of TF-IDF, with document frequencies of
+all documents, times a gain that is above 1 where labelled texts with the word are toxic above
+all; so the neighbours of a text are those that share such words, then those on its subject.
 The labelled examples are held in a block-max inverted index: postings by word and block of
 examples, with the largest weight of each word in each block. A query visits blocks by their
-upper bound and stops at the first that can't reach its nearest neighbours so far, so the
+upper bound and stops where none can reach its nearest neighbours so far, so the
 neighbours are exact. They vote by closeness, and a logistic fit of the examples' own
 left-out votes calibrates the score.
 """
@@ -25,12 +26,9 @@ from planlens.llm.sampling import ids_per_label
 from planlens.session import settle
 
 PER_LABEL = 2000  # labelled examples in the index, of each label
-LEAST_TEXTS = 3  # toxic examples that have a word, for it to be a candidate
-LEAST_RATIO = 6.63  # its likelihood ratio statistic: 99 of 100
-CANDIDATES = 4096  # words of the examples that are counted in all labelled texts
-TERMS = 512  # words in the vocabulary at most
-LEAST_SHARE = 0.6  # of toxic texts among the labelled texts with a word, at the least
-SURE = 2.33  # standard errors by which the share must reach it: 99 of 100
+LEAST_RATIO = 6.63  # likelihood ratio of a word in the examples, for a gain: 99 of 100
+SURE = 2.33  # standard errors of the share of toxic texts that count against a gain: 99 of 100
+GAIN = 12.0  # added to the factor 1 of a word whose texts are all toxic
 NEIGHBOURS = 25
 BLOCK = 64  # examples
 SOFTNESS = 0.05  # added to a distance before it is inverted
@@ -69,49 +67,71 @@ class Vocabulary:
 
 
 class BlockMaxIndex:
-    """Postings of examples by term and block, with each block's largest weight per term."""
+    """Postings of examples by term and block, with each block's largest weight per term.
+
+    Flat arrays: a term has a run of cells, one per block, and a cell a run of postings.
+    """
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int) -> None:
         # Examples with the same leading term stand together, which sharpens the bounds.
         lead = [(int(t[w.argmax()]), -float(w.max())) if len(t) else (terms, 0.0) for t, w in vectors]
         self.order = np.array(sorted(range(len(vectors)), key=lambda i: (lead[i], i)), np.int64)
         self.blocks = -(-len(vectors) // BLOCK)
-        self.most = np.zeros((terms, self.blocks))
-        self.postings: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
-        cells: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for place, i in enumerate(self.order):
-            for t, w in zip(*vectors[i]):
-                cells.setdefault((int(t), place // BLOCK), []).append((place % BLOCK, float(w)))
-        for cell, entries in cells.items():
-            places, weights = zip(*entries)
-            self.postings[cell] = np.array(places), np.array(weights)
-            self.most[cell] = max(weights)
+        sizes = [len(vectors[i][0]) for i in self.order]
+        place = np.repeat(np.arange(len(vectors)), sizes).astype(np.int32)
+        none = np.zeros(0)
+        term = np.concatenate([none, *(vectors[i][0] for i in self.order)]).astype(np.int64)
+        weight = np.concatenate([none, *(vectors[i][1] for i in self.order)])
+        by = np.lexsort((place, term))
+        self.place, self.weight = place[by], weight[by]
+        cell, first = np.unique(term[by] * max(self.blocks, 1) + self.place // BLOCK, return_index=True)
+        self.block = (cell % max(self.blocks, 1)).astype(np.int32)
+        self.posting = np.append(first, len(by))
+        self.most = np.maximum.reduceat(self.weight, first) if len(first) else none
+        self.cell = np.searchsorted(cell // max(self.blocks, 1), np.arange(terms + 1))
 
     def nearest(
         self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1
     ) -> tuple[np.ndarray, np.ndarray, int]:
         """The ``k`` nearest examples with a common term, their cosines, and blocks visited.
 
-        Nearest first, ties by example number. ``skip`` is left out.
+        Nearest first, ties by example number. ``skip`` is left out. Blocks are visited in
+        runs of 1, 1, 2, 4 and so on; between them the bounds are held against the k-th best.
         """
-        bound = weights @ self.most[terms] + 1e-9
-        best: list[tuple[float, int]] = []
-        visited = 0
-        for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 1e-9 or len(best) == k and bound[block] < -best[-1][0]:
+        cells, owner = _runs(self.cell[terms], self.cell[terms + 1])
+        block, factor = self.block[cells], weights[owner]
+        bound = np.bincount(block, factor * self.most[cells], self.blocks) + 1e-9
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 1e-9]
+        found, cosines = np.zeros(0, np.int64), np.zeros(0)
+        visited, run = 0, 1
+        while visited < len(order):
+            if len(found) == k:
+                order = order[:np.searchsorted(-bound[order], -cosines[-1], "right")]
+            now = order[visited:visited + run]
+            if not len(now):
                 break
-            visited += 1
-            cosine = np.zeros(BLOCK)
-            for t, w in zip(terms, weights):
-                entry = self.postings.get((int(t), int(block)))
-                if entry is not None:
-                    cosine[entry[0]] += w * entry[1]
-            for place in np.flatnonzero(cosine):
-                example = int(self.order[block * BLOCK + place])
-                if example != skip:
-                    best.append((-round(float(cosine[place]), 12), example))
-            best = sorted(best)[:k]
-        return np.array([e for _, e in best], np.int64), np.array([-c for c, _ in best]), visited
+            run, visited = max(visited, 1), visited + len(now)
+            asked = np.zeros(self.blocks, bool)
+            asked[now] = True
+            some = asked[block]
+            at, which = _runs(self.posting[cells[some]], self.posting[cells[some] + 1])
+            cosine = np.bincount(self.place[at], self.weight[at] * factor[some][which], len(self.order))
+            hit = np.flatnonzero(cosine)
+            example = self.order[hit]
+            hit, example = hit[example != skip], example[example != skip]
+            found = np.append(found, example)
+            cosines = np.append(cosines, np.round(cosine[hit], 12))
+            best = np.lexsort((found, -cosines))[:k]
+            found, cosines = found[best], cosines[best]
+        return found, cosines, visited
+
+
+def _runs(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges, one range after the other, and the range of each."""
+    sizes = ends - starts
+    owner = np.repeat(np.arange(len(starts)), sizes)
+    return np.arange(len(owner)) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes), owner
 
 
 @dataclass
@@ -172,133 +192,155 @@ def build(
     return near
 
 
-def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct word hashes of each text."""
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct word hashes of each text, and how often each occurs."""
     for batch in batches:
         for part in words.pieces(batch, "text", 1 << 20):
             found, bounds = words.word_hashes(*words.buffers(part.column("text")))
-            rows = [np.unique(found[a:b]).view(np.int64) for a, b in zip(bounds[:-1], bounds[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("label"), pa.array(rows, pa.list_(pa.int64()))], ["label", "terms"]
-            )
+            each = [np.unique(found[a:b], return_counts=True) for a, b in zip(bounds[:-1], bounds[1:])]
+            yield pa.RecordBatch.from_arrays([
+                part.column("doc_id"), part.column("label"),
+                pa.array([h.view(np.int64) for h, _ in each], pa.list_(pa.int64())),
+                pa.array([n for _, n in each], pa.list_(pa.int64())),
+            ], ["doc_id", "label", "hashes", "counts"])
 
 
-def _occurring(vocabulary: Vocabulary):
-    """(doc_id, terms) of the texts that have some term."""
+def _occurring(vocabulary: Vocabulary, candidate: np.ndarray, id_type: pa.DataType):
+    """(doc_id, terms) of the texts that have some candidate, and (term, n) of all terms, once
+    per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(len(candidate), np.int64)
+        names = ["doc_id", "terms", "term", "n"]
         for batch in batches:
             for part in words.pieces(batch, "text", 1 << 20):
                 owner, term, _ = vocabulary.occurrences(*words.buffers(part.column("text")))
+                seen += np.bincount(term, minlength=len(seen))
+                owner, term = owner[candidate[term]], term[candidate[term]]
                 rows, starts = np.unique(owner, return_index=True)
                 bounds = pa.array(np.append(starts, len(term)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(pa.array(rows)), pa.ListArray.from_arrays(bounds, pa.array(term))],
-                    ["doc_id", "terms"],
-                )
+                yield pa.RecordBatch.from_arrays([
+                    part.column("doc_id").take(pa.array(rows)),
+                    pa.ListArray.from_arrays(bounds, pa.array(term.astype(np.int32))),
+                    pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.int64()),
+                ], names)
+        some = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([
+            pa.nulls(len(some), id_type), pa.nulls(len(some), pa.list_(pa.int32())),
+            pa.array(some.astype(np.int32)), pa.array(seen[some]),
+        ], names)
 
     return run
 
 
-def _vectors(vocabulary: Vocabulary):
+def _by_label(terms: int):
+    """(term, toxic, other): texts of either kind that have a term, once per task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros((2, terms), np.int64)
         for batch in batches:
-            for part in words.pieces(batch, "text", 1 << 20):
-                found = vocabulary.vectors(*words.buffers(part.column("text")))
-                yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), part.column("label"),
-                    pa.array([t for t, _ in found], pa.list_(pa.int64())),
-                    pa.array([w for _, w in found], pa.list_(pa.float64())),
-                ], ["doc_id", "label", "terms", "weights"])
+            kind = (batch.column("label").to_numpy(zero_copy_only=False) != 1).astype(np.int64)
+            held = batch.column("terms")
+            sizes = held.value_lengths().to_numpy(zero_copy_only=False)
+            flat = held.flatten().to_numpy(zero_copy_only=False)
+            cells = np.repeat(kind, sizes) * terms + flat
+            seen += np.bincount(cells, minlength=2 * terms).reshape(2, terms)
+        some = np.flatnonzero(seen.any(0))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some.astype(np.int32)), pa.array(seen[0, some]), pa.array(seen[1, some])],
+            ["term", "toxic", "other"],
+        )
 
     return run
 
 
-def _candidates(sample: DataFrame) -> np.ndarray:
-    """The hashes of words that are more frequent in toxic texts of the sample, those with
-    the largest likelihood ratio first."""
-    totals = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    toxic, other = totals.get(1, 0), sum(n for k, n in totals.items() if k != 1)
-    if not toxic or not other:
-        return np.zeros(0, np.uint64)
-    per_text = sample.mapInArrow(_terms, "label int, terms array<long>")
-    has = per_text.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
-        F.count_if(F.col("label") == 1).cast("double").alias("a"),
-        F.count_if(F.col("label") != 1).cast("double").alias("c"),
-    )
-    a, c = F.col("a"), F.col("c")
+def likelihood_ratio(a: np.ndarray, c: np.ndarray, toxic: int, other: int) -> np.ndarray:
+    """Of words in ``a`` of the toxic and ``c`` of the other texts."""
     either = (a + c) / (toxic + other)
-    part = lambda seen, expected: F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
-    ratio = (
-        part(a, either * toxic) + part(toxic - a, (1 - either) * toxic)
-        + part(c, either * other) + part(other - c, (1 - either) * other)
-    )
-    more = has.where((a >= LEAST_TEXTS) & (a / toxic > c / other) & (2 * ratio >= LEAST_RATIO))
-    rows = more.orderBy(ratio.desc(), "term").limit(CANDIDATES).select("term").collect()
-    return np.array([r.term for r in rows], np.int64).view(np.uint64)
-
-
-def _telling(vocabulary: Vocabulary, texts: DataFrame, labelled: DataFrame) -> Vocabulary:
-    """The words of ``vocabulary`` that occur in toxic texts above all, by the counts in all
-    labelled texts, with document frequencies of all ``texts``."""
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    hits = settle(texts.mapInArrow(_occurring(vocabulary), f"doc_id {kind}, terms array<long>"))
-    each = hits.select("doc_id", F.explode("terms").alias("term"))
-    found = each.groupBy("term").agg(F.count("*").alias("n")).collect()  # at most CANDIDATES rows
-    frequency = {r.term: r.n for r in found}
-    label = labelled.where("label is not null and doc_id is not null").groupBy("doc_id").agg(
-        F.min("label").alias("label")
-    )
-    labels = hits.join(label, "doc_id").select("label", F.explode("terms").alias("term"))
-    split = labels.groupBy("term").agg(
-        F.count_if(F.col("label") == 1).alias("a"), F.count_if(F.col("label") != 1).alias("c")
-    ).collect()
-    # Wilson's lower bound of a word's share of toxic texts.
-    bound = {}
-    for r in split:
-        n, share = r.a + r.c, r.a / (r.a + r.c)
-        spread = SURE * np.sqrt(share * (1 - share) / n + SURE**2 / (4 * n**2))
-        bound[r.term] = (share + SURE**2 / (2 * n) - spread) / (1 + SURE**2 / n)
-    kept = sorted(
-        (t for t, low in bound.items() if low >= LEAST_SHARE), key=lambda t: (-bound[t], t)
-    )[:TERMS]
-    everything = texts.count()
-    idf = np.array([np.log((1 + everything) / (1 + frequency[t])) + 1 for t in kept])
-    return Vocabulary(vocabulary.hashes[np.array(kept, np.int64)], idf)
+    cells = [(a, either * toxic), (toxic - a, (1 - either) * toxic),
+             (c, either * other), (other - c, (1 - either) * other)]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return 2 * sum(np.where(seen > 0, seen * np.log(seen / expected), 0) for seen, expected in cells)
+
+
+def _gains(toxic: np.ndarray, other: np.ndarray, prior: float) -> np.ndarray:
+    """1, and more by how far Wilson's lower bound of a word's toxic share is above ``prior``."""
+    n = np.maximum(toxic + other, 1)
+    share = toxic / n
+    spread = SURE * np.sqrt(share * (1 - share) / n + SURE**2 / (4 * n**2))
+    low = (share + SURE**2 / (2 * n) - spread) / (1 + SURE**2 / n)
+    return 1 + GAIN * np.clip((low - prior) / max(1 - prior, 1e-9), 0, 1)
 
 
 def learn(docs: DataFrame, labelled: DataFrame, *, per_label: int = PER_LABEL) -> Neighbourhood:
     """The index of ``labelled`` (doc_id, label 0 or 1) examples among ``docs``.
 
     At most ``per_label`` examples of each label are held, the same on every run; document
-    frequencies are of all ``docs``. Null labels, and labels without a text, are ignored.
-    Without labels every score is one half.
+    frequencies are of all ``docs``, and gains of all labelled texts. Words that are
+    significantly more frequent in toxic examples can have a gain; no word is left out. Null
+    labels, and labels without a text, are ignored. Without labels every score is one half.
     """
     words.small_batches(docs)
     share = labelled.agg(F.avg(F.col("label").cast("double")).alias("toxic")).first().toxic
-    chosen = ids_per_label(labelled.select("doc_id", F.col("label").cast("int").alias("label")), per_label)
+    prior = 0.5 if share is None else float(share)
+    one = F.col("label").cast("int").alias("label")
+    chosen = ids_per_label(labelled.select("doc_id", one), per_label)
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    id_type = texts.schema["doc_id"].dataType
+    kind = id_type.simpleString()
     sample = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
-    hashes = _candidates(sample.select("label", "text"))
-    vocabulary = _telling(Vocabulary(hashes, np.ones(len(hashes))), texts, labelled)
-    kind = sample.schema["doc_id"].dataType.simpleString()
     rows = sample.mapInArrow(
-        _vectors(vocabulary), f"doc_id {kind}, label int, terms array<long>, weights array<double>"
-    ).collect()
-    rows.sort(key=lambda r: (r.doc_id, r.terms))
-    return build(
-        vocabulary, [(np.array(r.terms, np.int64), np.array(r.weights)) for r in rows],
-        np.array([r.label == 1 for r in rows], bool), [r.doc_id for r in rows],
-        0.5 if share is None else float(share),
+        _word_counts, f"doc_id {kind}, label int, hashes array<long>, counts array<long>"
+    ).collect()  # at most per_label texts of each label
+    rows.sort(key=lambda r: (r.doc_id, r.hashes))
+    hashes = [np.array(r.hashes, np.int64).view(np.uint64) for r in rows]
+    toxic = np.array([r.label == 1 for r in rows], bool)
+    every = np.unique(np.concatenate([np.zeros(0, np.uint64), *hashes]))
+    terms = [np.searchsorted(every, h) for h in hashes]
+    held = [np.concatenate([np.zeros(0, np.int64), *(t for t, x in zip(terms, toxic) if x == side)])
+            for side in (True, False)]
+    a, c = (np.bincount(t, minlength=len(every)) for t in held)
+    n_toxic, n_other = int(toxic.sum()), int((~toxic).sum())
+    candidate = np.zeros(len(every), bool)
+    if n_toxic and n_other:
+        candidate = (a * n_other > c * n_toxic) & (likelihood_ratio(a, c, n_toxic, n_other) >= LEAST_RATIO)
+
+    plain = Vocabulary(every, np.ones(len(every)))
+    found = settle(texts.mapInArrow(
+        _occurring(plain, candidate, to_arrow_type(id_type)),
+        f"doc_id {kind}, terms array<int>, term int, n long",
+    ))
+    frequency, gain = np.zeros(len(every)), np.ones(len(every))
+    for r in found.where("term is not null").groupBy("term").agg(F.sum("n").alias("n")).collect():
+        frequency[r.term] = r.n  # as many rows as the examples have words
+    label = labelled.where("label is not null and doc_id is not null").groupBy("doc_id").agg(
+        F.min(one).alias("label")
+    )
+    counted = (
+        found.where("terms is not null").join(label, "doc_id").select("label", "terms")
+        .mapInArrow(_by_label(len(every)), "term int, toxic long, other long")
+        .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).collect()
+    )
+    at = np.array([r.term for r in counted], np.int64)
+    gain[at] = _gains(
+        np.array([r.toxic for r in counted], float), np.array([r.other for r in counted], float), prior
     )
+    weight = (np.log((1 + texts.count()) / (1 + frequency)) + 1) * gain
+    vectors = []
+    for t, r in zip(terms, rows):
+        w = (1 + np.log(np.array(r.counts, float))) * weight[t]
+        vectors.append((t, w / np.sqrt((w * w).sum()) if len(t) else w))
+    return build(Vocabulary(every, weight), vectors, toxic, [r.doc_id for r in rows], prior)
 
 
 def score(docs: DataFrame, held) -> DataFrame:
     """(doc_id, score, evidence): the calibrated chance of a toxic label, and the nearest
     examples with their labels and cosines, nearest first.
 
-    ``held`` is a broadcast ``Neighbourhood``. Null, empty and wordless texts, and texts
-    without a telling word, have no evidence and the share of such examples as their score.
+    ``held`` is a broadcast ``Neighbourhood``. A text's vector is of the words that examples
+    have; a copy of an example has a cosine of 1 with it. Null, empty and wordless texts, and
+    those without any word of an example, have no evidence and the share of such examples as
+    their score. Repeated rows are scored alike; columns other than doc_id and text are left out.
     """
     words.small_batches(docs)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))

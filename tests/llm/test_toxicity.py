@@ -1,9 +1,12 @@
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from planlens.llm import text as words
 from planlens.llm import toxicity as tox
+from planlens.llm.decontaminate import words as word_list
 from planlens.llm.queries import op7_toxicity, training_labels
 
 
@@ -83,3 +86,65 @@ def test_ids_of_any_type(spark, tables):
     scored = tox.score(documents, spark.sparkContext.broadcast(tox.learn(documents, labels)))
     assert scored.count() == documents.count()
     assert scored.schema["evidence"].dataType.elementType["doc_id"].dataType.simpleString() == "string"
+
+
+def test_neighbours_and_scores_by_brute_force(spark, tables):
+    """Every labelled text is an example: counts, weights, cosines and votes by plain loops."""
+    documents, labels = tables("documents"), tables("labels").select("doc_id", F.col("toxic").alias("label"))
+    near = tox.learn(documents, labels)
+    texts = {r.doc_id: Counter(word_list(r.text)) for r in documents.select("doc_id", "text").collect()}
+    label = {r.doc_id: r.label for r in labels.collect() if r.label is not None and r.doc_id in texts}
+    prior = sum(label.values()) / len(label)
+    frequency = Counter(w for t in texts.values() for w in t)
+    toxic = Counter(w for d, x in label.items() if x for w in texts[d])
+    other = Counter(w for d, x in label.items() if not x for w in texts[d])
+    n_toxic, n_other = sum(label.values()), len(label) - sum(label.values())
+
+    def weight(w):
+        a, c = toxic[w], other[w]
+        ratio = 0.0
+        for side, size in ((a, n_toxic), (c, n_other)):
+            for seen, share in ((side, (a + c) / len(label)), (size - side, 1 - (a + c) / len(label))):
+                ratio += 2 * seen * np.log(seen / (share * size)) if seen else 0.0
+        gain = 1.0
+        if a * n_other > c * n_toxic and ratio >= tox.LEAST_RATIO:
+            n, z = a + c, tox.SURE
+            low = (a / n + z * z / (2 * n) - z * np.sqrt(a * c / n**3 + z * z / (4 * n * n))) / (1 + z * z / n)
+            gain += tox.GAIN * max(0.0, (low - prior) / (1 - prior))
+        return (np.log((1 + len(texts)) / (1 + frequency[w])) + 1) * gain
+
+    known = {w: weight(w) for d in label for w in texts[d]}
+    assert any(tox.GAIN / 4 < g for g in near.vocabulary.idf / near.vocabulary.idf.min())
+
+    def vector(text):
+        v = {w: (1 + np.log(n)) * known[w] for w, n in text.items() if w in known}
+        length = np.sqrt(sum(x * x for x in v.values()))
+        return {w: x / length for w, x in v.items()}
+
+    examples = {d: vector(texts[d]) for d in sorted(label)}
+    scored = tox.score(documents, spark.sparkContext.broadcast(near)).collect()
+    assert len(scored) == len(texts)
+    for row in scored[::7]:
+        v = vector(texts[row.doc_id])
+        cosine = {d: sum(x * e.get(w, 0.0) for w, x in v.items()) for d, e in examples.items()}
+        best = sorted((-round(x, 9), d) for d, x in cosine.items() if x > 0)[:tox.NEIGHBOURS]
+        np.testing.assert_allclose([e.cosine for e in row.evidence], [-x for x, _ in best], atol=1e-8)
+        assert all(abs(cosine[e.doc_id] - e.cosine) < 1e-8 and e.toxic == label[e.doc_id] for e in row.evidence)
+        if best:  # every label is an example, so that all voices weigh alike
+            voice = [1 / (1 - min(e.cosine, 1) + tox.SOFTNESS) for e in row.evidence]
+            rest = 1 / (1 + tox.SOFTNESS)
+            vote = (sum(x for x, e in zip(voice, row.evidence) if e.toxic) + rest * prior) / (sum(voice) + rest)
+            np.testing.assert_allclose(row.score, near.calibrated(vote), atol=1e-6)
+
+
+def test_a_copy_of_an_example_has_it_as_nearest(spark):
+    """Also without any word that is telling, and with words that one example has alone."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 900, 30)) + f" only{i}" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts + texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, label int")
+    rows = tox.score(docs, spark.sparkContext.broadcast(tox.learn(docs, labels))).collect()
+    assert len(rows) == 120
+    for r in rows:
+        assert r.evidence[0].doc_id == r.doc_id % 60 and abs(r.evidence[0].cosine - 1) < 1e-9
+        assert r.evidence[0].toxic == (r.doc_id % 3 == 0)
