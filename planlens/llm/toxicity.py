@@ -31,6 +31,7 @@ SURE = 2.33  # standard errors of the share of toxic texts that count against a
 GAIN = 12.0  # added to the factor 1 of a word whose texts are all toxic
 NEIGHBOURS = 25
 BLOCK = 64  # examples
+DENSE = 32  # a word of at least one example in so many is held as a full row
 SOFTNESS = 0.05  # added to a distance before it is inverted
 
 
@@ -69,7 +70,8 @@ class Vocabulary:
 class BlockMaxIndex:
     """Postings of examples by term and block, with each block's largest weight per term.
 
-    Flat arrays: a term has a run of cells, one per block, and a cell a run of postings.
+    Flat arrays: a term has a run of cells, one per block, and a cell a run of postings. Terms
+    of at least one example in ``DENSE`` have a full row of weights by block instead of postings.
     """
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int) -> None:
@@ -84,6 +86,12 @@ class BlockMaxIndex:
         weight = np.concatenate([none, *(vectors[i][1] for i in self.order)])
         by = np.lexsort((place, term))
         self.place, self.weight = place[by], weight[by]
+        often = np.bincount(term, minlength=terms) * DENSE >= len(vectors)
+        self.row = np.where(often, np.cumsum(often) - 1, -1)
+        full = often[term[by]]
+        self.rows = np.zeros((int(often.sum()), self.blocks * BLOCK))
+        self.rows[self.row[term[by][full]], self.place[full]] = self.weight[full]
+        self.top = self.rows.reshape(len(self.rows), self.blocks, BLOCK).max(2)
         cell, first = np.unique(term[by] * max(self.blocks, 1) + self.place // BLOCK, return_index=True)
         self.block = (cell % max(self.blocks, 1)).astype(np.int32)
         self.posting = np.append(first, len(by))
@@ -98,11 +106,18 @@ class BlockMaxIndex:
         Nearest first, ties by example number. ``skip`` is left out. Blocks are visited in
         runs of 1, 1, 2, 4 and so on; between them the bounds are held against the k-th best.
         """
+        row = self.row[terms]
+        often = row >= 0
+        row, share, terms, weights = row[often], weights[often], terms[~often], weights[~often]
         cells, owner = _runs(self.cell[terms], self.cell[terms + 1])
         block, factor = self.block[cells], weights[owner]
-        bound = np.bincount(block, factor * self.most[cells], self.blocks) + 1e-9
+        bound = np.bincount(block, factor * self.most[cells], self.blocks) + share @ self.top[row] + 1e-9
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 1e-9]
+        dense = np.zeros(self.blocks * BLOCK)
+        for r, f in zip(row, share):
+            dense += f * self.rows[r]
+        dense = dense.reshape(self.blocks, BLOCK)
         found, cosines = np.zeros(0, np.int64), np.zeros(0)
         visited, run = 0, 1
         while visited < len(order):
@@ -116,7 +131,11 @@ class BlockMaxIndex:
             asked[now] = True
             some = asked[block]
             at, which = _runs(self.posting[cells[some]], self.posting[cells[some] + 1])
-            cosine = np.bincount(self.place[at], self.weight[at] * factor[some][which], len(self.order))
+            cosine = np.bincount(
+                self.place[at], self.weight[at] * factor[some][which], self.blocks * BLOCK
+            ).reshape(self.blocks, BLOCK).astype(float)
+            cosine[now] += dense[now]
+            cosine = cosine.ravel()
             hit = np.flatnonzero(cosine)
             example = self.order[hit]
             hit, example = hit[example != skip], example[example != skip]
