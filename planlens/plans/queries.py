@@ -53,6 +53,13 @@ def _landed_csv(m: SampleModel) -> DataFrame:
     return observe.stamp_text(m.landed_extract("oracle_orders.csv"), "_loaded_at")
 
 
+def _landed_csv_counts(m: SampleModel) -> DataFrame:
+    m.extract_folder(*SOURCE_TABLES)
+    return landing.landed_row_counts(
+        {table: m.landed_extract(name) for name, table in SOURCE_TABLES.items()}
+    )
+
+
 def _layers(m: SampleModel) -> DataFrame:
     tables = {("raw", name): df for name, df in m.raw_tables.items()}
     tables.update({
@@ -361,9 +368,7 @@ QUERIES: dict[str, Query] = {
     # sources
     "land_raw_orders": _of(_landed),
     "land_csv_orders": _of(_landed_csv),
-    "landed_csv_counts": _of(lambda m: landing.landed_row_counts(
-        {table: m.landed_extract(name) for name, table in SOURCE_TABLES.items()}
-    )),
+    "landed_csv_counts": _of(_landed_csv_counts),
     "landed_row_counts": _of(lambda m: landing.landed_row_counts(m.raw_tables)),
     "layer_row_counts": _of(_layers, settled=True),
     "run_results_summary": _of(lambda m: observe.run_summary(m.run_artifacts)),

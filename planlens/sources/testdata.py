@@ -48,6 +48,13 @@ _SCHEMAS = {
     "labels": "doc_id bigint, quality int, toxic int",
 }
 
+_RAW = {
+    "raw_oracle_orders": "raw_orders",
+    "raw_salesforce_accounts": "raw_accounts",
+    "raw_adaptive_forecast": "raw_forecast",
+    "raw_erp_products": "raw_products",
+}
+
 # Paths landed by this process. The checkpoint folder is new in every session.
 _LANDED: set[str] = set()
 
@@ -95,20 +102,26 @@ class SampleModel(Pipeline):
             F.col("o_orderdate").cast("date").alias("o_orderdate"),
         )
         brands = self.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-        plants = self.table("supplier").join(
-            self.places, F.col("s_nationkey") == F.col("n_nationkey"), "left"
-        ).select(
-            F.col("s_suppkey").alias("l_suppkey"),
+        plants = self.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+        places = self.places.select(
+            F.col("n_nationkey").alias("s_nationkey"),
             F.concat("n_name", F.lit(", "), "r_name").alias("plant_location"),
         )
         lines = self.table("lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-            "l_extendedprice", F.col("l_shipdate").cast("date").alias("l_shipdate"),
-        )
-        # Headers grow with the lines, so this join is a shuffle at every size.
-        lines = joins.lookups(
-            lines, {"l_orderkey": headers.hint("merge"), "l_partkey": brands, "l_suppkey": plants}
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+            F.round("l_quantity").cast("bigint").alias("pieces"),
+            F.col("l_extendedprice").cast(casts.MONEY).alias("price"),
+            F.col("l_shipdate").cast("date").alias("l_shipdate"),
         )
+        # All three grow with the lines, so these joins are shuffles at every size. The lines
+        # are narrow while they move: headers come last, names of places after them. Keys are
+        # unique, so a partition's share of them is a small table and the lines need no sort.
+        lines = joins.lookups(lines, {
+            "l_suppkey": plants.hint("shuffle_hash"),
+            "l_partkey": brands.hint("shuffle_hash"),
+            "l_orderkey": headers.hint("shuffle_hash"),
+            "s_nationkey": places,
+        })
 
         short_id = F.concat(
             F.when(_every("l_orderkey", 10, 9), "ORD9-").otherwise("ORD0-"),
@@ -123,10 +136,9 @@ class SampleModel(Pipeline):
             .when(F.col("o_orderstatus") == "P", "Cancelled")
         )
         undelivered = (F.col("o_orderstatus") == "O") & _every("l_linenumber", 2)
-        pieces = F.round("l_quantity").cast("bigint")
-        quantity = F.when(_every("l_orderkey", 227), -pieces).when(
+        quantity = F.when(_every("l_orderkey", 227), -F.col("pieces")).when(
             _every("l_orderkey", 229), F.lit(0).cast("bigint")
-        ).otherwise(pieces)
+        ).otherwise(F.col("pieces"))
         return lines.select(
             F.when(_every("l_orderkey", 50), short_id).otherwise(full_id).alias("order_id"),
             F.concat(F.lit("CUST"), F.col("o_custkey").cast("string")).alias("customer_id"),
@@ -138,7 +150,7 @@ class SampleModel(Pipeline):
             .alias("actual_delivery_date"),
             quantity.cast("string").alias("quantity"),
             F.when(_every("l_orderkey", 223), "")
-            .otherwise(F.col("l_extendedprice").cast(casts.MONEY).cast("string"))
+            .otherwise(F.col("price").cast("string"))
             .alias("unit_price"),
             "plant_location",
             status.alias("order_status"),
@@ -331,28 +343,27 @@ class SampleModel(Pipeline):
 
     @property
     def raw_tables(self) -> dict[str, DataFrame]:
-        return {
-            "raw_oracle_orders": self.raw_orders,
-            "raw_salesforce_accounts": self.raw_accounts,
-            "raw_adaptive_forecast": self.raw_forecast,
-            "raw_erp_products": self.raw_products,
-        }
+        return {table: getattr(self, layer) for table, layer in _RAW.items()}
 
-    @cached_property
-    def extract_folder(self) -> str:
-        """The four extracts as CSV, a folder of files each, as a source would send them."""
+    def extract_folder(self, *file_names: str) -> str:
+        """The folder of the extracts, with at least those named in it: CSV as a source would send
+        it, a folder of compressed files each. One alone is written as it is derived; several
+        from the landed tables, which the plan needs anyway."""
         folder = f"{shared_folder(self.spark)}/extracts/{zlib.crc32(self.sf_dir.encode())}"
-        if folder not in _LANDED:
-            for file_name, table in SOURCE_TABLES.items():
-                rows = self.raw_tables[table]
-                rows.write.mode("overwrite").csv(f"{folder}/{file_name}", header=True, escape='"')
-            delete_on_exit(self.spark, folder)
-            _LANDED.add(folder)
+        for file_name in file_names:
+            path = f"{folder}/{file_name}"
+            if path not in _LANDED:
+                layer = _RAW[SOURCE_TABLES[file_name]]
+                alone = len(file_names) == 1
+                rows = getattr(self, f"_derive_{layer[4:]}")() if alone else getattr(self, layer)
+                rows.write.mode("overwrite").csv(path, header=True, escape='"', compression="gzip")
+                delete_on_exit(self.spark, path)
+                _LANDED.add(path)
         return folder
 
     def landed_extract(self, file_name: str) -> DataFrame:
         """An extract read and stamped as a load does; the source file is the folder's name."""
-        rows = read_extract(self.spark, self.extract_folder, file_name)
+        rows = read_extract(self.spark, self.extract_folder(file_name), file_name)
         source = F.element_at(F.split("_metadata.file_path", "/"), -2)
         return stamp_metadata(
             rows.select("*", source.alias("_source")),
@@ -370,7 +381,7 @@ class SampleModel(Pipeline):
             delete_on_exit(self.spark, folder)
             for batch, loaded_at in COMMITTED_LOADS.items():
                 landing = Batch(batch_id=batch, loaded_at=datetime.fromisoformat(loaded_at))
-                land_raw(self.spark, self.extract_folder, warehouse, landing, layer=layer)
+                land_raw(self.spark, self.extract_folder(*SOURCE_TABLES), warehouse, landing, layer=layer)
             _LANDED.add(folder)
         return warehouse.load_log(layer)
 
