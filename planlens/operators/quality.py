@@ -39,12 +39,12 @@ def duplicate_ids(orders: DataFrame) -> DataFrame:
     )
 
 
-def filter_bits(duplicates: DataFrame) -> int | None:
-    """The size of the filter for stored ``duplicates``; None if they may be broadcast, as the
-    session measures it."""
+def filter_bits(duplicates: DataFrame, count: int | None = None) -> int | None:
+    """The size of the filter for stored ``duplicates``, ``count`` rows if that is known; None if
+    they may be broadcast, as the session measures it."""
     spark = duplicates.sparkSession
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").lower().removesuffix("b")
-    count = duplicates.count()  # from the footers of its files
+    count = duplicates.count() if count is None else count  # from the footers of its files
     most = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit) if limit != "-1" else -1
     return None if count * _ROW_BYTES <= most else keyfilter.bits_for(count)
 

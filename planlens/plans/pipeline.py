@@ -63,9 +63,18 @@ class Pipeline:
     def duplicates(self) -> DataFrame:
         return quality.duplicate_ids(self.typed)
 
+    @property
+    def _filter_bits(self) -> int | None:
+        """Size of the filter of ``duplicates``, for a stored list too long to broadcast."""
+        return None
+
+    def _flag(self, typed: DataFrame) -> DataFrame:
+        duplicates = self.duplicates
+        return quality.flag_orders(typed, duplicates, filter_bits=self._filter_bits)
+
     @cached_property
     def flagged(self) -> DataFrame:
-        return self._kept(quality.flag_orders(self.typed, self.duplicates))
+        return self._kept(self._flag(self.typed))
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -139,7 +148,7 @@ class Pipeline:
             for name, quantity in {"source": F.col("quantity"), **readings}.items()
         }
         typed = conform.type_orders(self.raw_orders, **sources)
-        lines = settle(quality.flag_orders(typed, self.duplicates))
+        lines = settle(self._flag(typed))
         enriched = enrich.enrich_orders(
             quality.clean_orders(lines), self.accounts, self.products
         )

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planlens.functions import casts, rules
-from planlens.operators import joins, observe
+from planlens.operators import joins, monthly, observe, quality
 from planlens.plans.pipeline import Pipeline
 from planlens.schemas import RAW_SCHEMAS, SOURCE_TABLES
 from planlens.session import delete_on_exit, shared_folder
@@ -55,6 +55,18 @@ _RAW = {
     "raw_erp_products": "raw_products",
 }
 
+# Results that a build stores, and that are bounded by the cells or by the repeated ids.
+_STORED = {
+    "duplicate_ids": "_id_key string, n bigint",
+    "monthly_revenue": "product_id string, region string, revenue_month date, "
+                       "actual_revenue decimal(18,2), actual_quantity bigint, "
+                       "actual_margin decimal(18,2), order_count bigint, on_time_count bigint, "
+                       "late_count bigint, cancelled_count bigint, orders_with_known_cost bigint",
+}
+
+# Rows of the stored lists of repeated ids, by path.
+_COUNTS: dict[str, int] = {}
+
 # Paths landed by this process. The checkpoint folder is new in every session.
 _LANDED: set[str] = set()
 
@@ -81,7 +93,24 @@ class SampleModel(Pipeline):
             derive().write.mode("overwrite").parquet(path)
             delete_on_exit(self.spark, path)
             _LANDED.add(path)
-        return self.spark.read.schema(RAW_SCHEMAS[name]).parquet(path)
+        return self.spark.read.schema(RAW_SCHEMAS.get(name) or _STORED[name]).parquet(path)
+
+    @cached_property
+    def duplicates(self) -> DataFrame:
+        """Stored once per session, as a build does: the ids are counted in one shuffle."""
+        return self._land("duplicate_ids", lambda: quality.duplicate_ids(self.typed))
+
+    @property
+    def _filter_bits(self) -> int | None:
+        key = f"{shared_folder(self.spark)}/landed/{zlib.crc32(self.sf_dir.encode())}/duplicate_ids"
+        if key not in _COUNTS:
+            _COUNTS[key] = self.duplicates.count()
+        return quality.filter_bits(self.duplicates, _COUNTS[key])
+
+    @cached_property
+    def monthly(self) -> DataFrame:
+        """Stored once per session: the plan is derived from it, and the actuals are it."""
+        return self._land("monthly_revenue", lambda: monthly.monthly_revenue(self.enriched))
 
     @cached_property
     def places(self) -> DataFrame:

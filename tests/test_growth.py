@@ -41,3 +41,21 @@ def test_one_extract_is_written_alone_and_compressed(spark, fresh):
 def test_lines_are_not_sorted_to_be_landed(spark, fresh):
     plan = SampleModel(spark, fresh)._derive_orders()._jdf.queryExecution().sparkPlan().toString()
     assert "SortMergeJoin" not in plan and plan.count("ShuffledHashJoin") == 3
+
+
+def test_actuals_and_plan_share_one_stored_rollup(spark, fresh):
+    """The lines are typed for the rollup, once; the mart reads cells."""
+    plan = QUERIES["plan_vs_actual"](spark, fresh)._jdf.queryExecution().optimizedPlan().toString()
+    assert "raw_oracle_orders" not in plan and "plant_location" not in plan
+
+
+def test_long_list_of_repeated_ids_moves_no_line(spark, fresh):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for key in ("orders_rejects", "star_rollup", "layer_row_counts"):
+            assert difference(QUERIES[key](spark, fresh), oracle_connection(fresh), ORACLE_SQL[key]) is None
+        plan = QUERIES["orders_flagged"](spark, fresh)._jdf.queryExecution().sparkPlan().toString()
+        assert "_block0" in plan  # lines meet the filter first
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
