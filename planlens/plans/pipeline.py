@@ -16,10 +16,11 @@ class Pipeline:
     """Layers as DataFrames. Nothing runs until an action.
 
     ``settled`` stores the flagged and the enriched lines and the monthly rollup when they
-    are first asked for, for plans that read them from several branches.
+    are first asked for, for plans that read them from several branches; or only those of
+    them that it names.
     """
 
-    settled = False
+    settled: bool | tuple[str, ...] = False
 
     def __init__(
         self,
@@ -30,7 +31,7 @@ class Pipeline:
         raw_forecast: DataFrame,
         regions: DataFrame,
         calendar: DataFrame,
-        settled: bool = False,
+        settled: bool | tuple[str, ...] = False,
     ) -> None:
         self.raw_orders = raw_orders
         self.raw_accounts = raw_accounts
@@ -40,8 +41,9 @@ class Pipeline:
         self.calendar = calendar
         self.settled = settled
 
-    def _kept(self, df: DataFrame) -> DataFrame:
-        return settle(df) if self.settled else df
+    def _kept(self, df: DataFrame, layer: str) -> DataFrame:
+        named = self.settled if isinstance(self.settled, bool) else layer in self.settled
+        return settle(df) if named else df
 
     @cached_property
     def accounts(self) -> DataFrame:
@@ -74,7 +76,7 @@ class Pipeline:
 
     @cached_property
     def flagged(self) -> DataFrame:
-        return self._kept(self._flag(self.typed))
+        return self._kept(self._flag(self.typed), "flagged")
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -86,11 +88,13 @@ class Pipeline:
 
     @cached_property
     def enriched(self) -> DataFrame:
-        return self._kept(enrich.enrich_orders(self.orders, self.accounts, self.products))
+        return self._kept(
+            enrich.enrich_orders(self.orders, self.accounts, self.products), "enriched"
+        )
 
     @cached_property
     def monthly(self) -> DataFrame:
-        return self._kept(monthly.monthly_revenue(self.enriched))
+        return self._kept(monthly.monthly_revenue(self.enriched), "monthly")
 
     @cached_property
     def dim_customer(self) -> DataFrame:

@@ -78,7 +78,7 @@ def _every(column: str, modulus: int, remainder: int = 0) -> Column:
 class SampleModel(Pipeline):
     """A ``Pipeline`` whose raw layer is derived from ``sf_dir``."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, settled: bool = False) -> None:
+    def __init__(self, spark: SparkSession, sf_dir: str, settled: bool | tuple[str, ...] = False) -> None:
         self.spark = spark
         self.sf_dir = sf_dir
         self.settled = settled

@@ -59,3 +59,11 @@ def test_long_list_of_repeated_ids_moves_no_line(spark, fresh):
         assert "_block0" in plan  # lines meet the filter first
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_layers_are_counted_without_a_copy_of_the_enriched_lines(spark, fresh):
+    before = stored(spark, "settled/*")
+    frame = QUERIES["layer_row_counts"](spark, fresh)
+    assert difference(frame, oracle_connection(fresh), ORACLE_SQL["layer_row_counts"]) is None
+    columns = [spark.read.parquet(p).columns for p in stored(spark, "settled/*") - before]
+    assert columns and not any("gross_margin" in c for c in columns)
