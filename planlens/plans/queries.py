@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from planlens.functions import casts, rules
 from planlens.operators import checks, measures, monthly, observe, quality
 from planlens.schemas import SOURCE_TABLES
+from planlens.session import settle
 from planlens.sources import landing
 from planlens.sources.run_artifacts import parse_run_artifacts
 from planlens.sources.testdata import AS_OF, BATCH_ID, REGIONS, SampleModel
@@ -132,6 +133,12 @@ def _plant_split(m: SampleModel) -> DataFrame:
     return m.typed.groupBy("plant_city", "plant_country").agg(F.count("*").alias("line_count"))
 
 
+def _rejects(m: SampleModel) -> DataFrame:
+    """Stored before they are sorted: a sort reads its rows twice, once to place its ranges, and
+    would type and flag all lines for each."""
+    return quality.rejects_listing(settle(m.rejects))
+
+
 def _source_batch_mix(m: SampleModel) -> DataFrame:
     return m.flagged.groupBy("source_batch").agg(
         F.count("*").alias("line_count"),
@@ -385,7 +392,7 @@ QUERIES: dict[str, Query] = {
     "source_batch_mix": _of(_source_batch_mix),
     "orders_flagged": _of(lambda m: m.flagged),
     "stg_orders": _of(lambda m: m.orders),
-    "orders_rejects": _of(lambda m: quality.rejects_listing(m.rejects)),
+    "orders_rejects": _of(_rejects),
     "reject_summary": _of(lambda m: m.reject_summary),
     "reject_value_by_reason": _of(lambda m: quality.reject_value_by_reason(m.reject_summary)),
     # enrichment, rollup, mart

@@ -67,3 +67,10 @@ def test_layers_are_counted_without_a_copy_of_the_enriched_lines(spark, fresh):
     assert difference(frame, oracle_connection(fresh), ORACLE_SQL["layer_row_counts"]) is None
     columns = [spark.read.parquet(p).columns for p in stored(spark, "settled/*") - before]
     assert columns and not any("gross_margin" in c for c in columns)
+
+
+def test_rejects_are_sorted_from_a_stored_copy(spark, fresh):
+    frame = QUERIES["orders_rejects"](spark, fresh)
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "try_cast" not in plan and "plant_location" not in plan  # lines are typed before
+    assert difference(frame, oracle_connection(fresh), ORACLE_SQL["orders_rejects"]) is None
