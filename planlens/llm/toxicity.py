@@ -4,19 +4,21 @@ Every word of an example is a term. Its weight is that of TF-IDF, with document
 all documents, times a gain that is above 1 where labelled texts with the word are toxic above
 all; so the neighbours of a text are those that share such words, then those on its subject.
 The labelled examples are held in a block-max inverted index: postings by word and block of
-examples, with the largest weight of each word in each block. A query visits blocks by their
-upper bound and stops where none can reach its nearest neighbours so far, so the
-neighbours are exact. They vote by closeness, and a logistic fit of the examples' own
-left-out votes calibrates the score.
+examples, with the largest weight of each word in each block. Frequent words are full rows, which
+many queries meet in one product of matrices. A query visits the blocks whose upper bound
+reaches what those words alone give its k-th neighbour, so the neighbours are exact. They
+vote by closeness, and a logistic fit of the examples' own left-out votes calibrates the score.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -32,6 +34,7 @@ GAIN = 12.0  # added to the factor 1 of a word whose texts are all toxic
 NEIGHBOURS = 25
 BLOCK = 64  # examples
 DENSE = 32  # a word of at least one example in so many is held as a full row
+TOGETHER = 64  # texts whose frequent words are multiplied with those rows at a time
 SOFTNESS = 0.05  # added to a distance before it is inverted
 
 
@@ -78,6 +81,7 @@ class BlockMaxIndex:
         # Examples with the same leading term stand together, which sharpens the bounds.
         lead = [(int(t[w.argmax()]), -float(w.max())) if len(t) else (terms, 0.0) for t, w in vectors]
         self.order = np.array(sorted(range(len(vectors)), key=lambda i: (lead[i], i)), np.int64)
+        self.spot = np.argsort(self.order)
         self.blocks = -(-len(vectors) // BLOCK)
         sizes = [len(vectors[i][0]) for i in self.order]
         place = np.repeat(np.arange(len(vectors)), sizes).astype(np.int32)
@@ -91,59 +95,75 @@ class BlockMaxIndex:
         full = often[term[by]]
         self.rows = np.zeros((int(often.sum()), self.blocks * BLOCK))
         self.rows[self.row[term[by][full]], self.place[full]] = self.weight[full]
-        self.top = self.rows.reshape(len(self.rows), self.blocks, BLOCK).max(2)
         cell, first = np.unique(term[by] * max(self.blocks, 1) + self.place // BLOCK, return_index=True)
         self.block = (cell % max(self.blocks, 1)).astype(np.int32)
         self.posting = np.append(first, len(by))
         self.most = np.maximum.reduceat(self.weight, first) if len(first) else none
         self.cell = np.searchsorted(cell // max(self.blocks, 1), np.arange(terms + 1))
 
+    def __getstate__(self) -> dict:
+        return {name: value for name, value in vars(self).items() if name != "_single"}
+
+    @cached_property
+    def _single(self) -> np.ndarray:
+        return self.rows.astype(np.float32)
+
+    def frequent(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[np.ndarray]:
+        """For each vector, the part of its cosines that frequent terms bring, in single precision:
+        one product of matrices for ``TOGETHER`` vectors."""
+        for start in range(0, len(vectors), TOGETHER):
+            some = vectors[start:start + TOGETHER]
+            asked = np.zeros((len(some), len(self.rows)), np.float32)
+            for shares, (terms, weights) in zip(asked, some):
+                row = self.row[terms]
+                shares[row[row >= 0]] = weights[row >= 0]
+            yield from asked @ self._single
+
     def nearest(
-        self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1
+        self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1,
+        frequent: np.ndarray | None = None,
     ) -> tuple[np.ndarray, np.ndarray, int]:
         """The ``k`` nearest examples with a common term, their cosines, and blocks visited.
 
-        Nearest first, ties by example number. ``skip`` is left out. Blocks are visited in
-        runs of 1, 1, 2, 4 and so on; between them the bounds are held against the k-th best.
+        Nearest first, ties by example number. ``skip`` is left out. ``frequent`` is the vector's
+        share of the method of that name. It alone bounds the k-th cosine from below, and with
+        the blocks' largest weights of the other terms each block's from above. What the blocks
+        that may reach it hold is summed; examples within the error of single precision of the
+        k-th are compared by their cosines in double precision.
         """
+        if frequent is None:
+            frequent = next(self.frequent([(terms, weights)]))
         row = self.row[terms]
         often = row >= 0
         row, share, terms, weights = row[often], weights[often], terms[~often], weights[~often]
+        slack = (len(row) + 8) * 2.0**-24 + 1e-9
+        cosine = frequent.astype(float)
+        if skip >= 0:
+            cosine[self.spot[skip]] = 0
         cells, owner = _runs(self.cell[terms], self.cell[terms + 1])
         block, factor = self.block[cells], weights[owner]
-        bound = np.bincount(block, factor * self.most[cells], self.blocks) + share @ self.top[row] + 1e-9
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 1e-9]
-        dense = np.zeros(self.blocks * BLOCK)
-        for r, f in zip(row, share):
-            dense += f * self.rows[r]
-        dense = dense.reshape(self.blocks, BLOCK)
-        found, cosines = np.zeros(0, np.int64), np.zeros(0)
-        visited, run = 0, 1
-        while visited < len(order):
-            if len(found) == k:
-                order = order[:np.searchsorted(-bound[order], -cosines[-1], "right")]
-            now = order[visited:visited + run]
-            if not len(now):
-                break
-            run, visited = max(visited, 1), visited + len(now)
-            asked = np.zeros(self.blocks, bool)
-            asked[now] = True
-            some = asked[block]
-            at, which = _runs(self.posting[cells[some]], self.posting[cells[some] + 1])
-            cosine = np.bincount(
-                self.place[at], self.weight[at] * factor[some][which], self.blocks * BLOCK
-            ).reshape(self.blocks, BLOCK).astype(float)
-            cosine[now] += dense[now]
-            cosine = cosine.ravel()
-            hit = np.flatnonzero(cosine)
-            example = self.order[hit]
-            hit, example = hit[example != skip], example[example != skip]
-            found = np.append(found, example)
-            cosines = np.append(cosines, np.round(cosine[hit], 12))
-            best = np.lexsort((found, -cosines))[:k]
-            found, cosines = found[best], cosines[best]
-        return found, cosines, visited
+        bound = np.bincount(block, factor * self.most[cells], self.blocks)
+        bound = bound + cosine.reshape(self.blocks, BLOCK).max(1)
+        asked = (bound > 0) & (bound >= _largest(cosine, k) - 2 * slack)
+        some = asked[block]
+        at, which = _runs(self.posting[cells[some]], self.posting[cells[some] + 1])
+        rest = np.bincount(self.place[at], self.weight[at] * factor[some][which], len(cosine))
+        cosine = cosine + rest
+        if skip >= 0:
+            cosine[self.spot[skip]] = 0
+        hit = np.flatnonzero((cosine > 0) & (cosine >= _largest(cosine, k) - 2 * slack))
+        # Summed term by term, so that a cosine depends on nothing but the two texts.
+        each = self.rows[row[:, None], hit] * share[:, None]
+        exact = np.bincount(np.tile(np.arange(len(hit)), len(row)), each.ravel(), len(hit))
+        exact = np.round(exact + rest[hit], 12)
+        example = self.order[hit]
+        best = np.lexsort((example, -exact))[:k]
+        return example[best], exact[best], int(asked.sum())
+
+
+def _largest(values: np.ndarray, k: int) -> float:
+    """The k-th largest of them, 0 if they are fewer."""
+    return float(np.partition(values, -k)[-k]) if len(values) >= k else 0.0
 
 
 def _runs(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,15 +187,23 @@ class Neighbourhood:
     slope: float = 1.0
     offset: float = 0.0
 
-    def vote(self, terms: np.ndarray, weights: np.ndarray, skip: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
-        found, cosine, _ = self.index.nearest(terms, weights, NEIGHBOURS, skip) if len(terms) else (
-            np.zeros(0, np.int64), np.zeros(0), 0)
-        if not len(found):
-            return self.blank, found, cosine
-        voice = self.share[found] / (1 - np.minimum(cosine, 1) + SOFTNESS)
+    def votes(
+        self, vectors: list[tuple[np.ndarray, np.ndarray]], left_out: bool = False
+    ) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
+        """Vote, nearest examples and their cosines of each vector; ``left_out`` if these are the
+        examples themselves, each of which is then left out of its own neighbours."""
         # One voice of the prior at a right angle keeps single neighbours from certainty.
         rest = 1 / (1 + SOFTNESS)
-        return float((voice @ self.toxic[found] + rest * self.prior) / (voice.sum() + rest)), found, cosine
+        for i, ((terms, weights), part) in enumerate(zip(vectors, self.index.frequent(vectors))):
+            found, cosine, _ = self.index.nearest(
+                terms, weights, NEIGHBOURS, i if left_out else -1, part
+            ) if len(terms) else (np.zeros(0, np.int64), np.zeros(0), 0)
+            if not len(found):
+                yield self.blank, found, cosine
+                continue
+            voice = self.share[found] / (1 - np.minimum(cosine, 1) + SOFTNESS)
+            vote = (voice @ self.toxic[found] + rest * self.prior) / (voice.sum() + rest)
+            yield float(vote), found, cosine
 
     def calibrated(self, vote: np.ndarray | float) -> np.ndarray | float:
         v = np.clip(vote, 1e-4, 1 - 1e-4)
@@ -195,7 +223,7 @@ def build(
         vocabulary, BlockMaxIndex(vectors, len(vocabulary.hashes)), toxic, ids, share, prior, blank
     )
     if 0 < rate < 1:
-        votes = np.array([near.vote(t, w, i)[0] for i, (t, w) in enumerate(vectors)])
+        votes = np.array([vote for vote, _, _ in near.votes(vectors, left_out=True)])
         z = np.log(np.clip(votes, 1e-4, 1 - 1e-4) / (1 - np.clip(votes, 1e-4, 1 - 1e-4)))
         a, b = 1.0, 0.0
         for _ in range(50):  # Newton steps with a ridge towards the plain vote
@@ -273,6 +301,13 @@ def _by_label(terms: int):
     return run
 
 
+def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The lists of a column as slices of one array."""
+    ends = np.cumsum([0, *pc.list_value_length(column).to_pylist()])
+    flat = pc.list_flatten(column).to_numpy()
+    return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+
 def likelihood_ratio(a: np.ndarray, c: np.ndarray, toxic: int, other: int) -> np.ndarray:
     """Of words in ``a`` of the toxic and ``c`` of the other texts."""
     either = (a + c) / (toxic + other)
@@ -310,10 +345,12 @@ def learn(docs: DataFrame, labelled: DataFrame, *, per_label: int = PER_LABEL) -
     sample = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
     rows = sample.mapInArrow(
         _word_counts, f"doc_id {kind}, label int, hashes array<long>, counts array<long>"
-    ).collect()  # at most per_label texts of each label
-    rows.sort(key=lambda r: (r.doc_id, r.hashes))
-    hashes = [np.array(r.hashes, np.int64).view(np.uint64) for r in rows]
-    toxic = np.array([r.label == 1 for r in rows], bool)
+    ).toArrow()  # at most per_label texts of each label
+    ids, hashes, counts = rows["doc_id"].to_pylist(), _lists(rows["hashes"]), _lists(rows["counts"])
+    order = sorted(range(len(ids)), key=lambda i: (ids[i], hashes[i].tobytes()))
+    ids, counts = [ids[i] for i in order], [counts[i] for i in order]
+    hashes = [hashes[i].view(np.uint64) for i in order]
+    toxic = rows["label"].to_numpy()[np.array(order, np.int64)] == 1
     every = np.unique(np.concatenate([np.zeros(0, np.uint64), *hashes]))
     terms = [np.searchsorted(every, h) for h in hashes]
     held = [np.concatenate([np.zeros(0, np.int64), *(t for t, x in zip(terms, toxic) if x == side)])
@@ -330,26 +367,26 @@ def learn(docs: DataFrame, labelled: DataFrame, *, per_label: int = PER_LABEL) -
         f"doc_id {kind}, terms array<int>, term int, n long",
     ))
     frequency, gain = np.zeros(len(every)), np.ones(len(every))
-    for r in found.where("term is not null").groupBy("term").agg(F.sum("n").alias("n")).collect():
-        frequency[r.term] = r.n  # as many rows as the examples have words
+    # As many rows as the examples have words, here and below.
+    seen = found.where("term is not null").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    frequency[seen["term"].to_numpy()] = seen["n"].to_numpy()
     label = labelled.where("label is not null and doc_id is not null").groupBy("doc_id").agg(
         F.min(one).alias("label")
     )
     counted = (
         found.where("terms is not null").join(label, "doc_id").select("label", "terms")
         .mapInArrow(_by_label(len(every)), "term int, toxic long, other long")
-        .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).collect()
+        .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).toArrow()
     )
-    at = np.array([r.term for r in counted], np.int64)
-    gain[at] = _gains(
-        np.array([r.toxic for r in counted], float), np.array([r.other for r in counted], float), prior
+    gain[counted["term"].to_numpy()] = _gains(
+        counted["toxic"].to_numpy(), counted["other"].to_numpy(), prior
     )
     weight = (np.log((1 + texts.count()) / (1 + frequency)) + 1) * gain
     vectors = []
-    for t, r in zip(terms, rows):
-        w = (1 + np.log(np.array(r.counts, float))) * weight[t]
+    for t, n in zip(terms, counts):
+        w = (1 + np.log(n)) * weight[t]
         vectors.append((t, w / np.sqrt((w * w).sum()) if len(t) else w))
-    return build(Vocabulary(every, weight), vectors, toxic, [r.doc_id for r in rows], prior)
+    return build(Vocabulary(every, weight), vectors, toxic, ids, prior)
 
 
 def score(docs: DataFrame, held) -> DataFrame:
@@ -368,22 +405,20 @@ def score(docs: DataFrame, held) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         near = held.value
-        evidence_type = pa.list_(pa.struct([
-            ("doc_id", arrow_id), ("toxic", pa.bool_()), ("cosine", pa.float64())
-        ]))
+        ids, toxic = pa.array(near.ids, arrow_id), pa.array(near.toxic > 0)
+        names = ["doc_id", "toxic", "cosine"]
         for batch in batches:
             for part in words.pieces(batch, "text", 1 << 20):
-                votes, evidence = [], []
-                for terms, weights in near.vocabulary.vectors(*words.buffers(part.column("text"))):
-                    vote, found, cosine = near.vote(terms, weights)
-                    votes.append(vote)
-                    evidence.append([
-                        {"doc_id": near.ids[e], "toxic": bool(near.toxic[e]), "cosine": float(c)}
-                        for e, c in zip(found, cosine)
-                    ])
+                vectors = near.vocabulary.vectors(*words.buffers(part.column("text")))
+                votes, found, cosines = zip(*near.votes(vectors))
+                ends = np.cumsum([0, *(len(f) for f in found)]).astype(np.int32)
+                example = pa.array(np.concatenate(found))
+                evidence = pa.StructArray.from_arrays(
+                    [ids.take(example), toxic.take(example), pa.array(np.concatenate(cosines))], names
+                )
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), pa.array(near.calibrated(np.array(votes))),
-                    pa.array(evidence, evidence_type),
+                    pa.ListArray.from_arrays(pa.array(ends), evidence),
                 ], ["doc_id", "score", "evidence"])
 
     return rows.mapInArrow(

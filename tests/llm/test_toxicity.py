@@ -1,3 +1,4 @@
+import time
 from collections import Counter
 
 import numpy as np
@@ -148,3 +149,55 @@ def test_a_copy_of_an_example_has_it_as_nearest(spark):
     for r in rows:
         assert r.evidence[0].doc_id == r.doc_id % 60 and abs(r.evidence[0].cosine - 1) < 1e-9
         assert r.evidence[0].toxic == (r.doc_id % 3 == 0)
+
+
+def test_frequent_and_rare_words_with_copies_and_left_out_examples():
+    """Cosines of many queries at once, equal ones by example number, whatever is asked along."""
+    rng = np.random.default_rng(8)
+    share = 1 / (1 + np.arange(2000))  # some words are in most examples, most in a few
+
+    def vector():
+        t = np.unique(np.append(rng.choice(2000, 40, p=share / share.sum()), rng.choice(2000, 3)))
+        w = rng.random(len(t)) + 0.1
+        return t, w / np.sqrt((w * w).sum())
+
+    examples = [vector() for _ in range(700)]
+    examples += examples[:100]
+    index = tox.BlockMaxIndex(examples, 2000)
+    assert 10 < len(index.rows) < 500
+    dense = np.zeros((800, 2000))
+    for i, (t, w) in enumerate(examples):
+        dense[i, t] = w
+    for skip, queries in ((False, [vector() for _ in range(90)]), (True, examples)):
+        for i, ((t, w), part) in enumerate(zip(queries, index.frequent(queries))):
+            cosine = np.round(dense[:, t] @ w, 10)
+            expected = sorted(
+                (e for e in np.flatnonzero(cosine) if not (skip and e == i)), key=lambda e: (-cosine[e], e)
+            )[:25]
+            found, near, _ = index.nearest(t, w, 25, i if skip else -1, part)
+            assert found.tolist() == expected
+            np.testing.assert_allclose(near, cosine[expected], atol=1e-9)
+            alone = index.nearest(t, w, 25, i if skip else -1)
+            assert alone[0].tolist() == expected and alone[1].tolist() == near.tolist()
+
+
+def test_frequent_words_cost_less_than_a_pass_over_the_examples_each():
+    rng = np.random.default_rng(9)
+    vectors = []
+    for _ in range(2000):
+        t = np.sort(rng.choice(400, 200, replace=False))
+        w = rng.random(200) + 0.1
+        vectors.append((t, w / np.sqrt((w * w).sum())))
+    near = tox.Neighbourhood(
+        None, tox.BlockMaxIndex(vectors, 400), np.arange(2000) % 2.0, [], np.ones(2000), 0.5, 0.5
+    )
+    queries = vectors[:150]
+    assert len(list(near.votes(queries[:1]))) == 1
+    start = time.process_time()
+    for t, w in queries:
+        total = np.zeros(near.index.rows.shape[1])
+        for r, f in zip(near.index.row[t], w):
+            total += f * near.index.rows[r]
+    plain, start = time.process_time() - start, time.process_time()
+    assert len(list(near.votes(queries))) == 150
+    assert time.process_time() - start < 0.7 * plain
