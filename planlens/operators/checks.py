@@ -102,61 +102,92 @@ class Orphans:
 Check = Rows | Unique | Orphans
 
 
+_BITS = 62  # checks that share a subject: one bit of a long each
+
+
 def in_one_pass(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """(check_name, failing_rows) of all ``checks``, with one read of each table and one shuffle.
 
-    A row becomes one short record per key that is checked, and one per condition that it
-    fails; as a parent, one per key that it offers. Records are counted per check and key
-    before the shuffle, so a hot key, or a condition that every row fails, is a record per
+    Checks of the same columns share a subject, and so do the conditions of a table. A row becomes
+    one short record per subject of its table, with the key that is checked or the conditions that
+    it fails, if any; as a parent, one per key that it offers. Records are counted per subject and
+    key before the shuffle, so a hot key, or a condition that every row fails, is a record per
     task. Keys of different tables meet there, so no table is joined or broadcast.
     """
     if not checks:
         raise ValueError("no checks")
     wide = max([1, *[len(c.columns) for c in checks if isinstance(c, Unique)]])
+    sharing: dict[tuple, int] = {}
+    subjects: dict[tuple, int] = {}
+    places: list[tuple[int, int]] = []  # subject and bit of each check
+    failed: dict[tuple[str, int], list[Column]] = {}
     records: dict[str, list[Column]] = {}
+    none = F.lit(None).cast("string")
 
-    def record(number: int, table: str, keys: Sequence[str], where: Column, parent: bool = False) -> None:
-        padded = [F.col(k).cast("string") for k in keys] + [F.lit(None).cast("string")] * (wide - len(keys))
-        fields = [F.lit(number).alias("check"), F.lit(parent).alias("parent")]
+    def record(table: str, subject: int, keys: Sequence[Column], where: Column, offered: int = 0) -> None:
+        padded = [*keys, *[none] * (wide - len(keys))]
+        fields = [F.lit(subject).alias("subject"), F.lit(offered).cast("long").alias("offered")]
         fields += [k.alias(f"key{n}") for n, k in enumerate(padded)]
         records.setdefault(table, []).append(F.when(where, F.struct(*fields)))
 
-    def present(*columns: str) -> Column:
-        return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
-
-    for number, check in enumerate(checks):
+    def of(table: str, columns: Sequence[str], subject: int, offered: int = 0) -> None:
+        present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+        record(table, subject, [F.col(c).cast("string") for c in columns], present, offered)
+
+    for check in checks:
+        columns = check.columns if isinstance(check, Unique) else (
+            (check.column,) if isinstance(check, Orphans) else ())
+        number = sharing.get((check.table, columns), 0)
+        sharing[check.table, columns] = number + 1
+        key = (check.table, columns, number // _BITS)
+        if key not in subjects:
+            subjects[key] = len(subjects)
+            if columns:
+                of(check.table, columns, subjects[key])
+        subject, bit = subjects[key], number % _BITS
+        places.append((subject, bit))
         if isinstance(check, Rows):
-            record(number, check.table, (), check.condition)
-        elif isinstance(check, Unique):
-            record(number, check.table, check.columns, present(*check.columns))
-        else:
-            record(number, check.table, (check.column,), present(check.column))
-            record(number, check.parent, (check.parent_column,), present(check.parent_column), True)
-
+            fails = F.when(check.condition, F.lit(1 << bit).cast("long")).otherwise(0)
+            failed.setdefault((check.table, subject), []).append(fails)
+        elif isinstance(check, Orphans):
+            of(check.parent, (check.parent_column,), subject, 1 << bit)
+    for (table, subject), bits in failed.items():
+        mask = reduce(lambda a, b: a + b, bits)
+        record(table, subject, [mask.cast("string")], mask != 0)
+
+    # Without higher-order functions, so that conditions and keys are compiled code.
     read = [
-        tables[table].select(F.inline(F.array_compact(F.array(*of_table))))
+        tables[table].select(F.inline(F.array(*of_table))).where("subject is not null")
         for table, of_table in records.items()
     ]
     keys = [f"key{n}" for n in range(wide)]
-    counted_keys = together(read).groupBy("check", *keys).agg(
-        F.count_if(~F.col("parent")).alias("n"), F.bool_or("parent").alias("known")
+    counted_keys = together(read).groupBy("subject", *keys).agg(
+        F.count_if(F.col("offered") == 0).alias("n"), F.bit_or("offered").alias("known")
     )
-    kind = F.element_at(
-        F.array(*[F.lit(type(c).__name__) for c in checks]), F.col("check") + 1
+    by_condition = F.col("subject").isin([subject for _, subject in failed])
+    met = F.when(by_condition, F.col("key0").cast("long")).otherwise(F.col("known"))
+    found = counted_keys.groupBy(
+        "subject", met.alias("bits"), (F.col("n") > 1).alias("repeated")
+    ).agg(F.sum("n").alias("n"), F.count("*").alias("keys"))
+
+    def listed(values: Sequence) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("id").cast("int") + 1)
+
+    spark = read[0].sparkSession
+    asked = spark.range(len(checks)).select(
+        "id", listed([c.name for c in checks]).alias("check_name"),
+        listed([type(c).__name__ for c in checks]).alias("kind"),
+        listed([subject for subject, _ in places]).alias("subject"),
+        listed([bit for _, bit in places]).alias("bit"),
     )
+    has_bit = F.bit_get("bits", "bit") == 1
     failing = (
-        F.when(kind == Unique.__name__, (F.col("n") > 1).cast("bigint"))
-        .when((kind == Orphans.__name__) & F.col("known"), F.lit(0).cast("bigint"))
-        .otherwise(F.col("n"))
-    )
-    found = counted_keys.groupBy("check").agg(F.sum(failing).alias("failing_rows"))
-    spark = read[0].sparkSession
-    names = spark.range(len(checks)).select(F.col("id").cast("int").alias("check"))
-    name = F.element_at(F.array(*[F.lit(c.name) for c in checks]), F.col("check") + 1)
-    return names.join(found, "check", "left").select(
-        name.alias("check_name"),
-        F.coalesce("failing_rows", F.lit(0).cast("bigint")).alias("failing_rows"),
+        F.when(F.col("kind") == Unique.__name__, F.when(F.col("repeated"), F.col("keys")))
+        .when(has_bit == (F.col("kind") == Rows.__name__), F.col("n"))
     )
+    return asked.join(found, "subject", "left").groupBy("id", "check_name").agg(
+        F.coalesce(F.sum(failing), F.lit(0).cast("bigint")).alias("failing_rows")
+    ).drop("id")
 
 
 def together(parts: Sequence[DataFrame]) -> DataFrame:

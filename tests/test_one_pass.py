@@ -65,6 +65,23 @@ def test_each_table_is_read_once(spark, tmp_path):
     assert {r.failing_rows for r in found.collect()} == {0}
 
 
+def test_checks_of_the_same_columns_share_a_record_of_each_row(tables):
+    """Also more checks than a subject has bits, and keys that are parents of their own."""
+    many = [checks.Rows(f"c is {n}", "child", F.col("c") == n) for n in range(70)]
+    many += [checks.Orphans(f"orphans {n}", "child", "parent", ("parent", "empty")[n % 2], "id") for n in range(70)]
+    many += [checks.Unique("parent", "child", ("parent",)), *suite()]
+    found = checks.in_one_pass(tables, many)
+    got = {r.check_name: r.failing_rows for r in found.collect()}
+    names = {c.name: c for c in many}
+    for name in ("parent", "orphans", "all orphans", "own parent", *list(names)[:140:9], list(names)[139]):
+        assert got[name] == one_by_one(tables, names[name]), name
+    assert len(got) == len(many) and got["b missing"] == one_by_one(tables, suite()[0])
+    # Conditions and keys are compiled: no function over arrays is interpreted per row.
+    few = checks.in_one_pass(tables, [checks.Orphans(f"{n}", "child", "parent", "parent", "id") for n in "ab"])
+    plan = few._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and plan.count("struct(subject, 0, offered, 0,") == 1
+
+
 def test_no_checks_are_refused(tables):
     with pytest.raises(ValueError):
         checks.in_one_pass(tables, [])
