@@ -486,7 +486,8 @@ QUERIES: dict[str, Query] = {
     "check_unique": _of(_check_unique, settled=True),
     "check_not_null": _of(_check_not_null, settled=True),
     "check_accepted_values": _of(_check_accepted_values, settled=True),
-    "check_relationships": _of(_check_relationships, settled=True),
+    # The enriched lines are read by the rollup alone, which is stored.
+    "check_relationships": _of(_check_relationships, settled=("flagged",)),
     "check_unique_grain": _of(_check_unique_grain),
     "check_partition_complete": _of(_check_partition_complete),
     "check_reconciles": _of(_check_reconciles),

@@ -106,3 +106,14 @@ def test_lost_and_multiplied_revenue_shows(sample):
     })
     row = measures.explained(totals).first()
     assert row.unexplained == row.whole - row.recognised > 0
+
+
+def test_relationships_store_the_flagged_lines_alone(spark, monkeypatch):
+    """The rollup is stored, and no other plan reads the enriched lines."""
+    from planlens.plans import pipeline
+    from planlens.plans.queries import QUERIES
+
+    stored, settle = [], pipeline.settle
+    monkeypatch.setattr(pipeline, "settle", lambda df: stored.append(df.columns) or settle(df))
+    assert QUERIES["check_relationships"](spark, "/root/testdata/sf0.001").count() == 7
+    assert len(stored) == 1 and "dq_failure_reason" in stored[0]
